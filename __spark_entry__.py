@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
 
@@ -12,7 +13,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 from oracle.answers import answers  # noqa: E402
 from shopstrata.plans import metrics, quality, serving, singles  # noqa: E402
@@ -23,7 +23,7 @@ from shopstrata.plans.silver import CLEANERS, silver_order_items_rejects  # noqa
 from shopstrata.sources.layers import LayerStore, shared_folder  # noqa: E402
 from shopstrata.sources.raw_csv import scan_csv, with_ingest_metadata, write_csv  # noqa: E402
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES  # noqa: E402
-from shopstrata.sources.star_adapter import raw_table  # noqa: E402
+from shopstrata.sources.star_adapter import raw_tables  # noqa: E402
 from shopstrata.sources.tables import TableSet  # noqa: E402
 
 INGEST_TIME = datetime(2024, 1, 1)
@@ -38,25 +38,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 def portable(df: DataFrame) -> DataFrame:
     """Cast to types that compare alike on both engines."""
 
-    def plain(field: T.StructField):
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DecimalType, T.FloatType)):
-            column = column.cast("double")
-        elif isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            column = column.cast("long")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        return column.alias(field.name)
-
-    return df.select(*[plain(f) for f in df.schema.fields])
-
-
-def _raw(spark: SparkSession, sf_dir: str) -> TableSet:
-    return TableSet({t: partial(raw_table, spark, sf_dir, t) for t in TABLES})
+    targets = {"decimal": "DOUBLE", "float": "DOUBLE", "tinyint": "BIGINT", "smallint": "BIGINT",
+               "int": "BIGINT", "timestamp": "TIMESTAMP_NTZ"}
+    columns = []
+    for name, kind in df.dtypes:
+        target = targets.get(kind.split("(")[0])
+        columns.append(f"CAST(`{name}` AS {target}) AS `{name}`" if target else f"`{name}`")
+    return df.selectExpr(*columns)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> TableSet:
-    raw = _raw(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir)
     return TableSet({t: lambda t=t: CLEANERS[t](raw[t]) for t in TABLES})
 
 
@@ -75,7 +67,7 @@ def _on_silver(plan: Callable[[TableSet], DataFrame]) -> Query:
 
 
 def _on_raw(plan: Callable[[TableSet], DataFrame]) -> Query:
-    return lambda spark, sf_dir: portable(plan(_raw(spark, sf_dir)))
+    return lambda spark, sf_dir: portable(plan(raw_tables(spark, sf_dir)))
 
 
 def _on_gold(plan: Callable[[TableSet], DataFrame]) -> Query:
@@ -83,10 +75,11 @@ def _on_gold(plan: Callable[[TableSet], DataFrame]) -> Query:
 
 
 def _raw_files(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
-    """The raw tables written as CSV into a new shared folder."""
-    folder = shared_folder(spark)
-    for table in tables:
-        write_csv(raw_table(spark, sf_dir, table), f"{folder}/{table}.csv")
+    """The raw tables written as CSV, side by side, into a new shared folder."""
+    folder, raw = shared_folder(spark), raw_tables(spark, sf_dir)
+    plans = {table: raw[table] for table in tables}
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        list(pool.map(lambda t: write_csv(plans[t], f"{folder}/{t}.csv"), plans))
     return folder
 
 
@@ -113,20 +106,20 @@ def _bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, silver = _raw(spark, sf_dir), _silver(spark, sf_dir)
+    raw, silver = raw_tables(spark, sf_dir), _silver(spark, sf_dir)
     bronze = metrics.row_counts(spark, "bronze", {t: partial(raw.__getitem__, t) for t in TABLES})
     clean = metrics.row_counts(spark, "silver", {t: partial(silver.__getitem__, t) for t in TABLES})
     return portable(bronze.unionByName(clean))
 
 
 def _load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir)
     counts = metrics.row_counts(spark, "bronze", {t: partial(raw.__getitem__, t) for t in TABLES})
     return portable(metrics.load_totals(counts))
 
 
 def _silver_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir)
     clean = TableSet({t: lambda t=t: CLEANERS[t](raw[t]) for t in TABLES})
     return portable(metrics.silver_metrics(raw, clean))
 
@@ -147,7 +140,7 @@ def _dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_total_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir)
     headers = raw["orders"].drop("order_total")
     return portable(
         backfill_order_totals(headers, raw["order_items"]).select("order_id", "order_total")

@@ -1,38 +1,35 @@
 """Text to typed values where a bad value becomes NULL instead of an error.
 
-Spark runs in ANSI mode, so only the ``try_`` forms are used.
+Spark runs in ANSI mode, so only the ``try_`` forms are used. The tokens that mean "missing"
+fail to parse like any other bad text and need no test of their own here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+MONEY = "DECIMAL(18,2)"
 
-MONEY = "decimal(18,2)"
 
-
-def money(value: Column) -> Column:
+def money(text: str) -> str:
     """Exact two-digit money; text such as ``nan`` or ``abc`` gives NULL, never NaN."""
-    return value.try_cast(MONEY)
+    return f"try_cast({text} AS {MONEY})"
 
 
-def number(value: Column) -> Column:
-    """A double, with NaN (which ``try_cast`` accepts as text) turned into NULL."""
-    parsed = value.try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+def number(text: str) -> str:
+    """A double; NaN, which ``try_cast`` accepts as text, becomes NULL."""
+    return f"nanvl(try_cast({text} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def whole(value: Column) -> Column:
+def whole(text: str) -> str:
     """An integer that also accepts ``2.0``; the fraction is cut off."""
-    return number(value).try_cast("int")
+    return f"try_cast(try_cast({text} AS DECIMAL(20,4)) AS INT)"
 
 
-def day(value: Column) -> Column:
+def day(text: str) -> str:
     """A date in the fixed form yyyy-MM-dd. The cast is much cheaper than a pattern parser,
     and the LIKE guard keeps the looser forms that it accepts (2024-1-5, 2024) out."""
-    return F.when(value.like("____-__-__"), value.try_cast("date"))
+    return f"CASE WHEN {text} LIKE '____-__-__' THEN try_cast({text} AS DATE) END"
 
 
-def flag(value: Column) -> Column:
+def flag(text: str) -> str:
     """A boolean."""
-    return value.try_cast("boolean")
+    return f"try_cast({text} AS BOOLEAN)"

@@ -7,52 +7,47 @@ round the same way on every engine and for every order of summation.
 
 from __future__ import annotations
 
-from decimal import Decimal
+_WIDE = "DECIMAL(30,0)"
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-_WIDE = "decimal(30,0)"
-
-
-def cents(amount: Column) -> Column:
+def cents(amount: str) -> str:
     """Money as a whole number of cents."""
-    return (amount * F.lit(100)).cast(_WIDE)
+    return f"CAST(({amount}) * 100 AS {_WIDE})"
 
 
-def _parts(num: Column, den: Column, digits: int) -> tuple[Column, Column, Column]:
-    top = F.abs(num.cast(_WIDE)) * F.lit(Decimal(10) ** digits)
-    bottom = F.abs(F.nullif(den.cast(_WIDE), F.lit(0).cast(_WIDE)))
-    negative = (num < 0) != (den < 0)
-    return top, bottom, negative
+def _signed(units: str, num: str, den: str, digits: int) -> str:
+    sign = f"CASE WHEN (({num}) < 0) <> (({den}) < 0) THEN -1 ELSE 1 END"
+    return (
+        f"CAST(CAST({units} AS DECIMAL(20,0)) * {sign} * CAST('1e-{digits}' AS "
+        f"DECIMAL({digits + 1},{digits})) AS DECIMAL(24,{digits}))"
+    )
 
 
-def _place(units: Column, negative: Column, digits: int) -> Column:
-    scaled = units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
-    return F.when(negative, -scaled).otherwise(scaled).cast(f"decimal(24,{digits})")
+def _sizes(num: str, den: str, digits: int) -> tuple[str, str]:
+    top = f"(abs(CAST({num} AS {_WIDE})) * {10 ** digits})"
+    bottom = f"abs(nullif(CAST({den} AS {_WIDE}), 0))"
+    return top, bottom
 
 
-def ratio_half_up(num: Column, den: Column, digits: int) -> Column:
+def ratio_half_up(num: str, den: str, digits: int) -> str:
     """``num / den`` with ties rounded away from zero, as SQL ``ROUND`` on exact numbers does."""
-    top, bottom, negative = _parts(num, den, digits)
-    units = F.call_function("div", top * F.lit(2) + bottom, bottom * F.lit(2))
-    return _place(units, negative, digits)
+    top, bottom = _sizes(num, den, digits)
+    return _signed(f"(({top} * 2 + {bottom}) div ({bottom} * 2))", num, den, digits)
 
 
-def ratio_half_even(num: Column, den: Column, digits: int) -> Column:
+def ratio_half_even(num: str, den: str, digits: int) -> str:
     """``num / den`` with ties rounded to the even neighbour, as Python's ``round`` does."""
-    top, bottom, negative = _parts(num, den, digits)
-    units = F.call_function("div", top, bottom)
-    twice_rest = (top % bottom) * F.lit(2)
-    up = (twice_rest > bottom) | ((twice_rest == bottom) & (units % 2 == 1))
-    return _place(units + up.cast("long"), negative, digits)
+    top, bottom = _sizes(num, den, digits)
+    units, rest = f"({top} div {bottom})", f"(({top} % {bottom}) * 2)"
+    up = f"({rest} > {bottom} OR ({rest} = {bottom} AND {units} % 2 = 1))"
+    return _signed(f"({units} + CAST({up} AS BIGINT))", num, den, digits)
 
 
-def average_money(total: Column, rows: Column) -> Column:
+def average_money(total: str, rows: str) -> str:
     """Mean of a money column from its sum and count, to two digits."""
-    return ratio_half_up(cents(total), rows * F.lit(100), 2)
+    return ratio_half_up(cents(total), f"({rows}) * 100", 2)
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """``100 * part / whole`` to one digit."""
-    return ratio_half_up(part * F.lit(100), whole, 1)
+def percent(part: str, of: str) -> str:
+    """``100 * part / of`` to one digit."""
+    return ratio_half_up(f"({part}) * 100", of, 1)

@@ -1,10 +1,7 @@
-"""Text cleaning as built-in expressions, so it stays in generated code."""
+"""Text cleaning."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Raw cells that mean "missing" (the public pandas read_csv defaults).
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -13,26 +10,33 @@ NULL_TOKENS = [
 
 # The characters for which Python's str.isspace() is true.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_TOKENS = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+_SPACES = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
+
+
+def present(column: str) -> str:
+    """Whether a raw cell holds a value: neither NULL nor a token that means so."""
+    return f"coalesce({column} NOT IN ({_TOKENS}), false)"
+
 
-def cell(name: str) -> Column:
+def cell(column: str) -> str:
     """A raw cell with the missing-value tokens turned into NULL."""
-    raw = F.col(name)
-    return F.when(~raw.isin(NULL_TOKENS), raw)
+    return f"CASE WHEN {column} NOT IN ({_TOKENS}) THEN {column} END"
 
 
-def strip(value: Column) -> Column:
+def strip(text: str) -> str:
     """Drop every kind of leading and trailing whitespace; plain ``trim`` drops spaces only.
 
     ``btrim`` with an explicit character set runs several times faster than a regular expression.
     """
-    return F.btrim(value, F.lit(WHITESPACE))
+    return f"btrim({text}, '{_SPACES}')"
 
 
-def label(name: str) -> Column:
+def label(column: str) -> str:
     """A raw cell as a stripped, lower-case label."""
-    return F.lower(strip(cell(name)))
+    return f"lower({strip(cell(column))})"

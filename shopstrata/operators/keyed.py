@@ -40,7 +40,7 @@ def hot_keys(df: DataFrame, key: str) -> list[tuple[str | None, int]]:
     as a key, since outer and anti joins send all NULL keys to the same partition. The sketch
     only decides which keys are salted; results do not depend on it.
     """
-    sketch = df.agg(
+    sketch = df.select(key).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(key).isNull()).alias("nulls"),
         F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top"),
@@ -66,7 +66,7 @@ def match(
     partition id is added, so that exact copies are spread as well. Salts are a function of the
     row and its input partition and hence the same when a lost task is run again.
     """
-    hot = hot_keys(left.select(key), key) if may_be_skewed(left) else []
+    hot = hot_keys(left, key) if may_be_skewed(left.select(key)) else []
     if not hot:
         return left.join(right, key, how)
 
@@ -128,9 +128,9 @@ def flag_repeated(df: DataFrame, key: str, flag: str, spread_by: list[str]) -> D
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
-        .select(key, F.lit(True).alias("_repeated"))
+        .selectExpr(key, "true AS _repeated")
     )
-    nulls_repeat = df.agg(F.count_if(F.col(key).isNull()) > 1).scalar()
+    nulls_repeat = df.selectExpr(f"count_if({key} IS NULL) > 1").scalar()
     return (
         match(df, repeated, key, "left", spread_by)
         .withColumn(

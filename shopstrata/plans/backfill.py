@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.functions.parse import MONEY
+from shopstrata.functions.parse import MONEY, money
 from shopstrata.operators.keyed import match
 
 
@@ -15,8 +15,8 @@ def backfill_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     ``items`` is aggregated before the join, so a popular order id is one row by then.
     """
     totals = (
-        items.where(F.col("order_id").isNotNull())
+        items.where("order_id IS NOT NULL")
         .groupBy("order_id")
-        .agg(F.sum(F.col("line_total").try_cast(MONEY)).cast(MONEY).alias("order_total"))
+        .agg(F.expr(f"CAST(sum({money('line_total')}) AS {MONEY}) AS order_total"))
     )
     return match(orders, totals, "order_id", "left", ["customer_id", "order_date"])

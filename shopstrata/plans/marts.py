@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from shopstrata.functions.rounding import average_money, cents, percent, ratio_half_up
@@ -28,6 +28,10 @@ HIGH_VALUE = 1000
 MID_VALUE = 400
 
 
+def _agg(groups: GroupedData, *aggregates: str) -> DataFrame:
+    return groups.agg(*[F.expr(a) for a in aggregates])
+
+
 def earning_orders(orders: DataFrame) -> DataFrame:
     """Orders whose items count as revenue."""
     return orders.where(F.col("status").isin(REVENUE_STATUSES))
@@ -39,12 +43,12 @@ def _once_per_key(orders: DataFrame, dedupe: bool) -> DataFrame:
         return orders
     columns = [c for c in orders.columns if c != "order_id"]
     one = (
-        orders.where(F.col("order_id").isNotNull())
+        orders.where("order_id IS NOT NULL")
         .groupBy("order_id")
         .agg(F.min(F.struct(*columns)).alias("row"))
         .select("order_id", "row.*")
     )
-    return one.unionByName(orders.where(F.col("order_id").isNull()))
+    return one.unionByName(orders.where("order_id IS NULL"))
 
 
 def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFrame:
@@ -53,62 +57,51 @@ def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFram
     A repeated order counts as often as it occurs, unless ``dedupe_orders`` is set. Items are
     reduced to one row per product and order multiplicity before products are joined.
     """
-    weights = (
+    weights = _agg(
         earning_orders(_once_per_key(tables["orders"], dedupe_orders))
-        .where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .where("order_id IS NOT NULL")
+        .groupBy("order_id"),
+        "count(1) AS weight",
     )
     items = tables["order_items"].select(
         "order_id", "product_id", "quantity", "unit_price", "line_total"
     )
-    priced = F.col("quantity").isNotNull() & F.col("line_total").isNotNull()
-    per_product = (
-        match(items, weights, "order_id", "inner", ["product_id"])
-        .groupBy("product_id", "weight")
-        .agg(
-            F.sum("quantity").alias("units"),
-            F.sum("line_total").alias("revenue"),
-            F.sum("unit_price").alias("prices"),
-            F.count("unit_price").alias("priced_rows"),
-            F.sum(F.when(priced, F.col("quantity"))).alias("costed_units"),
-            F.sum(F.when(priced, F.col("line_total"))).alias("costed_revenue"),
-        )
+    costed = "quantity IS NOT NULL AND line_total IS NOT NULL"
+    per_product = _agg(
+        match(items, weights, "order_id", "inner", ["product_id"]).groupBy("product_id", "weight"),
+        "sum(quantity) AS units",
+        "sum(line_total) AS revenue",
+        "sum(unit_price) AS prices",
+        "count(unit_price) AS priced_rows",
+        f"sum(CASE WHEN {costed} THEN quantity END) AS costed_units",
+        f"sum(CASE WHEN {costed} THEN line_total END) AS costed_revenue",
     )
-    catalogue = (
+    catalogue = _agg(
         tables["products"]
-        .where(F.col("product_id").isNotNull())
-        .groupBy("product_id", "category", "cost_price")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .where("product_id IS NOT NULL")
+        .groupBy("product_id", "category", "cost_price"),
+        "count(1) AS copies",
     )
-    times = (F.col("weight") * F.col("copies")).cast("decimal(18,0)")
-    profit = F.col("costed_revenue") - F.col("cost_price") * F.col("costed_units")
-
-    def total(value: Column, kind: str) -> Column:
-        return F.sum((value * times).cast(kind))
-
-    return (
-        per_product.join(catalogue, "product_id")
-        .groupBy("category")
-        .agg(
-            F.count_distinct("product_id").alias("unique_products"),
-            total(F.col("units"), "bigint").alias("total_units_sold"),
-            total(F.col("revenue"), "decimal(28,2)").alias("_revenue"),
-            total(F.col("prices"), "decimal(28,2)").alias("_prices"),
-            total(F.col("priced_rows"), "bigint").alias("_priced_rows"),
-            total(profit, "decimal(28,2)").alias("_profit"),
-        )
-        .select(
-            "category",
-            "unique_products",
-            "total_units_sold",
-            F.col("_revenue").cast("decimal(30,2)").alias("total_revenue"),
-            average_money(F.col("_prices"), F.col("_priced_rows")).alias("avg_unit_price"),
-            F.col("_profit").cast("decimal(30,2)").alias("total_gross_profit"),
-            ratio_half_up(cents(F.col("_profit")) * 100, cents(F.col("_revenue")), 1).alias(
-                "gross_margin_pct"
-            ),
-        )
+    times = "CAST(weight * copies AS DECIMAL(18,0))"
+    profit = "(costed_revenue - cost_price * costed_units)"
+    totals = _agg(
+        per_product.join(catalogue, "product_id").groupBy("category"),
+        "count(DISTINCT product_id) AS unique_products",
+        f"sum(CAST(units * {times} AS BIGINT)) AS units",
+        f"sum(CAST(revenue * {times} AS DECIMAL(28,2))) AS revenue",
+        f"sum(CAST(prices * {times} AS DECIMAL(28,2))) AS prices",
+        f"sum(CAST(priced_rows * {times} AS BIGINT)) AS priced_rows",
+        f"sum(CAST({profit} * {times} AS DECIMAL(28,2))) AS profit",
+    )
+    margin = ratio_half_up(f"{cents('profit')} * 100", cents("revenue"), 1)
+    return totals.selectExpr(
+        "category",
+        "unique_products",
+        "units AS total_units_sold",
+        "CAST(revenue AS DECIMAL(30,2)) AS total_revenue",
+        f"{average_money('prices', 'priced_rows')} AS avg_unit_price",
+        "CAST(profit AS DECIMAL(30,2)) AS total_gross_profit",
+        f"{margin} AS gross_margin_pct",
     )
 
 
@@ -119,51 +112,43 @@ def monthly_order_summary(tables: Tables, dedupe_orders: bool = False) -> DataFr
     formatted once per month. The exact distinct count of customers is shuffled by month and
     customer, so that a busy month is not one task.
     """
-    is_ = lambda column, value: F.count_if(F.col(column) == value)
-    return (
+    totals = _agg(
         _once_per_key(tables["orders"], dedupe_orders)
-        .where(F.col("order_date").isNotNull() & F.col("order_total").isNotNull())
-        .groupBy(F.trunc("order_date", "MM").alias("month"))
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("order_total").alias("revenue"),
-            F.count(F.lit(1)).alias("rows"),
-            is_("status", "completed").alias("completed_orders"),
-            is_("status", "cancelled").alias("cancelled_orders"),
-            is_("channel", "web").alias("web_orders"),
-            is_("channel", "mobile").alias("mobile_orders"),
-            is_("channel", "in-store").alias("instore_orders"),
-        )
-        .select(
-            F.date_format("month", "yyyy-MM").alias("month_label"),
-            "total_orders",
-            "unique_customers",
-            F.col("revenue").alias("total_revenue"),
-            average_money(F.col("revenue"), F.col("rows")).alias("avg_order_value"),
-            "completed_orders",
-            "cancelled_orders",
-            percent(F.col("cancelled_orders"), F.col("total_orders")).alias(
-                "cancellation_rate_pct"
-            ),
-            "web_orders",
-            "mobile_orders",
-            "instore_orders",
-        )
+        .where("order_date IS NOT NULL AND order_total IS NOT NULL")
+        .groupBy(F.expr("trunc(order_date, 'MM')").alias("month")),
+        "count(order_id) AS total_orders",
+        "count(DISTINCT customer_id) AS unique_customers",
+        "sum(order_total) AS total_revenue",
+        "count(1) AS paid_rows",
+        "count_if(status = 'completed') AS completed_orders",
+        "count_if(status = 'cancelled') AS cancelled_orders",
+        "count_if(channel = 'web') AS web_orders",
+        "count_if(channel = 'mobile') AS mobile_orders",
+        "count_if(channel = 'in-store') AS instore_orders",
+    )
+    return totals.selectExpr(
+        "date_format(month, 'yyyy-MM') AS month_label",
+        "total_orders",
+        "unique_customers",
+        "total_revenue",
+        f"{average_money('total_revenue', 'paid_rows')} AS avg_order_value",
+        "completed_orders",
+        "cancelled_orders",
+        f"{percent('cancelled_orders', 'total_orders')} AS cancellation_rate_pct",
+        "web_orders",
+        "mobile_orders",
+        "instore_orders",
     )
 
 
 def returns_per_order(returns: DataFrame) -> DataFrame:
     """One row per order id: number of returns, refunds, and whether one was approved."""
-    return (
-        returns.where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(
-            F.count(F.lit(1)).alias("return_rows"),
-            F.count("return_id").alias("returns"),
-            F.sum("refund_amount").alias("refunded"),
-            F.bool_or(F.coalesce(F.col("status") == "approved", F.lit(False))).alias("approved"),
-        )
+    return _agg(
+        returns.where("order_id IS NOT NULL").groupBy("order_id"),
+        "count(1) AS return_rows",
+        "count(return_id) AS returns",
+        "sum(refund_amount) AS refunded",
+        "bool_or(status <=> 'approved') AS approved",
     )
 
 
@@ -178,50 +163,44 @@ def return_rate_by_product(tables: Tables) -> DataFrame:
     items = tables["order_items"].select(
         "item_id", "order_id", "product_id", "quantity", "line_total"
     )
-    per_product = (
-        match(items, returned, "order_id", "left", ["item_id"])
-        .groupBy("product_id")
-        .agg(
-            F.count("item_id").alias("sold"),
-            F.sum("quantity").alias("units"),
-            F.sum("line_total").alias("revenue"),
-            F.sum(F.when(F.col("item_id").isNotNull(), F.col("return_rows"))).alias("returned"),
-            F.sum("refunded").alias("refunded"),
-        )
+    per_product = _agg(
+        match(items, returned, "order_id", "left", ["item_id"]).groupBy("product_id"),
+        "count(item_id) AS sold",
+        "sum(quantity) AS units",
+        "sum(line_total) AS revenue",
+        "sum(CASE WHEN item_id IS NOT NULL THEN return_rows END) AS returned",
+        "sum(refunded) AS refunded",
     )
-    listed = tables["products"].where(F.col("product_id").isNotNull())
-    variants = listed.groupBy("product_id", "product_name", "category", "unit_price").agg(
-        F.count(F.lit(1)).alias("copies")
+    listed = tables["products"].where("product_id IS NOT NULL")
+    variants = _agg(
+        listed.groupBy("product_id", "product_name", "category", "unit_price"),
+        "count(1) AS copies",
     )
-    listings = listed.groupBy("product_id").agg(F.count(F.lit(1)).alias("listings"))
-    copies = F.col("copies").cast("decimal(18,0)")
-    all_listings = F.col("listings").cast("decimal(18,0)")
-    times_sold = F.col("sold") * F.col("copies")
-    times_returned = F.coalesce(F.col("returned") * F.col("listings"), F.lit(0))
+    listings = _agg(listed.groupBy("product_id"), "count(1) AS listings")
+    returned_times = "coalesce(returned * listings, 0)"
     return (
         per_product.join(variants, "product_id")
         .join(listings, "product_id")
-        .select(
+        .selectExpr(
             "product_id",
             "product_name",
             "category",
             "unit_price",
-            times_sold.alias("times_sold"),
-            (F.col("units") * F.col("copies")).alias("total_units_sold"),
-            (F.col("revenue") * copies).cast("decimal(30,2)").alias("total_revenue"),
-            times_returned.alias("times_returned"),
-            F.coalesce(F.col("refunded") * all_listings, F.lit(0))
-            .cast("decimal(30,2)")
-            .alias("total_refunded"),
-            percent(times_returned, times_sold).alias("return_rate_pct"),
+            "sold * copies AS times_sold",
+            "units * copies AS total_units_sold",
+            "CAST(revenue * CAST(copies AS DECIMAL(18,0)) AS DECIMAL(30,2)) AS total_revenue",
+            f"{returned_times} AS times_returned",
+            "CAST(coalesce(refunded * CAST(listings AS DECIMAL(18,0)), 0) AS DECIMAL(30,2)) "
+            "AS total_refunded",
+            f"{percent(returned_times, 'sold * copies')} AS return_rate_pct",
         )
     )
 
 
-def value_tier(spent: Column, high: float = HIGH_VALUE, mid: float = MID_VALUE) -> Column:
+def value_tier(spent: str, high: float = HIGH_VALUE, mid: float = MID_VALUE) -> str:
     """High, Mid or Low Value by total spend; no spend counts as zero."""
-    spent = F.coalesce(spent, F.lit(0))
-    return F.when(spent >= high, "High Value").when(spent >= mid, "Mid Value").otherwise("Low Value")
+    return f"""CASE WHEN coalesce({spent}, 0) >= {high} THEN 'High Value'
+                    WHEN coalesce({spent}, 0) >= {mid} THEN 'Mid Value' ELSE 'Low Value' END"""
 
 
 def customer_lifetime_value(
@@ -237,44 +216,40 @@ def customer_lifetime_value(
     """
     orders = (
         _once_per_key(tables["orders"], dedupe_orders)
-        .where(F.col("customer_id").isNotNull())
+        .where("customer_id IS NOT NULL")
         .select("order_id", "customer_id", "order_date", "order_total")
     )
     returned = returns_per_order(tables["returns"]).select("order_id", "returns", "refunded")
-    paid = F.col("order_total").isNotNull()
-    per_customer = (
-        match(orders, returned, "order_id", "left", ["customer_id", "order_date"])
-        .groupBy("customer_id")
-        .agg(
-            F.count_if(paid & F.col("order_id").isNotNull()).alias("orders"),
-            F.count("order_total").alias("paid_rows"),
-            F.sum("order_total").alias("spent"),
-            F.min(F.when(paid, F.col("order_date"))).alias("first_order_date"),
-            F.max(F.when(paid, F.col("order_date"))).alias("last_order_date"),
-            F.sum("returns").alias("returns"),
-            F.sum("refunded").alias("refunded"),
-        )
+    per_customer = _agg(
+        match(orders, returned, "order_id", "left", ["customer_id", "order_date"]).groupBy(
+            "customer_id"
+        ),
+        "count_if(order_total IS NOT NULL AND order_id IS NOT NULL) AS orders",
+        "count(order_total) AS paid_rows",
+        "sum(order_total) AS spent",
+        "min(CASE WHEN order_total IS NOT NULL THEN order_date END) AS first_order_date",
+        "max(CASE WHEN order_total IS NOT NULL THEN order_date END) AS last_order_date",
+        "sum(returns) AS returns",
+        "sum(refunded) AS refunded",
     )
     customers = tables["customers"].select(
         "customer_id", "first_name", "last_name", "segment", "state"
     )
-    none = F.lit(0).cast("decimal(28,2)")
-    return match(customers, per_customer, "customer_id", "left").select(
+    zero = "CAST(0 AS DECIMAL(28,2))"
+    return match(customers, per_customer, "customer_id", "left").selectExpr(
         "customer_id",
         "first_name",
         "last_name",
         "segment",
         "state",
-        F.coalesce("orders", F.lit(0)).alias("total_orders"),
-        F.coalesce("spent", none).alias("total_spent"),
-        F.coalesce(average_money(F.col("spent"), F.col("paid_rows")), none).alias(
-            "avg_order_value"
-        ),
+        "coalesce(orders, 0) AS total_orders",
+        f"coalesce(spent, {zero}) AS total_spent",
+        f"coalesce({average_money('spent', 'paid_rows')}, {zero}) AS avg_order_value",
         "first_order_date",
         "last_order_date",
-        F.coalesce("returns", F.lit(0)).alias("total_returns"),
-        F.coalesce("refunded", none).alias("total_refunded"),
-        value_tier(F.col("spent"), high_value, mid_value).alias("value_tier"),
+        "coalesce(returns, 0) AS total_returns",
+        f"coalesce(refunded, {zero}) AS total_refunded",
+        f"{value_tier('spent', high_value, mid_value)} AS value_tier",
     )
 
 
@@ -283,32 +258,26 @@ def fulfillment_summary(tables: Tables) -> DataFrame:
 
     The on-time rate covers shipments with both delivery dates, the delay rate all of them.
     """
-    on_time = F.col("actual_delivery") <= F.col("estimated_delivery")
-    days = F.datediff("actual_delivery", "ship_date")
-    return (
-        tables["shipping_events"]
-        .where(~F.col("_invalid_ship_date"))
-        .groupBy("carrier")
-        .agg(
-            F.count("shipment_id").alias("total_shipments"),
-            F.count_if(F.col("status") == "delivered").alias("delivered"),
-            F.count_if(F.col("status") == "delayed").alias("delayed"),
-            F.count_if(F.col("status") == "lost").alias("lost"),
-            F.sum(days).alias("days"),
-            F.count(days).alias("timed"),
-            F.count_if(on_time).alias("punctual"),
-            F.count(on_time).alias("comparable"),
-        )
-        .select(
-            "carrier",
-            "total_shipments",
-            "delivered",
-            "delayed",
-            "lost",
-            ratio_half_up(F.col("days"), F.col("timed"), 1).alias("avg_days_to_deliver"),
-            percent(F.col("punctual"), F.col("comparable")).alias("on_time_rate_pct"),
-            percent(F.col("delayed"), F.col("total_shipments")).alias("delay_rate_pct"),
-        )
+    totals = _agg(
+        tables["shipping_events"].where("NOT _invalid_ship_date").groupBy("carrier"),
+        "count(shipment_id) AS total_shipments",
+        "count_if(status = 'delivered') AS delivered",
+        "count_if(status = 'delayed') AS delayed",
+        "count_if(status = 'lost') AS lost",
+        "sum(datediff(actual_delivery, ship_date)) AS days",
+        "count(datediff(actual_delivery, ship_date)) AS timed",
+        "count_if(actual_delivery <= estimated_delivery) AS punctual",
+        "count(actual_delivery <= estimated_delivery) AS comparable",
+    )
+    return totals.selectExpr(
+        "carrier",
+        "total_shipments",
+        "delivered",
+        "delayed",
+        "lost",
+        f"{ratio_half_up('days', 'timed', 1)} AS avg_days_to_deliver",
+        f"{percent('punctual', 'comparable')} AS on_time_rate_pct",
+        f"{percent('delayed', 'total_shipments')} AS delay_rate_pct",
     )
 
 

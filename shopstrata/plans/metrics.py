@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.plans.silver import unlinked_item
+from shopstrata.plans.silver import LINKED_ITEM
 
 
 def row_counts(
@@ -62,7 +62,7 @@ def silver_metrics(
     both = [rows.alias("rows_in"), rows.alias("rows_out")]
     items = (
         raw["order_items"]
-        .agg(rows.alias("rows_in"), F.count_if(unlinked_item()).alias("dropped_unlinked"))
+        .agg(rows.alias("rows_in"), F.expr(f"count_if(NOT ({LINKED_ITEM}))").alias("dropped_unlinked"))
         .withColumn("rows_out", F.col("rows_in") - F.col("dropped_unlinked"))
     )
     parts = [

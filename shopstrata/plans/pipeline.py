@@ -142,5 +142,6 @@ def run_pipeline(
 
 def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:
     """Write each mart to its own CSV folder, in report order."""
-    for name, mart in marts.items():
-        write_csv(in_report_order(name, mart), f"{folder}/{name}")
+    plans = {name: in_report_order(name, marts[name]) for name in marts}
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        list(pool.map(lambda name: write_csv(plans[name], f"{folder}/{name}"), plans))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.operators.census import key_census
@@ -36,28 +36,12 @@ class Check:
     keys: tuple[str, ...]
 
 
-# Row conditions. Each is written once and serves both the listing and the shared counts.
-
-
-def no_customer() -> Column:
-    return F.col("customer_id").isNull() | (F.col("customer_id") == "nan")
-
-
-def no_total() -> Column:
-    return F.col("order_total").isNull()
-
-
-def bad_price() -> Column:
-    price = F.col("unit_price")
-    return price.isNull() | (price <= 0) | (F.col("cost_price") > price)
-
-
-def bad_ship_date() -> Column:
-    return F.col("_invalid_ship_date")
-
-
-def no_refund() -> Column:
-    return F.col("refund_amount").isNull() | (F.col("refund_amount") == 0)
+# Row conditions, each written once for both the listing and the shared counts.
+NO_CUSTOMER = "customer_id IS NULL OR customer_id = 'nan'"
+NO_TOTAL = "order_total IS NULL"
+BAD_PRICE = "unit_price IS NULL OR unit_price <= 0 OR cost_price > unit_price"
+BAD_SHIP_DATE = "_invalid_ship_date"
+NO_REFUND = "refund_amount IS NULL OR refund_amount = 0"
 
 
 # Listings
@@ -72,7 +56,7 @@ def _occurrences(df: DataFrame, key: str) -> DataFrame:
 
 
 def orders_without_customer(t: Tables) -> DataFrame:
-    return t["orders"].where(no_customer()).select("order_id", "order_date", "order_total")
+    return t["orders"].where(NO_CUSTOMER).select("order_id", "order_date", "order_total")
 
 
 def returns_without_order(t: Tables) -> DataFrame:
@@ -88,7 +72,7 @@ def orders_without_items(t: Tables) -> DataFrame:
 def invalid_shipping_dates(t: Tables) -> DataFrame:
     return (
         t["shipping_events"]
-        .where(bad_ship_date())
+        .where(BAD_SHIP_DATE)
         .select(
             "shipment_id",
             "order_id",
@@ -135,17 +119,17 @@ def shared_emails(t: Tables, list_limit: int = LIST_LIMIT) -> DataFrame:
 def invalid_prices(t: Tables) -> DataFrame:
     return (
         t["products"]
-        .where(bad_price())
+        .where(BAD_PRICE)
         .select("product_id", "product_name", "unit_price", "cost_price")
     )
 
 
 def orders_without_total(t: Tables) -> DataFrame:
-    return t["orders"].where(no_total()).select("order_id", "order_date", "status", "customer_id")
+    return t["orders"].where(NO_TOTAL).select("order_id", "order_date", "status", "customer_id")
 
 
 def returns_without_refund(t: Tables) -> DataFrame:
-    return t["returns"].where(no_refund()).select("return_id", "order_id", "reason", "status")
+    return t["returns"].where(NO_REFUND).select("return_id", "order_id", "reason", "status")
 
 
 # Ids, names, tables, categories and descriptions as they appear in the report.
@@ -208,24 +192,20 @@ BY_ID = {check.check_id: check for check in CHECKS}
 # Shared counts: each builder returns one row with a column per check id.
 
 
-def _row_counts(table: str, conditions: dict[str, Callable[[], Column]]):
-    def build(t: Tables) -> DataFrame:
-        return t[table].agg(*[F.count_if(c()).alias(i) for i, c in conditions.items()])
-
-    return build
+def _row_counts(table: str, conditions: dict[str, str]) -> Callable[[Tables], DataFrame]:
+    counts = [f"count_if({condition}) AS `{i}`" for i, condition in conditions.items()]
+    return lambda t: t[table].selectExpr(*counts)
 
 
 def _order_id_counts(t: Tables) -> DataFrame:
     census = key_census({n: t[n] for n in ("orders", "order_items", "returns")}, "order_id")
-    orders, items, returns = F.col("orders"), F.col("order_items"), F.col("returns")
     # A missing order id matches nothing, not even another missing one.
-    orphan = F.col("order_id").isNull() | (orders == 0)
-    empty = F.col("order_id").isNull() | (items == 0)
-    return census.agg(
-        F.count_if(orders > 1).alias("DQ-001"),
-        F.coalesce(F.sum(F.when(orphan, returns)), F.lit(0)).alias("DQ-003"),
-        F.coalesce(F.sum(F.when(empty, orders)), F.lit(0)).alias("DQ-004"),
-        F.coalesce(F.sum(F.when(orphan, items)), F.lit(0)).alias("DQ-006"),
+    no_order, no_items = "order_id IS NULL OR orders = 0", "order_id IS NULL OR order_items = 0"
+    return census.selectExpr(
+        "count_if(orders > 1) AS `DQ-001`",
+        f"coalesce(sum(CASE WHEN {no_order} THEN returns END), 0) AS `DQ-003`",
+        f"coalesce(sum(CASE WHEN {no_items} THEN orders END), 0) AS `DQ-004`",
+        f"coalesce(sum(CASE WHEN {no_order} THEN order_items END), 0) AS `DQ-006`",
     )
 
 
@@ -237,12 +217,12 @@ SHARED_COUNTS: list[tuple[tuple[str, ...], Callable[[Tables], DataFrame]]] = [
     (("DQ-001", "DQ-003", "DQ-004", "DQ-006"), _order_id_counts),
     (
         ("DQ-002", "DQ-009"),
-        _row_counts("orders", {"DQ-002": no_customer, "DQ-009": no_total}),
+        _row_counts("orders", {"DQ-002": NO_CUSTOMER, "DQ-009": NO_TOTAL}),
     ),
-    (("DQ-005",), _row_counts("shipping_events", {"DQ-005": bad_ship_date})),
+    (("DQ-005",), _row_counts("shipping_events", {"DQ-005": BAD_SHIP_DATE})),
     (("DQ-007",), _email_counts),
-    (("DQ-008",), _row_counts("products", {"DQ-008": bad_price})),
-    (("DQ-010",), _row_counts("returns", {"DQ-010": no_refund})),
+    (("DQ-008",), _row_counts("products", {"DQ-008": BAD_PRICE})),
+    (("DQ-010",), _row_counts("returns", {"DQ-010": NO_REFUND})),
 ]
 
 
@@ -253,30 +233,38 @@ def count_issues(check: Check, tables: Tables) -> DataFrame:
     return check.violations(tables).agg(F.count(F.lit(1)).alias(check.check_id))
 
 
-def _report_rows(counts: DataFrame, check_ids: tuple[str, ...], run_time: datetime) -> DataFrame:
-    rows = []
-    for check_id in check_ids:
-        check, issues = BY_ID[check_id], F.col(f"`{check_id}`").cast("long")
-        rows.append(
-            F.struct(
-                F.lit(run_time).alias("run_time"),
-                F.lit(check.check_id).alias("check_id"),
-                F.lit(check.check_name).alias("check_name"),
-                F.lit(check.table).alias("table"),
-                F.lit(check.category).alias("category"),
-                F.lit(check.description).alias("description"),
-                F.when(issues < 0, "ERROR").when(issues > 0, "FAIL").otherwise("PASS").alias(
-                    "status"
-                ),
-                issues.alias("issue_count"),
-            )
-        )
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+REPORT_SCHEMA = (
+    "run_time timestamp, check_id string, check_name string, `table` string, category string, "
+    "description string, status string, issue_count long"
+)
+
+
+def _counted(counts: DataFrame, check_ids: tuple[str, ...]) -> DataFrame:
+    """One row of counts as one row per check."""
+    pairs = ", ".join(f"'{i}', CAST(`{i}` AS BIGINT)" for i in check_ids)
+    return counts.selectExpr(f"stack({len(check_ids)}, {pairs}) AS (check_id, issue_count)")
+
+
+def _labelled(counted: DataFrame, run_time: datetime) -> DataFrame:
+    """Counts with the texts of their checks, which are looked up in a literal map."""
+    texts = {
+        c.check_id: (c.check_name, c.table, c.category, c.description) for c in CHECKS
+    }
+    entries = ", ".join(
+        f"'{i}', named_struct('check_name', '{n}', 'table', '{t}', 'category', '{c}', "
+        f"'description', '{d}')"
+        for i, (n, t, c, d) in texts.items()
+    )
+    status = """CASE WHEN issue_count < 0 THEN 'ERROR' WHEN issue_count > 0 THEN 'FAIL'
+                     ELSE 'PASS' END AS status"""
+    return (
+        counted.withColumns({"run_time": F.lit(run_time), "check": F.expr(f"map({entries})[check_id]")})
+        .select("run_time", "check_id", "check.*", F.expr(status), "issue_count")
+    )
 
 
-def _error_row(spark: SparkSession, check: Check, run_time: datetime) -> DataFrame:
-    counts = spark.range(1).select(F.lit(-1).alias(check.check_id))
-    return _report_rows(counts, (check.check_id,), run_time)
+def _error_count(spark: SparkSession, check_id: str) -> DataFrame:
+    return spark.range(1).selectExpr(f"-1 AS `{check_id}`")
 
 
 def quality_report(spark: SparkSession, tables: Tables, run_time: datetime) -> DataFrame:
@@ -288,17 +276,16 @@ def quality_report(spark: SparkSession, tables: Tables, run_time: datetime) -> D
     parts = []
     for check_ids, build in SHARED_COUNTS:
         try:
-            parts.append(_report_rows(build(tables), check_ids, run_time))
+            parts.append(_counted(build(tables), check_ids))
             continue
         except Exception:  # noqa: BLE001 - fall back to one plan per check
             pass
         for check_id in check_ids:
             try:
-                counts = count_issues(BY_ID[check_id], tables)
-                parts.append(_report_rows(counts, (check_id,), run_time))
+                parts.append(_counted(count_issues(BY_ID[check_id], tables), (check_id,)))
             except Exception:  # noqa: BLE001 - any failure is a result of the check
-                parts.append(_error_row(spark, BY_ID[check_id], run_time))
-    return reduce(DataFrame.unionByName, parts).orderBy("check_id")
+                parts.append(_counted(_error_count(spark, check_id), (check_id,)))
+    return _labelled(reduce(DataFrame.unionByName, parts), run_time).orderBy("check_id")
 
 
 def run_quality_checks(spark: SparkSession, tables: Tables, run_time: datetime) -> DataFrame:
@@ -308,7 +295,6 @@ def run_quality_checks(spark: SparkSession, tables: Tables, run_time: datetime)
     fail again are reported as ERROR with -1 issues. Only the ten report rows reach the driver.
     """
     report = quality_report(spark, tables, run_time)
-    schema = report.schema
     try:
         rows = report.collect()
     except Exception:  # noqa: BLE001
@@ -316,10 +302,11 @@ def run_quality_checks(spark: SparkSession, tables: Tables, run_time: datetime)
         for check in CHECKS:
             try:
                 counts = count_issues(check, tables)
-                rows += _report_rows(counts, (check.check_id,), run_time).collect()
+                rows += _labelled(_counted(counts, (check.check_id,)), run_time).collect()
             except Exception:  # noqa: BLE001
-                rows += _error_row(spark, check, run_time).collect()
-    return spark.createDataFrame(rows, schema)
+                counts = _error_count(spark, check.check_id)
+                rows += _labelled(_counted(counts, (check.check_id,)), run_time).collect()
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def latest_run(history: DataFrame) -> DataFrame:
@@ -362,13 +349,10 @@ def sample_violations(check: Check, tables: Tables) -> DataFrame:
     Six rows are enough to tell the cases apart, so this is a top-k and never a full sort.
     """
     found = check.violations(tables)
-    record = F.concat_ws(
-        ", ",
-        *[
-            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
-            for c in found.columns
-        ],
+    fields = ", ".join(
+        f"concat('{c}=', coalesce(CAST({c} AS STRING), 'NULL'))" for c in found.columns
     )
+    record = F.expr(f"concat_ws(', ', {fields})")
     order = [F.col(c).asc_nulls_last() for c in check.keys]
     first = found.select(*check.keys, record.alias("record")).orderBy(*order, "record").limit(6)
     keys_then_record = F.struct(

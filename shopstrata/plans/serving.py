@@ -8,28 +8,24 @@ from pyspark.sql import functions as F
 from shopstrata.functions.rounding import ratio_half_even
 
 
-def _return_pct(returned: str, sold: str):
-    """Share of sales returned, zero when nothing was sold; ties to even, as the page shows it."""
-    share = ratio_half_even(F.col(returned) * 100, F.col(sold), 1)
-    return F.when(F.col(sold) > 0, share).otherwise(F.lit(0).cast("decimal(24,1)"))
+# Ties go to the even neighbour, as the page shows them.
+_RETURN_PCT = ratio_half_even("times_returned * 100", "times_sold", 1)
 
 
 def kpi_summary(monthly: DataFrame, by_product: DataFrame, by_customer: DataFrame) -> DataFrame:
-    """Headline figures in one row.
+    """Headline figures in one row; the return rate is zero when nothing was sold.
 
     ``avg_aov_monthly_mean`` is the plain mean of the monthly averages, months weighing alike.
     The other two marts come in as scalar subqueries, so nothing is joined.
     """
-    returned = by_product.agg(
-        F.sum("times_returned").alias("returned"), F.sum("times_sold").alias("sold")
-    ).select(_return_pct("returned", "sold").alias("pct"))
-    customers = by_customer.agg(F.count_distinct("customer_id").alias("n"))
-    months = monthly.agg(
-        F.sum("total_revenue").alias("total_revenue"),
-        F.sum("total_orders").alias("total_orders"),
-        (F.sum("avg_order_value").cast("double") / F.count("avg_order_value")).alias(
-            "avg_aov_monthly_mean"
-        ),
+    returned = by_product.selectExpr(
+        "sum(times_returned) AS times_returned", "sum(times_sold) AS times_sold"
+    ).selectExpr(f"CASE WHEN times_sold > 0 THEN {_RETURN_PCT} ELSE 0 END AS pct")
+    customers = by_customer.selectExpr("count(DISTINCT customer_id) AS n")
+    months = monthly.selectExpr(
+        "sum(total_revenue) AS total_revenue",
+        "sum(total_orders) AS total_orders",
+        "CAST(sum(avg_order_value) AS DOUBLE) / count(avg_order_value) AS avg_aov_monthly_mean",
     )
     return months.withColumns(
         {"overall_return_pct": returned.scalar(), "unique_customers": customers.scalar()}
@@ -71,9 +67,7 @@ def return_rate_by_category(by_product: DataFrame) -> DataFrame:
             F.sum("times_returned").alias("times_returned"),
             F.sum("times_sold").alias("times_sold"),
         )
-        .withColumn(
-            "return_rate_pct", ratio_half_even(F.col("times_returned") * 100, F.col("times_sold"), 1)
-        )
+        .withColumn("return_rate_pct", F.expr(_RETURN_PCT))
         .orderBy(F.col("return_rate_pct").desc_nulls_last(), "category")
     )
 

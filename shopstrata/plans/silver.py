@@ -9,19 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shopstrata.functions.parse import day, flag, money, number, whole
-from shopstrata.functions.text import cell, label, strip
+from shopstrata.functions.text import cell, label, present, strip
 from shopstrata.operators.keyed import flag_repeated
 from shopstrata.sources.schemas import RAW_COLUMNS
 
 
-def _project(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
+def _project(df: DataFrame, table: str, rules: dict[str, str]) -> DataFrame:
     """Apply ``rules`` to the raw columns; the others only lose their missing-value tokens."""
-    kept = [rules.get(c, cell(c)).alias(c) for c in RAW_COLUMNS[table]]
-    return df.select(*kept, *[c for c in df.columns if c.startswith("_")])
+    kept = [f"{rules.get(c, cell(c))} AS {c}" for c in RAW_COLUMNS[table]]
+    return df.selectExpr(*kept, *[c for c in df.columns if c.startswith("_")])
 
 
 def silver_customers(df: DataFrame) -> DataFrame:
@@ -29,8 +28,8 @@ def silver_customers(df: DataFrame) -> DataFrame:
     text = ["first_name", "last_name", "city", "state", "zip_code"]
     rules = {c: strip(cell(c)) for c in text}
     rules["email"] = label("email")
-    rules["segment"] = F.coalesce(strip(cell("segment")), F.lit("Unknown"))
-    rules["created_at"] = day(cell("created_at"))
+    rules["segment"] = f"coalesce({strip(cell('segment'))}, 'Unknown')"
+    rules["created_at"] = day("created_at")
     return flag_repeated(
         _project(df, "customers", rules), "email", "_is_duplicate_email", ["customer_id"]
     )
@@ -44,10 +43,10 @@ def silver_products(df: DataFrame) -> DataFrame:
         {
             "product_name": strip(cell("product_name")),
             "category": strip(cell("category")),
-            "unit_price": money(cell("unit_price")),
-            "cost_price": money(cell("cost_price")),
-            "stock_qty": F.coalesce(whole(cell("stock_qty")), F.lit(0)),
-            "is_active": F.coalesce(flag(cell("is_active")), F.lit(True)),
+            "unit_price": money("unit_price"),
+            "cost_price": money("cost_price"),
+            "stock_qty": f"coalesce({whole('stock_qty')}, 0)",
+            "is_active": f"coalesce({flag('is_active')}, true)",
         },
     )
 
@@ -58,48 +57,42 @@ def silver_orders(df: DataFrame) -> DataFrame:
         df,
         "orders",
         {
-            "order_date": day(cell("order_date")),
-            "discount_pct": F.coalesce(number(cell("discount_pct")), F.lit(0.0)),
-            "order_total": money(cell("order_total")),
+            "order_date": day("order_date"),
+            "discount_pct": f"coalesce({number('discount_pct')}, 0.0D)",
+            "order_total": money("order_total"),
             "channel": label("channel"),
             "status": label("status"),
             "payment_method": label("payment_method"),
         },
-    ).withColumn("_missing_customer_id", F.col("customer_id").isNull())
+    ).selectExpr("*", "customer_id IS NULL AS _missing_customer_id")
     return flag_repeated(
         cleaned, "order_id", "_is_duplicate_order", ["customer_id", "order_date", "order_total"]
     )
 
 
-def _parsed_items(df: DataFrame) -> DataFrame:
-    return _project(
-        df,
-        "order_items",
-        {
-            "quantity": whole(cell("quantity")),
-            "unit_price": money(cell("unit_price")),
-            "line_total": money(cell("line_total")),
-        },
-    )
+# Tested on the raw cells, so that the filter runs below the projection without repeating it.
+LINKED_ITEM = f"{present('order_id')} AND {present('product_id')}"
 
 
-_ITEM_LINKS = ["order_id", "product_id"]
-
-
-def unlinked_item() -> Column:
-    """Whether a raw item names no order or no product."""
-    order, product = (cell(link).isNull() for link in _ITEM_LINKS)
-    return order | product
+def _parsed_items(df: DataFrame, links: dict[str, str]) -> DataFrame:
+    rules = {
+        "quantity": whole("quantity"),
+        "unit_price": money("unit_price"),
+        "line_total": money("line_total"),
+    }
+    return _project(df, "order_items", rules | links)
 
 
 def silver_order_items(df: DataFrame) -> DataFrame:
     """Parse the numbers and drop items that name no order or no product."""
-    return _parsed_items(df).dropna(subset=_ITEM_LINKS, how="any")
+    return _parsed_items(
+        df.where(LINKED_ITEM), {"order_id": "order_id", "product_id": "product_id"}
+    )
 
 
 def silver_order_items_rejects(df: DataFrame) -> DataFrame:
     """The items that :func:`silver_order_items` drops."""
-    return _parsed_items(df.where(unlinked_item()))
+    return _parsed_items(df.where(f"NOT ({LINKED_ITEM})"), {})
 
 
 def silver_returns(df: DataFrame) -> DataFrame:
@@ -108,8 +101,8 @@ def silver_returns(df: DataFrame) -> DataFrame:
         df,
         "returns",
         {
-            "return_date": day(cell("return_date")),
-            "refund_amount": F.coalesce(money(cell("refund_amount")), money(F.lit("0"))),
+            "return_date": day("return_date"),
+            "refund_amount": f"coalesce({money('refund_amount')}, {money('0')})",
             "status": label("status"),
             "reason": strip(cell("reason")),
         },
@@ -125,16 +118,13 @@ def silver_shipping_events(df: DataFrame) -> DataFrame:
         df,
         "shipping_events",
         {
-            "ship_date": day(cell("ship_date")),
-            "estimated_delivery": day(cell("estimated_delivery")),
-            "actual_delivery": day(cell("actual_delivery")),
+            "ship_date": day("ship_date"),
+            "estimated_delivery": day("estimated_delivery"),
+            "actual_delivery": day("actual_delivery"),
             "carrier": strip(cell("carrier")),
             "status": label("status"),
         },
-    ).withColumn(
-        "_invalid_ship_date",
-        F.coalesce(F.col("ship_date") > F.col("actual_delivery"), F.lit(False)),
-    )
+    ).selectExpr("*", "coalesce(ship_date > actual_delivery, false) AS _invalid_ship_date")
 
 
 CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -84,20 +84,19 @@ def status_counts_per_channel(t: Tables) -> DataFrame:
 
 def rates_per_warehouse(t: Tables) -> DataFrame:
     """Null-safe ratios of aggregates; a warehouse without deliveries has no loss rate."""
-    status = F.col("status")
     counts = (
         t["shipping_events"]
         .groupBy("warehouse")
         .agg(
             F.count("shipment_id").alias("shipments"),
-            F.count_if(status == "delivered").alias("delivered"),
-            F.count_if(status == "lost").alias("lost"),
+            F.count_if(F.col("status") == "delivered").alias("delivered"),
+            F.count_if(F.col("status") == "lost").alias("lost"),
         )
     )
-    return counts.select(
+    return counts.selectExpr(
         "warehouse",
-        percent(F.col("delivered"), F.col("shipments")).alias("delivered_pct"),
-        percent(F.col("lost"), F.col("delivered")).alias("lost_per_delivered_pct"),
+        f"{percent('delivered', 'shipments')} AS delivered_pct",
+        f"{percent('lost', 'delivered')} AS lost_per_delivered_pct",
     )
 
 
@@ -109,48 +108,48 @@ def customer_tiers(t: Tables, high: float, mid: float) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.sum("order_total").alias("spent"))
     )
-    return spent.select("customer_id", value_tier(F.col("spent"), high, mid).alias("value_tier"))
+    return spent.selectExpr("customer_id", f"{value_tier('spent', high, mid)} AS value_tier")
 
 
 def cleaned_labels(raw_orders: DataFrame) -> DataFrame:
     """Raw order labels, stripped and in lower case."""
-    return raw_orders.select(
-        "order_id", label("status").alias("status"), label("channel").alias("channel")
+    return raw_orders.selectExpr(
+        "order_id", f"{label('status')} AS status", f"{label('channel')} AS channel"
     )
 
 
 def cleaned_names(raw_customers: DataFrame) -> DataFrame:
     """Raw customer names without outer whitespace, and the normalised email."""
-    return raw_customers.select(
-        "customer_id", strip(cell("first_name")).alias("first_name"), label("email").alias("email")
+    return raw_customers.selectExpr(
+        "customer_id", f"{strip(cell('first_name'))} AS first_name", f"{label('email')} AS email"
     )
 
 
 def parsed_numbers(raw_products: DataFrame) -> DataFrame:
     """Raw product numbers and flags as typed values; bad text is NULL."""
-    return raw_products.select(
+    return raw_products.selectExpr(
         "product_id",
-        money(cell("unit_price")).alias("unit_price"),
-        money(cell("cost_price")).alias("cost_price"),
-        whole(cell("stock_qty")).alias("stock_qty"),
-        flag(cell("is_active")).alias("is_active"),
+        f"{money('unit_price')} AS unit_price",
+        f"{money('cost_price')} AS cost_price",
+        f"{whole('stock_qty')} AS stock_qty",
+        f"{flag('is_active')} AS is_active",
     )
 
 
 def parsed_dates(raw_orders: DataFrame) -> DataFrame:
     """Raw order dates and discounts as typed values; bad text is NULL."""
-    return raw_orders.select(
+    return raw_orders.selectExpr(
         "order_id",
-        day(cell("order_date")).alias("order_date"),
-        number(cell("discount_pct")).alias("discount_pct"),
+        f"{day('order_date')} AS order_date",
+        f"{number('discount_pct')} AS discount_pct",
     )
 
 
 def date_parts(t: Tables) -> DataFrame:
     """Month start, month label and whole days between two dates."""
-    return t["shipping_events"].select(
+    return t["shipping_events"].selectExpr(
         "shipment_id",
-        F.trunc("ship_date", "MM").alias("ship_month"),
-        F.date_format("ship_date", "yyyy-MM").alias("month_label"),
-        F.datediff("actual_delivery", "ship_date").alias("days_to_deliver"),
+        "trunc(ship_date, 'MM') AS ship_month",
+        "date_format(ship_date, 'yyyy-MM') AS month_label",
+        "datediff(actual_delivery, ship_date) AS days_to_deliver",
     )

@@ -7,14 +7,15 @@ if it had been read from CSV.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shopstrata.functions.parse import MONEY
 from shopstrata.plans.backfill import backfill_order_totals
-from shopstrata.sources.schemas import RAW_COLUMNS
+from shopstrata.sources.schemas import RAW_COLUMNS, TABLES
+from shopstrata.sources.tables import TableSet
 
 # The domains of the raw tables.
 PAYMENTS = ["credit_card", "debit_card", "paypal", "apple_pay", "gift_card"]
@@ -29,196 +30,180 @@ SHIP_STATUSES = [
     "delivered", "delivered", "delivered", "in_transit", "out_for_delivery", "delayed", "lost",
 ]
 
+Star = Mapping[str, DataFrame]
 
-def _pick(values: list[str], index: Column) -> Column:
-    """``values[index % len(values)]``."""
-    return F.element_at(
-        F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int") + 1
-    )
+
+def _pick(values: list[str], key: str) -> str:
+    """``values[key % len(values)]``."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({key} % {len(values)} AS INT) + 1)"
+
+
+def _id(prefix: str, *keys: str) -> str:
+    return f"concat('{prefix}-', " + ", '-', ".join(f"CAST({k} AS STRING)" for k in keys) + ")"
+
+
+def _shape(df: DataFrame, table: str, rules: dict[str, str], typed: bool = False) -> DataFrame:
+    """The raw table with one rule per column, as text unless ``typed``."""
+    columns = [c for c in RAW_COLUMNS[table] if c in rules]
+    as_type = "({0}) AS {1}" if typed else "CAST({0} AS STRING) AS {1}"
+    return df.selectExpr(*[as_type.format(rules[c], c) for c in columns])
 
 
-def _id(prefix: str, *keys: str) -> Column:
-    return F.concat_ws("-", F.lit(prefix), *[F.col(k).cast("string") for k in keys])
-
-
-def _every(key: Column, n: int, rest: int = 0) -> Column:
-    return key % n == rest
-
-
-def _all_text(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[table]])
-
-
-def customers(read: Callable[[str], DataFrame]) -> DataFrame:
-    k = F.col("c_custkey")
-    owner = F.when(_every(k, 60, 59), k - 1).otherwise(k)
-    email = F.concat(F.lit("user"), owner.cast("string"), F.lit("@example.com"))
-    first = F.concat(F.lit("First"), (k % 97).cast("string"))
-    return _all_text(
-        read("customer").select(
-            _id("CUST", "c_custkey").alias("customer_id"),
-            F.when(_every(k, 11), F.concat(F.lit(" \t"), first, F.lit("  ")))
-            .otherwise(first)
-            .alias("first_name"),
-            F.concat(F.lit("Last"), (k % 89).cast("string")).alias("last_name"),
-            F.when(_every(k, 97), None)
-            .when(_every(k, 7), F.upper(email))
-            .otherwise(email)
-            .alias("email"),
-            F.col("c_name").alias("phone"),
-            F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("city"),
-            F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"),
-            F.lpad((k % 100000).cast("string"), 5, "0").alias("zip_code"),
-            F.when(~_every(k, 29), F.col("c_mktsegment")).alias("segment"),
-            F.when(_every(k, 211), "not-a-date")
-            .otherwise(
-                F.date_add(F.lit("1994-01-01").cast("date"), (k % 365).cast("int")).cast("string")
-            )
-            .alias("created_at"),
-        ),
+def _customers(star: Star) -> DataFrame:
+    first = "concat('First', CAST(c_custkey % 97 AS STRING))"
+    email = "concat('user', CAST(if(c_custkey % 60 = 59, c_custkey - 1, c_custkey) AS STRING), '@example.com')"
+    return _shape(
+        star["customer"],
         "customers",
+        {
+            "customer_id": _id("CUST", "c_custkey"),
+            "first_name": f"if(c_custkey % 11 = 0, concat(' \\t', {first}, '  '), {first})",
+            "last_name": "concat('Last', CAST(c_custkey % 89 AS STRING))",
+            "email": f"""CASE WHEN c_custkey % 97 = 0 THEN NULL
+                              WHEN c_custkey % 7 = 0 THEN upper({email}) ELSE {email} END""",
+            "phone": "c_name",
+            "city": "concat('NATION_', CAST(c_nationkey AS STRING))",
+            "state": "concat('S', CAST(c_nationkey AS STRING))",
+            "zip_code": "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0')",
+            "segment": "CASE WHEN c_custkey % 29 <> 0 THEN c_mktsegment END",
+            "created_at": """CASE WHEN c_custkey % 211 = 0 THEN 'not-a-date' ELSE CAST(
+                date_add(DATE '1994-01-01', CAST(c_custkey % 365 AS INT)) AS STRING) END""",
+        },
     )
 
 
-def products(read: Callable[[str], DataFrame]) -> DataFrame:
-    k = F.col("p_partkey")
-    price = F.col("p_retailprice").cast(MONEY)
-    return _all_text(
-        read("part").select(
-            _id("PROD", "p_partkey").alias("product_id"),
-            F.when(_every(k, 13), F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
-            .otherwise(F.col("p_name"))
-            .alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.when(_every(k, 251), "abc").otherwise(price.cast("string")).alias("unit_price"),
-            F.when(_every(k, 97), price + 1)
-            .otherwise(price - 400 - (k % 100))
-            .cast(MONEY)
-            .alias("cost_price"),
-            F.when(~_every(k, 17), F.col("p_size")).alias("stock_qty"),
-            F.when(~_every(k, 19), F.when(_every(k, 4), "False").otherwise("True")).alias(
-                "is_active"
-            ),
-        ),
+def _products(star: Star) -> DataFrame:
+    price = f"CAST(p_retailprice AS {MONEY})"
+    return _shape(
+        star["part"],
         "products",
+        {
+            "product_id": _id("PROD", "p_partkey"),
+            "product_name": "if(p_partkey % 13 = 0, concat('  ', p_name, ' '), p_name)",
+            "category": "p_type",
+            "unit_price": f"if(p_partkey % 251 = 0, 'abc', CAST({price} AS STRING))",
+            "cost_price": f"""CAST(if(p_partkey % 97 = 0, {price} + 1,
+                                      {price} - 400 - p_partkey % 100) AS {MONEY})""",
+            "stock_qty": "CASE WHEN p_partkey % 17 <> 0 THEN p_size END",
+            "is_active": """CASE WHEN p_partkey % 19 = 0 THEN NULL
+                                 WHEN p_partkey % 4 = 0 THEN 'False' ELSE 'True' END""",
+        },
     )
 
 
-def order_items(read: Callable[[str], DataFrame]) -> DataFrame:
-    """Line items with the part's price: one shuffle at most, and a broadcast while parts fit."""
-    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    quantity = F.col("l_quantity").cast("int")
-    price = F.col("p_retailprice").cast(MONEY)
-    lines = read("lineitem").join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
-    return _all_text(
-        lines.select(
-            _id("ITEM", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("item_id"),
-            F.when((order * 3 + supp) % 997 == 0, None)
-            .when(
-                (order + part) % 499 == 0,
-                F.concat(F.lit("ORD-GHOST-"), (part % 4).cast("string")),
-            )
-            .otherwise(_id("ORD", "l_orderkey"))
-            .alias("order_id"),
-            _id("PROD", "l_partkey").alias("product_id"),
-            quantity.alias("quantity"),
-            price.alias("unit_price"),
-            (quantity * price).cast(MONEY).alias("line_total"),
-        ),
+def _items(star: Star, typed: bool) -> DataFrame:
+    price = f"CAST(p_retailprice AS {MONEY})"
+    lines = star["lineitem"].withColumnRenamed("l_partkey", "p_partkey").join(
+        star["part"], "p_partkey"
+    )
+    return _shape(
+        lines,
         "order_items",
+        {
+            "item_id": _id("ITEM", "l_orderkey", "l_linenumber", "p_partkey", "l_suppkey"),
+            "order_id": f"""CASE
+                WHEN (l_orderkey * 3 + l_suppkey) % 997 = 0 THEN NULL
+                WHEN (l_orderkey + p_partkey) % 499 = 0 THEN {_id("ORD-GHOST", "p_partkey % 4")}
+                ELSE {_id("ORD", "l_orderkey")} END""",
+            "product_id": _id("PROD", "p_partkey"),
+            "quantity": "CAST(l_quantity AS INT)",
+            "unit_price": price,
+            "line_total": f"CAST(CAST(l_quantity AS INT) * {price} AS {MONEY})",
+        },
+        typed,
     )
 
 
-def orders(read: Callable[[str], DataFrame]) -> DataFrame:
-    k, cust = F.col("o_orderkey"), F.col("o_custkey")
-    even = k % 2 == 0
-    state = F.col("o_orderstatus")
-    status = (
-        F.when(state == "F", "completed")
-        .when((state == "O") & even, "shipped")
-        .when(state == "O", "processing")
-        .when(even, "completed")
-        .otherwise("cancelled")
+def _order_items(star: Star) -> DataFrame:
+    return _items(star, typed=False)
+
+
+def _orders(star: Star) -> DataFrame:
+    status = """CASE WHEN o_orderstatus = 'F' THEN 'completed'
+                     WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'shipped'
+                     WHEN o_orderstatus = 'O' THEN 'processing'
+                     WHEN o_orderkey % 2 = 0 THEN 'completed' ELSE 'cancelled' END"""
+    # The second copies are made here, in the same scan and before the totals are joined.
+    copies = star["orders"].selectExpr(
+        "*", "explode(sequence(0, CAST(o_orderkey % 167 = 0 AS INT))) AS _copy"
     )
-    urgency = F.substring("o_orderpriority", 1, 1)
-    headers = read("orders").select(
-        _id("ORD", "o_orderkey").alias("order_id"),
-        F.when(~_every(k, 101), _id("CUST", "o_custkey")).alias("customer_id"),
-        F.when(_every(k, 307), "bad-date")
-        .otherwise(F.col("o_orderdate").cast("date").cast("string"))
-        .alias("order_date"),
-        F.when(_every(k, 9), F.concat(F.lit(" "), F.upper(status), F.lit("  ")))
-        .otherwise(status)
-        .alias("status"),
-        F.when(urgency.isin("1", "2"), "web")
-        .when(urgency == "3", "mobile")
-        .when(urgency == "4", "in-store")
-        .otherwise("referral")
-        .alias("channel"),
-        _pick(PAYMENTS, cust).alias("payment_method"),
-        F.when(~_every(k, 13), (k % 4) * 5).alias("discount_pct"),
-        # The second copies are made here, before the totals are joined, in a single scan.
-        F.explode(F.sequence(F.lit(0), _every(k, 167).cast("int"))).alias("_copy"),
+    headers = _shape(
+        copies,
+        "orders",
+        {
+            "order_id": _id("ORD", "o_orderkey"),
+            "customer_id": f"CASE WHEN o_orderkey % 101 <> 0 THEN {_id('CUST', 'o_custkey')} END",
+            "order_date": """if(o_orderkey % 307 = 0, 'bad-date',
+                                CAST(CAST(o_orderdate AS DATE) AS STRING))""",
+            "status": f"if(o_orderkey % 9 = 0, concat(' ', upper({status}), '  '), {status})",
+            "channel": """CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'web'
+                               WHEN left(o_orderpriority, 1) = '3' THEN 'mobile'
+                               WHEN left(o_orderpriority, 1) = '4' THEN 'in-store'
+                               ELSE 'referral' END""",
+            "payment_method": _pick(PAYMENTS, "o_custkey"),
+            "discount_pct": "CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey % 4 * 5 END",
+        },
     )
-    return _all_text(backfill_order_totals(headers, order_items(read)), "orders")
-
-
-def returns(read: Callable[[str], DataFrame]) -> DataFrame:
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    lines = read("lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
-    return _all_text(
-        lines.select(
-            _id("RET", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("return_id"),
-            F.when(
-                _every(part, 53), F.concat(F.lit("ORD-MISSING-"), (part % 5).cast("string"))
-            )
-            .otherwise(_id("ORD", "l_orderkey"))
-            .alias("order_id"),
-            F.date_add(F.col("l_shipdate").cast("date"), (part % 28).cast("int") + 3).alias(
-                "return_date"
-            ),
-            _pick(REASONS, supp).alias("reason"),
-            _pick(RETURN_STATUSES, supp).alias("status"),
-            F.when(~_every(part, 41), F.col("l_extendedprice").cast(MONEY)).alias("refund_amount"),
-        ),
+    totals = backfill_order_totals(headers, _items(star, typed=True))
+    return totals.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in RAW_COLUMNS["orders"]])
+
+
+def _returns(star: Star) -> DataFrame:
+    return _shape(
+        star["lineitem"].where("l_returnflag = 'R' AND l_linenumber <= 2"),
         "returns",
+        {
+            "return_id": _id("RET", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+            "order_id": f"""if(l_partkey % 53 = 0, {_id("ORD-MISSING", "l_partkey % 5")},
+                               {_id("ORD", "l_orderkey")})""",
+            "return_date": "date_add(CAST(l_shipdate AS DATE), CAST(3 + l_partkey % 28 AS INT))",
+            "reason": _pick(REASONS, "l_suppkey"),
+            "status": _pick(RETURN_STATUSES, "l_suppkey"),
+            "refund_amount": f"""CASE WHEN l_partkey % 41 <> 0
+                                      THEN CAST(l_extendedprice AS {MONEY}) END""",
+        },
     )
 
 
-def shipping_events(read: Callable[[str], DataFrame]) -> DataFrame:
-    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    shipped = F.col("l_shipdate").cast("date")
-    return _all_text(
-        read("lineitem")
-        .where(F.col("l_linenumber") == 1)
-        .select(
-            _id("SHIP", "l_orderkey", "l_partkey", "l_suppkey").alias("shipment_id"),
-            _id("ORD", "l_orderkey").alias("order_id"),
-            _pick(CARRIERS, supp).alias("carrier"),
-            _pick(WAREHOUSES, part).alias("warehouse"),
-            shipped.alias("ship_date"),
-            F.date_add(shipped, (part % 5).cast("int") + 3).alias("estimated_delivery"),
-            F.when(_every(part, 10), None)
-            .when(_every(part, 37, 5), F.date_sub(shipped, 5))
-            .otherwise(F.date_add(shipped, (order % 10).cast("int") + 1))
-            .alias("actual_delivery"),
-            _pick(SHIP_STATUSES, order).alias("status"),
-            _id("SHIP", "l_orderkey", "l_partkey", "l_suppkey").alias("tracking_number"),
-        ),
+def _shipping_events(star: Star) -> DataFrame:
+    shipped = "CAST(l_shipdate AS DATE)"
+    shipment = _id("SHIP", "l_orderkey", "l_partkey", "l_suppkey")
+    return _shape(
+        star["lineitem"].where("l_linenumber = 1"),
         "shipping_events",
+        {
+            "shipment_id": shipment,
+            "order_id": _id("ORD", "l_orderkey"),
+            "carrier": _pick(CARRIERS, "l_suppkey"),
+            "warehouse": _pick(WAREHOUSES, "l_partkey"),
+            "ship_date": shipped,
+            "estimated_delivery": f"date_add({shipped}, CAST(3 + l_partkey % 5 AS INT))",
+            "actual_delivery": f"""CASE WHEN l_partkey % 10 = 0 THEN NULL
+                WHEN l_partkey % 37 = 5 THEN date_sub({shipped}, 5)
+                ELSE date_add({shipped}, CAST(1 + l_orderkey % 10 AS INT)) END""",
+            "status": _pick(SHIP_STATUSES, "l_orderkey"),
+            "tracking_number": shipment,
+        },
     )
 
 
 BUILDERS = {
-    "customers": customers,
-    "products": products,
-    "orders": orders,
-    "order_items": order_items,
-    "returns": returns,
-    "shipping_events": shipping_events,
+    "customers": _customers,
+    "products": _products,
+    "orders": _orders,
+    "order_items": _order_items,
+    "returns": _returns,
+    "shipping_events": _shipping_events,
 }
 
 
-def raw_table(spark: SparkSession, star_dir: str, table: str) -> DataFrame:
-    """One raw commerce table from the star schema in ``star_dir``."""
-    return BUILDERS[table](lambda name: spark.read.parquet(f"{star_dir}/{name}.parquet"))
+def raw_tables(spark: SparkSession, star_dir: str) -> TableSet:
+    """The raw commerce tables from the star schema in ``star_dir``; files are opened once."""
+    star = TableSet(
+        {
+            name: partial(spark.read.parquet, f"{star_dir}/{name}.parquet")
+            for name in ("customer", "part", "orders", "lineitem")
+        }
+    )
+    return TableSet({table: partial(BUILDERS[table], star) for table in TABLES})
