@@ -1,0 +1,144 @@
+"""Joins and duplicate flags with hot and missing keys, against brute force in Python."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from shopstrata.operators import keyed
+from shopstrata.operators.census import key_census
+from shopstrata.plans.quality import shared_emails
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def always_salt(spark):
+    spark.conf.set(keyed.SALT_CONF, "0")
+    yield
+    spark.conf.unset(keyed.SALT_CONF)
+
+
+@pytest.fixture(scope="module")
+def left_rows():
+    """A third of the rows on one key, a third without a key, exact copies among both."""
+    hot = [("hot", i // 2) for i in range(400)]
+    missing = [(None, i // 2) for i in range(400)]
+    rest = [(f"k{i % 150}", i) for i in range(400)]
+    return hot + missing + rest
+
+
+RIGHT_ROWS = [("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 300, 2)]
+
+
+def _expected(left_rows, how):
+    right = dict(RIGHT_ROWS)
+    if how == "left_semi":
+        return [r for r in left_rows if r[0] in right]
+    if how == "left_anti":
+        return [r for r in left_rows if r[0] not in right]
+    joined = [(*r, right.get(r[0])) for r in left_rows]
+    return joined if how == "left" else [r for r in joined if r[2] is not None]
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("salted", [False, True])
+def test_match(spark, left_rows, how, salted, request):
+    if salted:
+        request.getfixturevalue("always_salt")
+    left = spark.createDataFrame(left_rows, "key string, n int").repartition(4)
+    right = spark.createDataFrame(RIGHT_ROWS, "key string, value string")
+    found = keyed.match(left, right, "key", how, ["n"])
+    columns = left.columns + (["value"] if how in ("left", "inner") else [])
+    assert sorted(found.columns) == sorted(columns)
+    rows = [tuple(r) for r in found.select(*columns).collect()]
+    assert Counter(rows) == Counter(_expected(left_rows, how))
+
+
+def test_hot_keys_are_found_and_bounded(spark, left_rows):
+    left = spark.createDataFrame(left_rows, "key string, n int")
+    hot = dict(keyed.hot_keys(left, "key"))
+    assert hot["hot"] >= 300 and hot[None] >= 300
+    assert len(hot) <= keyed.MAX_HOT_KEYS + 1
+
+
+def test_hot_key_is_spread(spark, left_rows, always_salt):
+    """Without broadcast, the rows of the hot key and of NULL end up in many partitions."""
+    left = spark.createDataFrame(left_rows, "key string, n int").repartition(4)
+    right = spark.createDataFrame(RIGHT_ROWS, "key string, value string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = keyed.match(left, right, "key", "left", ["n"])
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8
+    assert max(r["count"] for r in sizes) < len(left_rows) / 3
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_flag_repeated(spark, left_rows, salted, request):
+    if salted:
+        request.getfixturevalue("always_salt")
+    rows = left_rows + [("single", 1)]
+    df = spark.createDataFrame(rows, "key string, n int")
+    found = keyed.flag_repeated(df, "key", "again", ["n"])
+    assert found.columns == ["key", "n", "again"]
+    times = Counter(key for key, _ in rows)
+    expected = Counter((key, n, times[key] > 1) for key, n in rows)
+    assert Counter(tuple(r) for r in found.collect()) == expected
+
+
+def test_single_missing_key_is_not_repeated(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "key string, n int")
+    assert [r["again"] for r in keyed.flag_repeated(df, "key", "again", ["n"]).collect()] == [
+        False,
+        False,
+    ]
+
+
+def test_key_census(spark):
+    a = spark.createDataFrame([("x",), ("x",), (None,)], "k string")
+    b = spark.createDataFrame([("x",), ("y",)], "k string")
+    found = {r["k"]: (r["a"], r["b"]) for r in key_census({"a": a, "b": b}, "k").collect()}
+    assert found == {"x": (2, 1), "y": (0, 1), None: (1, 0)}
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_long_email_lists_are_continued_whole(spark, salted, request):
+    if salted:
+        request.getfixturevalue("always_salt")
+    rows = [(f"C{i:04d}", "shared@x") for i in range(300)] + [("S1", "one@x"), (None, "shared@x")]
+    customers = spark.createDataFrame(rows, "customer_id string, email string")
+    found = shared_emails({"customers": customers}, list_limit=50).collect()
+    assert {(r["email"], r["occurrences"]) for r in found} == {("shared@x", 301)}
+    listed = [c for r in found for c in r["customer_ids"].split(", ")]
+    assert sorted(listed) == [f"C{i:04d}" for i in range(300)]
+    assert len(found) > 1 and max(len(r["customer_ids"].split(", ")) for r in found) < 150
+
+
+SALTED_QUERIES = [
+    "gold_revenue_by_category",
+    "gold_return_rate_by_product",
+    "gold_customer_lifetime_value",
+    "silver_customers",
+    "silver_orders",
+    "dq_003",
+    "dq_004",
+    "dq_006",
+    "dq_007",
+    "semi_approved_items",
+    "join_returns_orders",
+]
+
+
+@pytest.mark.parametrize("name", SALTED_QUERIES)
+def test_salted_queries_agree(spark, name, request):
+    query = contract.queries()[name]
+    plain = Counter(map(tuple, query(spark, SF_DIR).collect()))
+    request.getfixturevalue("always_salt")
+    columns = contract.queries()[name](spark, SF_DIR)
+    assert Counter(map(tuple, columns.collect())) == plain
