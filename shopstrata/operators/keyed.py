@@ -120,23 +120,16 @@ def flag_repeated(df: DataFrame, key: str, flag: str, spread_by: list[str]) -> D
     """Add ``flag``: whether the row's key occurs more than once. NULL keys equal each other.
 
     A window over the key would pull each group into one task. Here the keys are counted with
-    partial aggregation, only the repeated ones are joined back, and NULL, which joins nothing,
-    is counted apart.
+    partial aggregation and only the repeated ones are joined back. NULL joins nothing, so keys
+    are marked as present or missing first, which makes NULL a key like any other.
     """
+    marked = df.selectExpr("*", f"coalesce(concat('=', {key}), '-') AS _group")
     repeated = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        marked.groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
-        .selectExpr(key, "true AS _repeated")
+        .selectExpr("_group", "true AS _repeated")
     )
-    nulls_repeat = df.selectExpr(f"count_if({key} IS NULL) > 1").scalar()
-    return (
-        match(df, repeated, key, "left", spread_by)
-        .withColumn(
-            flag,
-            F.when(F.col(key).isNull(), nulls_repeat).otherwise(F.col("_repeated").isNotNull()),
-        )
-        .drop("_repeated")
-        .select(*df.columns, flag)
+    return match(marked, repeated, "_group", "left", spread_by).selectExpr(
+        *df.columns, f"_repeated IS NOT NULL AS {flag}"
     )

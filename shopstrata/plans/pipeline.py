@@ -15,9 +15,8 @@ from shopstrata.plans.marts import MARTS, in_report_order
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS
 from shopstrata.sources.layers import LEDGER_SCHEMA, LayerStore, entry
-from shopstrata.sources.raw_csv import scan_if_present, with_ingest_metadata, write_csv
+from shopstrata.sources.raw_csv import scan_if_present, stamped, write_csv
 from shopstrata.sources.schemas import TABLES
-from shopstrata.sources.tables import TableSet
 
 QUALITY_LOG = "dq_quality_log"
 
@@ -66,28 +65,18 @@ class Run:
         self.store.record(entries)
         self.entries += entries
 
-    def _open(self, layer: str) -> TableSet:
-        paths = self.store.current_paths()
-        return TableSet(
-            {
-                table: partial(self.spark.read.parquet, path)
-                for (of, table), path in paths.items()
-                if of == layer
-            }
-        )
-
     def bronze(self) -> None:
         """Load the raw files as they are, with ingest metadata."""
 
         def load(table: str) -> DataFrame | None:
             raw = scan_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv")
-            return None if raw is None else with_ingest_metadata(raw, table, self.run_time)
+            return None if raw is None else stamped(raw, table, self.run_time)
 
         self._write_layer("bronze", {t: partial(load, t) for t in TABLES})
 
     def silver(self) -> None:
         """Clean every Bronze table."""
-        bronze = self._open("bronze")
+        bronze = self.store.current("bronze")
 
         def clean(table: str) -> DataFrame:
             stamp = F.lit(datetime.now())
@@ -97,7 +86,7 @@ class Run:
 
     def quality(self) -> DataFrame:
         """Run the checks, replace the CSV report and append to the history."""
-        report = run_quality_checks(self.spark, self._open("silver"), self.run_time)
+        report = run_quality_checks(self.spark, self.store.current("silver"), self.run_time)
         # Ten rows: one file is enough.
         write_csv(report.coalesce(1), f"{self.store.root}/quality_report")
         self.store.append_history(QUALITY_LOG, self.run_id, report)
@@ -109,7 +98,7 @@ class Run:
 
     def gold(self) -> None:
         """Build the marts; they are stored unsorted and sorted when read."""
-        silver = self._open("silver")
+        silver = self.store.current("silver")
 
         def build(mart: str) -> DataFrame:
             built = MARTS[mart].build(silver, **self.mart_options.get(mart, {}))

@@ -11,11 +11,14 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.sources.tables import TableSet
+
 LEDGER_SCHEMA = (
     "run_id string, run_time timestamp, layer string, `table` string, "
     "status string, rows long, path string"
@@ -65,19 +68,33 @@ class LayerStore:
                 raise
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def current_paths(self) -> dict[tuple[str, str], str]:
-        """The newest good path of every table: one row per table, whatever the history."""
+    def current(self, layer: str) -> TableSet:
+        """The current contents of the tables of a layer.
+
+        Bronze rows carry the row count of their load. It is known only once a load has been
+        written, so it is kept in the ledger and added on reading; storing it in the rows would
+        take a second scan of the raw files.
+        """
         newest = (
             self.ledger()
-            .where("status = 'OK'")
-            .groupBy("layer", "table")
-            .agg(F.max_by("path", F.struct("run_time", "run_id")).alias("path"))
+            .where((F.col("status") == "OK") & (F.col("layer") == layer))
+            .groupBy("table")
+            .agg(F.max_by(F.struct("path", "rows"), F.struct("run_time", "run_id")).alias("last"))
+            .select("table", "last.*")
+        )
+
+        def open_table(path: str, rows: int) -> DataFrame:
+            df = self.spark.read.parquet(path)
+            return df.withColumn("_row_count", F.lit(rows)) if layer == "bronze" else df
+
+        # One row per table, whatever the length of the history.
+        return TableSet(
+            {r["table"]: partial(open_table, r["path"], r["rows"]) for r in newest.collect()}
         )
-        return {(r["layer"], r["table"]): r["path"] for r in newest.collect()}
 
     def read(self, layer: str, table: str) -> DataFrame:
         """The current contents of a table."""
-        return self.spark.read.parquet(self.current_paths()[layer, table])
+        return self.current(layer)[table]
 
     def append_history(self, table: str, run_id: str, report: DataFrame) -> None:
         """Append one run to a history; writing the same run again replaces it."""

@@ -40,20 +40,21 @@ def scan_if_present(spark: SparkSession, table: str, path: str) -> DataFrame | N
         raise
 
 
+def stamped(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
+    """Add the ingest time and the source file name."""
+    return raw.withColumns(
+        {"_ingest_timestamp": F.lit(ingest_time), "_source_file": F.lit(f"{table}.csv")}
+    )
+
+
 def with_ingest_metadata(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
     """Add ingest time, source file name and the row count of the load.
 
-    The count is a scalar subquery over the same scan, which reads no columns: neither a window
-    over the whole table nor a join.
+    The count is a scalar subquery over the same scan: neither a window over the whole table nor
+    a join. The pipeline saves even that second scan, see ``LayerStore.read``.
     """
     rows = raw.agg(F.count(F.lit(1))).scalar()
-    return raw.withColumns(
-        {
-            "_ingest_timestamp": F.lit(ingest_time),
-            "_source_file": F.lit(f"{table}.csv"),
-            "_row_count": rows,
-        }
-    )
+    return stamped(raw, table, ingest_time).withColumn("_row_count", rows)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -101,7 +101,10 @@ def test_runs_are_repeatable(two_runs):
 
 def test_layers_carry_their_timestamps(two_runs):
     store = two_runs[0]
-    assert store.read("bronze", "orders").first()["_ingest_timestamp"] == SECOND
+    orders = store.read("bronze", "orders")
+    assert orders.first()["_ingest_timestamp"] == SECOND
+    assert orders.first()["_row_count"] == orders.count()
+    assert store.read("silver", "orders").first()["_row_count"] == orders.count()
     silver = store.read("silver", "orders").columns
     assert {"_ingest_timestamp", "_source_file", "_row_count", "_silver_timestamp"} <= set(silver)
     assert store.read("gold", "gold_fulfillment_summary").first()["_gold_timestamp"] == SECOND
