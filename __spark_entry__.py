@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from oracle.answers import answers  # noqa: E402
+from shopstrata.functions.parse import instant  # noqa: E402
 from shopstrata.plans import metrics, quality, serving, singles  # noqa: E402
 from shopstrata.plans.backfill import backfill_order_totals  # noqa: E402
 from shopstrata.plans.marts import MARTS, in_report_order  # noqa: E402
@@ -133,7 +134,7 @@ def _dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = LayerStore(spark, shared_folder(spark))
     store.append_history(QUALITY_LOG, "run-2", _report(spark, sf_dir))
     older = store.history(QUALITY_LOG).withColumns(
-        {"run_time": F.lit(INGEST_TIME), "issue_count": F.lit(0).cast("long")}
+        {"run_time": F.expr(instant(INGEST_TIME)), "issue_count": F.lit(0).cast("long")}
     )
     store.append_history(QUALITY_LOG, "run-1", older)
     return portable(quality.latest_report(store.history(QUALITY_LOG)))

@@ -6,6 +6,8 @@ fail to parse like any other bad text and need no test of their own here.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 MONEY = "DECIMAL(18,2)"
 
 
@@ -33,3 +35,8 @@ def day(text: str) -> str:
 def flag(text: str) -> str:
     """A boolean."""
     return f"try_cast({text} AS BOOLEAN)"
+
+
+def instant(time: datetime) -> str:
+    """A timestamp literal, read in the session's time zone unless ``time`` has its own."""
+    return f"TIMESTAMP '{time.isoformat(sep=' ')}'"

@@ -11,6 +11,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.functions.parse import instant
 from shopstrata.plans.marts import MARTS, in_report_order
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS
@@ -65,11 +66,18 @@ class Run:
         self.store.record(entries)
         self.entries += entries
 
+    def _scan(self, table: str) -> DataFrame | None:
+        return scan_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv")
+
+    def plain_load(self) -> None:
+        """Load the raw files into the layer ``raw``, without any added column."""
+        self._write_layer("raw", {t: partial(self._scan, t) for t in TABLES})
+
     def bronze(self) -> None:
         """Load the raw files as they are, with ingest metadata."""
 
         def load(table: str) -> DataFrame | None:
-            raw = scan_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv")
+            raw = self._scan(table)
             return None if raw is None else stamped(raw, table, self.run_time)
 
         self._write_layer("bronze", {t: partial(load, t) for t in TABLES})
@@ -79,7 +87,7 @@ class Run:
         bronze = self.store.current("bronze")
 
         def clean(table: str) -> DataFrame:
-            stamp = F.lit(datetime.now())
+            stamp = F.expr(instant(datetime.now()))
             return CLEANERS[table](bronze[table]).withColumn("_silver_timestamp", stamp)
 
         self._write_layer("silver", {t: partial(clean, t) for t in CLEANERS})
@@ -90,7 +98,7 @@ class Run:
         # Ten rows: one file is enough.
         write_csv(report.coalesce(1), f"{self.store.root}/quality_report")
         self.store.append_history(QUALITY_LOG, self.run_id, report)
-        rows = self.store.history(QUALITY_LOG).where(F.col("run_time") == F.lit(self.run_time))
+        rows = self.store.history(QUALITY_LOG).where(F.col("run_time") == F.expr(instant(self.run_time)))
         self._record(
             [entry(self.run_id, self.run_time, "quality", QUALITY_LOG, "OK", rows.count())]
         )
@@ -102,7 +110,7 @@ class Run:
 
         def build(mart: str) -> DataFrame:
             built = MARTS[mart].build(silver, **self.mart_options.get(mart, {}))
-            return built.withColumn("_gold_timestamp", F.lit(self.run_time))
+            return built.withColumn("_gold_timestamp", F.expr(instant(self.run_time)))
 
         self._write_layer("gold", {m: partial(build, m) for m in MARTS})
 

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.functions.parse import instant
 from shopstrata.operators.census import key_census
 from shopstrata.operators.keyed import match, without_match
 
@@ -258,7 +259,7 @@ def _labelled(counted: DataFrame, run_time: datetime) -> DataFrame:
     status = """CASE WHEN issue_count < 0 THEN 'ERROR' WHEN issue_count > 0 THEN 'FAIL'
                      ELSE 'PASS' END AS status"""
     return (
-        counted.withColumns({"run_time": F.lit(run_time), "check": F.expr(f"map({entries})[check_id]")})
+        counted.withColumns({"run_time": F.expr(instant(run_time)), "check": F.expr(f"map({entries})[check_id]")})
         .select("run_time", "check_id", "check.*", F.expr(status), "issue_count")
     )
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.functions.parse import instant
 from shopstrata.sources.schemas import raw_schema
 
 
@@ -43,7 +44,7 @@ def scan_if_present(spark: SparkSession, table: str, path: str) -> DataFrame | N
 def stamped(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
     """Add the ingest time and the source file name."""
     return raw.withColumns(
-        {"_ingest_timestamp": F.lit(ingest_time), "_source_file": F.lit(f"{table}.csv")}
+        {"_ingest_timestamp": F.expr(instant(ingest_time)), "_source_file": F.lit(f"{table}.csv")}
     )
 
 

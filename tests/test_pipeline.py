@@ -153,6 +153,30 @@ def test_invariants(two_runs):
     assert carried.first()[0] + shipments.where("_invalid_ship_date").count() == shipments.count()
 
 
+def test_plain_load(spark, raw_dir, tmp_path):
+    run = Run(spark, raw_dir, str(tmp_path / "lake"), FIRST)
+    run.plain_load()
+    assert {(r["table"], r["status"]) for r in run.status().collect()} == {
+        (t, "OK") for t in TABLES
+    }
+    loaded = run.store.read("raw", "customers")
+    assert loaded.columns == RAW_COLUMNS["customers"]
+    assert loaded.count() == scan_csv(spark, "customers", f"{raw_dir}/customers.csv").count()
+
+
+def test_command_line(spark, raw_dir, tmp_path, capsys):
+    from shopstrata.__main__ import main
+
+    root = str(tmp_path / "lake")
+    main(["run", raw_dir, root, "--run-time", "2024-03-01T08:00:00"])
+    main(["export", root, str(tmp_path / "csv")])
+    main(["dashboard", root])
+    shown = capsys.readouterr().out
+    assert "dq_quality_log" in shown and "overall_return_pct" in shown
+    exported = spark.read.option("header", True).csv(f"{tmp_path}/csv/gold_fulfillment_summary")
+    assert exported.count() == 5
+
+
 def test_missing_and_broken_tables_do_not_stop_the_rest(spark, raw_dir, tmp_path):
     """No returns file, and a shipping file with a wrong header."""
     folder = tmp_path / "raw"
