@@ -28,10 +28,12 @@ LEDGER_SCHEMA = (
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only where that is unset, as in a local test, a temporary folder is used and set.
+    Only where that is unset in local mode, as in a test, a temporary folder is used and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="shopstrata-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/shopstrata-{uuid.uuid4().hex}"

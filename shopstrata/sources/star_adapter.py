@@ -30,6 +30,16 @@ SHIP_STATUSES = [
     "delivered", "delivered", "delivered", "in_transit", "out_for_delivery", "delayed", "lost",
 ]
 
+# The columns of the star schema that are used, so that no schema is inferred.
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+}
+
 Star = Mapping[str, DataFrame]
 
 
@@ -202,8 +212,8 @@ def raw_tables(spark: SparkSession, star_dir: str) -> TableSet:
     """The raw commerce tables from the star schema in ``star_dir``; files are opened once."""
     star = TableSet(
         {
-            name: partial(spark.read.parquet, f"{star_dir}/{name}.parquet")
-            for name in ("customer", "part", "orders", "lineitem")
+            name: partial(spark.read.schema(schema).parquet, f"{star_dir}/{name}.parquet")
+            for name, schema in STAR_SCHEMAS.items()
         }
     )
     return TableSet({table: partial(BUILDERS[table], star) for table in TABLES})

@@ -59,8 +59,9 @@ def test_filters_and_columns_reach_the_scan(stored):
         "In(status, [completed,shipped])" in pushed and columns.count(":") == 2
         for pushed, columns in scans(MARTS["gold_revenue_by_category"].build(stored))
     )
-    [(pushed, columns)] = scans(MARTS["gold_monthly_order_summary"].build(stored))
-    assert "IsNotNull(order_total)" in pushed and "discount_pct" not in columns
+    wide, narrow = scans(MARTS["gold_monthly_order_summary"].build(stored))
+    assert "IsNotNull(order_total)" in wide[0] and "discount_pct" not in wide[1]
+    assert "IsNotNull(customer_id)" in narrow[0] and narrow[1].count(":") == 3
 
 
 def test_orphans_are_anti_joins(stored):
@@ -91,6 +92,12 @@ def test_no_broadcast_hint_on_tables(stored):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_distinct_customers_are_shuffled_narrow(stored):
+    text = plan(MARTS["gold_monthly_order_summary"].build(stored))
+    [pairs] = re.findall(r"Exchange hashpartitioning\(month#\d+, customer_id#\d+.*\n(.*)", text)
+    assert "functions=[]" in pairs
+
+
 def test_unused_flags_cost_no_join(stored, spark):
     """The join that flags repeated orders vanishes where the flag is not read."""
     orders = CLEANERS["orders"](raw_tables(spark, SF_DIR)["orders"])
