@@ -103,23 +103,26 @@ def _products(star: Star) -> DataFrame:
 
 
 def _items(star: Star, typed: bool) -> DataFrame:
-    price = f"CAST(p_retailprice AS {MONEY})"
-    lines = star["lineitem"].withColumnRenamed("l_partkey", "p_partkey").join(
-        star["part"], "p_partkey"
+    # What depends on the part alone is computed per part, not per line.
+    parts = star["part"].selectExpr(
+        "p_partkey AS l_partkey",
+        f"{_id('PROD', 'p_partkey')} AS product_id",
+        f"CAST(p_retailprice AS {MONEY}) AS price",
+        f"CAST(CAST(p_retailprice AS {MONEY}) AS STRING) AS price_text",
     )
     return _shape(
-        lines,
+        star["lineitem"].join(parts, "l_partkey"),
         "order_items",
         {
-            "item_id": _id("ITEM", "l_orderkey", "l_linenumber", "p_partkey", "l_suppkey"),
+            "item_id": _id("ITEM", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
             "order_id": f"""CASE
                 WHEN (l_orderkey * 3 + l_suppkey) % 997 = 0 THEN NULL
-                WHEN (l_orderkey + p_partkey) % 499 = 0 THEN {_id("ORD-GHOST", "p_partkey % 4")}
+                WHEN (l_orderkey + l_partkey) % 499 = 0 THEN {_id("ORD-GHOST", "l_partkey % 4")}
                 ELSE {_id("ORD", "l_orderkey")} END""",
-            "product_id": _id("PROD", "p_partkey"),
+            "product_id": "product_id",
             "quantity": "CAST(l_quantity AS INT)",
-            "unit_price": price,
-            "line_total": f"CAST(CAST(l_quantity AS INT) * {price} AS {MONEY})",
+            "unit_price": "price" if typed else "price_text",
+            "line_total": f"CAST(CAST(l_quantity AS INT) * price AS {MONEY})",
         },
         typed,
     )
