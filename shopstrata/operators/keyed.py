@@ -58,7 +58,8 @@ def match(
     how: str,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` on ``key``; ``how`` is left, inner, left_semi or left_anti.
+    """Join ``left`` to ``right`` on the text column ``key``; ``how`` is left, inner, left_semi
+    or left_anti.
 
     ``right`` holds at most one row per key (for semi and anti joins its copies do not matter,
     but callers pass distinct keys so that a hot key on that side has collapsed already).
