@@ -27,6 +27,14 @@ from shopstrata.sources.schemas import RAW_COLUMNS, TABLES  # noqa: E402
 from shopstrata.sources.star_adapter import raw_tables  # noqa: E402
 from shopstrata.sources.tables import TableSet  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from shopstrata.llm import queries as corpus_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "shopstrata.llm")):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 INGEST_TIME = datetime(2024, 1, 1)
 RUN_TIME = datetime(2024, 1, 2)
 # The test data's customers spend far more than the default thresholds.
@@ -238,9 +246,12 @@ def queries() -> dict[str, Query]:
     found["scalar_try_parse"] = _on_raw(lambda r: singles.parsed_numbers(r["products"]))
     found["scalar_try_parse_dates"] = _on_raw(lambda r: singles.parsed_dates(r["orders"]))
     found["scalar_dates"] = _on_silver(singles.date_parts)
+
+    if corpus_queries:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL counterpart of every registered query."""
-    return answers()
+    """The SQL counterpart of every registered query that SQL can express."""
+    return answers() | (corpus_queries.SQL if corpus_queries else {})

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -10,6 +11,7 @@ import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 STAR = ["customer", "part", "orders", "lineitem"]
+OWN = {n: q for n, q in contract.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
 
 
 @pytest.fixture(scope="module")
@@ -32,12 +34,12 @@ def _rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(OWN) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_matches_sql(spark, duck, name):
-    found = contract.queries()[name](spark, SF_DIR)
+    found = OWN[name](spark, SF_DIR)
     asked = duck.execute(contract.oracle_sql()[name])
     names = [d[0] for d in asked.description]
     assert sorted(found.columns) == sorted(names)
