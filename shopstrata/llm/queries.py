@@ -3,7 +3,24 @@
 from __future__ import annotations
 
 from shopstrata.llm.common import table
+from shopstrata.llm.mixture import mix
+from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
+from shopstrata.llm.warc import archived_pages
+
+
+def op3_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source"
+    )
+
+
+def op4_warc(spark, sf_dir):
+    return archived_pages(table(spark, sf_dir, "pages"), min_bytes=0).drop("chunks")
+
+
+def op7_sharding(spark, sf_dir):
+    return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
@@ -11,7 +28,23 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
+    "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+# DuckDB has SHA-1 in hex; base32 takes its bits by fives.
+SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT *, unhex(sha1(html))::BIT AS bits, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+        SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + 16 * get_bit(bits, (5 * i)::INT) + 8 * get_bit(bits, (5 * i + 1)::INT)
+                     + 4 * get_bit(bits, (5 * i + 2)::INT) + 2 * get_bit(bits, (5 * i + 3)::INT)
+                     + get_bit(bits, (5 * i + 4)::INT), 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = newest OR newest IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> newest OR page_id IS NULL THEN newest END AS refers_to
+        FROM d""",
+}
