@@ -39,7 +39,7 @@ SQL: dict[str, str] = {
     "op4_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT *, unhex(sha1(html))::BIT AS bits, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
-        SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes,
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
                list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + 16 * get_bit(bits, (5 * i)::INT) + 8 * get_bit(bits, (5 * i + 1)::INT)
                      + 4 * get_bit(bits, (5 * i + 2)::INT) + 2 * get_bit(bits, (5 * i + 3)::INT)
