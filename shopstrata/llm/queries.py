@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from shopstrata.llm.common import table
 from shopstrata.llm.mixture import mix
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
+from shopstrata.llm.spotsigs import edited_and_next
+from shopstrata.llm.token_records import recorded_documents
 from shopstrata.llm.warc import archived_pages
 
 
+def op1_spotsigs(spark, sf_dir):
+    return edited_and_next(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source"
@@ -19,6 +27,11 @@ def op4_warc(spark, sf_dir):
     return archived_pages(table(spark, sf_dir, "pages"), min_bytes=0).drop("chunks")
 
 
+def op5_token_records(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return recorded_documents(table(spark, sf_dir, "documents"), path, end_id=0)
+
+
 def op7_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
@@ -28,8 +41,10 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
+    "op5_token_records": op5_token_records,
     "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
