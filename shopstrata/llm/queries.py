@@ -6,10 +6,12 @@ import public_tokenizers
 
 from shopstrata.llm.common import table
 from shopstrata.llm.mixture import mix
+from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
 from shopstrata.llm.spotsigs import edited_and_next
 from shopstrata.llm.token_records import recorded_documents
+from shopstrata.llm.toxicity import toxicity_scores
 from shopstrata.llm.warc import archived_pages
 
 
@@ -17,6 +19,10 @@ def op1_spotsigs(spark, sf_dir):
     return edited_and_next(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source"
@@ -32,6 +38,10 @@ def op5_token_records(spark, sf_dir):
     return recorded_documents(table(spark, sf_dir, "documents"), path, end_id=0)
 
 
+def op6_quality(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
@@ -42,9 +52,11 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_token_records": op5_token_records,
+    "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
