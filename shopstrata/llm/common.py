@@ -38,3 +38,12 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def row_key() -> list[Column]:
+    """``_id`` and ``_hash``: never null, and equal only for rows with equal doc_id and text."""
+    doc_id = F.col("doc_id").cast("long")
+    return [
+        F.coalesce(doc_id, F.lit(0)).alias("_id"),
+        F.xxhash64(F.col("text").cast("string"), F.col("text").isNull(), doc_id.isNull()).alias("_hash"),
+    ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from shopstrata.llm.common import table
+from shopstrata.llm.decontaminate import contaminated
 from shopstrata.llm.mixture import mix
 from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
@@ -20,7 +21,8 @@ def op1_spotsigs(spark, sf_dir):
 
 
 def op2_toxicity(spark, sf_dir):
-    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.drop("_id", "_hash")
 
 
 def op3_mixing(spark, sf_dir):
@@ -50,6 +52,10 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op10_decontaminate(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +65,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 # DuckDB has SHA-1 in hex; base32 takes its bits by fives.

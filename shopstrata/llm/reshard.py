@@ -184,24 +184,36 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     """
     narrow = with_blocks(docs.select(F.col("doc_id").cast("long"), "text")).drop("text")
     blocked = stored(narrow)
-    moved = F.broadcast(transfers(blocked, shards))  # at most 8192 rows by construction
+    return _placed(blocked, shards).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("_old").alias("old_shard"),
+    )
+
+
+def _placed(blocked: DataFrame, shards: int) -> DataFrame:
+    """``blocked`` with _shard and _slot."""
+    moved = transfers(blocked.select("_old", "_block", "_size"), shards).toDF("_old", "_block", "_shard", "_first")
     order = Window.partitionBy("_old", "_block").orderBy("doc_id", "_crc", "_size")
     return (
         blocked.withColumn("_at", F.row_number().over(order))
-        .join(moved, ["_old", "_block"])
-        .select(
-            "doc_id",
-            F.col("_size").alias("size"),
-            F.col("_crc").alias("text_crc32"),
-            F.lit("bytes").alias("law"),
-            "shard",
-            (F.col("first") + F.col("_at") - 1).cast("long").alias("slot"),
-            F.lit(None).cast("int").alias("grown_shard"),
-            F.col("_old").alias("old_shard"),
-        )
+        .join(F.broadcast(moved), ["_old", "_block"])  # at most 8192 rows by construction
+        .withColumn("_slot", (F.col("_first") + F.col("_at") - 1).cast("long"))
     )
 
 
+def sharded_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """``docs`` with their columns and the ``shard`` and ``slot`` of each row, which replace columns so named."""
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    placed = _placed(with_blocks(docs), shards)
+    return placed.select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+
+
 def write_layout(docs: DataFrame, folder: str) -> None:
     """Write documents as the old layout: one directory per shard, rows in order of their blocks."""
     (

@@ -18,10 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstrata.llm.common import stored
+from shopstrata.llm.common import row_key, stored
 from shopstrata.llm.components import components
 
 SEED = 42
@@ -59,17 +59,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) per row; a null text counts as empty."""
+    """(doc_id, _id, _hash, fingerprint as a signed long) per row; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            found = [fingerprint(t.as_py(), shingle) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fingerprint"]
+                [*batch.columns[:3], pa.array(found, pa.int64())], ["doc_id", "_id", "_hash", "fingerprint"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    rows = docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, _id long, _hash long, fingerprint long")
 
 
 @lru_cache(1)
@@ -239,6 +239,19 @@ def links(prints: DataFrame, distance: int = 2, max_homes: int = MAX_HOMES) -> D
     )
 
 
+def _rooted(docs: DataFrame, shingle: int, distance: int, max_homes: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (fingerprint, root, first id) of the distinct ones."""
+    prints = stored(fingerprints(docs, shingle))
+    # Exact copies collapse here, before anything is compared.
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
+    roots = components(links(distinct, distance, max_homes))
+    placed = stored(
+        distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+        .select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    )
+    return prints, placed
+
+
 def simhash_components(
     docs: DataFrame, shingle: int = 3, distance: int = 2, max_homes: int = MAX_HOMES
 ) -> DataFrame:
@@ -251,14 +264,7 @@ def simhash_components(
     Repeated rows are returned as often as they occur; an empty table gives an empty result, and
     further columns are ignored.
     """
-    prints = stored(fingerprints(docs, shingle))
-    # Exact copies collapse here, before anything is compared.
-    distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct, distance, max_homes))
-    placed = stored(
-        distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-        .select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    )
+    prints, placed = _rooted(docs, shingle, distance, max_homes)
     least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")))
     component = stored(placed.join(least, "root").select("fingerprint", "component_id"))
     return prints.join(component, "fingerprint").select(
@@ -266,13 +272,22 @@ def simhash_components(
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` without near duplicates: of each component the row whose id is ``component_id``.
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, max_homes: int = MAX_HOMES) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each component: that with the smallest doc_id.
 
-    Rows of a component without any doc_id are told apart by nothing, so one of them stays. Of
-    repeated rows with one id, the one with the smallest text stays.
+    A row without a doc_id stays only where the whole component has none. Of rows with the smallest id
+    and different texts, the one with the smallest hash of its text stays; repeated rows stay once.
     """
-    found = simhash_components(docs, shingle, distance)
-    keep = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "_keep"), F.expr("doc_id <=> _keep"), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    prints, placed = _rooted(docs, shingle, distance, max_homes)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "_id", "_hash")
+    best = prints.groupBy("fingerprint").agg(F.min(order).alias("best"))
+    keep = stored(
+        best.join(placed, "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
+        .select("best._id", "best._hash")
+    )
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *row_key())
+    once = Window.partitionBy("_id", "_hash").orderBy("_id")
+    return (
+        keyed.join(keep, ["_id", "_hash"], "left_semi")
+        .withColumn("_copy", F.row_number().over(once)).where("_copy = 1").select("_row.*")
+    )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.llm.common import stored
+from shopstrata.llm.common import row_key, stored
 from shopstrata.llm.labelled import held_out, training_labels
 
 # Most labelled examples in the index, and most terms.
@@ -98,7 +98,7 @@ def select_terms(examples: DataFrame, chi: float = CHI, most: int = TERMS) -> li
 
 
 def with_terms(docs: DataFrame, terms: list[tuple[str, int]]) -> DataFrame:
-    """(doc_id, terms, weights) per row: the selected terms of a text and 1 + log of their counts."""
+    """(doc_id, _id, _hash, terms, weights) per row: the selected terms of a text, 1 + log of their counts."""
     place = {term: i for i, term in enumerate(terms)}
     bases = {b: [(k, place[b, k]) for k in range(1, REPEATS + 1) if (b, k) in place] for b, _ in terms}
 
@@ -108,7 +108,7 @@ def with_terms(docs: DataFrame, terms: list[tuple[str, int]]) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 found, weights = [], []
-                for text in part.column(1):
+                for text in part.column(3):
                     counts: dict[str, int] = {}
                     for word in WORDS.findall((text.as_py() or "").lower()):
                         known = memo.get(word)
@@ -125,12 +125,12 @@ def with_terms(docs: DataFrame, terms: list[tuple[str, int]]) -> DataFrame:
                     found.append([i for i, _ in pairs])
                     weights.append([w for _, w in pairs])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float64()))],
-                    ["doc_id", "terms", "weights"],
+                    [*part.columns[:3], pa.array(found, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float64()))],
+                    ["doc_id", "_id", "_hash", "terms", "weights"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, terms array<int>, weights array<double>")
+    rows = docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, _id long, _hash long, terms array<int>, weights array<double>")
 
 
 class BlockMaxIndex:
@@ -248,14 +248,15 @@ def toxicity_scores(
     k: int = NEIGHBOURS,
     chi: float = CHI,
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted, evidence) per row of ``docs`` (doc_id, text).
+    """(doc_id, held_out, score, predicted, evidence, _id, _hash) per row of ``docs`` (doc_id, text).
 
     Labels of rows whose id has crc32 modulo ``modulus`` equal to ``remainder`` are not looked at. The index has at
     most ``sample`` labelled examples; every text is scored whole. ``evidence`` lists the first ``k`` neighbours; those
     that tie with the last one vote as well. A document never votes on itself. Texts without a selected term, empty
     and null ones among them, have no neighbours and get the rate of ones among such examples. Without labels, or
     with one class only, there is no term and the score is the share of ones (0.5 without any). A null doc_id is not
-    held out. Repeated rows are scored alike, an empty table gives an empty result.
+    held out. Repeated rows are scored alike, an empty table gives an empty result. ``_id`` and ``_hash`` tell rows with
+    equal ids and different texts apart.
     """
     chosen = stored(training_labels(labels, column, modulus, remainder, sample))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -273,16 +274,16 @@ def toxicity_scores(
         [r["label"] for r in examples], idf, k,
     )
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("score", pa.float64()),
+        [("doc_id", pa.int64()), ("_id", pa.int64()), ("_hash", pa.int64()), ("score", pa.float64()),
          ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, label_of = voters.index.ids, voters.labels
         for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, rows = batch.column(0).to_pylist(), batch.column(3).to_pylist()
             scores, evidence = [], []
-            for doc_id, found, weights in zip(ids, rows, batch.column(2).to_pylist()):
+            for doc_id, found, weights in zip(ids, rows, batch.column(4).to_pylist()):
                 vote, near, cosines = voters.vote((found, weights), doc_id)
                 scores.append(voters.score(vote))
                 evidence.append(
@@ -290,12 +291,12 @@ def toxicity_scores(
                      for i, c in zip(near[:k], cosines[:k])]
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, schema.field("evidence").type)],
+                [*batch.columns[:3], pa.array(scores, pa.float64()), pa.array(evidence, schema.field("evidence").type)],
                 schema=schema,
             )
 
     scored = vectors.repartition(F.xxhash64("doc_id", "terms")).mapInArrow(
-        run, f"doc_id long, score double, evidence {EVIDENCE}"
+        run, f"doc_id long, _id long, _hash long, score double, evidence {EVIDENCE}"
     )
     return scored.select(
         "doc_id",
@@ -303,4 +304,13 @@ def toxicity_scores(
         "score",
         (F.col("score") >= cut).cast("int").alias("predicted"),
         "evidence",
+        "_id",
+        "_hash",
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted to be toxic."""
+    toxic = stored(toxicity_scores(docs, labels, **options).where("predicted = 1").select("_id", "_hash").distinct())
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *row_key())
+    return keyed.join(toxic, ["_id", "_hash"], "left_anti").select("_row.*")

@@ -96,9 +96,16 @@ def test_chain_is_one_component(spark):
 
 
 def test_one_of_each(spark):
-    rows = [(1, "a b c d", "q"), (2, "a b c d", "q"), (3, "z y x w v", "q"), (None, "nobody", "q")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _keep2 string")
-    assert sorted((r["doc_id"] or 0) for r in simhash.one_of_each(docs).collect()) == [0, 1, 3]
+    rows = [
+        (1, "a b c d", "q"), (2, "a b c d", "r"), (2, "a b c d", "r"), (3, "z y x w v", "q"), (None, "nobody", "q"),
+        (None, "somebody else", "s"), (None, "a b c d", "t"), (4, None, "q"), (5, "", "q"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [rows[0], rows[3], rows[4], rows[5], rows[7]], key=str
+    )
 
 
 def test_empty(spark):
