@@ -11,6 +11,7 @@ from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
 from shopstrata.llm.spotsigs import edited_and_next
+from shopstrata.llm.suffix_dedup import repeated_bytes
 from shopstrata.llm.token_records import recorded_documents
 from shopstrata.llm.toxicity import toxicity_scores
 from shopstrata.llm.warc import archived_pages
@@ -48,6 +49,10 @@ def op7_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return repeated_bytes(table(spark, sf_dir, "documents"), length=100).drop("removed")
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_token_records": op5_token_records,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
