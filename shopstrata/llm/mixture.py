@@ -8,8 +8,8 @@ and around its end. Quotas beyond the number of blocks take every block again.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import zlib
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
@@ -83,14 +83,22 @@ def source_key(source=None):
 
 
 def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """One narrow row per document: id, source, words and its place in the seeded order."""
+    """One narrow row per document: id, source, words and its place in the seeded order.
+
+    Rows without an id are placed by their text, so that many of them are spread.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("x"), F.md5(text.cast("binary"))))
+    place = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     return docs.select(
-        F.col("doc_id").cast("long"),
+        doc_id.alias("doc_id"),
         F.col("source").cast("string"),
         word_count(F.col("text").cast("string")).alias("size"),
         F.xxhash64("text").alias("_text"),
         source_key().alias("_key"),
-    ).withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "_text"))
+        F.conv(F.substring(place, 1, 15), 16, 10).cast("long").alias("_order"),
+    )
 
 
 def mix_plan(
@@ -124,7 +132,7 @@ def mix_plan(
             "blocks": own[i],
             "quotas": [q[i] for q in quotas],
             "quota": sum(q[i] for q in quotas),
-            "start": zlib.crc32(f"{seed}:{key}".encode()) % max(1, own[i]),
+            "start": int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:15], 16) % max(1, own[i]),
         }
         for i, key in enumerate(keys)
     ]
@@ -164,7 +172,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         .select("_key", "_bucket", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_offset"))
     )
     inside = (
-        Window.partitionBy("_key", "_bucket").orderBy("_order", "doc_id", "size")
+        Window.partitionBy("_key", "_bucket").orderBy("_order", "doc_id", "size", "_text")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = (

@@ -11,6 +11,7 @@ from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
 from shopstrata.llm.spotsigs import edited_and_next
+from shopstrata.llm.sql import SQL
 from shopstrata.llm.suffix_dedup import repeated_bytes
 from shopstrata.llm.token_records import recorded_documents
 from shopstrata.llm.toxicity import toxicity_scores
@@ -74,17 +75,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-# DuckDB has SHA-1 in hex; base32 takes its bits by fives.
-SQL: dict[str, str] = {
-    "op4_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-        d AS (SELECT *, unhex(sha1(html))::BIT AS bits, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
-        SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
-               list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                   1 + 16 * get_bit(bits, (5 * i)::INT) + 8 * get_bit(bits, (5 * i + 1)::INT)
-                     + 4 * get_bit(bits, (5 * i + 2)::INT) + 2 * get_bit(bits, (5 * i + 3)::INT)
-                     + get_bit(bits, (5 * i + 4)::INT), 1)), 'string_agg', '') AS payload_digest,
-               CASE WHEN page_id = newest OR newest IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN page_id <> newest OR page_id IS NULL THEN newest END AS refers_to
-        FROM d""",
-}
+__all__ = ["QUERIES", "SQL"]

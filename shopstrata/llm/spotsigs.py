@@ -41,13 +41,13 @@ ANCHORS = frozenset(
 )
 
 
-def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
-    """The set of a text as sorted 64-bit hashes of (anchor, chain, number of the repeat).
+def signatures(text: str | None, chain: int = CHAIN) -> set[str]:
+    """The set of a text: an anchor, its chain, and from the second one on the number of the repeat.
 
     A text without any full chain has one signature, its whole text; an empty text has none.
     """
     if not text:
-        return np.empty(0, np.uint64)
+        return set()
     words = WORDS.findall(text.lower())
     anchors = ANCHORS
     content = [w for w in words if w not in anchors]
@@ -62,40 +62,38 @@ def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
         else:
             behind += 1
     if not found:
-        found = ["\n" + text]
-    counts = Counter(found)
-    if len(counts) < len(found):
-        found = [f"{s} {k}" if k else s for s, n in counts.items() for k in range(n)]
-    digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.fromiter((digest(s) for s in found), np.uint64, len(found)))
+        return {"\n" + text}
+    unique = set(found)
+    if len(unique) < len(found):
+        counts = Counter(found)
+        unique.update(f"{s} {k}" for s, n in counts.items() if n > 1 for k in range(1, n))
+    return unique
 
 
-def fingerprint(found: np.ndarray) -> str:
+def fingerprint(found: set[str]) -> str:
     """Length of the set and a digest of it: equal sets, and so equal texts, have equal fingerprints."""
-    return f"{len(found):08x}{xxhash.xxh3_128_hexdigest(found.astype('<u8').tobytes())}"
+    return f"{len(found):08x}{hashlib.md5('\n'.join(sorted(found)).encode()).hexdigest()}"
 
 
-def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+def likeness(a: set[str], b: set[str], least: float = 0.0) -> float:
     """Jaccard of two sets, or 0.0 where it is sure to be below ``least``; two empty sets are alike."""
     low, high = sorted((len(a), len(b)))
     if not high:
         return 1.0
     if low < least * high or not low:
         return 0.0
-    both = np.concatenate((a, b))
-    both.sort()
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    common = len(a & b)
     found = common / (low + high - common)
     return found if found >= least else 0.0
 
 
-def length_class(n: int, threshold: float) -> int:
-    """Lengths whose ratio is ``threshold`` or more lie in one class or in neighbouring ones."""
-    return int(log(n) / -log(threshold)) if n else -1
+def _hashed(found: set[str]) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.unique(np.fromiter((digest(s) for s in found), np.uint64, len(found))).view(np.int64)
 
 
 def with_signatures(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
-    """(doc_id, fingerprint, signatures) per row of ``docs``; a null text counts as empty."""
+    """(doc_id, fingerprint, hashed signatures) per row of ``docs``; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +104,7 @@ def with_signatures(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
                     [
                         ids[at : at + 512],
                         pa.array([fingerprint(s) for s in sets]),
-                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([_hashed(s) for s in sets], pa.list_(pa.int64())),
                     ],
                     ["doc_id", "fingerprint", "signatures"],
                 )
