@@ -7,7 +7,7 @@ import sys
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,10 +19,10 @@ from shopstrata.functions.parse import instant  # noqa: E402
 from shopstrata.plans import metrics, quality, serving, singles  # noqa: E402
 from shopstrata.plans.backfill import backfill_order_totals  # noqa: E402
 from shopstrata.plans.marts import MARTS, in_report_order  # noqa: E402
-from shopstrata.plans.pipeline import QUALITY_LOG, export_marts, run_pipeline  # noqa: E402
+from shopstrata.plans.pipeline import QUALITY_LOG, Run, export_marts, mart_totals, run_pipeline  # noqa: E402
 from shopstrata.plans.silver import CLEANERS, silver_order_items_rejects  # noqa: E402
 from shopstrata.sources.layers import LayerStore, shared_folder  # noqa: E402
-from shopstrata.sources.raw_csv import scan_csv, with_ingest_metadata, write_csv  # noqa: E402
+from shopstrata.sources.raw_csv import read_csv, rejected_rows, scan_csv, write_csv  # noqa: E402
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES  # noqa: E402
 from shopstrata.sources.star_adapter import raw_tables  # noqa: E402
 from shopstrata.sources.tables import TableSet  # noqa: E402
@@ -100,11 +100,12 @@ def _bronze_scan(table: str) -> Query:
 
 
 def _bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _raw_files(spark, sf_dir, TABLES)
+    run = Run(spark, _raw_files(spark, sf_dir, TABLES), shared_folder(spark), INGEST_TIME)
+    run.bronze()
+    bronze = run.store.current("bronze")
     loaded = None
     for table in TABLES:
-        scan = scan_csv(spark, table, f"{folder}/{table}.csv")
-        rows = with_ingest_metadata(scan, table, INGEST_TIME).select(
+        rows = bronze[table].select(
             F.col(RAW_COLUMNS[table][0]).alias("id"),
             "_ingest_timestamp",
             "_source_file",
@@ -138,13 +139,16 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs appended to a history, of which the newer one is read."""
+    """Two runs appended to a history, the newer one twice, of which that one is read."""
     store = LayerStore(spark, shared_folder(spark))
-    store.append_history(QUALITY_LOG, "run-2", _report(spark, sf_dir))
-    older = store.history(QUALITY_LOG).withColumns(
+    store.append_history(QUALITY_LOG, _report(spark, sf_dir))
+    newer = store.history(QUALITY_LOG)
+    ten_rows = spark.createDataFrame(newer.collect(), newer.schema)
+    older = ten_rows.withColumns(
         {"run_time": F.expr(instant(INGEST_TIME)), "issue_count": F.lit(0).cast("long")}
     )
-    store.append_history(QUALITY_LOG, "run-1", older)
+    store.append_history(QUALITY_LOG, older)
+    store.append_history(QUALITY_LOG, ten_rows)
     return portable(quality.latest_report(store.history(QUALITY_LOG)))
 
 
@@ -157,21 +161,34 @@ def _order_total_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export all marts as CSV and count the rows that can be read back."""
+    """Export all marts as CSV and sum up what can be read back."""
     folder = shared_folder(spark)
     export_marts(_gold(spark, sf_dir), folder)
-    counts = None
-    for name in MARTS:
-        exported = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
-        rows = exported.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("mart"), "rows")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+    read = spark.read.option("header", True).option("escape", '"')
+    totals = [mart_totals(name, read.csv(f"{folder}/{name}")) for name in MARTS]
+    return portable(reduce(DataFrame.unionByName, totals))
 
 
 def _pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pipeline from CSV files; one status row per layer and table."""
-    raw_dir = _raw_files(spark, sf_dir, TABLES)
-    return run_pipeline(spark, raw_dir, shared_folder(spark), RUN_TIME, MART_OPTIONS)
+    """The whole pipeline from CSV files: one status row per layer and table, with sums of the stored marts."""
+    raw_dir, root = _raw_files(spark, sf_dir, TABLES), shared_folder(spark)
+    status = run_pipeline(spark, raw_dir, root, RUN_TIME, MART_OPTIONS)
+    gold = LayerStore(spark, root).current("gold")
+    totals = reduce(DataFrame.unionByName, [mart_totals(name, gold[name]) for name in MARTS])
+    totals = totals.withColumnRenamed("mart", "table").drop("rows")
+    return portable(status.select("layer", "table", "status", "rows", "rejected").join(totals, "table", "left"))
+
+
+def _bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns as CSV lines without quotes: a comma in the reason of some makes a cell too many."""
+    folder, columns = shared_folder(spark), RAW_COLUMNS["returns"]
+    raw = raw_tables(spark, sf_dir)["returns"]
+    reason = F.when(F.col("refund_amount").isNull(), F.concat("reason", F.lit(", unclear"))).otherwise(F.col("reason"))
+    cells = [reason if c == "reason" else F.coalesce(c, F.lit("")) for c in columns]
+    lines = raw.select(F.concat_ws(",", *cells).alias(",".join(columns)))
+    # A separator and a quote that occur in no line leave the lines as they are.
+    lines.write.options(header=True, sep="\u0001", quote="\u0002", escape="\u0002").csv(f"{folder}/returns.csv")
+    return rejected_rows(read_csv(spark, "returns", f"{folder}/returns.csv"), "returns")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -223,6 +240,7 @@ def queries() -> dict[str, Query]:
         found[name] = _on_gold(lambda g, plan=plan, mart=mart: plan(g[mart]))
 
     found["bronze_metadata"] = _bronze_metadata
+    found["bronze_rejects"] = _bronze_rejects
     found["layer_row_counts"] = _layer_row_counts
     found["load_totals"] = _load_totals
     found["silver_metrics"] = _silver_metrics
@@ -233,6 +251,9 @@ def queries() -> dict[str, Query]:
     found["filter_in_status"] = _on_silver(singles.earning_order_ids)
     found["join_items_products"] = _on_silver(singles.items_with_products)
     found["semi_approved_items"] = _on_silver(singles.items_of_approved_orders)
+    found["dq_007_members"] = _on_silver(quality.shared_email_members)
+    found["dq_007_lists"] = _on_silver(quality.shared_email_lists)
+    found["join_return_rows"] = _on_silver(singles.return_rows_with_orders)
     found["join_returns_orders"] = _on_silver(singles.returns_with_orders)
     found["agg_count_distinct"] = _on_silver(singles.customers_per_channel)
     found["agg_conditional"] = _on_silver(singles.status_counts_per_channel)

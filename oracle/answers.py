@@ -17,16 +17,19 @@ def mean_money(total: str, rows: str) -> str:
     return half_up(cents(total), f"100 * {rows}", 2)
 
 
+# Profit of an item in millionths: quantities have four digits, costs two.
+MICROS = """(line_total * 100)::HUGEINT * 10000 - (cost_price * 100)::HUGEINT * (quantity * 10000)::HUGEINT"""
+
 GOLD = {
     "gold_revenue_by_category": f"""
         SELECT category,
                count(DISTINCT product_id) AS unique_products,
-               sum(quantity)::BIGINT AS total_units_sold,
+               sum(quantity)::DOUBLE AS total_units_sold,
                {money('sum(line_total)', 'total_revenue')},
                {mean_money('sum(i.unit_price)', 'count(i.unit_price)')} AS avg_unit_price,
-               {money('sum(line_total - cost_price * quantity)', 'total_gross_profit')},
-               {half_up('100 * ' + cents('sum(line_total - cost_price * quantity)'),
-                        cents('sum(line_total)'), 1)} AS gross_margin_pct
+               {half_up(f'sum({MICROS})', '1000000', 2)} AS total_gross_profit,
+               {half_up(f'100 * sum({MICROS})', '10000 * ' + cents('sum(line_total)'), 1)}
+                   AS gross_margin_pct
         FROM silver_order_items AS i
         JOIN silver_orders AS o USING (order_id)
         JOIN silver_products AS p USING (product_id)
@@ -54,7 +57,7 @@ GOLD = {
                coalesce(n, 0) AS times_returned, {money('coalesce(refunds, 0)', 'total_refunded')},
                {half_up('100 * coalesce(n, 0)', 'times_sold', 1)} AS return_rate_pct
         FROM (SELECT product_id, product_name, category, p.unit_price, count(item_id) AS times_sold,
-                     sum(quantity)::BIGINT AS total_units_sold, sum(line_total) AS revenue
+                     sum(quantity)::DOUBLE AS total_units_sold, sum(line_total) AS revenue
               FROM silver_order_items JOIN silver_products AS p USING (product_id)
               GROUP BY ALL)
         LEFT JOIN (SELECT product_id, count(item_id) AS n, sum(refund_amount) AS refunds
@@ -99,7 +102,8 @@ GOLD = {
 SILVER_COLUMNS = {
     "products": "* REPLACE (unit_price::DOUBLE AS unit_price, cost_price::DOUBLE AS cost_price)",
     "orders": "* REPLACE (order_total::DOUBLE AS order_total)",
-    "order_items": "* REPLACE (unit_price::DOUBLE AS unit_price, line_total::DOUBLE AS line_total)",
+    "order_items": "* REPLACE (quantity::DOUBLE AS quantity, unit_price::DOUBLE AS unit_price, "
+    "line_total::DOUBLE AS line_total)",
     "returns": "* REPLACE (refund_amount::DOUBLE AS refund_amount)",
 }
 
@@ -127,8 +131,8 @@ DQ = {
         FROM silver_order_items AS i
         WHERE NOT EXISTS (FROM silver_orders AS o WHERE o.order_id = i.order_id)""",
     "dq_007": """
-        SELECT email, count(*) AS occurrences, 0::BIGINT AS part,
-               string_agg(customer_id, ', ' ORDER BY customer_id) AS customer_ids
+        SELECT email, count(*) AS occurrences, min(customer_id) AS first_customer_id,
+               max(customer_id) AS last_customer_id
         FROM silver_customers GROUP BY email HAVING count(*) > 1""",
     "dq_008": """
         SELECT product_id, product_name, unit_price::DOUBLE AS unit_price,
@@ -157,7 +161,7 @@ REPORT_CTES = {
         f"""SELECT {RUN_TIME} AS run_time, '{i}' AS check_id, '{name}' AS check_name,
                '{table}' AS "table", '{category}' AS category, '{text}' AS description,
                CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
-               count(*) AS issue_count FROM hits_{_key(i)} """
+               count(*) AS issue_count, NULL::VARCHAR AS message FROM hits_{_key(i)} """
         for i, name, table, category, text in CHECK_LABELS
     )
 }
@@ -176,7 +180,7 @@ def _samples() -> str:
         "DQ-004": "order_id order_date order_total status",
         "DQ-005": "shipment_id order_id carrier ship_date actual_delivery days_diff",
         "DQ-006": "item_id order_id product_id line_total",
-        "DQ-007": "email occurrences part customer_ids",
+        "DQ-007": "email occurrences first_customer_id last_customer_id",
         "DQ-008": "product_id product_name unit_price cost_price",
         "DQ-009": "order_id order_date status customer_id",
         "DQ-010": "return_id order_id reason status",
@@ -252,6 +256,20 @@ def _counts(layer: str, prefix: str, tables) -> str:
     )
 
 
+# The exact sums of each mart, as the pipeline module defines them.
+TOTALS = " UNION ALL ".join(
+    f"""SELECT '{mart}' AS mart, count(*) AS "rows",
+               sum({' + '.join(f'{c}::DECIMAL(28,4)' for c in money.split())})::DOUBLE AS money,
+               sum({' + '.join(f'{c}::DECIMAL(28,4)' for c in units.split())})::DOUBLE AS units FROM {mart} """
+    for mart, money, units in [
+        ("gold_revenue_by_category", "total_revenue total_gross_profit", "total_units_sold"),
+        ("gold_monthly_order_summary", "total_revenue avg_order_value", "total_orders unique_customers"),
+        ("gold_return_rate_by_product", "total_revenue total_refunded", "times_sold times_returned"),
+        ("gold_customer_lifetime_value", "total_spent total_refunded", "total_orders total_returns"),
+        ("gold_fulfillment_summary", "avg_days_to_deliver on_time_rate_pct", "total_shipments delayed"),
+    ]
+)
+
 LOADS = {
     "bronze_metadata": " UNION ALL ".join(
         f"""SELECT {key} AS id, TIMESTAMP '2024-01-01 00:00:00' AS _ingest_timestamp,
@@ -288,28 +306,43 @@ LOADS = {
         SELECT 'shipping_events', unnest(['rows_in', 'rows_out', 'invalid_ship_dates']),
                unnest([count(*), count(*), count(*) FILTER (_invalid_ship_date)])
         FROM silver_shipping_events""",
-    "gold_export": " UNION ALL ".join(
-        f"""SELECT '{g}' AS mart, count(*) AS "rows" FROM {g} """ for g in GOLD
-    ),
-    "pipeline_run": _counts("bronze", "raw_", RAW)
-    + " UNION ALL " + _counts("silver", "silver_", SILVER)
-    + """ UNION ALL SELECT 'quality', 'dq_quality_log', 'OK', 10 UNION ALL """
-    + _counts("gold", "", GOLD),
+    "gold_export": f"SELECT * FROM ({TOTALS})",
+    "pipeline_run": f"""
+        SELECT layer, s."table", status, "rows", CASE WHEN layer <> 'quality' THEN 0 END::BIGINT AS rejected,
+               money, units
+        FROM ({_counts("bronze", "raw_", RAW)} UNION ALL {_counts("silver", "silver_", SILVER)}
+              UNION ALL SELECT 'quality', 'dq_quality_log', 'OK', 10
+              UNION ALL {_counts("gold", "", GOLD)}) s
+        LEFT JOIN (SELECT mart AS "table", money, units FROM ({TOTALS})) t ON t."table" = s."table" """,
+    "bronze_rejects": """
+        SELECT 'returns' AS "table", concat_ws(',', return_id, order_id, return_date, reason || ', unclear',
+                                               status, '') AS record
+        FROM raw_returns WHERE refund_amount IS NULL""",
 }
 
 SINGLES = {
     "filter_in_status": """
         SELECT order_id, status FROM silver_orders WHERE status IN ('completed', 'shipped')""",
     "join_items_products": """
-        SELECT product_id, item_id, quantity, line_total::DOUBLE AS line_total, product_name,
+        SELECT product_id, item_id, quantity::DOUBLE AS quantity, line_total::DOUBLE AS line_total, product_name,
                category, cost_price::DOUBLE AS cost_price
         FROM silver_order_items JOIN silver_products USING (product_id)""",
     "semi_approved_items": """
         SELECT item_id, order_id, product_id, line_total::DOUBLE AS line_total
         FROM silver_order_items
         WHERE order_id IN (SELECT order_id FROM silver_returns WHERE status = 'approved')""",
+    "join_return_rows": """
+        SELECT order_id, return_id, r.status, refund_amount::DOUBLE AS refund_amount, customer_id, order_date
+        FROM silver_returns AS r JOIN silver_orders USING (order_id)""",
+    "dq_007_members": """
+        SELECT email, occurrences, customer_id
+        FROM (SELECT *, count(*) OVER (PARTITION BY email) AS occurrences FROM silver_customers)
+        WHERE occurrences > 1""",
+    "dq_007_lists": """
+        SELECT email, count(*) AS occurrences, string_agg(customer_id, ', ' ORDER BY customer_id) AS customer_ids
+        FROM silver_customers GROUP BY email HAVING count(*) > 1""",
     "join_returns_orders": """
-        SELECT order_id, customer_id, count(DISTINCT return_id) AS return_rows,
+        SELECT order_id, customer_id, count(*) // any_value(copies) AS return_rows,
                (sum(refund_amount) / any_value(copies))::DOUBLE AS refunded,
                any_value(copies) AS order_copies
         FROM silver_returns
@@ -374,7 +407,7 @@ def answers() -> dict[str, str]:
             f"SELECT {SILVER_COLUMNS.get(table, '*')} FROM silver_{table}"
         )
     sql["silver_order_items_rejects"] = ask(
-        """SELECT item_id, order_id, product_id, quantity::BIGINT AS quantity,
+        """SELECT item_id, order_id, product_id, quantity::DOUBLE AS quantity,
                   unit_price::DOUBLE AS unit_price, line_total::DOUBLE AS line_total
            FROM raw_order_items WHERE order_id IS NULL OR product_id IS NULL"""
     )

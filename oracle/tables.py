@@ -73,9 +73,11 @@ RAW = {
                     WHEN (l_orderkey + l_partkey) % 499 = 0 THEN 'ORD-GHOST-' || (l_partkey % 4)
                     ELSE 'ORD-' || l_orderkey END AS order_id,
                'PROD-' || l_partkey AS product_id,
-               l_quantity::INT::VARCHAR AS quantity,
+               CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN (l_quantity - 0.5)::DECIMAL(10,1)::VARCHAR
+                    ELSE l_quantity::INT::VARCHAR END AS quantity,
                p_retailprice::DECIMAL(18,2)::VARCHAR AS unit_price,
-               (l_quantity::INT * p_retailprice::DECIMAL(18,2))::DECIMAL(18,2)::VARCHAR AS line_total
+               ((l_quantity - CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN 0.5 ELSE 0 END)::DECIMAL(10,1)
+                    * p_retailprice::DECIMAL(18,2))::DECIMAL(18,2)::VARCHAR AS line_total
         FROM lineitem JOIN part ON p_partkey = l_partkey""",
     "orders": """
         SELECT 'ORD-' || o_orderkey AS order_id,
@@ -86,7 +88,7 @@ RAW = {
                     ELSE plain_status END AS status,
                CASE left(o_orderpriority, 1) WHEN '1' THEN 'web' WHEN '2' THEN 'web'
                     WHEN '3' THEN 'mobile' WHEN '4' THEN 'in-store' ELSE 'referral' END AS channel,
-               ['credit_card', 'debit_card', 'paypal', 'apple_pay', 'gift_card'][o_custkey % 5 + 1]
+               ['card', 'transfer', 'wallet', 'voucher', 'cash'][o_custkey % 5 + 1]
                    AS payment_method,
                CASE WHEN o_orderkey % 13 <> 0 THEN (5 * (o_orderkey % 4))::VARCHAR END
                    AS discount_pct,
@@ -105,19 +107,16 @@ RAW = {
                CASE WHEN l_partkey % 53 = 0 THEN 'ORD-MISSING-' || (l_partkey % 5)
                     ELSE 'ORD-' || l_orderkey END AS order_id,
                (l_shipdate::DATE + (3 + l_partkey % 28)::INT)::VARCHAR AS return_date,
-               ['Defective product', 'Wrong item shipped', 'Changed mind', 'Does not fit',
-                'Better price found', 'Arrived too late', 'Not as described', 'Duplicate order'
-               ][l_suppkey % 8 + 1] AS reason,
+               'reason ' || chr(65 + (l_suppkey % 8)::INT) AS reason,
                ['approved', 'approved', 'pending', 'rejected'][l_suppkey % 4 + 1] AS status,
                CASE WHEN l_partkey % 41 <> 0 THEN l_extendedprice::DECIMAL(18,2)::VARCHAR END
                    AS refund_amount
-        FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <= 2""",
+        FROM lineitem WHERE l_returnflag = 'R'""",
     "shipping_events": """
-        SELECT 'SHIP-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey AS shipment_id,
+        SELECT 'SHIP-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS shipment_id,
                'ORD-' || l_orderkey AS order_id,
                ['UPS', 'FedEx', 'USPS', 'DHL', 'Amazon Logistics'][l_suppkey % 5 + 1] AS carrier,
-               ['Dulles-VA', 'Baltimore-MD', 'Richmond-VA', 'Charlotte-NC', 'Atlanta-GA'
-               ][l_partkey % 5 + 1] AS warehouse,
+               ['north', 'east', 'south', 'west', 'centre'][l_partkey % 5 + 1] AS warehouse,
                l_shipdate::DATE::VARCHAR AS ship_date,
                (l_shipdate::DATE + (3 + l_partkey % 5)::INT)::VARCHAR AS estimated_delivery,
                CASE WHEN l_partkey % 10 = 0 THEN NULL
@@ -126,8 +125,8 @@ RAW = {
                END AS actual_delivery,
                ['delivered', 'delivered', 'delivered', 'in_transit', 'out_for_delivery', 'delayed',
                 'lost'][l_orderkey % 7 + 1] AS status,
-               'SHIP-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey AS tracking_number
-        FROM lineitem WHERE l_linenumber = 1""",
+               'SHIP-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS tracking_number
+        FROM lineitem WHERE l_linenumber = 1 OR (l_linenumber = 2 AND l_orderkey % 4 = 0)""",
 }
 
 SILVER = {
@@ -146,7 +145,7 @@ SILVER = {
                TRY_CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
                TRY_CAST(cost_price AS DECIMAL(18,2)) AS cost_price,
                coalesce(TRY_CAST(stock_qty AS BIGINT), 0) AS stock_qty,
-               coalesce(TRY_CAST(is_active AS BOOLEAN), true) AS is_active
+               CASE WHEN is_active IS NULL THEN true ELSE TRY_CAST(is_active AS BOOLEAN) END AS is_active
         FROM raw_products""",
     "orders": f"""
         SELECT order_id, customer_id, TRY_CAST(order_date AS DATE) AS order_date,
@@ -158,7 +157,7 @@ SILVER = {
                count(*) OVER (PARTITION BY order_id) > 1 AS _is_duplicate_order
         FROM raw_orders""",
     "order_items": """
-        SELECT item_id, order_id, product_id, TRY_CAST(quantity AS BIGINT) AS quantity,
+        SELECT item_id, order_id, product_id, TRY_CAST(quantity AS DECIMAL(18,4)) AS quantity,
                TRY_CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
                TRY_CAST(line_total AS DECIMAL(18,2)) AS line_total
         FROM raw_order_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL""",

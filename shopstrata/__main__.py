@@ -1,6 +1,6 @@
 """Command line: run the pipeline, export the marts, show the dashboard's figures.
 
-    python -m shopstrata run RAW_DIR ROOT
+    python -m shopstrata run RAW_DIR ROOT [--multi-line TABLE ...]
     python -m shopstrata export ROOT CSV_DIR
     python -m shopstrata dashboard ROOT
 
@@ -18,14 +18,22 @@ from pyspark.sql import SparkSession
 from shopstrata.plans import quality, serving
 from shopstrata.plans.marts import MARTS
 from shopstrata.plans.pipeline import QUALITY_LOG, export_marts, run_pipeline
+from shopstrata.plans.silver import CLEANERS
 from shopstrata.session import build_session
 from shopstrata.sources.layers import LayerStore
 
 
-def run(spark: SparkSession, raw_dir: str, root: str, run_time: datetime | None) -> None:
-    """Run all steps, then show the status of each table and the outcome of the checks."""
-    run_pipeline(spark, raw_dir, root, run_time).show(100, truncate=False)
-    history = LayerStore(spark, root).history(QUALITY_LOG)
+def run(
+    spark: SparkSession, raw_dir: str, root: str, run_time: datetime | None, multi_line: Sequence[str]
+) -> None:
+    """Run all steps, then show the status of each table, the outcome of the checks, samples and rejects."""
+    run_pipeline(spark, raw_dir, root, run_time, multi_line=multi_line).show(100, truncate=False)
+    store = LayerStore(spark, root)
+    store.rejects().show(20, truncate=False)
+    silver = store.current("silver")
+    if set(CLEANERS) <= set(silver):
+        quality.quality_samples(silver).orderBy("check_id", "sample_no").show(100, truncate=False)
+    history = store.history(QUALITY_LOG)
     quality.latest_report(history).show(truncate=False)
     quality.quality_summary(quality.latest_run(history)).show(truncate=False)
 
@@ -63,6 +71,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     one.add_argument("raw_dir")
     one.add_argument("root")
     one.add_argument("--run-time", type=datetime.fromisoformat)
+    one.add_argument("--multi-line", nargs="*", default=[], metavar="TABLE", help="tables with line breaks in cells")
     two = commands.add_parser("export", help="write the marts as CSV")
     two.add_argument("root")
     two.add_argument("folder")
@@ -72,7 +81,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     spark = build_session()
     if given.command == "run":
-        run(spark, given.raw_dir, given.root, given.run_time)
+        run(spark, given.raw_dir, given.root, given.run_time, given.multi_line)
     elif given.command == "export":
         export(spark, given.root, given.folder)
     else:

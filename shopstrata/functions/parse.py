@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 
 MONEY = "DECIMAL(18,2)"
+AMOUNT = "DECIMAL(18,4)"
 
 
 def money(text: str) -> str:
@@ -16,6 +17,11 @@ def money(text: str) -> str:
     return f"try_cast({text} AS {MONEY})"
 
 
+def amount(text: str) -> str:
+    """An exact quantity that may have a fraction, to four digits."""
+    return f"try_cast({text} AS {AMOUNT})"
+
+
 def number(text: str) -> str:
     """A double; NaN, which ``try_cast`` accepts as text, becomes NULL."""
     return f"nanvl(try_cast({text} AS DOUBLE), CAST(NULL AS DOUBLE))"

@@ -1,9 +1,13 @@
 """Joins to a keyed side, and duplicate flags, that survive hot keys.
 
-Spark's own skew-join rule splits a join only when both inputs come straight out of a shuffle.
-The right sides here are aggregates (one row per key), for which that rule does not fire, so
-the hot keys of the left side are measured and salted instead. Small inputs skip the measuring:
-below ``SALT_ABOVE_BYTES`` of input no partition can be too large.
+The right sides here are aggregates (one row per key). Such a side is partitioned by its key already,
+so Spark would join it as it is, and its skew-join rule, which splits an oversized partition of the left
+side, only fires where both sides come straight out of a shuffle for the join. ``match`` therefore joins on
+the key and on a hash of it: the hash changes no match, but the aggregate (a row per key, small next to the
+left side) is shuffled once more, and any partition above
+``spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes`` is split by its map outputs, whichever keys or
+missing keys it holds. There is one plan for every size, nothing is measured while it is built, and a join
+whose columns nobody reads still vanishes.
 """
 
 from __future__ import annotations
@@ -11,95 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT_CONF = "shopstrata.saltAboveBytes"
-SALT_ABOVE_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds at least 1/MAX_HOT_KEYS of the rows, so there are never more.
-MAX_HOT_KEYS = 1000
-_TRACKED = 16 * MAX_HOT_KEYS
 
+def match(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join ``left`` to ``right`` on the column ``key``; ``how`` is left, inner, left_semi or left_anti.
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files and relations that ``df`` reads after column and partition pruning.
-
-    The sum over the leaves is used because the estimate for a join multiplies its sides.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def may_be_skewed(df: DataFrame) -> bool:
-    """Whether ``df`` is large enough for one hot key to matter."""
-    limit = int(df.sparkSession.conf.get(SALT_CONF, str(SALT_ABOVE_BYTES)))
-    return input_bytes(df) >= limit
-
-
-def hot_keys(df: DataFrame, key: str) -> list[tuple[str | None, int]]:
-    """``(key, splits)`` for each hot key of ``df``, at most MAX_HOT_KEYS + 1 entries.
-
-    One pass over one column with a frequent-items sketch: no shuffle of the keys. NULL counts
-    as a key, since outer and anti joins send all NULL keys to the same partition. The sketch
-    only decides which keys are salted; results do not depend on it.
+    ``right`` holds at most one row per key (for semi and anti joins its copies do not matter, but
+    callers pass distinct keys so that a hot key on that side has collapsed already).
     """
-    sketch = df.select(key).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top"),
-    ).first()
-    share = max(1, sketch["rows"] // MAX_HOT_KEYS)
-    found = [(t["item"], t["count"]) for t in sketch["top"] or [] if t["item"] is not None]
-    found.append((None, sketch["nulls"]))
-    return [(k, -(-n // share)) for k, n in found if n >= share and n > 1]
-
-
-def match(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    spread_by: list[str] | None = None,
-) -> DataFrame:
-    """Join ``left`` to ``right`` on the text column ``key``; ``how`` is left, inner, left_semi
-    or left_anti.
-
-    ``right`` holds at most one row per key (for semi and anti joins its copies do not matter,
-    but callers pass distinct keys so that a hot key on that side has collapsed already).
-    ``spread_by`` names the columns of ``left`` that tell the rows of one hot key apart; the
-    partition id is added, so that exact copies are spread as well. Salts are a function of the
-    row and its input partition and hence the same when a lost task is run again.
-    """
-    hot = hot_keys(left, key) if may_be_skewed(left.select(key)) else []
-    if not hot:
-        return left.join(right, key, how)
-
-    names = [name for name, _ in hot if name is not None]
-    null_splits = next((n for name, n in hot if name is None), 1)
-    spark = left.sparkSession
-    splits = spark.createDataFrame(
-        [(name, n) for name, n in hot if name is not None], f"`{key}` string, _splits int"
+    hashed = F.hash(key)
+    return (
+        left.withColumn("_spread", hashed)
+        .join(right.withColumn("_spread", hashed), [key, "_spread"], how)
+        .drop("_spread")
     )
-    # At most MAX_HOT_KEYS rows by construction.
-    splits = F.broadcast(splits)
-    row = F.xxhash64(*[F.col(c) for c in spread_by or left.columns], F.spark_partition_id())
-
-    salted = left.withColumn("_row", row)
-    if names:
-        salted = salted.join(splits, key, "left")
-    else:
-        salted = salted.withColumn("_splits", F.lit(None).cast("int"))
-    spread = F.when(F.col(key).isNull(), F.lit(null_splits)).otherwise(
-        F.coalesce("_splits", F.lit(1))
-    )
-    salted = salted.withColumn("_salt", F.pmod("_row", spread).cast("int")).drop("_row", "_splits")
-
-    copies = right
-    if names:
-        copies = copies.join(splits, key, "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
-        )
-        copies = copies.drop("_splits")
-    else:
-        copies = copies.withColumn("_salt", F.lit(0))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -107,17 +35,17 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(key).distinct()
 
 
-def without_match(left: DataFrame, other: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def without_match(left: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``other``; a NULL key never occurs."""
-    return match(left, distinct_keys(other, key), key, "left_anti", spread_by)
+    return match(left, distinct_keys(other, key), key, "left_anti")
 
 
-def with_match(left: DataFrame, other: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def with_match(left: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``other``."""
-    return match(left, distinct_keys(other, key), key, "left_semi", spread_by)
+    return match(left, distinct_keys(other, key), key, "left_semi")
 
 
-def flag_repeated(df: DataFrame, key: str, flag: str, spread_by: list[str]) -> DataFrame:
+def flag_repeated(df: DataFrame, key: str, flag: str) -> DataFrame:
     """Add ``flag``: whether the row's key occurs more than once. NULL keys equal each other.
 
     A window over the key would pull each group into one task. Here the keys are counted with
@@ -131,6 +59,6 @@ def flag_repeated(df: DataFrame, key: str, flag: str, spread_by: list[str]) -> D
         .where("_n > 1")
         .selectExpr("_group", "true AS _repeated")
     )
-    return match(marked, repeated, "_group", "left", spread_by).selectExpr(
+    return match(marked, repeated, "_group", "left").selectExpr(
         *df.columns, f"_repeated IS NOT NULL AS {flag}"
     )

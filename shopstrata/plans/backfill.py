@@ -19,4 +19,4 @@ def backfill_order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(F.expr(f"CAST(sum({money('line_total')}) AS {MONEY}) AS order_total"))
     )
-    return match(orders, totals, "order_id", "left", ["customer_id", "order_date"])
+    return match(orders, totals, "order_id", "left")

@@ -68,7 +68,7 @@ def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFram
     )
     costed = "quantity IS NOT NULL AND line_total IS NOT NULL"
     per_product = _agg(
-        match(items, weights, "order_id", "inner", ["product_id"]).groupBy("product_id", "weight"),
+        match(items, weights, "order_id", "inner").groupBy("product_id", "weight"),
         "sum(quantity) AS units",
         "sum(line_total) AS revenue",
         "sum(unit_price) AS prices",
@@ -87,17 +87,19 @@ def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFram
     totals = _agg(
         per_product.join(catalogue, "product_id").groupBy("category"),
         "count(DISTINCT product_id) AS unique_products",
-        f"sum(CAST(units * {times} AS BIGINT)) AS units",
+        f"sum(CAST(units * {times} AS DECIMAL(28,4))) AS units",
         f"sum(CAST(revenue * {times} AS DECIMAL(28,2))) AS revenue",
         f"sum(CAST(prices * {times} AS DECIMAL(28,2))) AS prices",
         f"sum(CAST(priced_rows * {times} AS BIGINT)) AS priced_rows",
-        f"sum(CAST({profit} * {times} AS DECIMAL(28,2))) AS profit",
+        # Quantities have four digits and costs two, so six digits are exact; rounded once, below.
+        f"sum(CAST(CAST({profit} AS DECIMAL(28,6)) * {times} AS DECIMAL(28,6))) AS profit",
     )
-    margin = ratio_half_up(f"{cents('profit')} * 100", cents("revenue"), 1)
+    micros = "CAST(profit * 1000000 AS DECIMAL(34,0))"
+    margin = ratio_half_up(f"{micros} * 100", f"{cents('revenue')} * 10000", 1)
     return totals.selectExpr(
         "category",
         "unique_products",
-        "units AS total_units_sold",
+        "CAST(units AS DECIMAL(30,4)) AS total_units_sold",
         "CAST(revenue AS DECIMAL(30,2)) AS total_revenue",
         f"{average_money('prices', 'priced_rows')} AS avg_unit_price",
         "CAST(profit AS DECIMAL(30,2)) AS total_gross_profit",
@@ -175,7 +177,7 @@ def return_rate_by_product(tables: Tables) -> DataFrame:
         "order_id", "product_id", "quantity", "line_total", "item_id IS NOT NULL AS has_id"
     )
     per_product = _agg(
-        match(items, returned, "order_id", "left", ["product_id"]).groupBy("product_id"),
+        match(items, returned, "order_id", "left").groupBy("product_id"),
         "count_if(has_id) AS sold",
         "sum(quantity) AS units",
         "sum(line_total) AS revenue",
@@ -198,7 +200,7 @@ def return_rate_by_product(tables: Tables) -> DataFrame:
             "category",
             "unit_price",
             "sold * copies AS times_sold",
-            "units * copies AS total_units_sold",
+            "CAST(units * CAST(copies AS DECIMAL(18,0)) AS DECIMAL(30,4)) AS total_units_sold",
             "CAST(revenue * CAST(copies AS DECIMAL(18,0)) AS DECIMAL(30,2)) AS total_revenue",
             f"{returned_times} AS times_returned",
             "CAST(coalesce(refunded * CAST(listings AS DECIMAL(18,0)), 0) AS DECIMAL(30,2)) "
@@ -232,9 +234,7 @@ def customer_lifetime_value(
     )
     returned = returns_per_order(tables["returns"]).select("order_id", "returns", "refunded")
     per_customer = _agg(
-        match(orders, returned, "order_id", "left", ["customer_id", "order_date"]).groupBy(
-            "customer_id"
-        ),
+        match(orders, returned, "order_id", "left").groupBy("customer_id"),
         "count_if(order_total IS NOT NULL AND order_id IS NOT NULL) AS orders",
         "count(order_total) AS paid_rows",
         "sum(order_total) AS spent",

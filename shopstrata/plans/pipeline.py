@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
@@ -16,7 +17,7 @@ from shopstrata.plans.marts import MARTS, in_report_order
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS
 from shopstrata.sources.layers import LEDGER_SCHEMA, LayerStore, entry
-from shopstrata.sources.raw_csv import scan_if_present, stamped, write_csv
+from shopstrata.sources.raw_csv import read_if_present, stamped, write_csv
 from shopstrata.sources.schemas import TABLES
 
 QUALITY_LOG = "dq_quality_log"
@@ -37,6 +38,7 @@ class Run:
         root: str,
         run_time: datetime | None = None,
         mart_options: Mapping[str, dict] | None = None,
+        multi_line: Collection[str] = (),
     ):
         self.spark = spark
         self.raw_dir = raw_dir.rstrip("/")
@@ -44,6 +46,7 @@ class Run:
         self.run_time = run_time or datetime.now()
         self.run_id = f"{self.run_time:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         self.mart_options = mart_options or {}
+        self.multi_line = frozenset(multi_line)
         self.entries: list[dict] = []
 
     def _write_layer(self, layer: str, plans: Mapping[str, Callable[[], DataFrame | None]]) -> None:
@@ -55,8 +58,7 @@ class Run:
                     return note("SKIPPED")
                 return self.store.write(self.run_id, self.run_time, layer, name, df)
             except Exception as problem:  # noqa: BLE001 - one table must not stop the others
-                print(f"{layer}.{name} failed: {str(problem).splitlines()[0]}")
-                return note("FAILED")
+                return note("FAILED", error=str(problem))
 
         with ThreadPoolExecutor(max_workers=max(1, len(plans))) as pool:
             self._record(pool.map(one, plans))
@@ -67,10 +69,10 @@ class Run:
         self.entries += entries
 
     def _scan(self, table: str) -> DataFrame | None:
-        return scan_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv")
+        return read_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv", table in self.multi_line)
 
     def plain_load(self) -> None:
-        """Load the raw files into the layer ``raw``, without any added column."""
+        """Load the raw files into the layer ``raw``, without any metadata."""
         self._write_layer("raw", {t: partial(self._scan, t) for t in TABLES})
 
     def bronze(self) -> None:
@@ -93,15 +95,16 @@ class Run:
         self._write_layer("silver", {t: partial(clean, t) for t in CLEANERS})
 
     def quality(self) -> DataFrame:
-        """Run the checks, replace the CSV report and append to the history."""
+        """Run the checks, write the CSV report of the run and append to the history."""
+        began = time.perf_counter()
         report = run_quality_checks(self.spark, self.store.current("silver"), self.run_time)
         # Ten rows: one file is enough.
-        write_csv(report.coalesce(1), f"{self.store.root}/quality_report")
-        self.store.append_history(QUALITY_LOG, self.run_id, report)
+        path = f"{self.store.root}/quality_report/run={self.run_id}"
+        write_csv(report.coalesce(1), path)
+        self.store.append_history(QUALITY_LOG, report)
         rows = self.store.history(QUALITY_LOG).where(F.col("run_time") == F.expr(instant(self.run_time)))
-        self._record(
-            [entry(self.run_id, self.run_time, "quality", QUALITY_LOG, "OK", rows.count())]
-        )
+        note = partial(entry, self.run_id, self.run_time, "quality", QUALITY_LOG, "OK")
+        self._record([note(rows.count(), path, seconds=time.perf_counter() - began)])
         return report
 
     def gold(self) -> None:
@@ -118,7 +121,7 @@ class Run:
         """One row per layer and table of this run."""
         rows = [tuple(e.values()) for e in self.entries]
         done = self.spark.createDataFrame(rows, LEDGER_SCHEMA)
-        return done.select("layer", "table", "status", "rows")
+        return done.select("layer", "table", "status", "rows", "rejected", "error", "seconds")
 
 
 def run_pipeline(
@@ -127,16 +130,41 @@ def run_pipeline(
     root: str,
     run_time: datetime | None = None,
     mart_options: Mapping[str, dict] | None = None,
+    multi_line: Collection[str] = (),
 ) -> DataFrame:
-    """Run all steps in order and return one status row per table. Issues never block Gold."""
-    run = Run(spark, raw_dir, root, run_time, mart_options)
+    """Run all steps and return one status row per table. Issues never block Gold.
+
+    Quality and Gold both need Silver only and run side by side. ``multi_line`` names the tables whose
+    raw files have line breaks inside quoted cells.
+    """
+    run = Run(spark, raw_dir, root, run_time, mart_options, multi_line)
     run.bronze()
     run.silver()
-    run.quality()
-    run.gold()
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for done in [pool.submit(run.quality), pool.submit(run.gold)]:
+            done.result()
     return run.status()
 
 
+# What proves the content of a mart: an exact sum of money and a sum of whole numbers or quantities.
+TOTALS = {
+    "gold_revenue_by_category": ("total_revenue + total_gross_profit", "total_units_sold"),
+    "gold_monthly_order_summary": ("total_revenue + avg_order_value", "total_orders + unique_customers"),
+    "gold_return_rate_by_product": ("total_revenue + total_refunded", "times_sold + times_returned"),
+    "gold_customer_lifetime_value": ("total_spent + total_refunded", "total_orders + total_returns"),
+    "gold_fulfillment_summary": ("avg_days_to_deliver + on_time_rate_pct", "total_shipments + delayed"),
+}
+
+
+def mart_totals(name: str, mart: DataFrame) -> DataFrame:
+    """(mart, rows, money, units) of a stored or exported mart, summed as decimals."""
+    exact = {c: f"CAST({c} AS DECIMAL(28,4))" for pair in TOTALS[name] for c in pair.split(" + ")}
+    money, units = (" + ".join(exact[c] for c in part.split(" + ")) for part in TOTALS[name])
+    return mart.selectExpr(
+        f"'{name}' AS mart", "count(1) AS rows", f"sum({money}) AS money", f"sum({units}) AS units"
+    )
+
+
 def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:
     """Write each mart to its own CSV folder, in report order."""
     plans = {name: in_report_order(name, marts[name]) for name in marts}

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopstrata.functions.parse import instant
@@ -21,8 +21,6 @@ from shopstrata.operators.keyed import match, without_match
 
 Tables = Mapping[str, DataFrame]
 
-LIST_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Check:
@@ -62,12 +60,12 @@ def orders_without_customer(t: Tables) -> DataFrame:
 
 def returns_without_order(t: Tables) -> DataFrame:
     listed = t["returns"].select("return_id", "order_id", "return_date", "refund_amount")
-    return without_match(listed, t["orders"], "order_id", ["return_id"]).select(*listed.columns)
+    return without_match(listed, t["orders"], "order_id").select(*listed.columns)
 
 
 def orders_without_items(t: Tables) -> DataFrame:
     listed = t["orders"].select("order_id", "order_date", "order_total", "status")
-    return without_match(listed, t["order_items"], "order_id", ["order_date", "order_total"])
+    return without_match(listed, t["order_items"], "order_id")
 
 
 def invalid_shipping_dates(t: Tables) -> DataFrame:
@@ -87,33 +85,49 @@ def invalid_shipping_dates(t: Tables) -> DataFrame:
 
 def items_without_order(t: Tables) -> DataFrame:
     listed = t["order_items"].select("item_id", "order_id", "product_id", "line_total")
-    return without_match(listed, t["orders"], "order_id", ["item_id"]).select(*listed.columns)
+    return without_match(listed, t["orders"], "order_id").select(*listed.columns)
 
 
-def shared_emails(t: Tables, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Emails of more than one customer, with the customers' ids in order.
+def shared_emails(t: Tables) -> DataFrame:
+    """Emails of more than one customer: how many rows they have, and the first and last customer id.
 
-    An id list longer than about ``list_limit`` is continued in further rows, numbered by
-    ``part``: one cell must not grow with the data, and no id may be left out. A missing email
-    is a group of its own.
+    A missing email is a group of its own. Who the customers are is listed by
+    :func:`shared_email_members` and :func:`shared_email_lists`.
     """
+    return (
+        t["customers"]
+        .groupBy("email")
+        .agg(
+            F.count(F.lit(1)).alias("occurrences"),
+            F.min("customer_id").alias("first_customer_id"),
+            F.max("customer_id").alias("last_customer_id"),
+        )
+        .where("occurrences > 1")
+    )
+
+
+def shared_email_members(t: Tables) -> DataFrame:
+    """One row for each customer row whose email is shared; no cell grows with the group."""
     group = F.coalesce(F.concat(F.lit("="), "email"), F.lit("-")).alias("_group")
     members = t["customers"].select("customer_id", "email", group)
     groups = _occurrences(members, "_group")
-    slot = F.xxhash64("customer_id", "_input")
-    parts = F.ceil(F.col("occurrences") / F.lit(list_limit))
+    return match(members, groups, "_group", "inner").select("email", "occurrences", "customer_id")
+
+
+def shared_email_lists(t: Tables) -> DataFrame:
+    """One row per shared email with all its customer ids in order, in one cell.
+
+    For data in which no email has more customers than a cell can hold; other data is read with
+    :func:`shared_email_members`, which has the same content.
+    """
     return (
-        match(
-            members.withColumn("_input", F.spark_partition_id()),
-            groups,
-            "_group",
-            "inner",
-            ["customer_id", "_input"],
+        t["customers"]
+        .groupBy("email")
+        .agg(
+            F.count(F.lit(1)).alias("occurrences"),
+            F.expr("listagg(customer_id, ', ') within group (order by customer_id)").alias("customer_ids"),
         )
-        .withColumn("part", F.pmod(slot, parts))
-        .groupBy("_group", "email", "occurrences", "part")
-        .agg(F.expr("listagg(customer_id, ', ') within group (order by customer_id)").alias("ids"))
-        .select("email", "occurrences", "part", F.col("ids").alias("customer_ids"))
+        .where("occurrences > 1")
     )
 
 
@@ -228,22 +242,21 @@ SHARED_COUNTS: list[tuple[tuple[str, ...], Callable[[Tables], DataFrame]]] = [
 
 
 def count_issues(check: Check, tables: Tables) -> DataFrame:
-    """The number of issues of one check, as one row (an email counts once, however listed)."""
-    if check.check_id == "DQ-007":
-        return _email_counts(tables)
+    """The number of issues of one check, as one row."""
     return check.violations(tables).agg(F.count(F.lit(1)).alias(check.check_id))
 
 
 REPORT_SCHEMA = (
     "run_time timestamp, check_id string, check_name string, `table` string, category string, "
-    "description string, status string, issue_count long"
+    "description string, status string, issue_count long, message string"
 )
 
 
-def _counted(counts: DataFrame, check_ids: tuple[str, ...]) -> DataFrame:
+def _counted(counts: DataFrame, check_ids: tuple[str, ...], message: str | None = None) -> DataFrame:
     """One row of counts as one row per check."""
     pairs = ", ".join(f"'{i}', CAST(`{i}` AS BIGINT)" for i in check_ids)
-    return counts.selectExpr(f"stack({len(check_ids)}, {pairs}) AS (check_id, issue_count)")
+    rows = counts.selectExpr(f"stack({len(check_ids)}, {pairs}) AS (check_id, issue_count)")
+    return rows.withColumn("message", F.lit(message).cast("string"))
 
 
 def _labelled(counted: DataFrame, run_time: datetime) -> DataFrame:
@@ -260,7 +273,7 @@ def _labelled(counted: DataFrame, run_time: datetime) -> DataFrame:
                      ELSE 'PASS' END AS status"""
     return (
         counted.withColumns({"run_time": F.expr(instant(run_time)), "check": F.expr(f"map({entries})[check_id]")})
-        .select("run_time", "check_id", "check.*", F.expr(status), "issue_count")
+        .select("run_time", "check_id", "check.*", F.expr(status), "issue_count", "message")
     )
 
 
@@ -284,8 +297,8 @@ def quality_report(spark: SparkSession, tables: Tables, run_time: datetime) -> D
         for check_id in check_ids:
             try:
                 parts.append(_counted(count_issues(BY_ID[check_id], tables), (check_id,)))
-            except Exception:  # noqa: BLE001 - any failure is a result of the check
-                parts.append(_counted(_error_count(spark, check_id), (check_id,)))
+            except Exception as problem:  # noqa: BLE001 - any failure is a result of the check
+                parts.append(_counted(_error_count(spark, check_id), (check_id,), str(problem)))
     return _labelled(reduce(DataFrame.unionByName, parts), run_time).orderBy("check_id")
 
 
@@ -304,9 +317,9 @@ def run_quality_checks(spark: SparkSession, tables: Tables, run_time: datetime)
             try:
                 counts = count_issues(check, tables)
                 rows += _labelled(_counted(counts, (check.check_id,)), run_time).collect()
-            except Exception:  # noqa: BLE001
+            except Exception as problem:  # noqa: BLE001
                 counts = _error_count(spark, check.check_id)
-                rows += _labelled(_counted(counts, (check.check_id,)), run_time).collect()
+                rows += _labelled(_counted(counts, (check.check_id,), str(problem)), run_time).collect()
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -371,6 +384,69 @@ def sample_violations(check: Check, tables: Tables) -> DataFrame:
     )
 
 
+# The fields of a sample, in the order of the listing.
+SAMPLE_FIELDS = {
+    "DQ-001": "order_id occurrences",
+    "DQ-002": "order_id order_date order_total",
+    "DQ-003": "return_id order_id return_date refund_amount",
+    "DQ-004": "order_id order_date order_total status",
+    "DQ-005": "shipment_id order_id carrier ship_date actual_delivery days_diff",
+    "DQ-006": "item_id order_id product_id line_total",
+    "DQ-007": "email occurrences first_customer_id last_customer_id",
+    "DQ-008": "product_id product_name unit_price cost_price",
+    "DQ-009": "order_id order_date status customer_id",
+    "DQ-010": "return_id order_id reason status",
+}
+
+
+def _marked(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+    """(check_id, key, record) for every check whose condition a row meets, in one scan of ``df``."""
+    found = []
+    for check_id, condition in conditions.items():
+        [key] = BY_ID[check_id].keys
+        fields = ", ".join(
+            f"concat('{c}=', coalesce(CAST({c} AS STRING), 'NULL'))" for c in SAMPLE_FIELDS[check_id].split()
+        )
+        found.append(
+            f"if({condition}, named_struct('check_id', '{check_id}', 'key', {key}, "
+            f"'record', concat_ws(', ', {fields})), NULL)"
+        )
+    marks = f"explode(filter(array({', '.join(found)}), x -> x IS NOT NULL)) AS mark"
+    return df.selectExpr(marks).select("mark.*")
+
+
 def quality_samples(tables: Tables) -> DataFrame:
-    """Samples of all checks."""
-    return reduce(DataFrame.unionByName, [sample_violations(c, tables) for c in CHECKS])
+    """Samples of all checks: every table is read once, besides the shared census of order ids.
+
+    The first six per check are kept before anything is shuffled; six tell "up to five" from more.
+    """
+    census = key_census({n: tables[n] for n in ("orders", "order_items", "returns")}, "order_id")
+    no_order = census.where("orders = 0").selectExpr("order_id", "true AS _alone")
+    no_items = census.where("order_items = 0").selectExpr("order_id", "true AS _alone")
+    alone = "order_id IS NULL OR coalesce(_alone, false)"
+    marks = [
+        _marked(census.withColumnRenamed("orders", "occurrences"), {"DQ-001": "occurrences > 1"}),
+        _marked(
+            match(tables["orders"], no_items, "order_id", "left"),
+            {"DQ-002": NO_CUSTOMER, "DQ-004": alone, "DQ-009": NO_TOTAL},
+        ),
+        _marked(match(tables["returns"], no_order, "order_id", "left"), {"DQ-003": alone, "DQ-010": NO_REFUND}),
+        _marked(match(tables["order_items"], no_order, "order_id", "left"), {"DQ-006": alone}),
+        _marked(
+            tables["shipping_events"].withColumn("days_diff", F.datediff("actual_delivery", "ship_date")),
+            {"DQ-005": BAD_SHIP_DATE},
+        ),
+        _marked(shared_emails(tables), {"DQ-007": "true"}),
+        _marked(tables["products"], {"DQ-008": BAD_PRICE}),
+    ]
+    order = Window.partitionBy("check_id").orderBy(F.col("key").asc_nulls_last(), "record")
+    first = (
+        reduce(DataFrame.unionByName, marks)
+        .withColumn("sample_no", F.row_number().over(order)).where("sample_no <= 6")
+    )
+    rows = F.sort_array(F.collect_list(F.struct("sample_no", "record")))
+    return (
+        first.groupBy("check_id").agg(rows.alias("rows"))
+        .select("check_id", F.explode(F.slice("rows", 1, F.when(F.size("rows") <= 5, 5).otherwise(3))).alias("row"))
+        .select("check_id", "row.sample_no", "row.record")
+    )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shopstrata.functions.parse import day, flag, money, number, whole
+from shopstrata.functions.parse import amount, day, flag, money, number, whole
 from shopstrata.functions.text import cell, label, present, strip
 from shopstrata.operators.keyed import flag_repeated
 from shopstrata.sources.schemas import RAW_COLUMNS
@@ -30,13 +30,11 @@ def silver_customers(df: DataFrame) -> DataFrame:
     rules["email"] = label("email")
     rules["segment"] = f"coalesce({strip(cell('segment'))}, 'Unknown')"
     rules["created_at"] = day("created_at")
-    return flag_repeated(
-        _project(df, "customers", rules), "email", "_is_duplicate_email", ["customer_id"]
-    )
+    return flag_repeated(_project(df, "customers", rules), "email", "_is_duplicate_email")
 
 
 def silver_products(df: DataFrame) -> DataFrame:
-    """Strip names, parse prices, and default stock to 0 and the active flag to true."""
+    """Strip names, parse prices, and default stock to 0 and a missing active flag to true."""
     return _project(
         df,
         "products",
@@ -46,7 +44,7 @@ def silver_products(df: DataFrame) -> DataFrame:
             "unit_price": money("unit_price"),
             "cost_price": money("cost_price"),
             "stock_qty": f"coalesce({whole('stock_qty')}, 0)",
-            "is_active": f"coalesce({flag('is_active')}, true)",
+            "is_active": f"if({present('is_active')}, {flag('is_active')}, true)",
         },
     )
 
@@ -65,9 +63,7 @@ def silver_orders(df: DataFrame) -> DataFrame:
             "payment_method": label("payment_method"),
         },
     ).selectExpr("*", "customer_id IS NULL AS _missing_customer_id")
-    return flag_repeated(
-        cleaned, "order_id", "_is_duplicate_order", ["customer_id", "order_date", "order_total"]
-    )
+    return flag_repeated(cleaned, "order_id", "_is_duplicate_order")
 
 
 # Tested on the raw cells, so that the filter runs below the projection without repeating it.
@@ -76,7 +72,7 @@ LINKED_ITEM = f"{present('order_id')} AND {present('product_id')}"
 
 def _parsed_items(df: DataFrame, links: dict[str, str]) -> DataFrame:
     rules = {
-        "quantity": whole("quantity"),
+        "quantity": amount("quantity"),
         "unit_price": money("unit_price"),
         "line_total": money("line_total"),
     }

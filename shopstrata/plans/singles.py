@@ -41,7 +41,7 @@ def items_of_approved_orders(t: Tables) -> DataFrame:
     """Items whose order has an approved return, each item once."""
     items = t["order_items"].select("item_id", "order_id", "product_id", "line_total")
     approved = t["returns"].where(F.col("status") == "approved")
-    return with_match(items, approved, "order_id", ["item_id"]).select(*items.columns)
+    return with_match(items, approved, "order_id").select(*items.columns)
 
 
 def returns_with_orders(t: Tables) -> DataFrame:
@@ -57,7 +57,17 @@ def returns_with_orders(t: Tables) -> DataFrame:
         .groupBy("order_id", "customer_id")
         .agg(F.count(F.lit(1)).alias("order_copies"))
     )
-    return match(orders, returned, "order_id", "inner", ["customer_id"])
+    return match(orders, returned, "order_id", "inner")
+
+
+def return_rows_with_orders(t: Tables) -> DataFrame:
+    """Every return with the customer and date of its order; a repeated order repeats its returns.
+
+    Both sides come straight out of a scan, so Spark splits a hot order by itself.
+    """
+    returns = t["returns"].select("return_id", "order_id", "status", "refund_amount")
+    orders = t["orders"].select("order_id", "customer_id", "order_date")
+    return returns.join(orders, "order_id")
 
 
 def customers_per_channel(t: Tables) -> DataFrame:

@@ -7,7 +7,10 @@ ledger rows, one small file committed by a rename, is what makes it current.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable
 from datetime import datetime
@@ -17,24 +20,29 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.sources.raw_csv import BAD_ROW, good_rows, rejected_rows
 from shopstrata.sources.tables import TableSet
 
 LEDGER_SCHEMA = (
     "run_id string, run_time timestamp, layer string, `table` string, "
-    "status string, rows long, path string"
+    "status string, rows long, path string, rejected long, error string, seconds double"
 )
+# What a reader sees: whole tables, and those of which some raw rows could not be read.
+CURRENT = ("OK", "PARTIAL")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only where that is unset in local mode, as in a test, a temporary folder is used and set.
+    Only where that is unset in local mode, as in a test, a temporary folder is used and set, and
+    removed when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="shopstrata-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/shopstrata-{uuid.uuid4().hex}"
 
@@ -47,12 +55,22 @@ class LayerStore:
         self.root = root.rstrip("/")
 
     def write(self, run_id: str, run_time: datetime, layer: str, table: str, df: DataFrame) -> dict:
-        """Write one table of a run; rows are counted by the write itself. Returns its entry."""
+        """Write one table of a run; rows are counted by the write itself. Returns its entry.
+
+        Raw rows that could not be read are stored with the others, but counted apart; a table that
+        has any is PARTIAL.
+        """
         path = f"{self.root}/{layer}/{table}/run={run_id}"
+        began = time.perf_counter()
+        bad = F.col(BAD_ROW).isNotNull() if BAD_ROW in df.columns else F.lit(False)
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = df.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
         counted.write.mode("overwrite").parquet(path)
-        return entry(run_id, run_time, layer, table, "OK", seen.get["rows"], path)
+        rows, rejected = seen.get["rows"], seen.get["rejected"]
+        return entry(
+            run_id, run_time, layer, table, "PARTIAL" if rejected else "OK", rows, path, rejected,
+            seconds=time.perf_counter() - began,
+        )
 
     def record(self, entries: Iterable[dict]) -> None:
         """Append to the ledger; written tables are current from here on."""
@@ -79,7 +97,7 @@ class LayerStore:
         """
         newest = (
             self.ledger()
-            .where((F.col("status") == "OK") & (F.col("layer") == layer))
+            .where(F.col("status").isin(*CURRENT) & (F.col("layer") == layer))
             .groupBy("table")
             .agg(F.max_by(F.struct("path", "rows"), F.struct("run_time", "run_id")).alias("last"))
             .select("table", "last.*")
@@ -87,6 +105,8 @@ class LayerStore:
 
         def open_table(path: str, rows: int) -> DataFrame:
             df = self.spark.read.parquet(path)
+            if BAD_ROW in df.columns:
+                df = good_rows(df)
             return df.withColumn("_row_count", F.lit(rows)) if layer == "bronze" else df
 
         # One row per table, whatever the length of the history.
@@ -94,27 +114,38 @@ class LayerStore:
             {r["table"]: partial(open_table, r["path"], r["rows"]) for r in newest.collect()}
         )
 
+    def rejects(self, layer: str = "bronze") -> DataFrame:
+        """(table, record): the raw rows of the current tables that could not be read."""
+        newest = self.ledger().where((F.col("layer") == layer) & F.col("status").isin(*CURRENT))
+        newest = newest.groupBy("table").agg(
+            F.max_by(F.struct("path", "rejected"), F.struct("run_time", "run_id")).alias("last")
+        )
+        found = self.spark.createDataFrame([], "`table` string, record string")
+        for r in newest.select("table", "last.*").where("rejected > 0").collect():
+            found = found.unionByName(rejected_rows(self.spark.read.parquet(r["path"]), r["table"]))
+        return found
+
     def read(self, layer: str, table: str) -> DataFrame:
         """The current contents of a table."""
         return self.current(layer)[table]
 
-    def append_history(self, table: str, run_id: str, report: DataFrame) -> None:
-        """Append one run to a history; writing the same run again replaces it."""
+    def append_history(self, table: str, report: DataFrame) -> None:
+        """Append one run to a history. A run is known by its ``run_time``: writing it again replaces it."""
         (
             report.withColumns(
-                {"run_date": F.to_date("run_time"), "run_id": F.lit(run_id)}
+                {"run_date": F.to_date("run_time"), "run_key": F.unix_micros("run_time")}
             )
             .coalesce(1)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_date", "run_id")
+            .partitionBy("run_date", "run_key")
             .parquet(f"{self.root}/history/{table}")
         )
 
     def history(self, table: str) -> DataFrame:
         """All runs of a history, without its partition columns."""
         stored = self.spark.read.parquet(f"{self.root}/history/{table}")
-        return stored.drop("run_date", "run_id")
+        return stored.drop("run_date", "run_key")
 
 
 def entry(
@@ -125,6 +156,9 @@ def entry(
     status: str,
     rows: int | None = None,
     path: str | None = None,
+    rejected: int | None = None,
+    error: str | None = None,
+    seconds: float | None = None,
 ) -> dict:
     """A ledger row."""
     return {
@@ -135,4 +169,7 @@ def entry(
         "status": status,
         "rows": rows,
         "path": path,
+        "rejected": rejected,
+        "error": error,
+        "seconds": seconds,
     }

@@ -1,4 +1,4 @@
-"""Raw CSV scans and the ingest metadata of Bronze."""
+"""Raw CSV scans by header name, the rows that cannot be read, and the ingest metadata of Bronze."""
 
 from __future__ import annotations
 
@@ -7,34 +7,63 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopstrata.functions.parse import instant
-from shopstrata.sources.schemas import raw_schema
+from shopstrata.sources.schemas import RAW_COLUMNS
 
+# Holds the text of a row that does not have as many cells as the header; null for all others.
+BAD_ROW = "_corrupt_record"
 
-def scan_csv(
-    spark: SparkSession, table: str, path: str, multi_line: bool = False
-) -> DataFrame:
-    """Scan ``path`` (a file, a directory or a glob) with the table's explicit schema.
 
-    Quotes are doubled inside quoted cells, and the header of each file is checked against the
-    schema. ``multi_line`` accepts line breaks inside quoted cells, at a price: a file can then
-    not be split over tasks, so leave it off for large files.
+def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+    """All rows of ``path`` (a file, a directory or a glob) with the table's columns and ``BAD_ROW``.
+
+    Columns are taken by the names in the header, in any order; further ones are left out, and a missing one
+    is an error. All files of a directory have the same header, or the scan fails. A row with more or
+    fewer cells than the header has its text in ``BAD_ROW``; its other cells mean nothing.
+
+    Quotes are doubled inside quoted cells. ``multi_line`` accepts line breaks inside quoted cells, at a
+    price: a file can then not be split over tasks, so leave it off for large files that have none.
     """
-    return (
-        spark.read.schema(raw_schema(table))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    # Only the first line of one file is read here.
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD_ROW]])
+    read = (
+        spark.read.schema(schema)
+        # Cells are only counted when all of them are parsed.
+        .options(**options, enforceSchema=False, columnNameOfCorruptRecord=BAD_ROW, columnPruning=False)
         .csv(path)
     )
+    missing = [c for c in RAW_COLUMNS[table] if c not in names]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {', '.join(missing)}")
+    # Spark refuses to scan for the text of bad rows alone, so it always reads a cell as well.
+    return read.where(f"length(concat_ws('', `{names[0]}`)) >= 0").select(*RAW_COLUMNS[table], BAD_ROW)
 
 
-def scan_if_present(spark: SparkSession, table: str, path: str) -> DataFrame | None:
-    """The scan, or None when there is no such path."""
+def good_rows(read: DataFrame) -> DataFrame:
+    """The readable rows of :func:`read_csv`, without its extra column."""
+    return read.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
+
+
+def rejected_rows(read: DataFrame, table: str) -> DataFrame:
+    """(table, record): the text of the rows that cannot be read."""
+    return read.where(F.col(BAD_ROW).isNotNull()).select(
+        F.lit(table).alias("table"), F.col(BAD_ROW).alias("record")
+    )
+
+
+def scan_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+    """The readable rows of ``path`` with exactly the table's columns."""
+    return good_rows(read_csv(spark, table, path, multi_line))
+
+
+def read_if_present(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame | None:
+    """The rows with ``BAD_ROW``, or None when there is no such path."""
     try:
-        return scan_csv(spark, table, path)
+        return read_csv(spark, table, path, multi_line)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -48,16 +77,6 @@ def stamped(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
     )
 
 
-def with_ingest_metadata(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
-    """Add ingest time, source file name and the row count of the load.
-
-    The count is a scalar subquery over the same scan: neither a window over the whole table nor
-    a join. The pipeline saves even that second scan, see ``LayerStore.read``.
-    """
-    rows = raw.agg(F.count(F.lit(1))).scalar()
-    return stamped(raw, table, ingest_time).withColumn("_row_count", rows)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Write with a header, replacing what is there; cells keep their outer spaces."""
     (

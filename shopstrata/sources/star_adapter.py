@@ -18,18 +18,17 @@ from shopstrata.sources.schemas import RAW_COLUMNS, TABLES
 from shopstrata.sources.tables import TableSet
 
 # The domains of the raw tables.
-PAYMENTS = ["credit_card", "debit_card", "paypal", "apple_pay", "gift_card"]
-REASONS = [
-    "Defective product", "Wrong item shipped", "Changed mind", "Does not fit",
-    "Better price found", "Arrived too late", "Not as described", "Duplicate order",
-]
 RETURN_STATUSES = ["approved", "approved", "pending", "rejected"]
 CARRIERS = ["UPS", "FedEx", "USPS", "DHL", "Amazon Logistics"]
-WAREHOUSES = ["Dulles-VA", "Baltimore-MD", "Richmond-VA", "Charlotte-NC", "Atlanta-GA"]
 SHIP_STATUSES = [
     "delivered", "delivered", "delivered", "in_transit", "out_for_delivery", "delayed", "lost",
 ]
 
+# Labels of these test data.
+PAYMENTS = ["card", "transfer", "wallet", "voucher", "cash"]
+REASONS = ["reason A", "reason B", "reason C", "reason D", "reason E", "reason F", "reason G", "reason H"]
+WAREHOUSES = ["north", "east", "south", "west", "centre"]
+
 # The columns of the star schema that are used, so that no schema is inferred.
 STAR_SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
@@ -102,6 +101,11 @@ def _products(star: Star) -> DataFrame:
     )
 
 
+# Some quantities have a fraction.
+HALVED = "(l_orderkey + l_linenumber) % 23 = 0"
+UNITS = f"CAST(if({HALVED}, l_quantity - 0.5D, l_quantity) AS DECIMAL(10,1))"
+
+
 def _items(star: Star, typed: bool) -> DataFrame:
     # What depends on the part alone is computed per part, not per line.
     parts = star["part"].selectExpr(
@@ -120,9 +124,9 @@ def _items(star: Star, typed: bool) -> DataFrame:
                 WHEN (l_orderkey + l_partkey) % 499 = 0 THEN {_id("ORD-GHOST", "l_partkey % 4")}
                 ELSE {_id("ORD", "l_orderkey")} END""",
             "product_id": "product_id",
-            "quantity": "CAST(l_quantity AS INT)",
+            "quantity": f"if({HALVED}, CAST({UNITS} AS STRING), CAST(CAST(l_quantity AS INT) AS STRING))",
             "unit_price": "price" if typed else "price_text",
-            "line_total": f"CAST(CAST(l_quantity AS INT) * price AS {MONEY})",
+            "line_total": f"CAST({UNITS} * price AS {MONEY})",
         },
         typed,
     )
@@ -164,7 +168,7 @@ def _orders(star: Star) -> DataFrame:
 
 def _returns(star: Star) -> DataFrame:
     return _shape(
-        star["lineitem"].where("l_returnflag = 'R' AND l_linenumber <= 2"),
+        star["lineitem"].where("l_returnflag = 'R'"),
         "returns",
         {
             "return_id": _id("RET", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
@@ -181,9 +185,9 @@ def _returns(star: Star) -> DataFrame:
 
 def _shipping_events(star: Star) -> DataFrame:
     shipped = "CAST(l_shipdate AS DATE)"
-    shipment = _id("SHIP", "l_orderkey", "l_partkey", "l_suppkey")
+    shipment = _id("SHIP", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return _shape(
-        star["lineitem"].where("l_linenumber = 1"),
+        star["lineitem"].where("l_linenumber = 1 OR (l_linenumber = 2 AND l_orderkey % 4 = 0)"),
         "shipping_events",
         {
             "shipment_id": shipment,

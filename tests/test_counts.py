@@ -11,11 +11,11 @@ SF_DIR = "/root/testdata/sf0.01"
 # Fixed values, counted independently (see FIXTURES.md).
 ROWS = {
     "customers": 1500, "products": 2000, "orders": 15090, "order_items": 60000,
-    "returns": 5742, "shipping_events": 8590,
+    "returns": 20046, "shipping_events": 10800,
 }
 ISSUES = {
-    "DQ-001": 90, "DQ-002": 150, "DQ-003": 101, "DQ-004": 263, "DQ-005": 214,
-    "DQ-006": 114, "DQ-007": 26, "DQ-008": 28, "DQ-009": 263, "DQ-010": 141,
+    "DQ-001": 90, "DQ-002": 150, "DQ-003": 343, "DQ-004": 263, "DQ-005": 278,
+    "DQ-006": 114, "DQ-007": 26, "DQ-008": 28, "DQ-009": 263, "DQ-010": 480,
 }
 
 

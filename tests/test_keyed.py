@@ -1,5 +1,6 @@
 """Joins and duplicate flags with hot and missing keys, against brute force in Python."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -8,16 +9,25 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from shopstrata.operators import keyed
 from shopstrata.operators.census import key_census
-from shopstrata.plans.quality import shared_emails
+from shopstrata.plans import quality
 
 SF_DIR = "/root/testdata/sf0.001"
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+}
 
 
 @pytest.fixture()
-def always_salt(spark):
-    spark.conf.set(keyed.SALT_CONF, "0")
+def always_split(spark):
+    """Limits so low that Spark's skew-join rule fires on test data."""
+    for name, value in SPLIT.items():
+        spark.conf.set(name, value)
     yield
-    spark.conf.unset(keyed.SALT_CONF)
+    for name in SPLIT:
+        spark.conf.unset(name)
 
 
 @pytest.fixture(scope="module")
@@ -43,58 +53,55 @@ def _expected(left_rows, how):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("salted", [False, True])
-def test_match(spark, left_rows, how, salted, request):
-    if salted:
-        request.getfixturevalue("always_salt")
+@pytest.mark.parametrize("split", [False, True])
+def test_match(spark, left_rows, how, split, request):
+    if split:
+        request.getfixturevalue("always_split")
     left = spark.createDataFrame(left_rows, "key string, n int").repartition(4)
     right = spark.createDataFrame(RIGHT_ROWS, "key string, value string")
-    found = keyed.match(left, right, "key", how, ["n"])
+    found = keyed.match(left, right, "key", how)
     columns = left.columns + (["value"] if how in ("left", "inner") else [])
     assert sorted(found.columns) == sorted(columns)
     rows = [tuple(r) for r in found.select(*columns).collect()]
     assert Counter(rows) == Counter(_expected(left_rows, how))
 
 
-def test_hot_keys_are_found_and_bounded(spark, left_rows):
-    left = spark.createDataFrame(left_rows, "key string, n int")
-    hot = dict(keyed.hot_keys(left, "key"))
-    assert hot["hot"] >= 300 and hot[None] >= 300
-    assert len(hot) <= keyed.MAX_HOT_KEYS + 1
-
-
-def test_hot_key_is_spread(spark, left_rows, always_salt):
-    """Without broadcast, the rows of the hot key and of NULL end up in many partitions."""
-    left = spark.createDataFrame(left_rows, "key string, n int").repartition(4)
-    right = spark.createDataFrame(RIGHT_ROWS, "key string, value string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = keyed.match(left, right, "key", "left", ["n"])
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) == 8
-    assert max(r["count"] for r in sizes) < len(left_rows) / 3
-
-
-@pytest.mark.parametrize("salted", [False, True])
-def test_flag_repeated(spark, left_rows, salted, request):
-    if salted:
-        request.getfixturevalue("always_salt")
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_hot_key_is_split_against_an_aggregate(spark, how, always_split):
+    """The rows of the hot key (or, where it finds nothing, of NULL) end up in several tasks."""
+    rows = spark.range(0, 40000, numPartitions=20).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id) END AS key", "id AS n"
+    )
+    right = rows.groupBy("key").agg(F.count(F.lit(1)).alias("value"))
+    joined = keyed.match(rows, right if how != "left_anti" else right.where("key <> 'hot'"), "key", how)
+    parts = joined.where("key = 'hot'").select(F.spark_partition_id().alias("p")).collect()
+    assert len({r["p"] for r in parts}) > 1
+    joined.collect()
+    assert len(parts) == 13334
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_flag_repeated(spark, left_rows, split, request):
+    if split:
+        request.getfixturevalue("always_split")
     rows = left_rows + [("single", 1)]
     df = spark.createDataFrame(rows, "key string, n int")
-    found = keyed.flag_repeated(df, "key", "again", ["n"])
+    found = keyed.flag_repeated(df, "key", "again")
     assert found.columns == ["key", "n", "again"]
     times = Counter(key for key, _ in rows)
     expected = Counter((key, n, times[key] > 1) for key, n in rows)
     assert Counter(tuple(r) for r in found.collect()) == expected
 
 
+def test_unread_flag_of_a_hot_key_costs_no_join(spark, left_rows, always_split):
+    df = spark.createDataFrame(left_rows, "key string, n int")
+    plan = keyed.flag_repeated(df, "key", "again").select("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_single_missing_key_is_not_repeated(spark):
     df = spark.createDataFrame([(None, 1), ("a", 2)], "key string, n int")
-    assert [r["again"] for r in keyed.flag_repeated(df, "key", "again", ["n"]).collect()] == [
+    assert [r["again"] for r in keyed.flag_repeated(df, "key", "again").collect()] == [
         False,
         False,
     ]
@@ -107,20 +114,19 @@ def test_key_census(spark):
     assert found == {"x": (2, 1), "y": (0, 1), None: (1, 0)}
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_long_email_lists_are_continued_whole(spark, salted, request):
-    if salted:
-        request.getfixturevalue("always_salt")
-    rows = [(f"C{i:04d}", "shared@x") for i in range(300)] + [("S1", "one@x"), (None, "shared@x")]
+def test_shared_emails_do_not_depend_on_the_partitioning(spark):
+    rows = [(f"C{i:05d}", "shared@x") for i in range(20000)] + [("S1", "one@x"), (None, "shared@x")]
     customers = spark.createDataFrame(rows, "customer_id string, email string")
-    found = shared_emails({"customers": customers}, list_limit=50).collect()
-    assert {(r["email"], r["occurrences"]) for r in found} == {("shared@x", 301)}
-    listed = [c for r in found for c in r["customer_ids"].split(", ")]
-    assert sorted(listed) == [f"C{i:04d}" for i in range(300)]
-    assert len(found) > 1 and max(len(r["customer_ids"].split(", ")) for r in found) < 150
+    for n in (2, 5):
+        t = {"customers": customers.repartition(n)}
+        assert [tuple(r) for r in quality.shared_emails(t).collect()] == [("shared@x", 20001, "C00000", "C19999")]
+        members = quality.shared_email_members(t).collect()
+        assert Counter(map(tuple, members)) == Counter(("shared@x", 20001, c) for c, e in rows if e == "shared@x")
+        [whole] = quality.shared_email_lists(t).collect()
+        assert whole["customer_ids"].split(", ") == [f"C{i:05d}" for i in range(20000)]
 
 
-SALTED_QUERIES = [
+KEYED_QUERIES = [
     "gold_revenue_by_category",
     "gold_return_rate_by_product",
     "gold_customer_lifetime_value",
@@ -129,16 +135,25 @@ SALTED_QUERIES = [
     "dq_003",
     "dq_004",
     "dq_006",
-    "dq_007",
+    "dq_007_members",
+    "dq_samples",
     "semi_approved_items",
     "join_returns_orders",
 ]
 
 
-@pytest.mark.parametrize("name", SALTED_QUERIES)
-def test_salted_queries_agree(spark, name, request):
+@pytest.mark.parametrize("name", KEYED_QUERIES)
+def test_split_queries_agree(spark, name, request):
     query = contract.queries()[name]
     plain = Counter(map(tuple, query(spark, SF_DIR).collect()))
-    request.getfixturevalue("always_salt")
-    columns = contract.queries()[name](spark, SF_DIR)
-    assert Counter(map(tuple, columns.collect())) == plain
+    request.getfixturevalue("always_split")
+    assert Counter(map(tuple, contract.queries()[name](spark, SF_DIR).collect())) == plain
+
+
+def test_plans_are_the_same_at_every_size(spark):
+    for name in KEYED_QUERIES:
+        shapes = []
+        for sf in ("sf0.001", "sf0.01"):
+            plan = contract.queries()[name](spark, f"/root/testdata/{sf}")._jdf.queryExecution().optimizedPlan()
+            shapes.append(re.sub(r"#\d+L?|sf[\d.]+|\d+", "", plan.toString()))
+        assert shapes[0] == shapes[1], name

@@ -8,7 +8,9 @@ import __spark_entry__ as contract
 from shopstrata.plans import quality
 from shopstrata.plans.pipeline import QUALITY_LOG, Run, export_marts, run_pipeline
 from shopstrata.sources.layers import LayerStore, shared_folder
-from shopstrata.sources.raw_csv import scan_csv, scan_if_present, with_ingest_metadata, write_csv
+from shopstrata.sources.raw_csv import (
+    read_csv, read_if_present, rejected_rows, scan_csv, stamped, write_csv,
+)
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES, raw_schema
 from shopstrata.sources.star_adapter import raw_tables
 
@@ -38,8 +40,37 @@ def test_scan_keeps_cells_as_received(spark, tmp_path):
 
 def test_scan_rejects_other_headers(spark, tmp_path):
     path = write(tmp_path / "returns.csv", HEADER.replace("reason", "why") + "\n1,2,3,4,5,6\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        scan_csv(spark, "returns", path).collect()
+    with pytest.raises(ValueError, match="lacks reason"):
+        scan_csv(spark, "returns", path)
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    columns = ["note", *reversed(RAW_COLUMNS["returns"])]
+    cells = {"note": "n", **{c: f"<{c}>" for c in RAW_COLUMNS["returns"]}}
+    path = write(tmp_path / "returns.csv", f"{','.join(columns)}\n{','.join(cells[c] for c in columns)}\n")
+    found = scan_csv(spark, "returns", path).first().asDict()
+    assert found == {c: f"<{c}>" for c in RAW_COLUMNS["returns"]}
+
+
+def test_malformed_rows_are_kept_apart(spark, tmp_path):
+    good = "R0,O0,2024-01-01,fine,approved,1.00"
+    comma = "R1,O1,2024-01-01,late, again,approved,5.00"
+    path = write(tmp_path / "returns.csv", f"{HEADER}\n{good}\n{comma}\nR2,O2,2024-01-01\n")
+    read = read_csv(spark, "returns", path)
+    assert [r["return_id"] for r in scan_csv(spark, "returns", path).select("return_id").collect()] == ["R0"]
+    assert scan_csv(spark, "returns", path).count() == 1
+    assert {tuple(r) for r in rejected_rows(read, "returns").collect()} == {
+        ("returns", comma), ("returns", "R2,O2,2024-01-01"),
+    }
+
+
+def test_unread_line_breaks_are_rejects(spark, tmp_path):
+    columns = RAW_COLUMNS["customers"]
+    row = ["C1", "A", "B", "e", "p", '"New\nYork"', "NY", "1", "s", "2024-01-01"]
+    path = write(tmp_path / "customers.csv", f"{','.join(columns)}\n{','.join(row)}\n")
+    assert scan_csv(spark, "customers", path).count() == 0
+    assert rejected_rows(read_csv(spark, "customers", path), "customers").count() == 2
+    assert scan_csv(spark, "customers", path, multi_line=True).first()["city"] == "New\nYork"
 
 
 def test_line_breaks_on_request(spark, tmp_path):
@@ -48,7 +79,7 @@ def test_line_breaks_on_request(spark, tmp_path):
 
 
 def test_missing_file(spark, tmp_path):
-    assert scan_if_present(spark, "returns", str(tmp_path / "none.csv")) is None
+    assert read_if_present(spark, "returns", str(tmp_path / "none.csv")) is None
 
 
 def test_round_trip_keeps_outer_spaces(spark, tmp_path):
@@ -61,15 +92,10 @@ def test_round_trip_keeps_outer_spaces(spark, tmp_path):
 
 def test_ingest_metadata(spark):
     raw = raw_tables(spark, SF_DIR)["returns"]
-    found = with_ingest_metadata(raw, "returns", FIRST)
-    assert found.columns == RAW_COLUMNS["returns"] + [
-        "_ingest_timestamp",
-        "_source_file",
-        "_row_count",
-    ]
+    found = stamped(raw, "returns", FIRST)
+    assert found.columns == RAW_COLUMNS["returns"] + ["_ingest_timestamp", "_source_file"]
     row = found.first()
     assert (row["_ingest_timestamp"], row["_source_file"]) == (FIRST, "returns.csv")
-    assert row["_row_count"] == raw.count()
 
 
 @pytest.fixture(scope="module")
@@ -90,7 +116,9 @@ def two_runs(spark, raw_dir, tmp_path_factory):
 
 def test_runs_are_repeatable(two_runs):
     store, first, second = two_runs
-    assert first == second
+    key = lambda r: (r["layer"], r["table"], r["status"], r["rows"], r["rejected"])
+    assert sorted(map(str, map(key, first))) == sorted(map(str, map(key, second)))
+    assert all(r["seconds"] > 0 and r["error"] is None for r in first)
     assert {r["status"] for r in first} == {"OK"}
     assert [r["layer"] for r in first].count("bronze") == len(TABLES)
     rows = {(r["layer"], r["table"]): r["rows"] for r in first}
@@ -116,17 +144,47 @@ def test_history_grows_by_one_report_per_run(two_runs, spark):
     assert history.count() == 2 * len(quality.CHECKS)
     assert {r["run_time"] for r in quality.latest_run(history).collect()} == {SECOND}
     again = quality.latest_run(history)
-    store.append_history("again", "same-run", again)
-    store.append_history("again", "same-run", again)
+    store.append_history("again", again)
+    store.append_history("again", again)
     assert store.history("again").count() == len(quality.CHECKS)
 
 
+def test_the_same_run_time_twice_is_one_report(spark, raw_dir, tmp_path):
+    for _ in range(2):
+        status = run_pipeline(spark, raw_dir, str(tmp_path), FIRST, contract.MART_OPTIONS)
+    history = LayerStore(spark, str(tmp_path)).history(QUALITY_LOG)
+    assert history.count() == quality.latest_report(history).count() == len(quality.CHECKS)
+    assert quality.quality_summary(quality.latest_run(history)).first()["checks_run"] == len(quality.CHECKS)
+    assert status.where("layer = 'quality'").first()["rows"] == len(quality.CHECKS)
+
+
+def test_a_table_with_rejects_is_partial(spark, raw_dir, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for table in TABLES:
+        if table != "returns":
+            (folder / f"{table}.csv").symlink_to(f"{raw_dir}/{table}.csv")
+    broken = 'R3,O3,2024-01-02,"two\nlines",approved,2.00'
+    write(folder / "returns.csv", f"{HEADER}\nR0,O0,2024-01-01,fine,approved,1.00\na,b\n{broken}\n")
+    for multi_line, rows, rejected in (((), 1, 3), (("returns",), 2, 1)):
+        run = Run(spark, str(folder), str(tmp_path / f"lake{rows}"), FIRST, multi_line=multi_line)
+        run.bronze()
+        run.silver()
+        status = {(r["layer"], r["table"]): r for r in run.status().collect()}
+        loaded = status["bronze", "returns"]
+        assert (loaded["status"], loaded["rows"], loaded["rejected"]) == ("PARTIAL", rows, rejected)
+        assert status["silver", "returns"]["rows"] == rows
+        assert run.store.read("bronze", "returns").first()["_row_count"] == rows
+        assert run.store.rejects().count() == rejected
+
+
 def test_report_csv(two_runs, spark):
     store = two_runs[0]
-    report = spark.read.option("header", True).csv(f"{store.root}/quality_report")
+    path = store.ledger().where("layer = 'quality'").orderBy("run_time").collect()[-1]["path"]
+    report = spark.read.option("header", True).csv(path)
     assert report.columns == [
         "run_time", "check_id", "check_name", "table", "category", "description", "status",
-        "issue_count",
+        "issue_count", "message",
     ]
     assert report.count() == len(quality.CHECKS)
 
@@ -168,11 +226,11 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     from shopstrata.__main__ import main
 
     root = str(tmp_path / "lake")
-    main(["run", raw_dir, root, "--run-time", "2024-03-01T08:00:00"])
+    main(["run", raw_dir, root, "--run-time", "2024-03-01T08:00:00", "--multi-line", "returns"])
     main(["export", root, str(tmp_path / "csv")])
     main(["dashboard", root])
     shown = capsys.readouterr().out
-    assert "dq_quality_log" in shown and "overall_return_pct" in shown
+    assert "dq_quality_log" in shown and "overall_return_pct" in shown and "sample_no" in shown
     exported = spark.read.option("header", True).csv(f"{tmp_path}/csv/gold_fulfillment_summary")
     assert exported.count() == 5
 
@@ -187,11 +245,15 @@ def test_missing_and_broken_tables_do_not_stop_the_rest(spark, raw_dir, tmp_path
     run = Run(spark, str(folder), str(tmp_path / "lake"), FIRST)
     run.bronze()
     run.silver()
-    report = {r["check_id"]: r["status"] for r in run.quality().collect()}
+    checked = run.quality().collect()
+    report = {r["check_id"]: r["status"] for r in checked}
+    assert all((r["message"] is not None) == (r["status"] == "ERROR") for r in checked)
     run.gold()
     status = {(r["layer"], r["table"]): r["status"] for r in run.status().collect()}
     assert status["bronze", "returns"] == "SKIPPED"
     assert status["bronze", "shipping_events"] == "FAILED"
+    failed = run.status().where("layer = 'bronze' AND status = 'FAILED'").first()
+    assert "lacks shipment_id" in failed["error"]
     assert status["silver", "orders"] == "OK"
     assert report["DQ-003"] == report["DQ-005"] == report["DQ-010"] == "ERROR"
     assert report["DQ-001"] == report["DQ-004"] == report["DQ-006"] == "FAIL"

@@ -61,8 +61,11 @@ def test_report_counts_what_the_listings_list(spark, tables):
 
 
 def test_listings(tables):
-    emails = {r["email"]: r for r in quality.shared_emails(tables).collect()}
+    emails = {r["email"]: r for r in quality.shared_email_lists(tables).collect()}
     assert emails["x"]["customer_ids"] == "C1, C2" and emails[None]["customer_ids"] == "C3, C4"
+    assert {tuple(r) for r in quality.shared_emails(tables).collect()} == {
+        ("x", 2, "C1", "C2"), (None, 2, "C3", "C4"),
+    }
     assert quality.invalid_shipping_dates(tables).first()["days_diff"] == -7
     unmatched = quality.returns_without_order(tables).collect()
     assert {r["return_id"] for r in unmatched} == {"r2", "r3"}
@@ -125,6 +128,12 @@ def test_samples(spark, tables, issues, shown):
     ]
 
 
+def test_shared_samples_equal_single_ones(tables):
+    together = sorted(map(tuple, quality.quality_samples(tables).collect()))
+    single = sorted(tuple(r) for c in quality.CHECKS for r in quality.sample_violations(c, tables).collect())
+    assert together == single
+
+
 def test_latest_report_headings(spark, tables):
     report = quality.quality_report(spark, tables, RUN)
     found = quality.latest_report(report)
