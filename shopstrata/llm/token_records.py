@@ -20,9 +20,10 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
@@ -32,19 +33,16 @@ from shopstrata.llm.common import stored
 from shopstrata.llm.ordering import block_bounds, with_block
 from shopstrata.sources.layers import shared_folder
 
-# The mask of the checksum, and the split of the byte-level vocabulary in use.
+# Fixed value: the mask of the checksum.
 MASK_DELTA = 0xA282EAD8
-SPLIT = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-)
-# Characters for which the classes of Python's re are not surely those of the tokenizer.
-ODD = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeƀ-\U0010ffff]")
-# A space between white space (or the end) is no border between pieces.
-INNER_SPACE = re.compile(r"\s (?:\s|\Z)")
-LETTERS = re.compile(r" [^\W\d_]+")
+# Bytes that are not surely split as below: UTF-8 beyond U+00C0 to U+017F, the signs for times and divided
+# by, the control characters that some count as white space, and an apostrophe in front of s, t, m, d, r, v, l.
+ODD = re.compile(rb"[\x1c-\x1f\xc2\xc6-\xff]|\xc3[\x97\xb7]|'[stmdrvl]")
+HASH_BASE = 0x9E3779B97F4A7C15
 END_ID = 0
-CACHE = 400_000
-CHARS_AT_ONCE = 1 << 22
+# Pieces that a worker remembers before it starts anew.
+CACHE = 600_000
+CHARS_AT_ONCE = 1 << 21
 MANIFEST = "path string, block int, first_id long, records long, tokens long, bytes long"
 
 
@@ -56,9 +54,11 @@ def masked(data) -> int:
 class Encoder:
     """The ids of whole texts as bytes, exactly as ``Tokenizer.encode`` gives them.
 
-    Byte-pair merges never cross the borders that the tokenizer's own split draws, so pieces between
-    spaces are encoded once and remembered; most words of a corpus are met again and again. Texts with
-    characters outside Latin script, or with a special token in them, are encoded as they are.
+    The tokenizer first splits a text into words (with the space before them), runs of digits, marks and white
+    space, and never merges across; most of these occur again and again. So texts are split here, a word is
+    encoded when it is new and remembered by a 64-bit hash, and the ids of a batch are gathered at once. Texts
+    with characters beyond Latin letters, special tokens, or an apostrophe that may start a contraction
+    are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -66,80 +66,149 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab()
         self.width = np.zeros(max(names.values()) + 1, np.int64)
         for name, i in names.items():
             self.width[i] = len(name)  # byte-level names have one character per byte
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        powers = np.full(CHARS_AT_ONCE + 1, HASH_BASE, np.uint64)
+        powers[0] = 1
+        self.up = np.multiply.accumulate(powers)
+        powers[1:] = pow(HASH_BASE, -1, 2**64)
+        self.down = np.multiply.accumulate(powers)
+        self.values = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, 256, dtype=np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.used = 0
+        self.ids = np.empty(1 << 16, self.kind)
+        self.first = np.zeros(1 << 16, np.int64)
+        self.count = np.zeros(1 << 16, np.int64)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _new_words(self, words: list[str]) -> dict[str, bytes]:
-        """Words of letters after a space are encoded in one string and cut by their lengths."""
-        plain = [w for w in words if LETTERS.fullmatch(w)]
-        found = {w: self._whole(w) for w in words if not LETTERS.fullmatch(w)}
-        if plain:
-            ids = np.array(
-                self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids
-            )
-            ends = np.cumsum([len(w.encode()) for w in plain])
+    def _learn(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Encode new pieces; returns their slots. Words behind a space do not change if others stand around them, so they go in one string."""
+        joint = (data[start] == 32) & (size > 1) & (_KINDS[data[np.minimum(start + 1, len(data) - 1)]] == _LETTER)
+        order = np.argsort(~joint, kind="stable")
+        start, size, keys, n = start[order], size[order], keys[order], int(joint.sum())
+        parts = []
+        if n:
+            ends = np.cumsum(size[:n])
+            at = np.arange(ends[-1]) + np.repeat(start[:n] - ends + size[:n], size[:n])
+            text = data[at].tobytes().decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
-            data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            at = 0
-            for word, end in zip(plain, (cuts * size).tolist()):
-                found[word] = data[at:end]
-                at = end
-        return found
+            counts = [np.diff(cuts, prepend=0)]
+            parts.append(ids.astype(self.kind))
+        else:
+            counts = []
+        if n < len(start):
+            texts = [data[a : a + k].tobytes().decode() for a, k in zip(start[n:].tolist(), size[n:].tolist())]
+            found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            counts.append(np.array([len(f) for f in found], np.int64))
+            parts.append(np.array([i for f in found for i in f], self.kind))
+        fresh, count = np.concatenate(parts), np.concatenate(counts)
+        slot = len(self.known)
+        while self.used + len(fresh) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        while slot + len(count) > len(self.first):
+            self.first = np.concatenate((self.first, np.zeros_like(self.first)))
+            self.count = np.concatenate((self.count, np.zeros_like(self.count)))
+        self.ids[self.used : self.used + len(fresh)] = fresh
+        self.first[slot : slot + len(count)] = self.used + np.cumsum(count) - count
+        self.count[slot : slot + len(count)] = count
+        self.used += len(fresh)
+        self.known.update(zip(keys.tolist(), range(slot, slot + len(count))))
+        slots = np.empty(len(count), np.int64)
+        slots[order] = np.arange(slot, slot + len(count))
+        return slots
+
+    def _batch(self, raw: list[bytes]) -> list[bytes]:
+        """Texts that can be split, together at most CHARS_AT_ONCE bytes and none of them empty."""
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.cumsum([len(r) for r in raw])
+        start = pieces(data, ends)
+        size = np.diff(np.append(start, len(data)))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.up[: len(data)], out=sums[1:])
+        keys = (sums[start + size] - sums[start]) * self.down[start]
+        keys ^= keys >> np.uint64(29)
+        keys += size.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+        which, unique = pd.factorize(keys)
+        if len(self.known) + len(unique) > CACHE:
+            self._forget()
+        slots = np.fromiter(map(self.known.get, unique.tolist(), repeat(-1)), np.int64, len(unique))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            place = np.empty(len(unique), np.int64)
+            place[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+            slots[new] = self._learn(data, start[place[new]], size[place[new]], unique[new])
+        slot = slots[which]
+        count = self.count[slot]
+        upto = np.cumsum(count)
+        ids = self.ids[np.arange(upto[-1]) + np.repeat(self.first[slot] - upto + count, count)].tobytes()
+        cuts = (upto[np.searchsorted(start, ends) - 1] * self.kind.itemsize).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # A text is its first words and the pieces that follow its spaces, or encoded as it is.
-        heads: list[list[str] | None] = []
-        tails: list[list[str]] = []
-        for text in texts:
-            if ODD.search(text) or any(s in text for s in self.special):
-                heads.append(None)
-                tails.append([])
-            elif INNER_SPACE.search(text):
-                heads.append(SPLIT.findall(text))
-                tails.append([])
-            else:
-                first, *rest = text.split(" ")
-                heads.append(SPLIT.findall(first))
-                tails.append(rest)
-        known, memory = self.pieces, self.words
-        parts = {p: SPLIT.findall(" " + p) for p in {p for t in tails for p in t if p not in known}}
-        fresh = {w for ws in (*parts.values(), *filter(None, heads)) for w in ws if w not in memory}
-        words = self._remember(memory, self._new_words(sorted(fresh)))
-        pieces = self._remember(known, {p: b"".join([words[w] for w in ws]) for p, ws in parts.items()})
-        return [
-            self._whole(text) if head is None
-            else b"".join([words[w] for w in head]) + b"".join([pieces[p] for p in tail])
-            for text, head, tail in zip(texts, heads, tails)
-        ]
-
-    @staticmethod
-    def _remember(memory: dict, new: dict) -> dict:
-        """A mapping with both; ``new`` is kept while there is room."""
-        if len(memory) < CACHE:
-            memory.update(new)
-            return memory
-        return _Both(new, memory)
-
-
-class _Both(dict):
-    """One mapping in front of another."""
-
-    def __init__(self, first, behind):
-        super().__init__(first)
-        self.behind = behind
-
-    def __missing__(self, key):
-        return self.behind[key]
+        out = [b""] * len(texts)
+        todo: list[int] = []
+        raw: list[bytes] = []
+        held = 0
+
+        def flush():
+            for i, found in zip(todo, self._batch(raw) if raw else []):
+                out[i] = found
+            todo.clear()
+            raw.clear()
+
+        for i, text in enumerate(texts):
+            data = text.encode()
+            if not data:
+                continue
+            if len(data) > CHARS_AT_ONCE or ODD.search(data) or any(s in data for s in self.special):
+                out[i] = self._whole(text)
+                continue
+            if held + len(data) > CHARS_AT_ONCE:
+                flush()
+                held = 0
+            todo.append(i)
+            raw.append(data)
+            held += len(data)
+        flush()
+        return out
+
+
+# Kinds of bytes: letters (all of those beyond ASCII that are not ODD), digits, white space, marks.
+_LETTER, _DIGIT, _SPACE, _MARK = range(4)
+_KINDS = np.full(256, _MARK, np.uint8)
+_KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_KINDS[list(range(48, 58))] = _DIGIT
+_KINDS[[9, 10, 11, 12, 13, 32]] = _SPACE
+
+
+def pieces(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the tokenizer's split starts a piece, for texts (ending at ``ends``) one after the other.
+
+    A run of one kind is a piece, with the space in front of it if there is one. Of white space in front of
+    something else, the last character is a piece of its own if it is not that space.
+    """
+    kind = _KINDS[data]
+    new = np.ones(len(data), bool)
+    new[1:] = kind[1:] != kind[:-1]
+    new[ends[:-1]] = True
+    # The last white space before another run, unless the text ends there.
+    last = np.zeros(len(data), bool)
+    last[:-1] = (kind[:-1] == _SPACE) & (kind[1:] != _SPACE)
+    last[ends - 1] = False
+    attached = last & (data == 32)
+    new |= last
+    new[1:] &= ~attached[:-1]
+    return np.flatnonzero(new)
 
 
 _encoders: dict[str, Encoder] = {}
