@@ -2,8 +2,9 @@
 
 Documents lie in blocks, and blocks in shards. From the block sizes of the old layout and the
 capacities of the new one, a minimum-cost flow decides how many bytes go from each old shard to
-each new one at the fewest moved bytes; whole blocks are then picked to carry that flow. Only the
-table of blocks reaches the driver, and its length is a parameter that does not grow with the data.
+each new one at the fewest moved bytes; whole blocks are then picked to carry that flow, and the files
+that hold a moving block are rewritten. Only the table of blocks reaches the driver, and its length is a
+parameter that does not grow with the data.
 """
 
 from __future__ import annotations
@@ -11,14 +12,17 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopstrata.llm.common import stored
+from shopstrata.sources.layers import shared_folder
 
 OLD_SHARDS = 32
 BLOCKS_PER_SHARD = 256
+# Directories of a shard, each with consecutive blocks: a file is affected only by moves of its own blocks.
+SEGMENTS = 8
 OVERHEAD = 16
 
 Block = tuple[int, int]
@@ -89,38 +93,41 @@ def assign_blocks(
 ) -> dict[Block, int]:
     """The new shard of every block (old shard, block number), given the bytes of each.
 
-    Blocks cannot be cut, so after following the flow, blocks are handed from the shard that is most
-    above its capacity to the one most below it as long as that brings both closer.
+    The flow is carried by consecutive blocks, those that stay first, so that few files of a shard lose
+    any. Blocks cannot be cut: after that, blocks are handed from the shard that is most above its
+    capacity to the one most below it, as long as that brings both closer.
     """
-    old = defaultdict(int)
-    for (shard, _), size in blocks.items():
-        old[shard] += size
+    old: dict[int, list[int]] = defaultdict(list)
+    for shard, number in sorted(blocks):
+        old[shard].append(number)
     ids = sorted(old)
-    flow = min_cost_flow([old[i] for i in ids], capacities, lambda i, j: cost(ids[i], j))
-    open_bytes: dict[int, dict[int, int]] = defaultdict(dict)
-    for (i, j), units in flow.items():
-        open_bytes[ids[i]][j] = units
+    sizes = [sum(blocks[i, n] for n in old[i]) for i in ids]
+    flow: dict[int, list[list[int]]] = defaultdict(list)
+    for (i, j), units in min_cost_flow(sizes, capacities, lambda i, j: cost(ids[i], j)).items():
+        flow[ids[i]].append([int(j != ids[i]), j, units])
     placed: dict[Block, int] = {}
     over = [-c for c in capacities]
     inside: list[dict[Block, int]] = [{} for _ in capacities]
-    for block in sorted(blocks, key=lambda b: (-blocks[b], b)):
-        wanted = open_bytes[block[0]]
-        # Staying is preferred among equals; empty shards have no flow and stay where they can.
-        home = min(block[0], len(capacities) - 1)
-        target = max(wanted, key=lambda j: (wanted[j], j == block[0], -j)) if wanted else home
-        if wanted:
-            wanted[target] -= blocks[block]
-        placed[block] = target
-        over[target] += blocks[block]
-        inside[target][block] = blocks[block]
+    for shard in ids:
+        todo = sorted(flow[shard]) or [[0, min(shard, len(capacities) - 1), 0]]
+        for number in old[shard]:
+            size = blocks[shard, number]
+            while len(todo) > 1 and 2 * todo[0][2] < size:
+                todo.pop(0)
+            target = todo[0][1]
+            todo[0][2] -= size
+            placed[shard, number] = target
+            over[target] += size
+            inside[target][shard, number] = size
     for _ in range(4 * len(blocks)):
         full = max(range(len(over)), key=lambda j: (over[j], -j))
         low = min(range(len(over)), key=lambda j: (over[j], j))
         gap = over[full] - over[low]
-        fits = [(abs(gap - 2 * s), b) for b, s in inside[full].items() if 0 < s < gap]
+        # Of equally good blocks, one that moves anyway, then one from the end of its old shard.
+        fits = [(abs(gap - 2 * s), b[0] == full, -b[1], b) for b, s in inside[full].items() if 0 < s < gap]
         if not fits:
             break
-        block = min(fits)[1]
+        block = min(fits)[3]
         size = inside[full].pop(block)
         inside[low][block] = size
         over[full] -= size
@@ -154,93 +161,126 @@ def with_blocks(
     )
 
 
-def transfers(blocked: DataFrame, shards: int) -> DataFrame:
-    """(_old, _block, shard, first): where each block goes and the slot of its first row.
-
-    At most old shards x blocks per shard rows pass the driver, whatever the size of the data.
-    """
-    counts = blocked.groupBy("_old", "_block").agg(
-        F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows")
-    )
-    found = {(r["_old"], r["_block"]): (r["bytes"], r["rows"]) for r in counts.collect()}
-    sizes = {b: size for b, (size, _) in found.items()}
+def _plan(counts: dict[Block, tuple[int, int]], shards: int) -> list[tuple[int, int, int, int]]:
+    """(old shard, block, new shard, slot of its first row) from the bytes and rows of each block."""
+    sizes = {b: size for b, (size, _) in counts.items()}
     placed = assign_blocks(sizes, even_capacities(sum(sizes.values()), shards))
-    slots = [0] * shards
-    rows = []
+    slots, out = [0] * shards, []
     for block in sorted(placed):
-        rows.append((*block, placed[block], slots[placed[block]]))
-        slots[placed[block]] += found[block][1]
-    schema = "_old int, _block int, shard int, first long"
-    return blocked.sparkSession.createDataFrame(rows, schema)
+        out.append((*block, placed[block], slots[placed[block]]))
+        slots[placed[block]] += counts[block][1]
+    return out
 
 
-def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard) for each row.
-
-    The law is ``bytes``: shard sizes are near equal, off by about half a block or one very long
-    document. ``size`` is the UTF-8 length of the text (null: 0) plus 16; ``slot`` numbers the rows of
-    a shard without gaps; ``grown_shard`` is null under this law. Repeated rows get slots of their own.
-    An empty table gives an empty result. Columns of ``docs`` other than doc_id and text are ignored.
-    """
-    narrow = with_blocks(docs.select(F.col("doc_id").cast("long"), "text")).drop("text")
-    blocked = stored(narrow)
-    return _placed(blocked, shards).select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_crc").alias("text_crc32"),
-        F.lit("bytes").alias("law"),
-        F.col("_shard").alias("shard"),
-        F.col("_slot").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
-        F.col("_old").alias("old_shard"),
-    )
+PLAN = "_old int, _block int, _shard int, _first long"
 
 
-def _placed(blocked: DataFrame, shards: int) -> DataFrame:
-    """``blocked`` with _shard and _slot."""
-    moved = transfers(blocked.select("_old", "_block", "_size"), shards).toDF("_old", "_block", "_shard", "_first")
-    order = Window.partitionBy("_old", "_block").orderBy("doc_id", "_crc", "_size")
+def _with_slots(rows: DataFrame, plan: DataFrame, *order: str) -> DataFrame:
+    """``rows`` (with _old and _block) with _shard and _slot; the plan has at most 8192 rows by construction."""
+    within = Window.partitionBy("_old", "_block").orderBy(*order)
     return (
-        blocked.withColumn("_at", F.row_number().over(order))
-        .join(F.broadcast(moved), ["_old", "_block"])  # at most 8192 rows by construction
+        rows.withColumn("_at", F.row_number().over(within)).join(F.broadcast(plan), ["_old", "_block"])
         .withColumn("_slot", (F.col("_first") + F.col("_at") - 1).cast("long"))
     )
 
 
-def sharded_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """``docs`` with their columns and the ``shard`` and ``slot`` of each row, which replace columns so named."""
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    placed = _placed(with_blocks(docs), shards)
-    return placed.select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
-
+def write_layout(docs: DataFrame, folder: str, old_shards: int = OLD_SHARDS, blocks: int = BLOCKS_PER_SHARD) -> None:
+    """Write documents as the old layout below ``folder``: a directory per shard and segment.
 
-def write_layout(docs: DataFrame, folder: str) -> None:
-    """Write documents as the old layout: one directory per shard, rows in order of their blocks."""
+    A file holds consecutive blocks of one segment, and a block lies in one file. The columns of ``docs``
+    are kept in a struct, so that none of them clashes.
+    """
+    columns = docs.columns
+    rows = with_blocks(docs.select(F.struct(*columns).alias("row"), "doc_id", "text"), old_shards, blocks)
     (
-        with_blocks(docs).repartition("_old").sortWithinPartitions("_old", "_block")
-        .write.partitionBy("_old").parquet(folder)
+        rows.select("row", "_old", "_block", "_size", F.expr(f"_block * {SEGMENTS} div {blocks}").alias("_segment"))
+        .repartitionByRange("_old", "_block").sortWithinPartitions("_old", "_block", "row.doc_id")
+        .write.partitionBy("_old", "_segment").parquet(folder)
     )
 
 
-def rewrite(spark, folder: str, target: str, shards: int) -> dict[int, str]:
-    """Move blocks so that the layout in ``folder`` becomes ``shards`` even shards.
+def reshard(spark: SparkSession, folder: str, target: str, shards: int) -> DataFrame:
+    """Turn the layout in ``folder`` into ``shards`` even shards; files that lose no block stay as they are.
 
-    Shards that neither lose nor gain a block keep their files; the others are written below
-    ``target``. Returns the directory of every shard that has rows; read it with Spark.
+    The affected files, those with a block that moves, are written anew below ``target``. Returns all rows as
+    they can be read afterwards, from kept and new files: (row, _old, _block, _shard, _first).
+    Only a line per block and file reaches the driver, which is at most 8192 by construction.
     """
     layout = spark.read.parquet(folder)
-    plan = transfers(layout.select("_old", "_block", "_size"), shards)
-    steps = plan.collect()
-    touched = {r["_old"] for r in steps if r["_old"] != r["shard"]}
-    touched |= {r["shard"] for r in steps if r["_old"] != r["shard"]}
-    changed = layout.where(F.col("_old").isin(sorted(touched)))
-    moved = changed.join(F.broadcast(plan.drop("first")), ["_old", "_block"])
-    (
-        moved.where(F.col("shard").isin(sorted(touched)))
-        .repartition("shard").sortWithinPartitions("shard", "_old", "_block")
-        .write.partitionBy("shard").parquet(target)
+    lines = (
+        layout.groupBy("_old", "_block", F.col("_metadata.file_path").alias("file"))
+        .agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
+    )
+    counts = {(r["_old"], r["_block"]): (r["bytes"], r["rows"]) for r in lines}
+    steps = _plan(counts, shards)
+    moves = {(o, b) for o, b, s, _ in steps if o != s}
+    plan = spark.createDataFrame(steps, PLAN)
+    affected = sorted({r["file"] for r in lines if (r["_old"], r["_block"]) in moves})
+    kept = sorted({r["file"] for r in lines} - set(affected))
+    columns = ["row", "_old", "_block"]
+
+    def files(paths: list[str]) -> DataFrame:
+        return spark.read.schema(layout.schema).option("basePath", folder).parquet(*paths).select(*columns)
+
+    out = []
+    if affected:
+        changed = files(affected).join(F.broadcast(plan), ["_old", "_block"])
+        (
+            changed.repartitionByRange("_shard", "_old", "_block").sortWithinPartitions("_shard", "_old", "_block")
+            .select(*columns, "_first", F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(target)
+        )
+        moved = spark.read.parquet(target)
+        out.append(moved.select(*columns, F.col("shard").alias("_shard"), "_first"))
+    if kept:
+        stay = files(kept).join(F.broadcast(plan), ["_old", "_block"])
+        out.append(stay.select(*columns, "_shard", "_first"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """Lay documents out in old shards, reshard them, and read every row back from the files.
+
+    (doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard). The law is ``bytes``: shard sizes are near
+    equal, off by about half a block or one very long document. ``size`` is the UTF-8 length of the text (null: 0)
+    plus 16; ``slot`` numbers the rows of a shard without gaps; ``grown_shard`` is null under this law. Repeated
+    rows get slots of their own. An empty table gives an empty result. Other columns are ignored.
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    folder = shared_folder(spark)
+    write_layout(docs, f"{folder}/old")
+    if docs.isEmpty():
+        return spark.createDataFrame([], RESULT)
+    rows = reshard(spark, f"{folder}/old", f"{folder}/new", shards)
+    text = F.coalesce("row.text", F.lit(""))
+    narrow = rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        "_old", "_block", "_shard", "_first",
     )
-    return {
-        s: f"{target}/shard={s}" if s in touched else f"{folder}/_old={s}"
-        for s in sorted({r["shard"] for r in steps})
-    }
+    within = Window.partitionBy("_old", "_block").orderBy("doc_id", "text_crc32", "size")
+    return narrow.withColumn("_at", F.row_number().over(within)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("_shard").alias("shard"),
+        (F.col("_first") + F.col("_at") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("_old").alias("old_shard"),
+    )
+
+
+RESULT = (
+    "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, old_shard int"
+)
+
+
+def sharded_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """``docs`` with their columns and the ``shard`` and ``slot`` of each row, which replace columns so named.
+
+    The plan is that of :func:`reshard`; the files are left to whoever writes the result.
+    """
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    blocked = with_blocks(docs)
+    counts = blocked.groupBy("_old", "_block").agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    found = {(r["_old"], r["_block"]): (r["bytes"], r["rows"]) for r in counts.collect()}
+    plan = docs.sparkSession.createDataFrame(_plan(found, shards), PLAN)
+    placed = _with_slots(blocked, plan, "doc_id", "_crc", "_size")
+    return placed.select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))

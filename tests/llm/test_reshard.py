@@ -69,13 +69,27 @@ def test_empty(spark):
     assert reshard.shard_documents(docs).collect() == []
 
 
-def test_rewrite_keeps_rows_and_untouched_files(spark, tmp_path):
-    docs = spark.createDataFrame(rows(), "doc_id long, text string, lang string, n_chars long")
+def test_only_affected_files_are_rewritten(spark, tmp_path):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, _old string, row long")
     old, new = str(tmp_path / "old"), str(tmp_path / "new")
-    reshard.write_layout(docs, old)
-    where = reshard.rewrite(spark, old, new, 40)
-    read = None
-    for path in where.values():
-        part = spark.read.parquet(path).select("doc_id", "text", "lang", "n_chars")
-        read = part if read is None else read.unionByName(part)
-    assert sorted(map(tuple, read.collect()), key=str) == sorted(rows(), key=str)
+    reshard.write_layout(docs, old, old_shards=4, blocks=64)
+    before = {p: p.read_bytes() for p in (tmp_path / "old").rglob("*.parquet")}
+    found = reshard.reshard(spark, old, new, 5)
+    assert sorted(map(str, (tuple(r["row"]) for r in found.collect()))) == sorted(map(str, rows()))
+    assert {p: p.read_bytes() for p in (tmp_path / "old").rglob("*.parquet")} == before
+    sizes = {r["_old"]: r["n"] for r in spark.read.parquet(old).groupBy("_old").agg({"_size": "sum"}).toDF("_old", "n").collect()}
+    moved = found.where("_old <> _shard").selectExpr("sum(octet_length(coalesce(row.text, '')) + 16)").first()[0]
+    target = sum(sizes.values()) / 5
+    least = sum(max(0, n - target) for n in sizes.values())
+    longest = max(len((r[1] or "").encode()) for r in rows())
+    assert moved <= least + 2 * longest
+    read_again = spark.read.parquet(new).count()
+    assert read_again < len(rows())
+
+
+def test_sharded_documents_keep_columns(spark):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, shard string, n long")
+    found = reshard.sharded_documents(docs, 6)
+    assert found.columns == ["doc_id", "text", "n", "shard", "slot"]
+    assert sorted(map(str, (tuple(r)[:3] for r in found.collect()))) == sorted(str((d, t, n)) for d, t, _, n in rows())
+    assert reshard.sharded_documents(docs.limit(0)).collect() == []
