@@ -11,10 +11,13 @@ its anchor. Equal strings have the same anchor at the same place, and an anchor
 2. Grams with two different contexts or more are the edges of repeated passages (and single edits). Only for
    those the bytes are fetched. Their suffixes from the anchor on are range-partitioned by sampled splitters
    over their leading bytes, so that a gram with very many contexts is spread over many tasks.
-3. Each batch of the sorted suffixes is one bucket: the strings of its runs are sorted by a multikey quicksort
-   over characters of eight bytes, and of equal strings all but the earliest are repeated.
-4. Strings that may go on in another bucket, because their part of the suffix is shared with the first or last
-   suffix of the bucket, are compared across the boundaries by their bytes.
+3. Consecutive sorted suffixes make buckets that end between two grams if they can. The strings of a bucket's
+   runs are sorted by a multikey quicksort over characters of eight bytes, and of equal strings all but the
+   earliest are repeated.
+4. Where one gram goes on in another bucket, a string can have an equal there if its part of the suffix is
+   shared with the suffix at the boundary. Runs with such strings are sorted once more, by the bytes in
+   front of the anchor, and compared in the same way. What may still cross a boundary then has its part on
+   both sides in common with the whole bucket, so few strings per bucket are left; they meet by their bytes.
 
 Steps 3 and 4 compare bytes; step 1 relies on 128 bits of hash for equality of contexts.
 """
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +41,9 @@ GRAM = 24
 # Bytes that are hashed at once; the place within them takes that many bits of a key.
 PLACE_BITS = 20
 PIECE = 1 << PLACE_BITS
-# Anchors that a task gathers before it sends them.
+# Anchors that a task gathers before it sends them, and suffixes of one gram that it compares at once.
 HELD = 1 << 19
+BUCKET = 10_000
 _MASK = np.uint64(PIECE - 1)
 # Odd multipliers and byte values of the polynomial hash: any would do, all tasks need the same.
 _BASE = 0x9E3779B97F4A7C15
@@ -47,6 +52,7 @@ _LEFT, _RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A5A5A5A5A5A5A7)
 PACKED = "bucket int, settled boolean, ids binary, hashes binary, counts binary, code binary, grams binary, contexts binary"
 RUNS = "_id long, _hash int, need boolean, code long"
 SUFFIXES = "right binary, left binary, _id long, _hash int, code long"
+OPEN = SUFFIXES + ", key binary, settled boolean, first long, last long"
 FOUND = "key binary, settled boolean, _id long, _hash int, first long, last long"
 
 
@@ -350,68 +356,153 @@ def _padded(parts: list[bytes], width: int, right: bool) -> np.ndarray:
     return np.frombuffer(b"".join([fill(p, width, b"\0") for p in parts]), np.uint8).reshape(len(parts), width)
 
 
-def _bucket(length: int, gram: int):
-    """Step 3: strings of one batch of sorted suffixes, and those to be compared across boundaries."""
-    reach = length - gram
-    words = -(-length // 8)
+def _cuts(batches: Iterator[pa.RecordBatch], gram: int, most: int) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """Buckets of sorted suffixes, and whether their first and last gram may go on in another bucket."""
+    held, opened = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if held is not None:
+            rows = pa.concat_tables([held, rows]).combine_chunks()
+        grams = pc.binary_slice(rows.column("right"), 0, gram)
+        last = pc.index(grams, grams[-1]).as_py()
+        if last:
+            yield rows.slice(0, last), opened, False
+            opened = False
+        held = rows.slice(last)
+        if held.num_rows >= most:
+            yield held, opened, True
+            held, opened = None, True
+    if held is not None:
+        yield held, opened, True
+
+
+def _compare(rows: pa.Table, length: int, gram: int, ends: list[int], by_left: bool) -> dict[str, np.ndarray]:
+    """The strings of a bucket: their row, distance to the anchor and start, whether they are repeated
+    within it, and whether they may have an equal beyond the rows ``ends`` at its open boundaries."""
+    reach, words, n = length - gram, -(-length // 8), rows.num_rows
+    right, left = rows.column("right").to_pylist(), rows.column("left").to_pylist()
+    ids, hashes, code = (rows.column(c).to_numpy() for c in ("_id", "_hash", "code"))
+    tails, heads = _padded(right, length, False), _padded(left, reach, True)
+    grams = tails[:, :gram]
+    group = np.cumsum(_changes(*grams.T)) - 1
+    shared = np.full(n, -1)
+    for end in ends:
+        if by_left:
+            common = _common(heads[:, ::-1], np.array([len(x) for x in left]), end)
+        else:
+            common = _common(tails, np.array([len(x) for x in right]), end)
+        shared = np.maximum(shared, np.where(group == group[end], common, -1))
+    further = (code & 255) + 1
+    row = np.repeat(np.arange(n), further)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(further) - further, further)
+    ahead = (code[row] >> 8 & 255) - step
+    start = (code[row] >> 16) + step
+    crossing = (ahead if by_left else length - ahead) <= shared[row]
+    use = (np.bincount(group)[group] > 1)[row] | crossing
+    row, ahead, start, crossing = row[use], ahead[use], start[use], crossing[use]
+    repeated = np.zeros(len(row), bool)
+    strings = np.empty((0, length), np.uint8)
+    if len(row):
+        block = np.concatenate((heads, tails), axis=1)
+        strings = np.lib.stride_tricks.sliding_window_view(block, length, axis=1)[row, reach - ahead]
+        wide = np.zeros((len(row), 8 * words), np.uint8)
+        wide[:, :length] = strings
+        ties, stretch = equal_runs(group[row] * (reach + 1) + ahead, wide.view(">u8").astype(np.uint64))
+        if len(ties):
+            order = np.lexsort((start[ties], hashes[row[ties]], ids[row[ties]], stretch))
+            ties, stretch = ties[order], stretch[order]
+            head = np.flatnonzero(_changes(stretch))
+            top = ties[np.repeat(head, np.diff(np.append(head, len(ties))))]
+            same = (
+                (ids[row[ties]] == ids[row[top]]) & (hashes[row[ties]] == hashes[row[top]]) & (start[ties] == start[top])
+            )
+            repeated[ties[~same]] = True
+    return {"row": row, "ahead": ahead, "start": start, "repeated": repeated, "crossing": crossing & ~repeated,
+            "strings": strings, "ids": ids, "hashes": hashes}
+
+
+def _stretches(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """First and last string of each stretch of repeated strings that follow each other in a run."""
+    at = np.flatnonzero(found["repeated"])
+    if not len(at):
+        return at, at
+    row, start = found["row"], found["start"]
+    new = np.ones(len(at), bool)
+    new[1:] = (row[at[1:]] != row[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
+    return at[new], at[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
+
+
+def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+    """A batch of ``n`` rows; columns that are not given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema
+    )
+
+
+def _ends(first: bool, last: bool, n: int) -> list[int]:
+    return [0] * first + [n - 1] * last
+
+
+def _by_suffix(length: int, gram: int, most: int):
+    """Step 3: repeated strings of sorted suffixes, and the runs that are to be sorted from the other side."""
+    schema = pa.schema(
+        [("right", pa.binary()), ("left", pa.binary()), ("_id", pa.int64()), ("_hash", pa.int32()), ("code", pa.int64()),
+         ("key", pa.binary()), ("settled", pa.bool_()), ("first", pa.int64()), ("last", pa.int64())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            right, left = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ids = batch.column(2).to_numpy(zero_copy_only=False)
-            hashes = batch.column(3).to_numpy(zero_copy_only=False)
-            code = batch.column(4).to_numpy(zero_copy_only=False)
-            ends = np.array([len(r) for r in right])
-            tails = _padded(right, length, False)
-            block = np.concatenate((_padded(left, reach, True), tails), axis=1)
-            group = np.cumsum(_changes(*tails[:, :gram].T)) - 1
-            shared = np.maximum(_common(tails, ends, 0), _common(tails, ends, n - 1))
-            # All strings: row and start, relative to the anchor.
-            further = (code & 255) + 1
-            row = np.repeat(np.arange(n), further)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(further) - further, further)
-            ahead = (code[row] >> 8 & 255) - step
-            start = (code[row] >> 16) + step
-            crossing = length - ahead <= shared[row]
-            alone = np.bincount(group)[group] == 1
-            use = ~alone[row] | crossing
-            row, ahead, start, crossing = row[use], ahead[use], start[use], crossing[use]
-            if not len(row):
-                continue
-            strings = np.lib.stride_tricks.sliding_window_view(block, length, axis=1)[row, reach - ahead]
-            wide = np.zeros((len(row), 8 * words), np.uint8)
-            wide[:, :length] = strings
-            ties, stretch = equal_runs(group[row] * (reach + 1) + ahead, wide.view(">u8").astype(np.uint64))
-            repeated = np.zeros(len(row), bool)
-            if len(ties):
-                order = np.lexsort((start[ties], hashes[row[ties]], ids[row[ties]], stretch))
-                ties, stretch = ties[order], stretch[order]
-                head = np.flatnonzero(_changes(stretch))
-                top = ties[np.repeat(head, np.diff(np.append(head, len(ties))))]
-                same = (ids[row[ties]] == ids[row[top]]) & (hashes[row[ties]] == hashes[row[top]]) & (start[ties] == start[top])
-                repeated[ties[~same]] = True
-            # Neighbouring strings of a run that are both repeated make one row.
-            at = np.flatnonzero(repeated)
+        for rows, first, last in _cuts(batches, gram, most):
+            found = _compare(rows, length, gram, _ends(first, last, rows.num_rows), by_left=False)
+            row, start, ahead = found["row"], found["start"], found["ahead"]
+            low, high = _stretches(found)
+            if len(low):
+                yield _batch(
+                    schema, len(low), settled=np.full(len(low), True), _id=found["ids"][row[low]],
+                    _hash=found["hashes"][row[low]], first=start[low], last=start[high],
+                )
+            at = np.flatnonzero(found["crossing"])
             if len(at):
-                new = np.ones(len(at), bool)
-                new[1:] = (row[at[1:]] != row[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
-                low = at[new]
-                high = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i.to_bytes(8, "big", signed=True) for i in ids[row[low]].tolist()], pa.binary()),
-                     pa.array(np.full(len(low), True)), pa.array(ids[row[low]]), pa.array(hashes[row[low]]),
-                     pa.array(start[low]), pa.array(start[high])],
-                    ["key", "settled", "_id", "_hash", "first", "last"],
+                new = _changes(row[at])
+                low, high = at[new], at[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
+                right, left = rows.column("right"), rows.column("left")
+                tails = [right[r].as_py()[: length - a] for r, a in zip(row[low].tolist(), ahead[high].tolist())]
+                heads = [left[r].as_py()[len(left[r].as_py()) - a :] for r, a in zip(row[low].tolist(), ahead[low].tolist())]
+                yield _batch(
+                    schema, len(low), settled=np.full(len(low), False), _id=found["ids"][row[low]],
+                    _hash=found["hashes"][row[low]], right=tails, left=heads,
+                    key=[t[:gram] + h[::-1] for t, h in zip(tails, heads)],
+                    code=coded(start[low], ahead[low], start[high] - start[low]),
                 )
-            at = np.flatnonzero(crossing & ~repeated)
+
+    return run
+
+
+def _by_left(length: int, gram: int, most: int):
+    """Step 4: the same for runs sorted by what lies in front of the anchor; strings still open by their bytes."""
+    schema = pa.schema(
+        [("key", pa.binary()), ("settled", pa.bool_()), ("_id", pa.int64()), ("_hash", pa.int32()),
+         ("first", pa.int64()), ("last", pa.int64())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first, last in _cuts(batches, gram, most):
+            found = _compare(rows, length, gram, _ends(first, last, rows.num_rows), by_left=True)
+            row, start = found["row"], found["start"]
+            low, high = _stretches(found)
+            if len(low):
+                ids = found["ids"][row[low]]
+                yield _batch(
+                    schema, len(low), key=[i.to_bytes(8, "big", signed=True) for i in ids.tolist()],
+                    settled=np.full(len(low), True), _id=ids, _hash=found["hashes"][row[low]],
+                    first=start[low], last=start[high],
+                )
+            at = np.flatnonzero(found["crossing"])
             if len(at):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s.tobytes() for s in strings[at]], pa.binary()), pa.array(np.full(len(at), False)),
-                     pa.array(ids[row[at]]), pa.array(hashes[row[at]]), pa.array(start[at]), pa.array(start[at])],
-                    ["key", "settled", "_id", "_hash", "first", "last"],
+                yield _batch(
+                    schema, len(at), key=[s.tobytes() for s in found["strings"][at]], settled=np.full(len(at), False),
+                    _id=found["ids"][row[at]], _hash=found["hashes"][row[at]], first=start[at], last=start[at],
                 )
 
     return run
@@ -467,7 +558,7 @@ RESULT = (
 )
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed) per row of ``docs`` (doc_id, text).
 
     Bytes covered by a string of ``length`` bytes that also starts earlier are removed; earlier is a smaller
@@ -475,7 +566,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     all others; rows with equal ids and different texts are in the order of a hash of the text; of rows that are
     equal the first stays and the others are repeated as a whole (where they have ``length`` bytes). A null text
     counts as empty. ``removed`` lists the spans. An empty table gives an empty result; columns of other names are
-    ignored.
+    ignored. ``bucket`` bounds the suffixes of one gram that a task compares at once; it does not change results.
     """
     if not 0 < gram <= length or length - gram > 254:
         raise ValueError("the gram must fit into the string, at most 254 bytes shorter")
@@ -491,19 +582,21 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle(), RUNS)
     )
     wanted = runs.where("need").groupBy("_id", "_hash").agg(F.collect_list("code").alias("codes"))
-    suffixes = (
-        keyed.join(wanted, ["_id", "_hash"]).select("doc_id", "_id", "_hash", "text", "codes")
-        .mapInArrow(_cut(length), SUFFIXES)
-        .repartitionByRange("right", "_id", "code").sortWithinPartitions("right", "_id", "code")
+    suffixes = stored(
+        keyed.join(wanted, ["_id", "_hash"]).select("_id", "_hash", "text", "codes").mapInArrow(_cut(length), SUFFIXES)
     )
-    # Strings at a boundary meet by their bytes; at most one of each kind comes from a bucket.
-    found = suffixes.mapInArrow(_bucket(length, gram), FOUND)
+    sorted_once = suffixes.repartitionByRange("right", "_id", "code").sortWithinPartitions("right", "_id", "code")
+    found = stored(sorted_once.mapInArrow(_by_suffix(length, gram, bucket), OPEN))
+    again = found.where("NOT settled").select(*suffixes.columns, "key")
+    sorted_left = again.repartitionByRange("key", "_id", "code").sortWithinPartitions("key", "_id", "code")
+    # At most one of each kind of string comes from a bucket.
     order = F.struct("_id", "_hash", "first")
     across = Window.partitionBy("key", "settled")
     late = (
-        found.withColumn("_best", F.min(order).over(across)).where(F.col("settled") | (F.col("_best") != order))
+        sorted_left.mapInArrow(_by_left(length, gram, bucket), FOUND)
+        .withColumn("_best", F.min(order).over(across)).where(F.col("settled") | (F.col("_best") != order))
         .select("_id", "_hash", "first", "last")
-    )
+    ).unionByName(found.where("settled").select("_id", "_hash", "first", "last"))
     code = F.col("code")
     first = F.shiftright(code, 16)
     sure = runs.where("NOT need").select(

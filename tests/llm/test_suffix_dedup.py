@@ -29,9 +29,9 @@ def plain(rows, length):
     return out
 
 
-def check(spark, rows, length, gram, parts=4):
+def check(spark, rows, length, gram, parts=4, bucket=suffix_dedup.BUCKET):
     docs = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(parts)
-    found = suffix_dedup.repeated_bytes(docs, length, gram).collect()
+    found = suffix_dedup.repeated_bytes(docs, length, gram, bucket).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     expected = plain(order, length)
     assert sorted(tuple(r)[:5] for r in found) == sorted(expected) if None not in dict(rows) else True
@@ -50,9 +50,10 @@ def test_small_strings(spark, seed):
     rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(0, 80)))) for i in range(60)]
     rows += [(100, "a" * 300), (101, "ab" * 200), (102, "abc" * 100), (103, None), (104, "a" * 11), (105, "a" * 12)]
     check(spark, rows, 12, 4)
+    check(spark, rows, 12, 4, bucket=3)
 
 
-def test_passages(spark, monkeypatch):
+def test_passages(spark):
     rng = random.Random(3)
     passage, other = prose(rng, 40), prose(rng, 25)
     rows = []
@@ -67,10 +68,11 @@ def test_passages(spark, monkeypatch):
     rows += [(400, rows[8][1] + " tail " + rows[8][1]), (401, ""), (-5, rows[9][1][30:]), (402, (prose(rng, 20) + "\n") * 20)]
     rng.shuffle(rows)
     check(spark, rows, 100, 24)
-    # Small batches make many buckets with boundaries between them.
+    # Small batches and buckets make many boundaries.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
-        check(spark, rows, 100, 24, parts=2)
+        for bucket in (1, 5):
+            check(spark, rows, 100, 24, parts=2, bucket=bucket)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
