@@ -7,7 +7,9 @@ its anchor. Equal strings have the same anchor at the same place, and an anchor
 
 1. Each document yields its anchors with the hash of the gram and the hash of all bytes that the run of
    strings covers (the context). Anchors are dealt by gram. Of equal contexts the earliest stays and the runs
-   of the others are repeated; copies within a task collapse before they are sent.
+   of the others are repeated; copies within a task collapse before they are sent. A gram with many contexts
+   in one task needs its bytes in any case: all but two of these are dealt by context, not by gram, so that no
+   task gets all places of a very frequent gram.
 2. Grams with two different contexts or more are the edges of repeated passages (and single edits). Only for
    those the bytes are fetched. Their suffixes from the anchor on are range-partitioned by sampled splitters
    over their leading bytes, so that a gram with very many contexts is spread over many tasks.
@@ -44,12 +46,16 @@ PIECE = 1 << PLACE_BITS
 # Anchors that a task gathers before it sends them, and suffixes of one gram that it compares at once.
 HELD = 1 << 19
 BUCKET = 10_000
+# Contexts of one gram in a task above which they are spread.
+SPREAD = 32
+# What a packed row holds: contexts by gram, repeated runs that are only passed on, contexts that need bytes.
+_PLAIN, _SETTLED, _SPREAD = range(3)
 _MASK = np.uint64(PIECE - 1)
 # Odd multipliers and byte values of the polynomial hash: any would do, all tasks need the same.
 _BASE = 0x9E3779B97F4A7C15
 _BYTES = np.random.Generator(np.random.PCG64(20240501)).integers(0, 2**64, 256, dtype=np.uint64)
 _LEFT, _RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A5A5A5A5A5A5A7)
-PACKED = "bucket int, settled boolean, ids binary, hashes binary, counts binary, code binary, grams binary, contexts binary"
+PACKED = "bucket int, kind int, ids binary, hashes binary, counts binary, code binary, grams binary, contexts binary"
 RUNS = "_id long, _hash int, need boolean, code long"
 SUFFIXES = "right binary, left binary, _id long, _hash int, code long"
 OPEN = SUFFIXES + ", key binary, settled boolean, first long, last long"
@@ -169,12 +175,12 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _pack(bucket: int, settled: bool, ids, hashes, code, grams, contexts) -> tuple:
+def _pack(bucket: int, kind: int, ids, hashes, code, grams, contexts) -> tuple:
     """One row for many anchors; ids of one document are written once."""
     new = _changes(ids, hashes)
     counts = np.diff(np.append(np.flatnonzero(new), len(ids)))
     return (
-        bucket, settled, ids[new].tobytes(), hashes[new].tobytes(), counts.astype(np.uint32).tobytes(),
+        bucket, kind, ids[new].tobytes(), hashes[new].tobytes(), counts.astype(np.uint32).tobytes(),
         code.tobytes(), grams.tobytes(), contexts.tobytes(),
     )
 
@@ -190,12 +196,12 @@ def _unpack(row: dict) -> tuple[np.ndarray, ...]:
 
 def _packed_schema() -> pa.Schema:
     return pa.schema(
-        [("bucket", pa.int32()), ("settled", pa.bool_())]
+        [("bucket", pa.int32()), ("kind", pa.int32())]
         + [(n, pa.binary()) for n in ("ids", "hashes", "counts", "code", "grams", "contexts")]
     )
 
 
-def _gather(length: int, gram: int, buckets: int):
+def _gather(length: int, gram: int, buckets: int, spread: int):
     """Step 1 in the tasks that read the documents: anchors, copies within the task already settled."""
     schema = _packed_schema()
 
@@ -207,20 +213,22 @@ def _gather(length: int, gram: int, buckets: int):
         distinct = _changes(grams, contexts, ids, hashes, code)  # repeated rows of the table are one document
         grams, contexts, ids, hashes, code = (c[distinct] for c in (grams, contexts, ids, hashes, code))
         earliest = _changes(grams, contexts)
-        bucket = (grams % np.uint64(buckets)).astype(np.int64)
-        for settled, use in ((False, earliest), (True, ~earliest)):
-            parts = _ordered(*(c[use] for c in (bucket, ids, hashes, code, grams, contexts)))
-            if settled:
-                # These are only passed on; they are spread by document and carry no hashes.
-                part = parts[1] % buckets
-                parts = _ordered(part, *parts[1:4])
-                parts = (*parts, np.empty(len(part), np.uint64), np.empty(len(part), np.uint64))
-            cuts = np.flatnonzero(_changes(parts[0])) if len(parts[0]) else []
-            for a, b in zip(cuts, np.append(cuts[1:], len(parts[0]))):
-                own = [c[a:b] for c in parts]
-                if settled:
-                    own[4] = own[5] = np.empty(0, np.uint64)
-                yield batch_of([_pack(int(own[0][0]), settled, *own[1:])])
+        # Runs that are settled here are spread by document and carry no hashes.
+        kind = np.where(earliest, _PLAIN, _SETTLED)
+        bucket = np.where(earliest, (grams % np.uint64(buckets)).astype(np.int64), ids % buckets)
+        group = np.cumsum(_changes(grams)) - 1
+        upto = np.cumsum(earliest)
+        before = upto[np.flatnonzero(_changes(grams))] - 1
+        many = earliest & (np.bincount(group, weights=earliest)[group] > spread) & (upto - before[group] > 2)
+        kind[many] = _SPREAD
+        bucket[many] = (contexts[many] % np.uint64(buckets)).astype(np.int64)
+        bucket, kind, ids, hashes, code, grams, contexts = _ordered(bucket, kind, ids, hashes, code, grams, contexts)
+        cuts = np.flatnonzero(_changes(bucket, kind))
+        for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
+            c = a if kind[a] == _SETTLED else b
+            yield batch_of(
+                [_pack(int(bucket[a]), int(kind[a]), ids[a:b], hashes[a:b], code[a:b], grams[a:c], contexts[a:c])]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -253,45 +261,58 @@ def _settle():
             ["_id", "_hash", "need", "code"],
         )
 
-    def finish(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def joined(held: list[tuple]) -> tuple[np.ndarray, ...]:
+        """All places of the distinct contexts, earliest first, and which of them are the earliest."""
         ids, hashes, code, grams, contexts = (np.concatenate(c) for c in zip(*held))
+        grams, contexts, ids, hashes, code = _ordered(grams, contexts, ids, hashes, code)
+        distinct = _changes(grams, contexts, ids, hashes, code)
+        grams, contexts, ids, hashes, code = (c[distinct] for c in (grams, contexts, ids, hashes, code))
+        return grams, ids, hashes, code, _changes(grams, contexts)
+
+    def plain(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         # Grams that occur once are the bulk; they go before anything is sorted as a whole.
+        grams = np.concatenate([part[3] for part in held])
         order = np.argsort(grams, kind="stable")
-        new = _changes(grams[order])
-        group = np.cumsum(new) - 1
-        order = order[np.bincount(group)[group] > 1]
-        if not len(order):
+        group = np.cumsum(_changes(grams[order])) - 1
+        often = np.zeros(len(grams), bool)
+        often[order] = np.bincount(group)[group] > 1
+        cuts = np.cumsum([len(part[3]) for part in held])[:-1]
+        held = [tuple(c[use] for c in part) for part, use in zip(held, np.split(often, cuts))]
+        if not often.any():
             return
-        grams, contexts, ids, hashes, code = _ordered(*(c[order] for c in (grams, contexts, ids, hashes, code)))
-        distinct = _changes(grams, contexts, ids, hashes, code)
-        grams, contexts, ids, hashes, code = (c[distinct] for c in (grams, contexts, ids, hashes, code))
-        earliest = _changes(grams, contexts)
+        grams, ids, hashes, code, earliest = joined(held)
         yield rows(ids[~earliest], hashes[~earliest], False, code[~earliest])
         grams, ids, hashes, code = (c[earliest] for c in (grams, ids, hashes, code))
         group = np.cumsum(_changes(grams)) - 1
         need = np.bincount(group)[group] > 1
         yield rows(ids[need], hashes[need], True, code[need])
 
+    def spread(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        _, ids, hashes, code, earliest = joined(held)
+        for need, use in ((False, ~earliest), (True, earliest)):
+            yield rows(ids[use], hashes[use], need, code[use])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held = None, []
+        bucket, held = None, {_PLAIN: [], _SPREAD: []}
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if held[_PLAIN]:
+                yield from plain(held[_PLAIN])
+            if held[_SPREAD]:
+                yield from spread(held[_SPREAD])
+            held[_PLAIN], held[_SPREAD] = [], []
+
         for batch in batches:
             for row in batch.to_pylist():
-                parts = _unpack(row) if not row["settled"] else None
-                if row["settled"]:
-                    counts = np.frombuffer(row["counts"], np.uint32)
-                    yield rows(
-                        np.repeat(np.frombuffer(row["ids"], np.int64), counts),
-                        np.repeat(np.frombuffer(row["hashes"], np.int32), counts),
-                        False, np.frombuffer(row["code"], np.int64),
-                    )
-                    continue
-                if row["bucket"] != bucket and held:
-                    yield from finish(held)
-                    held = []
-                bucket = row["bucket"]
-                held.append(parts)
-        if held:
-            yield from finish(held)
+                if row["bucket"] != bucket:
+                    yield from finish()
+                    bucket = row["bucket"]
+                parts = _unpack(row)
+                if row["kind"] == _SETTLED:
+                    yield rows(parts[0], parts[1], False, parts[2])
+                else:
+                    held[row["kind"]].append(parts)
+        yield from finish()
 
     return run
 
@@ -558,7 +579,9 @@ RESULT = (
 )
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
+def repeated_bytes(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET, spread: int = SPREAD
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed) per row of ``docs`` (doc_id, text).
 
     Bytes covered by a string of ``length`` bytes that also starts earlier are removed; earlier is a smaller
@@ -566,7 +589,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     all others; rows with equal ids and different texts are in the order of a hash of the text; of rows that are
     equal the first stays and the others are repeated as a whole (where they have ``length`` bytes). A null text
     counts as empty. ``removed`` lists the spans. An empty table gives an empty result; columns of other names are
-    ignored. ``bucket`` bounds the suffixes of one gram that a task compares at once; it does not change results.
+    ignored. ``bucket`` bounds the suffixes of one gram that a task compares at once, ``spread``
+    the contexts of one gram that a task sends to one place; neither changes results.
     """
     if not 0 < gram <= length or length - gram > 254:
         raise ValueError("the gram must fit into the string, at most 254 bytes shorter")
@@ -578,7 +602,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     )
     buckets = shuffle_partitions(spark)
     runs = stored(
-        keyed.select("_id", "_hash", "text").mapInArrow(_gather(length, gram, buckets), PACKED)
+        keyed.select("_id", "_hash", "text").mapInArrow(_gather(length, gram, buckets, spread), PACKED)
         .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle(), RUNS)
     )
     wanted = runs.where("need").groupBy("_id", "_hash").agg(F.collect_list("code").alias("codes"))

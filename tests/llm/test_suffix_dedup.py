@@ -29,9 +29,9 @@ def plain(rows, length):
     return out
 
 
-def check(spark, rows, length, gram, parts=4, bucket=suffix_dedup.BUCKET):
+def check(spark, rows, length, gram, parts=4, bucket=suffix_dedup.BUCKET, spread=suffix_dedup.SPREAD):
     docs = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(parts)
-    found = suffix_dedup.repeated_bytes(docs, length, gram, bucket).collect()
+    found = suffix_dedup.repeated_bytes(docs, length, gram, bucket, spread).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     expected = plain(order, length)
     assert sorted(tuple(r)[:5] for r in found) == sorted(expected) if None not in dict(rows) else True
@@ -50,7 +50,7 @@ def test_small_strings(spark, seed):
     rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(0, 80)))) for i in range(60)]
     rows += [(100, "a" * 300), (101, "ab" * 200), (102, "abc" * 100), (103, None), (104, "a" * 11), (105, "a" * 12)]
     check(spark, rows, 12, 4)
-    check(spark, rows, 12, 4, bucket=3)
+    check(spark, rows, 12, 4, bucket=3, spread=2)
 
 
 def test_passages(spark):
@@ -72,7 +72,7 @@ def test_passages(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
         for bucket in (1, 5):
-            check(spark, rows, 100, 24, parts=2, bucket=bucket)
+            check(spark, rows, 100, 24, parts=2, bucket=bucket, spread=2)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
