@@ -161,9 +161,14 @@ def _order_total_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export all marts as CSV and sum up what can be read back."""
+    """Store Silver, export all marts built on it as CSV, and sum up what can be read back."""
     folder = shared_folder(spark)
-    export_marts(_gold(spark, sf_dir), folder)
+    silver = _silver(spark, sf_dir)
+    plans = {t: silver[t] for t in TABLES}
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        list(pool.map(lambda t: plans[t].write.parquet(f"{folder}/silver/{t}"), plans))
+    stored = {t: spark.read.parquet(f"{folder}/silver/{t}") for t in TABLES}
+    export_marts({n: m.build(stored, **MART_OPTIONS.get(n, {})) for n, m in MARTS.items()}, folder)
     read = spark.read.option("header", True).option("escape", '"')
     totals = [mart_totals(name, read.csv(f"{folder}/{name}")) for name in MARTS]
     return portable(reduce(DataFrame.unionByName, totals))
