@@ -16,7 +16,7 @@ from shopstrata.functions.parse import instant
 from shopstrata.plans.marts import MARTS, in_report_order
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS
-from shopstrata.sources.layers import LEDGER_SCHEMA, LayerStore, entry
+from shopstrata.sources.layers import CURRENT, LEDGER_SCHEMA, LayerStore, entry
 from shopstrata.sources.raw_csv import read_if_present, stamped, write_csv
 from shopstrata.sources.schemas import TABLES
 
@@ -49,19 +49,20 @@ class Run:
         self.multi_line = frozenset(multi_line)
         self.entries: list[dict] = []
 
-    def _write_layer(self, layer: str, plans: Mapping[str, Callable[[], DataFrame | None]]) -> None:
-        def one(name: str) -> dict:
-            note = partial(entry, self.run_id, self.run_time, layer, name)
-            try:
-                df = plans[name]()
-                if df is None:
-                    return note("SKIPPED")
-                return self.store.write(self.run_id, self.run_time, layer, name, df)
-            except Exception as problem:  # noqa: BLE001 - one table must not stop the others
-                return note("FAILED", error=str(problem))
+    def _attempt(self, layer: str, name: str, plan: Callable[[], DataFrame | None]) -> dict:
+        """Write one table and return its entry; a failure is an entry as well."""
+        note = partial(entry, self.run_id, self.run_time, layer, name)
+        try:
+            df = plan()
+            if df is None:
+                return note("SKIPPED")
+            return self.store.write(self.run_id, self.run_time, layer, name, df)
+        except Exception as problem:  # noqa: BLE001 - one table must not stop the others
+            return note("FAILED", error=str(problem))
 
+    def _write_layer(self, layer: str, plans: Mapping[str, Callable[[], DataFrame | None]]) -> None:
         with ThreadPoolExecutor(max_workers=max(1, len(plans))) as pool:
-            self._record(pool.map(one, plans))
+            self._record(pool.map(lambda name: self._attempt(layer, name, plans[name]), plans))
 
     def _record(self, entries: Iterable[dict]) -> None:
         entries = list(entries)
@@ -75,24 +76,43 @@ class Run:
         """Load the raw files into the layer ``raw``, without any metadata."""
         self._write_layer("raw", {t: partial(self._scan, t) for t in TABLES})
 
-    def bronze(self) -> None:
-        """Load the raw files as they are, with ingest metadata."""
+    def _load(self, table: str) -> DataFrame | None:
+        raw = self._scan(table)
+        return None if raw is None else stamped(raw, table, self.run_time)
 
-        def load(table: str) -> DataFrame | None:
-            raw = self._scan(table)
-            return None if raw is None else stamped(raw, table, self.run_time)
+    def _clean(self, table: str, bronze: Callable[[], DataFrame]) -> DataFrame:
+        stamp = F.expr(instant(datetime.now()))
+        return CLEANERS[table](bronze()).withColumn("_silver_timestamp", stamp)
 
-        self._write_layer("bronze", {t: partial(load, t) for t in TABLES})
+    def bronze(self) -> None:
+        """Load the raw files as they are, with ingest metadata."""
+        self._write_layer("bronze", {t: partial(self._load, t) for t in TABLES})
 
     def silver(self) -> None:
         """Clean every Bronze table."""
         bronze = self.store.current("bronze")
+        self._write_layer(
+            "silver", {t: partial(self._clean, t, partial(bronze.__getitem__, t)) for t in CLEANERS}
+        )
+
+    def bronze_and_silver(self) -> None:
+        """Both layers, each table cleaned as soon as it is loaded.
+
+        A table that could not be loaded is cleaned from its previous contents, as in :meth:`silver`.
+        """
+        older = self.store.current("bronze")
 
-        def clean(table: str) -> DataFrame:
-            stamp = F.expr(instant(datetime.now()))
-            return CLEANERS[table](bronze[table]).withColumn("_silver_timestamp", stamp)
+        def both(table: str) -> list[dict]:
+            loaded = self._attempt("bronze", table, partial(self._load, table))
+            if loaded["status"] in CURRENT:
+                source = partial(self.store.open, "bronze", loaded["path"], loaded["rows"])
+            else:
+                source = partial(older.__getitem__, table)
+            return [loaded, self._attempt("silver", table, partial(self._clean, table, source))]
 
-        self._write_layer("silver", {t: partial(clean, t) for t in CLEANERS})
+        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+            done = list(pool.map(both, TABLES))
+        self._record(sorted((e for pair in done for e in pair), key=lambda e: e["layer"]))
 
     def quality(self) -> DataFrame:
         """Run the checks, write the CSV report of the run and append to the history."""
@@ -138,8 +158,7 @@ def run_pipeline(
     raw files have line breaks inside quoted cells.
     """
     run = Run(spark, raw_dir, root, run_time, mart_options, multi_line)
-    run.bronze()
-    run.silver()
+    run.bronze_and_silver()
     with ThreadPoolExecutor(max_workers=2) as pool:
         for done in [pool.submit(run.quality), pool.submit(run.gold)]:
             done.result()

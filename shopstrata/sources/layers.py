@@ -103,17 +103,18 @@ class LayerStore:
             .select("table", "last.*")
         )
 
-        def open_table(path: str, rows: int) -> DataFrame:
-            df = self.spark.read.parquet(path)
-            if BAD_ROW in df.columns:
-                df = good_rows(df)
-            return df.withColumn("_row_count", F.lit(rows)) if layer == "bronze" else df
-
         # One row per table, whatever the length of the history.
         return TableSet(
-            {r["table"]: partial(open_table, r["path"], r["rows"]) for r in newest.collect()}
+            {r["table"]: partial(self.open, layer, r["path"], r["rows"]) for r in newest.collect()}
         )
 
+    def open(self, layer: str, path: str, rows: int) -> DataFrame:
+        """A written table: its readable rows, in Bronze with the row count of the load."""
+        df = self.spark.read.parquet(path)
+        if BAD_ROW in df.columns:
+            df = good_rows(df)
+        return df.withColumn("_row_count", F.lit(rows)) if layer == "bronze" else df
+
     def rejects(self, layer: str = "bronze") -> DataFrame:
         """(table, record): the raw rows of the current tables that could not be read."""
         newest = self.ledger().where((F.col("layer") == layer) & F.col("status").isin(*CURRENT))
