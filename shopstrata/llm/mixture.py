@@ -138,6 +138,21 @@ def mix_plan(
     ]
 
 
+def quota_table(docs: DataFrame, **options) -> DataFrame:
+    """(source, shard, blocks, first_block): how many blocks of each source a shard takes, and from which on.
+
+    Blocks of a source are numbered in its seeded order and start again after the last one.
+    """
+    rows = []
+    for p in mix_plan(stored(sized(docs, options.get("seed", SEED))), **options):
+        at = p["start"]
+        for shard, quota in enumerate(p["quotas"]):
+            if quota:
+                rows.append((None if p["_key"] == "~" else p["_key"][1:], shard, quota, at % p["blocks"]))
+            at += quota
+    return docs.sparkSession.createDataFrame(rows, "source string, shard int, blocks long, first_block long")
+
+
 def _within(first: str, last: str) -> str:
     """Words of the document, which starts at ``_from``, in [first, last) of its source."""
     return f"greatest(0L, least(_from + size, {last}) - greatest(_from, {first}))"

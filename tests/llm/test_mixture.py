@@ -101,3 +101,17 @@ def test_every_source_may_be_empty(spark):
     assert {(r["size"], r["taken"], r["target"]) for r in mixture.mix(docs).collect()} == {(0, 0, 0.0)}
     none = docs.where(F.lit(False))
     assert mixture.mix(none).collect() == [] and mixture.mixed_documents(none).collect() == []
+
+
+def test_quota_table(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    found = mixture.quota_table(docs, blocks=200, shards=4).collect()
+    plan = mixture.mix_plan(mixture.sized(docs), blocks=200, shards=4)
+    per_shard = Counter()
+    for p in plan:
+        own = [r for r in found if r["source"] == (None if p["_key"] == "~" else p["_key"][1:])]
+        assert sum(r["blocks"] for r in own) == p["quota"] <= 2 * p["blocks"]
+        assert not own or min(own, key=lambda r: r["shard"])["first_block"] == p["start"]
+        for r in own:
+            per_shard[r["shard"]] += r["blocks"]
+    assert max(per_shard.values()) - min(per_shard.values()) <= 1
