@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,12 @@ def row_key() -> list[Column]:
         F.coalesce(doc_id, F.lit(0)).alias("_id"),
         F.xxhash64(F.col("text").cast("string"), F.col("text").isNull(), doc_id.isNull()).alias("_hash"),
     ]
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a shared folder and the path in it, for files that are not tables.
+
+    Those that pyarrow knows: local or mounted paths, hdfs, s3 (also under Hadoop's names for it) and gs.
+    """
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri)

@@ -25,11 +25,10 @@ from itertools import accumulate, repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.llm.common import stored
+from shopstrata.llm.common import open_store, stored
 from shopstrata.llm.ordering import block_bounds, with_block
 from shopstrata.sources.layers import shared_folder
 
@@ -271,7 +270,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = open_store(folder)
         store.create_dir(base, recursive=True)
         codec = encoder(tokenizer)
         end = np.array([end_id], codec.kind).tobytes()
@@ -301,7 +300,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder:
 
 def open_records(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of all records of a file, in order, with every checksum verified."""
-    store, name = fs.FileSystem.from_uri(path)
+    store, name = open_store(path)
     with store.open_input_stream(name[: -len("rec")] + "idx", compression=None) as index:
         kind = np.dtype("<u2" if struct.unpack("<Q", index.read(8))[0] == 2 else "<u4")
     with store.open_input_stream(name, compression=None, buffer_size=1 << 20) as source:
@@ -311,7 +310,7 @@ def open_records(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
 
 def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
     """One record of a file by its number, found through the index."""
-    store, name = fs.FileSystem.from_uri(path)
+    store, name = open_store(path)
     with store.open_input_file(name[: -len("rec")] + "idx") as index:
         size = struct.unpack("<Q", index.read_at(8, 0))[0]
         offset = struct.unpack("<Q", index.read_at(8, 8 + 8 * number))[0]

@@ -17,11 +17,10 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.llm.common import stored
+from shopstrata.llm.common import open_store, stored
 from shopstrata.sources.layers import shared_folder
 
 CHUNK = 1 << 18
@@ -89,7 +88,7 @@ def write_archives(records: DataFrame, folder: str | None = None, chunk: int = C
     folder = folder or shared_folder(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = open_store(folder)
         store.create_dir(base, recursive=True)
         name = f"{base}/{uuid.uuid4().hex}.warc.gz"
         count = size = 0
@@ -215,7 +214,7 @@ def read_chunks(manifest: DataFrame, chunk: int = CHUNK, with_data: bool = True)
         )
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                store, path = fs.FileSystem.from_uri(archive)
+                store, path = open_store(archive)
                 with store.open_input_stream(path, compression=None) as source:
                     rows, held = [], 0
                     for name, kind, refers, number, last, done, digest, data in _records(source, chunk):
