@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +63,34 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """
     scheme, mark, rest = uri.partition("://")
     return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python code of tasks is imported there by name, and they need not have the driver's search path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def with_code(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query``, which takes the session first, with the package sent ahead."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *arguments) -> DataFrame:
+        ship_code(spark)
+        return query(spark, *arguments)
+
+    return run

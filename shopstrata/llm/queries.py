@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from shopstrata.llm.common import table
+from shopstrata.llm.common import table, with_code
 from shopstrata.llm.decontaminate import contaminated
 from shopstrata.llm.mixture import mix
 from shopstrata.llm.quality_qda import quality_scores
@@ -75,4 +75,6 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
+QUERIES = {name: with_code(query) for name, query in QUERIES.items()}
+
 __all__ = ["QUERIES", "SQL"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopstrata.llm.common import stored, table
+from shopstrata.llm.common import stored, table, with_code
 from shopstrata.llm.decontaminate import clean_documents
 from shopstrata.llm.mixture import mixed_documents
 from shopstrata.llm.reshard import sharded_documents
@@ -36,11 +36,11 @@ def sharding(spark, docs, sf_dir):
 
 
 STAGES = [
-    ("toxicity", toxicity),
-    ("near_dedup", near_dedup),
-    ("decontaminate", decontaminate),
-    ("mixing", mixing),
-    ("sharding", sharding),
+    ("toxicity", with_code(toxicity)),
+    ("near_dedup", with_code(near_dedup)),
+    ("decontaminate", with_code(decontaminate)),
+    ("mixing", with_code(mixing)),
+    ("sharding", with_code(sharding)),
 ]
 
 

@@ -1,5 +1,8 @@
 """The registered queries that SQL cannot express, over a whole small test set, against plain versions."""
 
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -75,3 +78,19 @@ def test_scores(spark, documents, name, modulus, remainder):
         (d, zlib.crc32(str(d).encode()) % modulus == remainder) for d, _ in documents
     ]
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in found)
+
+
+def test_executors_need_not_have_the_search_path(tmp_path):
+    """Run from another folder, where only the driver knows where the package is."""
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as contract
+from shopstrata.session import build_session
+spark = build_session("elsewhere", "local[2]", spark__sql__shuffle__partitions="2")
+print("ROWS", contract.queries()["op1_spotsigs"](spark, {SF_DIR!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 200" in done.stdout, done.stderr[-2000:]
