@@ -100,14 +100,12 @@ class Run:
 
         A table that could not be loaded is cleaned from its previous contents, as in :meth:`silver`.
         """
-        older = self.store.current("bronze")
-
         def both(table: str) -> list[dict]:
             loaded = self._attempt("bronze", table, partial(self._load, table))
             if loaded["status"] in CURRENT:
                 source = partial(self.store.open, "bronze", loaded["path"], loaded["rows"])
             else:
-                source = partial(older.__getitem__, table)
+                source = lambda: self.store.current("bronze")[table]
             return [loaded, self._attempt("silver", table, partial(self._clean, table, source))]
 
         with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
