@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ MISMATCH = 0.5
 GAP = 0.4
 # Characters of test items that a task holds at once.
 BLOCK_CHARS = 16_000_000
+# Characters of documents that are looked up together.
+CHUNK_CHARS = 1 << 18
 WORDS = re.compile(r"\w+")
 HITS = (
     "doc_id long, item_id long, score double, item_from int, item_to int, doc_from int, doc_to int, seeds int"
@@ -89,9 +92,13 @@ class Items:
             code = np.where((code < 0) | (part < 0), -1, code * size + part + 1)
         return code
 
-    def numbers(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, -1) for w in WORDS.findall((text or "").lower())], np.int64)
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word numbers of texts one after the other with -1 behind each, and each one's start and length."""
+        words = [WORDS.findall((t or "").lower()) for t in texts]
+        sizes = np.array([len(w) for w in words], np.int64)
+        flat = chain.from_iterable(chain(w, ("",)) for w in words)
+        found = np.fromiter(map(self.vocabulary.get, flat, repeat(-1)), np.int64, int(sizes.sum()) + len(words))
+        return found, np.cumsum(sizes + 1) - sizes - 1, sizes
 
     def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in the text, number of the gram) of all known grams of a text."""
@@ -112,6 +119,19 @@ class Items:
         return np.concatenate(where), np.concatenate(what)
 
 
+def chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str | None]]:
+    """Consecutive texts of about ``most`` characters together."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text or "")
+        if held >= most:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 class _Length:
     """Items with another length of grams."""
 
@@ -130,11 +150,14 @@ def frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray, np.ndar
         total = np.zeros(1 + words + grams, np.int64)
         for batch in batches:
             total[0] += batch.num_rows
-            for text in batch.column(0):
-                numbers = items.numbers(text.as_py())
-                seen = np.unique(numbers)
-                total[1 + seen[seen >= 0]] += 1
-                total[1 + words + np.unique(items.found(numbers)[1])] += 1
+            for texts in chunks(batch.column(0).to_pylist()):
+                numbers, starts, _ = items.numbers(texts)
+                known = np.flatnonzero(numbers >= 0)
+                where, what = items.found(numbers)
+                for first, at, kind, size in ((1, known, numbers[known], words), (1 + words, where, what, grams)):
+                    # Once per text, however often it occurs there.
+                    pairs = np.unique((np.searchsorted(starts, at, side="right") - 1) * size + kind)
+                    total[first : first + size] += np.bincount(pairs % size, minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -160,13 +183,22 @@ class Matcher:
         self.is_seed = np.zeros(len(items.known), bool)
         self.is_seed[list(of)] = True
 
-    def hits(self, text: str | None) -> list[tuple]:
-        """(item, score, item from, item to, word from, word to, seeds) of each item found in a text."""
-        words = self.items.numbers(text)
-        where, what = self.items.found(words)
-        use = self.is_seed[what] if len(what) else np.empty(0, bool)
+    def hits(self, texts: list[str | None]) -> list[list[tuple]]:
+        """For each text (item, score, item from, item to, word from, word to, seeds) of each item found in it."""
+        numbers, starts, sizes = self.items.numbers(texts)
+        where, what = self.items.found(numbers)
+        use = self.is_seed[what]
+        where, what = where[use], what[use]
+        of: dict[int, list[tuple[int, int]]] = {}
+        for text, at, gram in zip((np.searchsorted(starts, where, side="right") - 1).tolist(), where.tolist(), what.tolist()):
+            of.setdefault(text, []).append((at - int(starts[text]), gram))
+        return [
+            self._aligned(numbers[starts[i] : starts[i] + sizes[i]], of[i]) if i in of else [] for i in range(len(texts))
+        ]
+
+    def _aligned(self, words: np.ndarray, seeds: list[tuple[int, int]]) -> list[tuple]:
         spots: dict[int, list[int]] = {}
-        for at, gram in zip(where[use].tolist(), what[use].tolist()):
+        for at, gram in seeds:
             for item, place in self.seeds[gram]:
                 spots.setdefault(item, []).append(at - place)
         out = []
@@ -224,9 +256,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = []
-                for doc_id, text in zip(*batch.columns):
-                    for item, *hit in matcher.hits(text.as_py()):
-                        found.append((doc_id.as_py(), matcher.items.ids[item], *hit))
+                ids = iter(batch.column(0).to_pylist())
+                for texts in chunks(batch.column(1).to_pylist()):
+                    for doc_id, hits in zip(islice(ids, len(texts)), matcher.hits(texts)):
+                        found += [(doc_id, matcher.items.ids[item], *hit) for item, *hit in hits]
                 if found:
                     kinds = [pa.int64()] * 2 + [pa.float64()] + [pa.int32()] * 5
                     yield pa.RecordBatch.from_arrays(
@@ -246,7 +279,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
 
         def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not matcher.hits(t.as_py()) for t in batch.column(place)], pa.bool_()))
+                parts = chunks(batch.column(place).to_pylist())
+                yield batch.filter(pa.array([not hits for texts in parts for hits in matcher.hits(texts)], pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)
     return docs
