@@ -10,7 +10,7 @@ from shopstrata.llm.mixture import mix
 from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
-from shopstrata.llm.spotsigs import edited_and_next
+from shopstrata.llm.spotsigs import edited_and_next, near_duplicates
 from shopstrata.llm.sql import SQL
 from shopstrata.llm.suffix_dedup import repeated_bytes
 from shopstrata.llm.token_records import recorded_documents
@@ -62,6 +62,11 @@ def op10_decontaminate(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spotsigs_classes(spark, sf_dir):
+    """The other half of op1: its columns are those of its SQL, so classes are a query of their own."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spotsigs_classes": op11_spotsigs_classes,
 }
 
 QUERIES = {name: with_code(query) for name, query in QUERIES.items()}

@@ -25,6 +25,8 @@ from shopstrata.llm.components import components
 from shopstrata.llm.ordering import block_bounds, with_block
 
 CHAIN = 2
+# Sets of one class of lengths that are compared under one signature in one task.
+MAX_HOMES = 4096
 WORDS = re.compile(r"\w+")
 # Anchors: common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -113,13 +115,17 @@ def with_signatures(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, fingerprint string, signatures array<long>")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN, max_homes: int = MAX_HOMES
+) -> DataFrame:
     """(doc_id, fingerprint, class_id, links) per row: classes of texts linked by Jaccard >= threshold.
 
     ``class_id`` is the smallest doc_id of the class (null where it has none), ``links`` the number of
     other distinct fingerprints that the row's own is linked to. Equal fingerprints collapse first. Each
     set is indexed under its rarest signatures, as many as a pair above the threshold cannot all miss,
-    within its class of lengths; probes go to that class and the next lower one. Empty texts are one class.
+    within its class of lengths; probes go to that class and the next lower one. A signature that indexes
+    more than ``max_homes`` sets of a class is split: these are dealt to chunks by hash, and its probes go to
+    every chunk. Empty texts are one class.
     An empty table gives an empty result; extra columns are ignored and repeated rows are kept.
     """
     rows = stored(with_signatures(docs, chain))
@@ -135,15 +141,30 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN)
         each.join(count, "s", "left").groupBy("id", "n")
         .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("all"))
     )
-    prefix = ranked.select(
+    prefix = stored(ranked.select(
         "id", "n",
         F.explode(F.slice("all", F.lit(1), F.expr(f"n - cast(ceil({threshold} * n - 1e-9) as int) + 1"))).alias("p"),
         F.floor(F.log("n") / -log(threshold) + 1e-9).cast("int").alias("part"),
-    ).where("p.df > 1").select("id", "n", "p.s", "part")
+    ).where("p.df > 1").select("id", "n", "p.s", "part"))
     probes = prefix.withColumn("part", F.explode(F.array("part", F.col("part") - 1)))
-    a, b = prefix.alias("a"), probes.alias("b")
+    full = stored(
+        prefix.groupBy("s", "part").count().where(F.col("count") > max_homes)
+        .select("s", "part", F.ceil(F.col("count") / max_homes).cast("int").alias("chunks"))
+    )
+    if full.isEmpty():
+        homes, probes = (side.withColumn("chunk", F.lit(0)) for side in (prefix, probes))
+    else:
+        chunks = F.coalesce("chunks", F.lit(1))
+        homes = prefix.join(full, ["s", "part"], "left").withColumn(
+            "chunk", F.pmod(F.xxhash64("id"), chunks).cast("int")
+        )
+        probes = probes.join(full, ["s", "part"], "left").withColumn(
+            "chunk", F.explode(F.sequence(F.lit(0), chunks - 1))
+        )
+    a, b = homes.alias("a"), probes.alias("b")
     pairs = stored(
-        a.join(b, F.expr(f"""a.s = b.s AND a.part = b.part AND (a.n < b.n OR (a.n = b.n AND a.id < b.id))
+        a.join(b, F.expr(f"""a.s = b.s AND a.part = b.part AND a.chunk = b.chunk
+                             AND (a.n < b.n OR (a.n = b.n AND a.id < b.id))
                              AND a.n >= {threshold} * b.n - 1e-9"""))
         .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     )

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+import __spark_entry__ as contract
 from shopstrata.llm import spotsigs
 
 SCHEMA = "doc_id long, text string, block int, extra boolean"
@@ -120,3 +121,19 @@ def test_near_duplicates(spark):
     wanted = [(d, ids.get(root[key[t or ""]]), len(near[key[t or ""]])) for d, t in rows]
     assert sorted(((r["doc_id"], r["class_id"], r["links"]) for r in found), key=str) == sorted(wanted, key=str)
     assert spotsigs.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_registered_query_finds_copies_that_are_not_neighbours(spark, tmp_path):
+    rng = random.Random(5)
+    base = words(rng, 400)
+    rows = [(i, words(rng, 60), 1, False) for i in range(1, 30)]
+    rows += [(0, base, 1, False), (40, base + " the last w1 w2", 1, False)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["class_id"], r["links"]) for r in contract.queries()["op11_spotsigs_classes"](spark, str(tmp_path)).collect()}
+    assert found == {i: (i, 0) for i in range(1, 30)} | {0: (0, 1), 40: (0, 1)}
+
+
+def test_hot_signatures_in_chunks(spark):
+    docs = spark.createDataFrame([(*r, 1, False) for r in corpus()], SCHEMA)
+    whole = sorted(map(str, spotsigs.near_duplicates(docs).collect()))
+    assert sorted(map(str, spotsigs.near_duplicates(docs, max_homes=2).collect())) == whole
