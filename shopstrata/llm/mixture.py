@@ -21,6 +21,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
 REPEATS = 2
 BLOCKS = 1 << 20
+# Blocks that the smallest target is worth; blocks are shorter where BLOCKS alone would give it fewer.
+LEAST_BLOCKS = 32
 SHARDS = 16
 SEED = 17
 # Rows of one source that are put in order together; sources are cut into that many buckets.
@@ -113,13 +115,15 @@ def mix_plan(
     """One entry per source, in order of code points with null last.
 
     Only (source, words) pairs reach the driver: the list of sources that carry the weights, not rows.
+    Blocks are about ``blocks`` or, where a small source needs it, more; their number costs nothing.
     """
     found = {r["_key"]: r["size"] for r in narrow.groupBy("_key").agg(F.sum("size").alias("size")).collect()}
     keys = sorted(found, key=lambda k: (k == "~", k))
     sizes = [found[k] for k in keys]
     total = share * sum(sizes)
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(keys))], total, repeats) if keys else []
-    length = max(1, -(-int(total) // blocks))
+    length = -(-int(total) // blocks)
+    length = max(1, min([length, *(int(g / LEAST_BLOCKS) for g in goals if g)]))
     own = [-(-s // length) for s in sizes]
     most = [repeats * n for n in own]
     quotas = shard_quotas(goals, round(total / length), most, shards) if keys else []

@@ -96,6 +96,27 @@ def test_mix(spark, blocks):
     assert cut <= 2 * len(names)
 
 
+def test_small_sources_beside_a_huge_one(spark):
+    """60,000 words beside 3, 40 and 90: blocks of 901 words would take none of the small sources, or too much."""
+    rows_ = [(i, " ".join(f"w{j}" for j in range(200)), "huge", 0, "", "") for i in range(300)]
+    rows_ += [(1000, "one two three", "a", 0, "", ""), (1001, "w " * 40, "b", 0, "", ""), (1002, "w " * 90, "c", 0, "", "")]
+    docs = spark.createDataFrame(rows_, SCHEMA)
+    taken, target = Counter(), {}
+    for r in mixture.mix(docs, blocks=100).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert [target[s] for s in "abc"] == [6, 80, 180]
+    assert all(abs(taken[s] - goal) <= 1 + goal / 16 for s, goal in target.items())
+
+
+def test_the_smallest_target_is_worth_some_blocks(spark):
+    narrow = spark.createDataFrame([("=a", 5_000_000_000), ("=b", 1500), ("=c", 0)], "_key string, size long")
+    plan = mixture.mix_plan(narrow)
+    for p in plan[:2]:
+        assert abs(p["quota"] * p["length"] - p["target"]) <= 2 * p["length"] <= max(2, p["target"] / 16)
+    assert plan[2]["quota"] == 0
+
+
 def test_every_source_may_be_empty(spark):
     docs = spark.createDataFrame([(1, None, "a", None, "", ""), (2, " ", None, 1, "", "")], SCHEMA)
     assert {(r["size"], r["taken"], r["target"]) for r in mixture.mix(docs).collect()} == {(0, 0, 0.0)}
