@@ -165,7 +165,8 @@ def quality_scores(
     """
     vectors = stored(with_statistics(docs))
     chosen = training_labels(labels, column, modulus, remainder, sample)
-    rows = vectors.join(chosen, "doc_id").select("x", "label").collect()  # at most ``sample`` ids
+    # One row per id, that with the smallest vector: at most ``sample`` rows reach the driver.
+    rows = vectors.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("x").alias("x")).collect()
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     model = fit(x, np.array([r["label"] for r in rows], float))
 

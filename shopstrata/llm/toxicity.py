@@ -260,15 +260,21 @@ def toxicity_scores(
     """
     chosen = stored(training_labels(labels, column, modulus, remainder, sample))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # At most ``sample`` ids are broadcast.
-    terms = select_terms(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), chi)
+    # At most ``sample`` ids are broadcast; of rows with one id, that with the smallest hash is the example.
+    labelled = texts.join(F.broadcast(chosen), "doc_id").select("label", *row_key(), "text")
+    once = stored(labelled.groupBy("_id", "label").agg(F.min_by("text", "_hash").alias("text")))
+    terms = select_terms(once, chi)
     vectors = stored(with_terms(texts, terms))
     count = vectors.count()
     df = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # at most TERMS rows
     idf = np.ones(len(terms))
     for r in df:
         idf[r["term"]] = np.log(1 + count / r["count"])
-    examples = vectors.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    examples = (
+        vectors.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min(F.struct("_hash", "terms", "weights")).alias("row"))
+        .select("doc_id", "label", "row.terms", "row.weights").orderBy("doc_id").collect()
+    )
     voters = Voters(
         [r["doc_id"] for r in examples], [(r["terms"], r["weights"]) for r in examples],
         [r["label"] for r in examples], idf, k,

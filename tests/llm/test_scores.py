@@ -106,3 +106,21 @@ def test_odd_rows(spark, score, column):
     assert score(docs.limit(0), labels).collect() == []
     assert {r["score"] for r in score(docs, labels.limit(0)).collect()} == {0.5}
     assert {r["predicted"] for r in score(docs, labels.where(f"{column} = 1")).collect()} == {1}
+
+
+@pytest.mark.parametrize("score,column", [(toxicity.toxicity_scores, "toxic"), (quality_qda.quality_scores, "quality")])
+def test_repeated_ids_are_one_example(spark, monkeypatch, score, column):
+    rows = [(i, f"fine words number {i} here" + " more" * (i % 7), None, "", "") for i in range(60)]
+    rows += [(i, f"awful awful thing AWFUL {i}!!!" + " more" * (i % 5), None, "", "") for i in range(100, 160)]
+    labels = spark.createDataFrame([(i, int(i >= 100), int(i >= 100)) for i, *_ in rows], LABELS)
+    chosen = labels.where(f"crc32(cast(cast(doc_id as string) as binary)) % {4 if column == 'toxic' else 5} NOT IN (0, 2)")
+    hot = min(r["doc_id"] for r in chosen.collect())
+    repeated = [*rows, *[r for r in rows if r[0] == hot] * 300]
+    fitted, counted = [], []
+    fit, select = quality_qda.fit, toxicity.select_terms
+    monkeypatch.setattr(quality_qda, "fit", lambda x, y: fitted.append(len(x)) or fit(x, y))
+    monkeypatch.setattr(toxicity, "select_terms", lambda d, *a: counted.append(d.count()) or select(d, *a))
+    for found in (rows, repeated):
+        score(spark.createDataFrame(found, SCHEMA).repartition(3), labels).collect()
+    first, second = fitted or counted
+    assert first == second <= 120
