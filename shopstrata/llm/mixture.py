@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from fractions import Fraction
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,6 +163,15 @@ def _within(first: str, last: str) -> str:
     return f"greatest(0L, least(_from + size, {last}) - greatest(_from, {first}))"
 
 
+def _per_shard():
+    """(shard, words) of each shard that takes words of the document, from the last block ``ends`` of each."""
+    last = _within("start * length", "least(start + e % blocks, blocks) * length")
+    first = _within("0L", "greatest(0L, start + e % blocks - blocks) * length")
+    upto = f"transform(ends, e -> if(blocks = 0, 0L, e div blocks * size + {last} + {first}))"
+    words = f"zip_with({upto}, concat(array(0L), slice({upto}, 1, size(ends) - 1)), (x, y) -> x - y)"
+    return F.expr(f"filter(transform({words}, (w, i) -> named_struct('shard', i, 'words', w)), r -> r.words > 0)")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken, ...) per row of ``docs`` (doc_id, source, text).
 
@@ -170,18 +180,19 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Repeated rows stand for themselves. Runs with equal data and seed agree. An empty table gives an
     empty result; further columns of ``docs`` are ignored. The last columns say which words are taken:
     all of them ``_whole`` times, and once more ``_head`` words from the start of the text, or
-    from word ``_skip`` on to the end or over ``_tail`` words.
+    from word ``_skip`` on to the end or over ``_tail`` words. ``shards`` lists the shards that take words of the
+    document, with their number: each shard takes the blocks of its quota, from where the one before ended.
     """
     seed = options.get("seed", SEED)
     narrow = stored(sized(docs, seed))
     spark = docs.sparkSession
     plan = spark.createDataFrame(
         [
-            (p["_key"], p["source_size"], p["target"], p["length"], p["blocks"], p["quota"], p["start"])
+            (p["_key"], p["source_size"], p["target"], p["length"], p["blocks"], p["start"], list(accumulate(p["quotas"])))
             for p in mix_plan(narrow, **options)
         ],
-        "_key string, source_size long, target double, length long, blocks long, quota long, start long",
-    )
+        "_key string, source_size long, target double, length long, blocks long, start long, ends array<long>",
+    ).withColumn("quota", F.element_at("ends", -1))
     buckets = max(LEAST_BUCKETS, narrow.count() // BUCKET_ROWS)
     bucketed = narrow.withColumn("_bucket", F.pmod("_order", F.lit(buckets)).cast("int"))
     # A running sum in two levels: whole buckets of a source, then rows within a bucket.
@@ -214,6 +225,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         F.expr(f"_whole * size + {_within('_a', '_b')} + {_within('0L', '_c')}").cast("long").alias("taken"),
         "source",
         "_text",
+        _per_shard().alias("shards"),
         "_whole",
         F.expr(_within("0L", "_c")).alias("_head"),
         F.expr("greatest(0L, _a - _from)").alias("_skip"),

@@ -136,3 +136,17 @@ def test_quota_table(spark):
         for r in own:
             per_shard[r["shard"]] += r["blocks"]
     assert max(per_shard.values()) - min(per_shard.values()) <= 1
+
+
+def test_shards_take_their_quotas(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    found = mixture.mix(docs, shards=4).collect()
+    assert all(sum(x["words"] for x in r["shards"]) == r["taken"] for r in found)
+    words = Counter()
+    for r in found:
+        for x in r["shards"]:
+            words[r["source"], x["shard"]] += x["words"]
+    table = mixture.quota_table(docs, shards=4).collect()
+    # Blocks of one word: every shard gets just the words of its blocks.
+    assert words == {(r["source"], r["shard"]): r["blocks"] for r in table}
+    assert {shard for _, shard in words} == {0, 1, 2, 3}
