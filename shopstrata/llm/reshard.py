@@ -175,15 +175,6 @@ def _plan(counts: dict[Block, tuple[int, int]], shards: int) -> list[tuple[int,
 PLAN = "_old int, _block int, _shard int, _first long"
 
 
-def _with_slots(rows: DataFrame, plan: DataFrame, *order: str) -> DataFrame:
-    """``rows`` (with _old and _block) with _shard and _slot; the plan has at most 8192 rows by construction."""
-    within = Window.partitionBy("_old", "_block").orderBy(*order)
-    return (
-        rows.withColumn("_at", F.row_number().over(within)).join(F.broadcast(plan), ["_old", "_block"])
-        .withColumn("_slot", (F.col("_first") + F.col("_at") - 1).cast("long"))
-    )
-
-
 def write_layout(docs: DataFrame, folder: str, old_shards: int = OLD_SHARDS, blocks: int = BLOCKS_PER_SHARD) -> None:
     """Write documents as the old layout below ``folder``: a directory per shard and segment.
 
@@ -275,12 +266,19 @@ RESULT = (
 def sharded_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     """``docs`` with their columns and the ``shard`` and ``slot`` of each row, which replace columns so named.
 
-    The plan is that of :func:`reshard`; the files are left to whoever writes the result.
+    Documents are laid out in old shards, resharded, and read back from kept and rewritten files, as in
+    :func:`shard_documents`. An empty table gives an empty result.
     """
+    spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    blocked = with_blocks(docs)
-    counts = blocked.groupBy("_old", "_block").agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    found = {(r["_old"], r["_block"]): (r["bytes"], r["rows"]) for r in counts.collect()}
-    plan = docs.sparkSession.createDataFrame(_plan(found, shards), PLAN)
-    placed = _with_slots(blocked, plan, "doc_id", "_crc", "_size")
-    return placed.select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    folder = shared_folder(spark)
+    write_layout(docs, f"{folder}/old")
+    if docs.isEmpty():
+        return docs.select(*kept, F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("slot"))
+    rows = reshard(spark, f"{folder}/old", f"{folder}/new", shards)
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    within = Window.partitionBy("_old", "_block").orderBy("row.doc_id", F.crc32(text.cast("binary")), F.octet_length(text))
+    return rows.withColumn("_at", F.row_number().over(within)).select(
+        *(F.col(f"row.`{c}`").alias(c) for c in kept), F.col("_shard").alias("shard"),
+        (F.col("_first") + F.col("_at") - 1).cast("long").alias("slot"),
+    )

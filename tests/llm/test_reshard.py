@@ -93,3 +93,24 @@ def test_sharded_documents_keep_columns(spark):
     assert found.columns == ["doc_id", "text", "n", "shard", "slot"]
     assert sorted(map(str, (tuple(r)[:3] for r in found.collect()))) == sorted(str((d, t, n)) for d, t, _, n in rows())
     assert reshard.sharded_documents(docs.limit(0)).collect() == []
+
+
+def test_the_stage_rewrites_files(spark, monkeypatch):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, shard string, first int")
+    folders = []
+    whole = reshard.reshard
+
+    def spied(spark, folder, target, shards):
+        folders.extend((folder, target))
+        return whole(spark, folder, target, shards)
+
+    monkeypatch.setattr(reshard, "reshard", spied)
+    found = reshard.sharded_documents(docs)
+    assert found.columns == ["doc_id", "text", "first", "shard", "slot"]
+    read = found.collect()
+    old, new = folders
+    assert 0 < spark.read.parquet(new).count() < spark.read.parquet(old).count() == len(read) == len(rows())
+    by_query = reshard.shard_documents(docs).select("doc_id", "text_crc32", "shard", "slot").collect()
+    ours = [(r["doc_id"], zlib.crc32((r["text"] or "").encode()), r["shard"], r["slot"]) for r in read]
+    assert sorted(ours, key=str) == sorted(map(tuple, by_query), key=str)
+    assert reshard.sharded_documents(docs.limit(0)).collect() == []
