@@ -6,6 +6,7 @@ import public_tokenizers
 
 from shopstrata.llm.common import table, with_code
 from shopstrata.llm.decontaminate import contaminated
+from shopstrata.llm.merkle import merkle_manifest
 from shopstrata.llm.mixture import mix
 from shopstrata.llm.prefix_trie import conversation_trie
 from shopstrata.llm.quality_qda import quality_scores
@@ -63,6 +64,10 @@ def op10_decontaminate(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle(spark, sf_dir):
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_merkle": op12_merkle,
     "op13_prefix_trie": op13_prefix_trie,
     "spotsigs_classes": spotsigs_classes,
 }

@@ -201,10 +201,58 @@ SELECT n.conv_id, n.d AS depth, f.conv_id AS parent_conv_id, n.n_convs, coalesce
 FROM n JOIN u ON u.path = n.path LEFT JOIN k ON k.path = n.path
 LEFT JOIN n f ON n.d > 0 AND f.path = n.path[1:n.d - 1]"""
 
+_LEAF = "sha256(concat({}))".format(", ".join(
+    f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "{text}")
+))
+
+# A node is (tree, level, place); a leaf climbs one level at a time, with what it has seen and what it folds to.
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('s' || source, '-') AS tree, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")}
+              ELSE {_LEAF.format(text="text")} END AS shown
+  FROM documents),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS n FROM d),
+v AS (
+  SELECT tree, 0 AS level, place, n, leaf AS hash FROM l
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+  FROM v WHERE n > 1 GROUP BY tree, level, place // 3, n),
+s AS (SELECT tree AS name, hash, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM v WHERE n = 1),
+w AS (
+  SELECT 0 AS level, place, n, hash FROM s
+  UNION ALL
+  SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+  FROM w WHERE n > 1 GROUP BY level, place // 3, n),
+x AS (SELECT tree, level, place, n, hash FROM v UNION ALL SELECT 't', level, place, n, hash FROM w),
+r AS (
+  SELECT a.tree, a.level, a.place, a.tree AS up_tree, a.level + 1 AS up_level, a.place // 3 AS up_place, (a.n + 2) // 3 AS up_n,
+         coalesce(string_agg(b.hash, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+         coalesce(string_agg(b.hash, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS after
+  FROM x a JOIN x b ON b.tree = a.tree AND b.level = a.level AND b.place // 3 = a.place // 3 AND a.n > 1
+  GROUP BY ALL
+  UNION ALL
+  SELECT v.tree, v.level, v.place, 't', 0, s.place, s.n, NULL, NULL FROM v JOIN s ON s.name = v.tree AND v.n = 1),
+c AS (
+  SELECT tree AS own, place AS leaf_place, tree, 0 AS level, place, n, shown AS folded, '' AS seen FROM l
+  UNION ALL
+  SELECT c.own, c.leaf_place, r.up_tree, r.up_level, r.up_place, r.up_n,
+         CASE WHEN r.before IS NULL THEN c.folded ELSE sha256(r.before || c.folded || r.after) END,
+         CASE WHEN r.before IS NULL THEN c.seen ELSE c.seen || r.before || r.after END
+  FROM c JOIN r ON r.tree = c.tree AND r.level = c.level AND r.place = c.place)
+SELECT l.doc_id, l.leaf, s.hash AS subroot, o.hash AS root, sha256(c.seen) AS proof_sha256, c.folded AS folded_root,
+       c.folded = o.hash AS verified
+FROM l JOIN s ON s.name = l.tree JOIN w o ON o.n = 1
+JOIN c ON c.own = l.tree AND c.leaf_place = l.place AND c.tree = 't' AND c.n = 1"""
+
 SQL = {
     "op1_spotsigs": SPOTSIGS,
     "op3_mixing": MIXING,
     "op4_warc": WARC,
     "op8_suffix_dedup": SUFFIXES,
+    "op12_merkle": MERKLE,
     "op13_prefix_trie": PREFIX_TRIE,
 }
