@@ -8,6 +8,7 @@ from shopstrata.llm.common import table, with_code
 from shopstrata.llm.decontaminate import contaminated
 from shopstrata.llm.merkle import merkle_manifest
 from shopstrata.llm.mixture import mix
+from shopstrata.llm.ppm import language_scores
 from shopstrata.llm.prefix_trie import conversation_trie
 from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
@@ -64,6 +65,10 @@ def op10_decontaminate(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ppm(spark, sf_dir):
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark, sf_dir):
     return merkle_manifest(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ppm": op11_ppm,
     "op12_merkle": op12_merkle,
     "op13_prefix_trie": op13_prefix_trie,
     "spotsigs_classes": spotsigs_classes,

@@ -7,6 +7,7 @@ and block choice (op7), XXH64 (op9) and alignment (op10); their tests hold them
 from __future__ import annotations
 
 from shopstrata.llm.mixture import BLOCKS, BUCKET_ROWS, LEAST_BUCKETS, SEED
+from shopstrata.llm.ppm import DIGITS, MODULUS, ORDER, REMAINDER, SYMBOLS
 from shopstrata.llm.spotsigs import ANCHORS
 
 _ANCHORS = ", ".join(f"'{w}'" for w in sorted(ANCHORS))
@@ -201,6 +202,53 @@ SELECT n.conv_id, n.d AS depth, f.conv_id AS parent_conv_id, n.n_convs, coalesce
 FROM n JOIN u ON u.path = n.path LEFT JOIN k ON k.path = n.path
 LEFT JOIN n f ON n.d > 0 AND f.path = n.path[1:n.d - 1]"""
 
+# Grams are hex. t: the trie's counts at depth k; c: n and q of its contexts; e: what a context excludes one level below.
+PPM = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({_crc32("doc_id::VARCHAR")} % {MODULUS} = {REMAINDER}, false) AS held_out,
+         coalesce(text, '') AS text
+  FROM documents),
+h AS (SELECT r, held_out, strlen(text) AS n, repeat('FF', {ORDER}) || hex(encode(text)) || 'FF' AS h FROM d),
+p AS (
+  SELECT r, gram, count(*) AS times, any_value(held_out) AS held_out
+  FROM (SELECT r, held_out, substr(h, 2 * i + 1, {2 * ORDER + 2}) AS gram FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM h))
+  GROUP BY r, gram),
+g AS (SELECT gram, coalesce(sum(times) FILTER (NOT held_out), 0) AS n FROM p GROUP BY gram),
+l AS (SELECT gram, n, unnest(range(0, {ORDER + 1})) AS k FROM g),
+t AS (SELECT k, right(gram, 2 * k + 2) AS gram, sum(n) AS n FROM l WHERE n > 0 GROUP BY ALL),
+c AS (SELECT k, left(gram, 2 * k) AS context, sum(n) AS n, count(*) AS q FROM t GROUP BY ALL),
+e AS (
+  SELECT t.k, left(t.gram, 2 * t.k) AS context, sum(b.n) AS n
+  FROM t JOIN t b ON b.k = t.k - 1 AND b.gram = right(t.gram, 2 * t.k) GROUP BY ALL),
+j AS (
+  SELECT l.gram, l.k, t.n AS seen, c.q - coalesce(a.q, 0) AS q, c.n - coalesce(e.n, 0) + c.q - coalesce(a.q, 0) AS whole,
+         max(CASE WHEN t.n IS NULL THEN -1 ELSE l.k END) OVER (PARTITION BY l.gram) AS top
+  FROM l
+  LEFT JOIN t ON t.k = l.k AND t.gram = right(l.gram, 2 * l.k + 2)
+  LEFT JOIN c ON c.k = l.k AND c.context = substr(l.gram, 1 + 2 * ({ORDER} - l.k), 2 * l.k)
+  LEFT JOIN c a ON a.k = l.k + 1 AND a.context = substr(l.gram, 1 + 2 * ({ORDER} - 1 - l.k), 2 * l.k + 2) AND l.k < {ORDER}
+  LEFT JOIN e ON e.k = l.k + 1 AND e.context = a.context),
+x AS (
+  SELECT gram,
+         sum(CASE WHEN k = top THEN log10(seen / whole) WHEN k > top AND q > 0 THEN log10(q / whole) ELSE 0 END)
+         - CASE WHEN any_value(top) >= 0 THEN 0
+                ELSE log10({SYMBOLS} - (SELECT coalesce(sum(q), 0) FROM c WHERE k = 0)) END AS cost
+  FROM j GROUP BY gram),
+y AS (SELECT p.r, fsum(p.times * x.cost) AS score FROM p JOIN x ON x.gram = p.gram GROUP BY p.r),
+m AS (
+  SELECT r, held_out, unnest(regexp_extract_all(translate(text, '{"".join(map(chr, range(65, 91)))}',
+                             '{"".join(map(chr, range(97, 123)))}'), '[^\\x20\\x09-\\x0D]+') || [NULL]) AS token
+  FROM d),
+o AS (SELECT token, count(*) FILTER (NOT held_out) AS c FROM m GROUP BY token),
+z AS (SELECT sum(c)::BIGINT AS total, count(*) FILTER (c > 0) AS kinds FROM o),
+b AS (
+  SELECT m.r, count(*) AS n_tokens, count(*) FILTER (o.c > 0) AS n_known,
+         fsum(log10((o.c + 0.1::DOUBLE) / (z.total + 0.1::DOUBLE * (z.kinds + 1)))) AS base_score
+  FROM m JOIN o ON o.token IS NOT DISTINCT FROM m.token, z GROUP BY m.r)
+SELECT d.doc_id, d.held_out, b.n_tokens, b.n_known, z.total AS train_tokens, round(b.base_score, {DIGITS}) AS base_score,
+       round(y.score, {DIGITS}) AS score
+FROM d JOIN b ON b.r = d.r JOIN y ON y.r = d.r, z"""
+
 _LEAF = "sha256(concat({}))".format(", ".join(
     f"coalesce(strlen({c}) || ':' || {c}, '-')"
     for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "{text}")
@@ -253,6 +301,7 @@ SQL = {
     "op3_mixing": MIXING,
     "op4_warc": WARC,
     "op8_suffix_dedup": SUFFIXES,
+    "op11_ppm": PPM,
     "op12_merkle": MERKLE,
     "op13_prefix_trie": PREFIX_TRIE,
 }
