@@ -7,12 +7,13 @@ context is coded there with c / (n + q), n occurrences of q different bytes; oth
 longer context also followed the shorter one, so exclusion takes one sum per context. Below order 0 all bytes that
 are left are equally likely.
 
-1. One pass cuts the texts into blocks of so many bytes, where they lie, and writes beside each block its different
-   grams (a context and its byte, as one number) and words, with their training counts.
+1. One pass cuts the texts into blocks of so many bytes, where they lie, and writes each block, compressed, beside its
+   different grams (a context and its byte, as one number) and words, with their training counts.
 2. The grams of all blocks are added up: the lowest level of the trie, which implies the others.
 3. Partitions that hold all grams with one context of two bytes derive every level from two up by themselves; the
    two levels below are at most 65,536 counts and go to every task. Each gram gets its cost once.
-4. Grams meet their costs and return to their blocks, as many as the block has, and texts are scored there.
+4. Grams meet their costs and return to their blocks, as many as the block has, and texts are scored there. Of the
+   words only those return whose count in the block is not their count in all.
 
 So the trie is never in one place, and a task holds one block with what that block needs.
 """
@@ -25,8 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstrata.llm.common import id_remainder, shuffle_partitions, stored
@@ -34,8 +36,9 @@ from shopstrata.llm.common import id_remainder, shuffle_partitions, stored
 ORDER = 4
 MARK = b"\xff"  # occurs in no UTF-8 text
 SYMBOLS = 256
-BLOCK_BYTES = 24 << 20
-PIECE = 4 << 20
+BLOCK_BYTES = 16 << 20
+PIECE = 1 << 20
+CODEC = "zstd"
 MODULUS, REMAINDER = 10, 0
 DIGITS = 6
 FLUSH = 1 << 20
@@ -162,37 +165,44 @@ def gram_costs(levels: list[Level], grams: np.ndarray) -> np.ndarray:
 
 
 def _gather(batches: Iterator[pa.RecordBatch], block_bytes: int, order: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text, held_out) with a block each, followed by the block's grams and words with counts."""
+    """Rows (doc_id, text, held_out) as one row per block, followed by the block's grams and words with counts."""
     partition, number = TaskContext.get().partitionId(), 0
-    rows: list[tuple] = []
-    held = 0
+    ids, texts, outs, held = [], [], [], 0
 
     def closed() -> Iterator[pa.RecordBatch]:
-        block = (partition << 32) | number
-        texts = [(out, text or b"") for _, text, out in rows]
-        grams, counts, words = block_counts([t for out, t in texts if not out], [t for out, t in texts if out], order)
-        ids, bodies, outs = zip(*rows)
-        yield _gathered(block, doc_id=pa.array(ids, pa.int64()), text=pa.array(bodies, pa.binary()), held_out=pa.array(outs))
+        block, body = (partition << 32) | number, b"".join(texts)
+        yield _gathered(
+            block, size=pa.array([len(body)]), body=pa.array([pa.compress(body, CODEC, asbytes=True)]),
+            ids=pa.array([ids], pa.list_(pa.int64())), sizes=pa.array([list(map(len, texts))]), outs=pa.array([outs]),
+        )
+        grams, counts, words = block_counts(
+            [t for t, out in zip(texts, outs) if not out], [t for t, out in zip(texts, outs) if out], order
+        )
         yield _gathered(block, gram=pa.array(grams), n=pa.array(counts))
         if words:
             yield _gathered(block, word=pa.array(list(words), pa.binary()), n=pa.array(list(words.values()), pa.int64()))
 
     for batch in batches:
-        columns = [batch.column(c) for c in ("doc_id", "text", "held_out")]
-        for doc_id, text, out in zip(*(c.to_pylist() for c in columns)):
-            rows.append((doc_id, text, out))
-            held += len(text or b"") + 64
+        for doc_id, text, out in zip(*(batch.column(c) for c in ("doc_id", "text", "held_out"))):
+            ids.append(doc_id.as_py())
+            texts.append(text.as_py() or b"")
+            outs.append(out.as_py())
+            held += len(texts[-1]) + 64
             if held >= block_bytes:
                 yield from closed()
-                rows, held, number = [], 0, number + 1
-    if rows:
+                ids, texts, outs, held, number = [], [], [], 0, number + 1
+    if ids:
         yield from closed()
 
 
 GATHERED = {
-    "block": pa.int64(), "doc_id": pa.int64(), "text": pa.binary(), "held_out": pa.bool_(), "gram": pa.int64(),
-    "word": pa.binary(), "n": pa.int64(),
+    "block": pa.int64(), "size": pa.int64(), "body": pa.binary(), "ids": pa.list_(pa.int64()),
+    "sizes": pa.list_(pa.int64()), "outs": pa.list_(pa.bool_()), "gram": pa.int64(), "word": pa.binary(), "n": pa.int64(),
 }
+GATHERED_SCHEMA = (
+    "block long, size long, body binary, ids array<long>, sizes array<long>, outs array<boolean>, "
+    "gram long, word binary, n long"
+)
 
 
 def _gathered(block: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -253,32 +263,48 @@ def text_scores(texts: list[bytes], grams: np.ndarray, costs: np.ndarray, order:
     return total
 
 
-def _score(tokens: int, kinds: int, ends: int, order: int):
-    """Scores of a block: its texts, and its grams with costs and words with counts."""
-    scale = tokens + 0.1 * (kinds + 1)
+SCORED = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, kinds long"
+)
+
+
+def _score(ends: int, order: int):
+    """Scores of a block: its texts, and its grams with costs and the words whose counts it does not know.
+
+    ``logs`` sums log10(c + 0.1) over the tokens, ``kinds`` counts the words that the block has to count for all.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = [t or b"" for t in left.column("text").to_pylist()]
+        ids, sizes, outs, size, body = (left.column(c)[0].as_py() for c in ("ids", "sizes", "outs", "size", "body"))
+        body = pa.decompress(body, size, CODEC, asbytes=True)
+        cuts = np.cumsum([0, *sizes]).tolist()
+        texts = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+        counts: Counter = Counter()
+        for text, out in zip(texts, outs):
+            if not out:
+                counts.update(text.lower().split())
+        kinds = len(counts)
         words = right.filter(pa.compute.is_valid(right.column("word")))
-        counts = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
-        bases = {w: math.log10((c + 0.1) / scale) for w, c in counts.items()}
-        end = math.log10((ends + 0.1) / scale)
-        unknown = {w for w, c in counts.items() if not c}
+        for word, c, first in zip(*(words.column(x).to_pylist() for x in ("word", "c", "first"))):
+            kinds += first - (word in counts)
+            counts[word] = c
+        logs = {w: math.log10(c + 0.1) for w, c in counts.items()}
+        end, unknown = math.log10(ends + 0.1), math.log10(0.1)
         grams = right.filter(pa.compute.is_valid(right.column("gram")))
         keys = grams.column("gram").to_numpy()
         place = np.argsort(keys)
         scores = text_scores(texts, keys[place], grams.column("cost").to_numpy()[place], order)
         found = []
-        for text in texts:
-            tokens_of = text.lower().split()
-            known = len(tokens_of) - (sum(w in unknown for w in tokens_of) if unknown else 0) + (ends > 0)
-            found.append((len(tokens_of) + 1, known, math.fsum([end, *map(bases.__getitem__, tokens_of)])))
-        n, known, base = zip(*found)
+        for text, out in zip(texts, outs):
+            tokens = text.lower().split()
+            known = sum(w in counts for w in tokens) if out else len(tokens)
+            found.append((len(tokens) + 1, known + (ends > 0), math.fsum([end, *(logs.get(w, unknown) for w in tokens)])))
+        n, known, sums = zip(*found)
         arrays = [
-            left.column("doc_id"), left.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-            pa.array(np.round(base, DIGITS)), pa.array(np.round(scores, DIGITS)),
+            pa.array(ids, pa.int64()), pa.array(outs), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+            pa.array(sums), pa.array(scores), pa.array([kinds] + [0] * (len(ids) - 1), pa.int64()),
         ]
-        return pa.Table.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        return pa.Table.from_arrays(arrays, [c.split()[0] for c in SCORED.split(", ")])
 
     return run
 
@@ -305,22 +331,11 @@ def language_scores(
         F.col("text").cast("string").cast("binary").alias("text"),
         F.coalesce(id_remainder(F.col("doc_id"), modulus) == remainder, F.lit(False)).alias("held_out"),
     )
-    gathered = stored(
-        rows.mapInArrow(
-            lambda batches: _gather(batches, block_bytes, order),
-            "block long, doc_id long, text binary, held_out boolean, gram long, word binary, n long",
-        )
-    )
-    texts = gathered.where("held_out IS NOT NULL").select(
-        F.col("block").alias("home"), "doc_id", "text", "held_out"
-    )
+    gathered = stored(rows.mapInArrow(lambda batches: _gather(batches, block_bytes, order), GATHERED_SCHEMA))
+    blocks = gathered.where("body IS NOT NULL").select(F.col("block").alias("home"), "size", "body", "ids", "sizes", "outs")
     pairs = gathered.where("gram IS NOT NULL").select("block", "gram", "n")
     words = gathered.where("word IS NOT NULL").select("block", "word", "n")
-
-    counted = stored(words.groupBy("word").agg(F.sum("n").alias("c")))
-    ends = texts.where("NOT held_out").count()
-    total, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    tokens, kinds = total + ends, kinds + (ends > 0)
+    ends, total = blocks.agg(F.sum(F.size(F.filter("outs", lambda out: ~out)))).first()[0] or 0, words.agg(F.sum("n")).first()[0] or 0
 
     low = sorted(
         tuple(r) for r in pairs.where("n > 0").groupBy(F.col("gram").bitwiseAND(0xFFFF)).agg(F.sum("n")).collect()
@@ -332,14 +347,23 @@ def language_scores(
     dealt = trie.repartitionByRange(shuffle_partitions(spark), context).sortWithinPartitions(context)
     costs = dealt.mapInArrow(_costs(low, order), "gram long, cost double")
 
-    needs = (
-        pairs.select("block", "gram").join(costs, "gram").select("block", "gram", "cost")
-        .unionByName(words.select("block", "word").join(counted, "word").select("block", "word", "c"), allowMissingColumns=True)
+    # A word has at most one row per block. Where one block has all of its occurrences, that block counts it; else the
+    # row with the most is the first, and all return.
+    same = Window.partitionBy("word")
+    counted = words.select(
+        "block", "word", "n", F.sum("n").over(same).alias("c"),
+        (F.row_number().over(same.orderBy(F.desc("n"), "block")) == 1).cast("long").alias("first"),
+    ).where("c <> n").select("block", "word", "c", "first")
+    needs = pairs.select("block", "gram").join(costs, "gram").select("block", "gram", "cost").unionByName(
+        counted, allowMissingColumns=True
     )
-    scored = texts.groupBy("home").cogroup(needs.groupBy("block")).applyInArrow(
-        _score(tokens, kinds, ends, order),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+    scored = stored(
+        blocks.groupBy("home").cogroup(needs.groupBy("block")).applyInArrow(_score(ends, order), SCORED)
     )
+    tokens, kinds = total + ends, (scored.agg(F.sum("kinds")).first()[0] or 0) + (ends > 0)
+    scale = math.log10(tokens + 0.1 * (kinds + 1))
     return scored.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        F.round(F.col("logs") - F.col("n_tokens") * F.lit(scale), DIGITS).alias("base_score"),
+        F.round("score", DIGITS).alias("score"),
     )

@@ -91,6 +91,15 @@ def test_odd_rows(spark, monkeypatch):
     check(spark, rows, parts=4)
 
 
+def test_words_in_some_blocks(spark):
+    """Words that one block learns, several learn, or none, looked up in blocks before and after."""
+    out = [i for i in range(400) if held(i)]
+    rows = [(1000 + i, f"one{i} two{i // 2} filler") for i in range(60) if not held(1000 + i)]
+    rows += [(d, f"one{d % 60} two{d % 30} none{d}") for d in out]
+    for block_bytes in (1, 300):
+        check(spark, rows, parts=5, block_bytes=block_bytes)
+
+
 def test_nothing_to_learn(spark):
     check(spark, [(i, "a b") for i in range(200) if held(i)])
     assert ppm.language_scores(spark.createDataFrame([], SCHEMA)).collect() == []
