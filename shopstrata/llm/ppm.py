@@ -82,23 +82,28 @@ def distinct(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return grams[first], np.add.reduceat(counts, first)
 
 
-def block_counts(learnt: list[bytes], others: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, Counter]:
-    """Different grams with counts, and words with counts; those of ``others`` only count 0."""
-    grams, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def block_words(texts: list[bytes], outs: list[bool]) -> Counter:
+    """The words of a block with their training counts, always in the same order."""
     words: Counter = Counter()
-    for texts, weight in ((learnt, 1), (others, 0)):
-        for _, some in pieces(texts, order):
+    for text, out in zip(texts, outs):
+        if not out:
+            words.update(text.lower().split())
+    for text, out in zip(texts, outs):
+        if out:
+            for word in text.lower().split():
+                words.setdefault(word, 0)
+    return words
+
+
+def block_grams(texts: list[bytes], outs: list[bool], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of a block with their training counts."""
+    grams, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for held_out in (False, True):
+        for _, some in pieces([t for t, out in zip(texts, outs) if out == held_out], order):
             g, n = distinct(some)
             grams.append(g)
-            counts.append(n * weight)
-        for text in texts:
-            found = text.lower().split()
-            if weight:
-                words.update(found)
-            else:
-                for word in found:
-                    words.setdefault(word, 0)
-    return *distinct(np.concatenate(grams), np.concatenate(counts)), words
+            counts.append(n * 0 if held_out else n)
+    return distinct(np.concatenate(grams), np.concatenate(counts))
 
 
 class Level:
@@ -175,12 +180,14 @@ def _gather(batches: Iterator[pa.RecordBatch], block_bytes: int, order: int) ->
             block, size=pa.array([len(body)]), body=pa.array([pa.compress(body, CODEC, asbytes=True)]),
             ids=pa.array([ids], pa.list_(pa.int64())), sizes=pa.array([list(map(len, texts))]), outs=pa.array([outs]),
         )
-        grams, counts, words = block_counts(
-            [t for t, out in zip(texts, outs) if not out], [t for t, out in zip(texts, outs) if out], order
-        )
+        grams, counts = block_grams(texts, outs, order)
         yield _gathered(block, gram=pa.array(grams), n=pa.array(counts))
+        words = block_words(texts, outs)
         if words:
-            yield _gathered(block, word=pa.array(list(words), pa.binary()), n=pa.array(list(words.values()), pa.int64()))
+            yield _gathered(
+                block, word=pa.array(list(words), pa.binary()), place=pa.array(np.arange(len(words))),
+                n=pa.array(list(words.values()), pa.int64()),
+            )
 
     for batch in batches:
         for doc_id, text, out in zip(*(batch.column(c) for c in ("doc_id", "text", "held_out"))):
@@ -197,11 +204,12 @@ def _gather(batches: Iterator[pa.RecordBatch], block_bytes: int, order: int) ->
 
 GATHERED = {
     "block": pa.int64(), "size": pa.int64(), "body": pa.binary(), "ids": pa.list_(pa.int64()),
-    "sizes": pa.list_(pa.int64()), "outs": pa.list_(pa.bool_()), "gram": pa.int64(), "word": pa.binary(), "n": pa.int64(),
+    "sizes": pa.list_(pa.int64()), "outs": pa.list_(pa.bool_()), "gram": pa.int64(), "word": pa.binary(), "place": pa.int32(),
+    "n": pa.int64(),
 }
 GATHERED_SCHEMA = (
     "block long, size long, body binary, ids array<long>, sizes array<long>, outs array<boolean>, "
-    "gram long, word binary, n long"
+    "gram long, word binary, place int, n long"
 )
 
 
@@ -263,6 +271,55 @@ def text_scores(texts: list[bytes], grams: np.ndarray, costs: np.ndarray, order:
     return total
 
 
+def shrunk(values: np.ndarray) -> bytes:
+    """Ascending numbers by their steps, others as they are, compressed."""
+    if values.dtype == np.int64:
+        values = np.diff(values, prepend=np.int64(0))
+    return pa.compress(np.ascontiguousarray(values), CODEC, asbytes=True)
+
+
+def grown(packed: bytes, count: int, kind) -> np.ndarray:
+    values = np.frombuffer(pa.decompress(packed, 8 * count, CODEC, asbytes=True), kind)
+    return np.cumsum(values) if kind == np.int64 else values
+
+
+PACKED = "block long, count long, grams binary, costs binary, places binary, counts binary, firsts long"
+PACKED_NAMES = [part.split()[0] for part in PACKED.split(", ")]
+PACKED_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, gram, cost) or (block, place, c, first) as one row per block and some millions of them."""
+
+    def packed(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(waiting)
+        found = []
+        for key, value in (("gram", "cost"), ("place", "c")):
+            some = rows.filter(pa.compute.is_valid(rows.column(key)))
+            block, keys, values = (some.column(c).to_numpy() for c in ("block", key, value))
+            firsts = some.column("first").to_numpy() if key == "place" else np.zeros(len(block), np.int64)
+            order = np.lexsort((keys, block))
+            block, keys, values, firsts = block[order], keys[order].astype(np.int64), values[order], firsts[order]
+            cuts = np.flatnonzero(np.diff(block, prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(block))):
+                pair = (shrunk(keys[a:b]), shrunk(values[a:b].astype(np.float64)))
+                pair = (*pair, None, None) if key == "gram" else (None, None, *pair)
+                found.append((int(block[a]), int(b - a), *pair, int(firsts[a:b].sum())))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*found), PACKED_KINDS)], PACKED_NAMES
+        )
+
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        held += batch.num_rows
+        if held >= FLUSH:
+            yield packed(waiting)
+            waiting, held = [], 0
+    if held:
+        yield packed(waiting)
+
+
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, kinds long"
 )
@@ -279,26 +336,28 @@ def _score(ends: int, order: int):
         body = pa.decompress(body, size, CODEC, asbytes=True)
         cuts = np.cumsum([0, *sizes]).tolist()
         texts = [body[a:b] for a, b in zip(cuts, cuts[1:])]
-        counts: Counter = Counter()
-        for text, out in zip(texts, outs):
-            if not out:
-                counts.update(text.lower().split())
-        kinds = len(counts)
-        words = right.filter(pa.compute.is_valid(right.column("word")))
-        for word, c, first in zip(*(words.column(x).to_pylist() for x in ("word", "c", "first"))):
-            kinds += first - (word in counts)
-            counts[word] = c
-        logs = {w: math.log10(c + 0.1) for w, c in counts.items()}
-        end, unknown = math.log10(ends + 0.1), math.log10(0.1)
-        grams = right.filter(pa.compute.is_valid(right.column("gram")))
-        keys = grams.column("gram").to_numpy()
+        counted = block_words(texts, outs)
+        c = np.fromiter(counted.values(), np.int64, len(counted))
+        grams, costs, kinds = [np.zeros(0, np.int64)], [np.zeros(0)], int((c > 0).sum())
+        for row in right.to_pylist():
+            if row["grams"] is not None:
+                grams.append(grown(row["grams"], row["count"], np.int64))
+                costs.append(grown(row["costs"], row["count"], np.float64))
+            else:
+                place = grown(row["places"], row["count"], np.int64)
+                kinds += row["firsts"] - int((c[place] > 0).sum())
+                c[place] = grown(row["counts"], row["count"], np.float64).astype(np.int64)
+        logs = dict(zip(counted, np.log10(c + 0.1).tolist()))
+        unknown = {w for w, n in zip(counted, c.tolist()) if not n}
+        end = math.log10(ends + 0.1)
+        keys = np.concatenate(grams)
         place = np.argsort(keys)
-        scores = text_scores(texts, keys[place], grams.column("cost").to_numpy()[place], order)
+        scores = text_scores(texts, keys[place], np.concatenate(costs)[place], order)
         found = []
         for text, out in zip(texts, outs):
             tokens = text.lower().split()
-            known = sum(w in counts for w in tokens) if out else len(tokens)
-            found.append((len(tokens) + 1, known + (ends > 0), math.fsum([end, *(logs.get(w, unknown) for w in tokens)])))
+            known = len(tokens) + (ends > 0) - (sum(w in unknown for w in tokens) if out else 0)
+            found.append((len(tokens) + 1, known, math.fsum([end, *map(logs.__getitem__, tokens)])))
         n, known, sums = zip(*found)
         arrays = [
             pa.array(ids, pa.int64()), pa.array(outs), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
@@ -334,8 +393,9 @@ def language_scores(
     gathered = stored(rows.mapInArrow(lambda batches: _gather(batches, block_bytes, order), GATHERED_SCHEMA))
     blocks = gathered.where("body IS NOT NULL").select(F.col("block").alias("home"), "size", "body", "ids", "sizes", "outs")
     pairs = gathered.where("gram IS NOT NULL").select("block", "gram", "n")
-    words = gathered.where("word IS NOT NULL").select("block", "word", "n")
-    ends, total = blocks.agg(F.sum(F.size(F.filter("outs", lambda out: ~out)))).first()[0] or 0, words.agg(F.sum("n")).first()[0] or 0
+    words = gathered.where("word IS NOT NULL").select("block", "word", "place", "n")
+    ends = blocks.agg(F.sum(F.size(F.filter("outs", lambda out: ~out)))).first()[0] or 0
+    total = words.agg(F.sum("n")).first()[0] or 0
 
     low = sorted(
         tuple(r) for r in pairs.where("n > 0").groupBy(F.col("gram").bitwiseAND(0xFFFF)).agg(F.sum("n")).collect()
@@ -351,14 +411,15 @@ def language_scores(
     # row with the most is the first, and all return.
     same = Window.partitionBy("word")
     counted = words.select(
-        "block", "word", "n", F.sum("n").over(same).alias("c"),
+        "block", "place", "n", F.sum("n").over(same).alias("c"),
         (F.row_number().over(same.orderBy(F.desc("n"), "block")) == 1).cast("long").alias("first"),
-    ).where("c <> n").select("block", "word", "c", "first")
-    needs = pairs.select("block", "gram").join(costs, "gram").select("block", "gram", "cost").unionByName(
-        counted, allowMissingColumns=True
-    )
+    ).where("c <> n").select("block", "place", "c", "first")
+    needs = (pairs.select("block", "gram").join(costs, "gram").select("block", "gram", "cost")
+             .unionByName(counted, allowMissingColumns=True).mapInArrow(_pack, PACKED))
+    parts = max(shuffle_partitions(spark), blocks.count())
     scored = stored(
-        blocks.groupBy("home").cogroup(needs.groupBy("block")).applyInArrow(_score(ends, order), SCORED)
+        blocks.repartition(parts, "home").groupBy("home")
+        .cogroup(needs.repartition(parts, "block").groupBy("block")).applyInArrow(_score(ends, order), SCORED)
     )
     tokens, kinds = total + ends, (scored.agg(F.sum("kinds")).first()[0] or 0) + (ends > 0)
     scale = math.log10(tokens + 0.1 * (kinds + 1))

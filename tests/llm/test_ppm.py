@@ -108,7 +108,7 @@ def test_nothing_to_learn(spark):
 def test_costs_are_probabilities():
     """After any context, known or not, the chances of all bytes add up to one."""
     texts = [t.encode() for _, t in some_rows(5, 60)]
-    grams, counts, _ = ppm.block_counts(texts, [])
+    grams, counts = ppm.block_grams(texts, [False] * len(texts))
     pairs = ppm.distinct(grams & 0xFFFF, counts)
     levels = ppm.levels_above(pairs, grams, counts, ppm.ORDER)
     for context in (b"the ", b"\xff" * 4, b"zzzz", b"zzab", b" the", b"\xff\xffab"):
@@ -118,7 +118,7 @@ def test_costs_are_probabilities():
 
 def test_flushes_keep_contexts_whole(spark, monkeypatch):
     texts = [t.encode() for _, t in some_rows(6, 80)]
-    grams, counts, _ = ppm.block_counts(texts[:60], texts[60:])
+    grams, counts = ppm.block_grams(texts, [i >= 60 for i in range(len(texts))])
     order = np.lexsort((grams, (grams >> 8) & 0xFFFF))
     grams, counts = grams[order], counts[order]
     low = ppm.distinct(grams[counts > 0] & 0xFFFF, counts[counts > 0])
