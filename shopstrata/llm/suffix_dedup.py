@@ -21,7 +21,8 @@ its anchor. Equal strings have the same anchor at the same place, and an anchor
    front of the anchor, and compared in the same way. What may still cross a boundary then has its part on
    both sides in common with the whole bucket, so few strings per bucket are left; they meet by their bytes.
 
-Steps 3 and 4 compare bytes; step 1 relies on 128 bits of hash for equality of contexts.
+Steps 3 and 4 compare bytes; step 1 relies on 128 bits of hash for equality of contexts, and
+rows are told apart by their id and 128 bits of hash of the text.
 """
 
 from __future__ import annotations
@@ -55,11 +56,13 @@ _MASK = np.uint64(PIECE - 1)
 _BASE = 0x9E3779B97F4A7C15
 _BYTES = np.random.Generator(np.random.PCG64(20240501)).integers(0, 2**64, 256, dtype=np.uint64)
 _LEFT, _RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A5A5A5A5A5A5A7)
-PACKED = "bucket int, kind int, ids binary, hashes binary, counts binary, code binary, grams binary, contexts binary"
-RUNS = "_id long, _hash int, need boolean, code long"
-SUFFIXES = "right binary, left binary, _id long, _hash int, code long"
+# A row of the table: its id and 128 bits of hash of its text, so that rows with one id or none stay apart.
+ROW = ["_id", "_hash", "_more"]
+PACKED = "bucket int, kind int, ids binary, hashes binary, more binary, counts binary, code binary, grams binary, contexts binary"
+RUNS = "_id long, _hash long, _more long, need boolean, code long"
+SUFFIXES = "right binary, left binary, _id long, _hash long, _more long, code long"
 OPEN = SUFFIXES + ", key binary, settled boolean, first long, last long"
-FOUND = "key binary, settled boolean, _id long, _hash int, first long, last long"
+FOUND = "key binary, settled boolean, _id long, _hash long, _more long, first long, last long"
 
 
 def _powers(base: int) -> np.ndarray:
@@ -175,12 +178,12 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _pack(bucket: int, kind: int, ids, hashes, code, grams, contexts) -> tuple:
+def _pack(bucket: int, kind: int, ids, hashes, more, code, grams, contexts) -> tuple:
     """One row for many anchors; ids of one document are written once."""
-    new = _changes(ids, hashes)
+    new = _changes(ids, hashes, more)
     counts = np.diff(np.append(np.flatnonzero(new), len(ids)))
     return (
-        bucket, kind, ids[new].tobytes(), hashes[new].tobytes(), counts.astype(np.uint32).tobytes(),
+        bucket, kind, ids[new].tobytes(), hashes[new].tobytes(), more[new].tobytes(), counts.astype(np.uint32).tobytes(),
         code.tobytes(), grams.tobytes(), contexts.tobytes(),
     )
 
@@ -188,7 +191,7 @@ def _pack(bucket: int, kind: int, ids, hashes, code, grams, contexts) -> tuple:
 def _unpack(row: dict) -> tuple[np.ndarray, ...]:
     counts = np.frombuffer(row["counts"], np.uint32)
     return (
-        np.repeat(np.frombuffer(row["ids"], np.int64), counts), np.repeat(np.frombuffer(row["hashes"], np.int32), counts),
+        *(np.repeat(np.frombuffer(row[c], np.int64), counts) for c in ("ids", "hashes", "more")),
         np.frombuffer(row["code"], np.int64), np.frombuffer(row["grams"], np.uint64),
         np.frombuffer(row["contexts"], np.uint64),
     )
@@ -197,7 +200,7 @@ def _unpack(row: dict) -> tuple[np.ndarray, ...]:
 def _packed_schema() -> pa.Schema:
     return pa.schema(
         [("bucket", pa.int32()), ("kind", pa.int32())]
-        + [(n, pa.binary()) for n in ("ids", "hashes", "counts", "code", "grams", "contexts")]
+        + [(n, pa.binary()) for n in ("ids", "hashes", "more", "counts", "code", "grams", "contexts")]
     )
 
 
@@ -209,9 +212,9 @@ def _gather(length: int, gram: int, buckets: int, spread: int):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def send(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        grams, contexts, ids, hashes, code = _ordered(*(np.concatenate(c) for c in zip(*held)))
-        distinct = _changes(grams, contexts, ids, hashes, code)  # repeated rows of the table are one document
-        grams, contexts, ids, hashes, code = (c[distinct] for c in (grams, contexts, ids, hashes, code))
+        grams, contexts, ids, hashes, more, code = _ordered(*(np.concatenate(c) for c in zip(*held)))
+        distinct = _changes(grams, contexts, ids, hashes, more, code)  # repeated rows of the table are one document
+        grams, contexts, ids, hashes, more, code = (c[distinct] for c in (grams, contexts, ids, hashes, more, code))
         earliest = _changes(grams, contexts)
         # Runs that are settled here are spread by document and carry no hashes.
         kind = np.where(earliest, _PLAIN, _SETTLED)
@@ -222,12 +225,14 @@ def _gather(length: int, gram: int, buckets: int, spread: int):
         many = earliest & (np.bincount(group, weights=earliest)[group] > spread) & (upto - before[group] > 2)
         kind[many] = _SPREAD
         bucket[many] = (contexts[many] % np.uint64(buckets)).astype(np.int64)
-        bucket, kind, ids, hashes, code, grams, contexts = _ordered(bucket, kind, ids, hashes, code, grams, contexts)
+        bucket, kind, ids, hashes, more, code, grams, contexts = _ordered(
+            bucket, kind, ids, hashes, more, code, grams, contexts
+        )
         cuts = np.flatnonzero(_changes(bucket, kind))
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
             c = a if kind[a] == _SETTLED else b
             yield batch_of(
-                [_pack(int(bucket[a]), int(kind[a]), ids[a:b], hashes[a:b], code[a:b], grams[a:c], contexts[a:c])]
+                [_pack(int(bucket[a]), int(kind[a]), *(x[a:b] for x in (ids, hashes, more, code)), grams[a:c], contexts[a:c])]
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,13 +240,13 @@ def _gather(length: int, gram: int, buckets: int, spread: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                hashes = part.column(1).to_numpy(zero_copy_only=False)
-                raw = [t.as_buffer().to_pybytes() for t in part.column(2)]
+                ids, hashes, more = (part.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+                raw = [t.as_buffer().to_pybytes() for t in part.column(3)]
                 for data, ends, numbers, offsets in _texts(raw, length):
                     text, first, left, further, grams, contexts = anchors(data, ends, length, gram)
                     row = numbers[text]
-                    held.append((grams, contexts, ids[row], hashes[row], coded(first + offsets[text], left, further)))
+                    code = coded(first + offsets[text], left, further)
+                    held.append((grams, contexts, ids[row], hashes[row], more[row], code))
                     count += len(first)
                     if count >= HELD:
                         yield from send(held)
@@ -255,42 +260,41 @@ def _gather(length: int, gram: int, buckets: int, spread: int):
 def _settle():
     """Step 1 where a bucket of grams has come together: repeated runs, and those that need bytes."""
 
-    def rows(ids, hashes, need: bool, code) -> pa.RecordBatch:
+    def rows(ids, hashes, more, code, need: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(hashes), pa.array(np.full(len(ids), need)), pa.array(code)],
-            ["_id", "_hash", "need", "code"],
+            [pa.array(ids), pa.array(hashes), pa.array(more), pa.array(np.full(len(ids), need)), pa.array(code)],
+            ["_id", "_hash", "_more", "need", "code"],
         )
 
     def joined(held: list[tuple]) -> tuple[np.ndarray, ...]:
         """All places of the distinct contexts, earliest first, and which of them are the earliest."""
-        ids, hashes, code, grams, contexts = (np.concatenate(c) for c in zip(*held))
-        grams, contexts, ids, hashes, code = _ordered(grams, contexts, ids, hashes, code)
-        distinct = _changes(grams, contexts, ids, hashes, code)
-        grams, contexts, ids, hashes, code = (c[distinct] for c in (grams, contexts, ids, hashes, code))
-        return grams, ids, hashes, code, _changes(grams, contexts)
+        ids, hashes, more, code, grams, contexts = (np.concatenate(c) for c in zip(*held))
+        grams, contexts, ids, hashes, more, code = _ordered(grams, contexts, ids, hashes, more, code)
+        distinct = _changes(grams, contexts, ids, hashes, more, code)
+        grams, contexts, ids, hashes, more, code = (c[distinct] for c in (grams, contexts, ids, hashes, more, code))
+        return grams, (ids, hashes, more, code), _changes(grams, contexts)
 
     def plain(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         # Grams that occur once are the bulk; they go before anything is sorted as a whole.
-        grams = np.concatenate([part[3] for part in held])
+        grams = np.concatenate([part[4] for part in held])
         order = np.argsort(grams, kind="stable")
         group = np.cumsum(_changes(grams[order])) - 1
         often = np.zeros(len(grams), bool)
         often[order] = np.bincount(group)[group] > 1
-        cuts = np.cumsum([len(part[3]) for part in held])[:-1]
+        cuts = np.cumsum([len(part[4]) for part in held])[:-1]
         held = [tuple(c[use] for c in part) for part, use in zip(held, np.split(often, cuts))]
         if not often.any():
             return
-        grams, ids, hashes, code, earliest = joined(held)
-        yield rows(ids[~earliest], hashes[~earliest], False, code[~earliest])
-        grams, ids, hashes, code = (c[earliest] for c in (grams, ids, hashes, code))
-        group = np.cumsum(_changes(grams)) - 1
-        need = np.bincount(group)[group] > 1
-        yield rows(ids[need], hashes[need], True, code[need])
+        grams, places, earliest = joined(held)
+        yield rows(*(c[~earliest] for c in places), need=False)
+        group = np.cumsum(_changes(grams[earliest])) - 1
+        need = np.flatnonzero(earliest)[np.bincount(group)[group] > 1]
+        yield rows(*(c[need] for c in places), need=True)
 
     def spread(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        _, ids, hashes, code, earliest = joined(held)
+        _, places, earliest = joined(held)
         for need, use in ((False, ~earliest), (True, earliest)):
-            yield rows(ids[use], hashes[use], need, code[use])
+            yield rows(*(c[use] for c in places), need=need)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, {_PLAIN: [], _SPREAD: []}
@@ -309,7 +313,7 @@ def _settle():
                     bucket = row["bucket"]
                 parts = _unpack(row)
                 if row["kind"] == _SETTLED:
-                    yield rows(parts[0], parts[1], False, parts[2])
+                    yield rows(*parts[:4], need=False)
                 else:
                     held[row["kind"]].append(parts)
         yield from finish()
@@ -322,18 +326,18 @@ def _cut(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, texts, codes = (batch.column(n) for n in ("_id", "_hash", "text", "codes"))
+            ids, hashes, more, texts, codes = (batch.column(n) for n in ("_id", "_hash", "_more", "text", "codes"))
             out: list[tuple] = []
             for i in range(batch.num_rows):
                 data = texts[i].as_buffer().to_pybytes()
                 for code in set(codes[i].as_py()):
                     first, left, further = code >> 16, code >> 8 & 255, code & 255
                     out.append((data[first + left : first + further + length], data[first : first + left],
-                                ids[i].as_py(), hashes[i].as_py(), code))
+                                ids[i].as_py(), hashes[i].as_py(), more[i].as_py(), code))
                 if len(out) > 20_000 or (out and i == batch.num_rows - 1):
-                    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
+                    kinds = (pa.binary(), pa.binary(), *[pa.int64()] * 4)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["right", "left", "_id", "_hash", "code"]
+                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["right", "left", "_id", "_hash", "_more", "code"]
                     )
                     out = []
 
@@ -404,7 +408,7 @@ def _compare(rows: pa.Table, length: int, gram: int, ends: list[int], by_left: b
     within it, and whether they may have an equal beyond the rows ``ends`` at its open boundaries."""
     reach, words, n = length - gram, -(-length // 8), rows.num_rows
     right, left = rows.column("right").to_pylist(), rows.column("left").to_pylist()
-    ids, hashes, code = (rows.column(c).to_numpy() for c in ("_id", "_hash", "code"))
+    ids, hashes, more, code = (rows.column(c).to_numpy() for c in ("_id", "_hash", "_more", "code"))
     tails, heads = _padded(right, length, False), _padded(left, reach, True)
     grams = tails[:, :gram]
     group = np.cumsum(_changes(*grams.T)) - 1
@@ -432,16 +436,16 @@ def _compare(rows: pa.Table, length: int, gram: int, ends: list[int], by_left: b
         wide[:, :length] = strings
         ties, stretch = equal_runs(group[row] * (reach + 1) + ahead, wide.view(">u8").astype(np.uint64))
         if len(ties):
-            order = np.lexsort((start[ties], hashes[row[ties]], ids[row[ties]], stretch))
+            order = np.lexsort((start[ties], more[row[ties]], hashes[row[ties]], ids[row[ties]], stretch))
             ties, stretch = ties[order], stretch[order]
             head = np.flatnonzero(_changes(stretch))
             top = ties[np.repeat(head, np.diff(np.append(head, len(ties))))]
-            same = (
-                (ids[row[ties]] == ids[row[top]]) & (hashes[row[ties]] == hashes[row[top]]) & (start[ties] == start[top])
-            )
+            same = start[ties] == start[top]
+            for part in (ids, hashes, more):
+                same &= part[row[ties]] == part[row[top]]
             repeated[ties[~same]] = True
     return {"row": row, "ahead": ahead, "start": start, "repeated": repeated, "crossing": crossing & ~repeated,
-            "strings": strings, "ids": ids, "hashes": hashes}
+            "strings": strings, "ids": ids, "hashes": hashes, "more": more}
 
 
 def _stretches(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -469,8 +473,8 @@ def _ends(first: bool, last: bool, n: int) -> list[int]:
 def _by_suffix(length: int, gram: int, most: int):
     """Step 3: repeated strings of sorted suffixes, and the runs that are to be sorted from the other side."""
     schema = pa.schema(
-        [("right", pa.binary()), ("left", pa.binary()), ("_id", pa.int64()), ("_hash", pa.int32()), ("code", pa.int64()),
-         ("key", pa.binary()), ("settled", pa.bool_()), ("first", pa.int64()), ("last", pa.int64())]
+        [("right", pa.binary()), ("left", pa.binary()), ("_id", pa.int64()), ("_hash", pa.int64()), ("_more", pa.int64()),
+         ("code", pa.int64()), ("key", pa.binary()), ("settled", pa.bool_()), ("first", pa.int64()), ("last", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,7 +485,7 @@ def _by_suffix(length: int, gram: int, most: int):
             if len(low):
                 yield _batch(
                     schema, len(low), settled=np.full(len(low), True), _id=found["ids"][row[low]],
-                    _hash=found["hashes"][row[low]], first=start[low], last=start[high],
+                    _hash=found["hashes"][row[low]], _more=found["more"][row[low]], first=start[low], last=start[high],
                 )
             at = np.flatnonzero(found["crossing"])
             if len(at):
@@ -492,7 +496,7 @@ def _by_suffix(length: int, gram: int, most: int):
                 heads = [left[r].as_py()[len(left[r].as_py()) - a :] for r, a in zip(row[low].tolist(), ahead[low].tolist())]
                 yield _batch(
                     schema, len(low), settled=np.full(len(low), False), _id=found["ids"][row[low]],
-                    _hash=found["hashes"][row[low]], right=tails, left=heads,
+                    _hash=found["hashes"][row[low]], _more=found["more"][row[low]], right=tails, left=heads,
                     key=[t[:gram] + h[::-1] for t, h in zip(tails, heads)],
                     code=coded(start[low], ahead[low], start[high] - start[low]),
                 )
@@ -503,8 +507,8 @@ def _by_suffix(length: int, gram: int, most: int):
 def _by_left(length: int, gram: int, most: int):
     """Step 4: the same for runs sorted by what lies in front of the anchor; strings still open by their bytes."""
     schema = pa.schema(
-        [("key", pa.binary()), ("settled", pa.bool_()), ("_id", pa.int64()), ("_hash", pa.int32()),
-         ("first", pa.int64()), ("last", pa.int64())]
+        [("key", pa.binary()), ("settled", pa.bool_()), ("_id", pa.int64()), ("_hash", pa.int64()),
+         ("_more", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -516,14 +520,15 @@ def _by_left(length: int, gram: int, most: int):
                 ids = found["ids"][row[low]]
                 yield _batch(
                     schema, len(low), key=[i.to_bytes(8, "big", signed=True) for i in ids.tolist()],
-                    settled=np.full(len(low), True), _id=ids, _hash=found["hashes"][row[low]],
+                    settled=np.full(len(low), True), _id=ids, _hash=found["hashes"][row[low]], _more=found["more"][row[low]],
                     first=start[low], last=start[high],
                 )
             at = np.flatnonzero(found["crossing"])
             if len(at):
                 yield _batch(
                     schema, len(at), key=[s.tobytes() for s in found["strings"][at]], settled=np.full(len(at), False),
-                    _id=found["ids"][row[at]], _hash=found["hashes"][row[at]], first=start[at], last=start[at],
+                    _id=found["ids"][row[at]], _hash=found["hashes"][row[at]], _more=found["more"][row[at]],
+                    first=start[at], last=start[at],
                 )
 
     return run
@@ -543,20 +548,19 @@ def spans(starts: np.ndarray, lasts: np.ndarray, length: int) -> list[tuple[int,
 def _apply(length: int):
     """What is left of each text."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+        [("doc_id", pa.int64()), ("_id", pa.int64()), ("_hash", pa.int64()), ("_more", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
          ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, copies, found = (batch.column(n) for n in ("doc_id", "text", "copy", "runs"))
+            names = list(zip(*(batch.column(n).to_pylist() for n in ("doc_id", *ROW))))
+            texts, found = batch.column("text"), batch.column("runs")
             out = []
             for i in range(batch.num_rows):
                 data = texts[i].as_buffer().to_pybytes()
                 runs = found[i].values
-                if copies[i].as_py() > 1:
-                    gone = [(0, len(data))] if len(data) >= length else []
-                elif runs is None or not len(runs):
+                if runs is None or not len(runs):
                     gone = []
                 else:
                     gone = spans(runs.field(0).to_numpy(), runs.field(1).to_numpy(), length)
@@ -565,7 +569,7 @@ def _apply(length: int):
                     digest.update(data[at:a])
                     at = b
                 digest.update(data[at:])
-                out.append((ids[i].as_py(), len(data), sum(b - a for a, b in gone), len(gone), digest.hexdigest(),
+                out.append((*names[i], len(data), sum(b - a for a, b in gone), len(gone), digest.hexdigest(),
                             [{"start": a, "stop": b} for a, b in gone]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -574,7 +578,7 @@ def _apply(length: int):
 
 
 RESULT = (
-    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+    "doc_id long, _id long, _hash long, _more long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
     "removed array<struct<start:bigint,stop:bigint>>"
 )
 
@@ -598,38 +602,49 @@ def repeated_bytes(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long"), text.alias("text")).select(
         "doc_id", F.coalesce("doc_id", F.lit(LEAST_LONG)).alias("_id"),
-        F.xxhash64("text").bitwiseAND(0x7FFFFFFF).cast("int").alias("_hash"), "text",
+        F.xxhash64("text").alias("_hash"), F.xxhash64(F.lit(1), "text").alias("_more"), "text",
     )
     buckets = shuffle_partitions(spark)
     runs = stored(
-        keyed.select("_id", "_hash", "text").mapInArrow(_gather(length, gram, buckets, spread), PACKED)
+        keyed.select(*ROW, "text").mapInArrow(_gather(length, gram, buckets, spread), PACKED)
         .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_settle(), RUNS)
     )
-    wanted = runs.where("need").groupBy("_id", "_hash").agg(F.collect_list("code").alias("codes"))
+    wanted = runs.where("need").groupBy(*ROW).agg(F.collect_list("code").alias("codes"))
     suffixes = stored(
-        keyed.join(wanted, ["_id", "_hash"]).select("_id", "_hash", "text", "codes").mapInArrow(_cut(length), SUFFIXES)
+        keyed.join(wanted, ROW).select(*ROW, "text", "codes").mapInArrow(_cut(length), SUFFIXES)
     )
-    sorted_once = suffixes.repartitionByRange("right", "_id", "code").sortWithinPartitions("right", "_id", "code")
+    sorted_once = suffixes.repartitionByRange("right", *ROW, "code").sortWithinPartitions("right", *ROW, "code")
     found = stored(sorted_once.mapInArrow(_by_suffix(length, gram, bucket), OPEN))
     again = found.where("NOT settled").select(*suffixes.columns, "key")
-    sorted_left = again.repartitionByRange("key", "_id", "code").sortWithinPartitions("key", "_id", "code")
+    sorted_left = again.repartitionByRange("key", *ROW, "code").sortWithinPartitions("key", *ROW, "code")
     # At most one of each kind of string comes from a bucket.
-    order = F.struct("_id", "_hash", "first")
+    order = F.struct(*ROW, "first")
     across = Window.partitionBy("key", "settled")
     late = (
         sorted_left.mapInArrow(_by_left(length, gram, bucket), FOUND)
         .withColumn("_best", F.min(order).over(across)).where(F.col("settled") | (F.col("_best") != order))
-        .select("_id", "_hash", "first", "last")
-    ).unionByName(found.where("settled").select("_id", "_hash", "first", "last"))
+        .select(*ROW, "first", "last")
+    ).unionByName(found.where("settled").select(*ROW, "first", "last"))
     code = F.col("code")
     first = F.shiftright(code, 16)
     sure = runs.where("NOT need").select(
-        "_id", "_hash", first.alias("first"), (first + code.bitwiseAND(255)).alias("last")
+        *ROW, first.alias("first"), (first + code.bitwiseAND(255)).alias("last")
     )
-    repeated = sure.unionByName(late).groupBy("_id", "_hash").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    copy = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_id"))
-    return (
-        keyed.withColumn("copy", copy).join(repeated, ["_id", "_hash"], "left")
-        .select("doc_id", "text", "copy", "runs").mapInArrow(_apply(length), RESULT)
-    )
-
+    repeated = sure.unionByName(late).groupBy(*ROW).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    marked = keyed.join(repeated, ROW, "left").select("doc_id", *ROW, "text", "runs").mapInArrow(_apply(length), RESULT)
+    kept = stored(marked.withColumn("_row", F.monotonically_increasing_id()))
+    # Equal rows have equal results; which of them is the first is told without their texts.
+    firsts = kept.groupBy(*ROW).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"]
+    if not firsts.limit(1).count():
+        return kept.select(columns)
+    gone = (F.col("_row") > F.col("_first")) & (F.col("n_bytes") >= length)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
+    return kept.join(firsts, ROW, "left").withColumns(
+        {
+            "n_removed": F.when(gone, F.col("n_bytes")).otherwise(F.col("n_removed")),
+            "n_spans": F.when(gone, F.lit(1).cast("long")).otherwise(F.col("n_spans")),
+            "kept_sha256": F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256")),
+            "removed": F.when(gone, whole).otherwise(F.col("removed")),
+        }
+    ).select(columns)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shopstrata.llm import suffix_dedup
 from shopstrata.llm.common import table
@@ -89,6 +90,30 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(r["n_removed"] for r in suffix_dedup.repeated_bytes(docs).collect()) == [0, n]
 
 
+def test_texts_of_one_id_stay_apart(spark):
+    """Two texts whose hashes agree in 31 bits, found by looking for them, keep all their bytes, with one id or none."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghij klmnop") for _ in range(150)) for _ in range(150_000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "xxhash64(text) & 2147483647 AS h")
+    pairs = [r["both"] for r in frame.groupBy("h").agg(F.collect_set("text").alias("both")).where("size(both) > 1").collect()]
+    assert pairs
+    for doc_id in (None, 7):
+        rows = [(doc_id, t) for both in pairs for t in both]
+        docs = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+        assert {(r["n_bytes"], r["n_removed"]) for r in suffix_dedup.repeated_bytes(docs).collect()} == {(150, 0)}
+
+
+def test_a_third_of_equal_rows(spark):
+    text = prose(random.Random(10), 60)
+    rows = [(3, text)] * 200 + [(100 + i, prose(random.Random(100 + i), 60, 10**6)) for i in range(400)]
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    found = suffix_dedup.repeated_bytes(docs).collect()
+    assert len(found) == 600
+    n = len(text.encode())
+    copies = sorted((r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found if r["doc_id"] == 3)
+    assert copies == [(0, 0, hashlib.sha256(text.encode()).hexdigest())] + [(n, 1, hashlib.sha256(b"").hexdigest())] * 199
+
+
 def test_long_text_in_pieces():
     rng = np.random.default_rng(5)
     text = rng.integers(97, 123, 3 * suffix_dedup.PIECE // 2, dtype=np.uint8).tobytes()
