@@ -191,6 +191,14 @@ def _bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_rows(read_csv(spark, "returns", f"{folder}/returns.csv"), "returns")
 
 
+def _bronze_scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns as CSV with line breaks, quotes and commas in the reason of some."""
+    folder, raw = shared_folder(spark), raw_tables(spark, sf_dir)["returns"]
+    reason = F.when(F.col("refund_amount").isNull(), F.concat("reason", F.lit(',\n"unclear"\n'))).otherwise(F.col("reason"))
+    write_csv(raw.withColumn("reason", reason), f"{folder}/returns.csv")
+    return scan_csv(spark, "returns", f"{folder}/returns.csv")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by category on the smallest test data."""
     return queries()["gold_revenue_by_category"](spark, "/root/testdata/sf0.001")
@@ -240,6 +248,7 @@ def queries() -> dict[str, Query]:
         found[name] = _on_gold(lambda g, plan=plan, mart=mart: plan(g[mart]))
 
     found["bronze_metadata"] = _bronze_metadata
+    found["bronze_scan_multiline"] = _bronze_scan_multiline
     found["bronze_rejects"] = _bronze_rejects
     found["layer_row_counts"] = _layer_row_counts
     found["load_totals"] = _load_totals

@@ -314,6 +314,10 @@ LOADS = {
               UNION ALL SELECT 'quality', 'dq_quality_log', 'OK', 10
               UNION ALL {_counts("gold", "", GOLD)}) s
         LEFT JOIN (SELECT mart AS "table", money, units FROM ({TOTALS})) t ON t."table" = s."table" """,
+    "bronze_scan_multiline": """
+        SELECT * REPLACE (CASE WHEN refund_amount IS NULL THEN reason || ',' || chr(10) || '"unclear"' || chr(10)
+                               ELSE reason END AS reason)
+        FROM raw_returns""",
     "bronze_rejects": """
         SELECT 'returns' AS "table", concat_ws(',', return_id, order_id, return_date, reason || ', unclear',
                                                status, '') AS record

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Collection, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
@@ -38,7 +38,6 @@ class Run:
         root: str,
         run_time: datetime | None = None,
         mart_options: Mapping[str, dict] | None = None,
-        multi_line: Collection[str] = (),
     ):
         self.spark = spark
         self.raw_dir = raw_dir.rstrip("/")
@@ -46,7 +45,6 @@ class Run:
         self.run_time = run_time or datetime.now()
         self.run_id = f"{self.run_time:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         self.mart_options = mart_options or {}
-        self.multi_line = frozenset(multi_line)
         self.entries: list[dict] = []
 
     def _attempt(self, layer: str, name: str, plan: Callable[[], DataFrame | None]) -> dict:
@@ -70,7 +68,7 @@ class Run:
         self.entries += entries
 
     def _scan(self, table: str) -> DataFrame | None:
-        return read_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv", table in self.multi_line)
+        return read_if_present(self.spark, table, f"{self.raw_dir}/{table}.csv")
 
     def plain_load(self) -> None:
         """Load the raw files into the layer ``raw``, without any metadata."""
@@ -148,14 +146,12 @@ def run_pipeline(
     root: str,
     run_time: datetime | None = None,
     mart_options: Mapping[str, dict] | None = None,
-    multi_line: Collection[str] = (),
 ) -> DataFrame:
     """Run all steps and return one status row per table. Issues never block Gold.
 
-    Quality and Gold both need Silver only and run side by side. ``multi_line`` names the tables whose
-    raw files have line breaks inside quoted cells.
+    Quality and Gold both need Silver only and run side by side.
     """
-    run = Run(spark, raw_dir, root, run_time, mart_options, multi_line)
+    run = Run(spark, raw_dir, root, run_time, mart_options)
     run.bronze_and_silver()
     with ThreadPoolExecutor(max_workers=2) as pool:
         for done in [pool.submit(run.quality), pool.submit(run.gold)]:

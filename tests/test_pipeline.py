@@ -64,18 +64,12 @@ def test_malformed_rows_are_kept_apart(spark, tmp_path):
     }
 
 
-def test_unread_line_breaks_are_rejects(spark, tmp_path):
+def test_line_breaks_in_cells(spark, tmp_path):
     columns = RAW_COLUMNS["customers"]
     row = ["C1", "A", "B", "e", "p", '"New\nYork"', "NY", "1", "s", "2024-01-01"]
     path = write(tmp_path / "customers.csv", f"{','.join(columns)}\n{','.join(row)}\n")
-    assert scan_csv(spark, "customers", path).count() == 0
-    assert rejected_rows(read_csv(spark, "customers", path), "customers").count() == 2
-    assert scan_csv(spark, "customers", path, multi_line=True).first()["city"] == "New\nYork"
-
-
-def test_line_breaks_on_request(spark, tmp_path):
-    path = write(tmp_path / "returns.csv", f'{HEADER}\n1,2,3,"two\nlines",5,6\n')
-    assert scan_csv(spark, "returns", path, multi_line=True).first()["reason"] == "two\nlines"
+    assert scan_csv(spark, "customers", path).first()["city"] == "New\nYork"
+    assert rejected_rows(read_csv(spark, "customers", path), "customers").count() == 0
 
 
 def test_missing_file(spark, tmp_path):
@@ -166,16 +160,15 @@ def test_a_table_with_rejects_is_partial(spark, raw_dir, tmp_path):
             (folder / f"{table}.csv").symlink_to(f"{raw_dir}/{table}.csv")
     broken = 'R3,O3,2024-01-02,"two\nlines",approved,2.00'
     write(folder / "returns.csv", f"{HEADER}\nR0,O0,2024-01-01,fine,approved,1.00\na,b\n{broken}\n")
-    for multi_line, rows, rejected in (((), 1, 3), (("returns",), 2, 1)):
-        run = Run(spark, str(folder), str(tmp_path / f"lake{rows}"), FIRST, multi_line=multi_line)
-        run.bronze()
-        run.silver()
-        status = {(r["layer"], r["table"]): r for r in run.status().collect()}
-        loaded = status["bronze", "returns"]
-        assert (loaded["status"], loaded["rows"], loaded["rejected"]) == ("PARTIAL", rows, rejected)
-        assert status["silver", "returns"]["rows"] == rows
-        assert run.store.read("bronze", "returns").first()["_row_count"] == rows
-        assert run.store.rejects().count() == rejected
+    run = Run(spark, str(folder), str(tmp_path / "lake"), FIRST)
+    run.bronze()
+    run.silver()
+    status = {(r["layer"], r["table"]): r for r in run.status().collect()}
+    loaded = status["bronze", "returns"]
+    assert (loaded["status"], loaded["rows"], loaded["rejected"]) == ("PARTIAL", 2, 1)
+    assert status["silver", "returns"]["rows"] == 2
+    assert run.store.read("bronze", "returns").first()["_row_count"] == 2
+    assert run.store.rejects().count() == 1
 
 
 def test_report_csv(two_runs, spark):
@@ -226,7 +219,7 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     from shopstrata.__main__ import main
 
     root = str(tmp_path / "lake")
-    main(["run", raw_dir, root, "--run-time", "2024-03-01T08:00:00", "--multi-line", "returns"])
+    main(["run", raw_dir, root, "--run-time", "2024-03-01T08:00:00"])
     main(["export", root, str(tmp_path / "csv")])
     main(["dashboard", root])
     shown = capsys.readouterr().out

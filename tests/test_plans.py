@@ -17,7 +17,7 @@ BUILT_WITH_JOBS = {"pipeline_run", "gold_export", "bronze_metadata", "bronze_rej
 LAZY = sorted(
     n
     for n in contract.queries()
-    if n not in BUILT_WITH_JOBS and not re.match(r"bronze_scan|op\d+_|pipeline$", n)
+    if n not in BUILT_WITH_JOBS and not re.match(r"bronze_scan|op\d+_|spotsigs_|pipeline$", n)
 )
 
 
