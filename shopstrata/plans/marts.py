@@ -294,10 +294,14 @@ def fulfillment_summary(tables: Tables) -> DataFrame:
 
 @dataclass(frozen=True)
 class Mart:
-    """A mart: its builder, and the order in which it is reported."""
+    """A mart: its builder, the order in which it is reported, and what proves its content.
+
+    ``totals``: an exact sum of money and a sum of whole numbers or quantities, each of columns joined by +.
+    """
 
     build: Callable[..., DataFrame]
     order: tuple[Callable[[], Column], ...]
+    totals: tuple[str, str] | None = None
 
 
 def _desc(column: str) -> Callable[[], Column]:
@@ -311,9 +315,12 @@ def _asc(column: str) -> Callable[[], Column]:
 # The last sort column of each mart makes the order total and splits runs of equal values.
 MARTS: dict[str, Mart] = {
     "gold_revenue_by_category": Mart(
-        revenue_by_category, (_desc("total_revenue"), _asc("category"))
+        revenue_by_category, (_desc("total_revenue"), _asc("category")),
+        ("total_revenue + total_gross_profit", "total_units_sold"),
     ),
-    "gold_monthly_order_summary": Mart(monthly_order_summary, (_asc("month_label"),)),
+    "gold_monthly_order_summary": Mart(
+        monthly_order_summary, (_asc("month_label"),),
+        ("total_revenue + avg_order_value", "total_orders + unique_customers"),),
     "gold_return_rate_by_product": Mart(
         return_rate_by_product,
         (
@@ -321,12 +328,15 @@ MARTS: dict[str, Mart] = {
             _desc("total_revenue"),
             _asc("product_id"),
         ),
+        ("total_revenue + total_refunded", "times_sold + times_returned"),
     ),
     "gold_customer_lifetime_value": Mart(
-        customer_lifetime_value, (_desc("total_spent"), _asc("customer_id"))
+        customer_lifetime_value, (_desc("total_spent"), _asc("customer_id")),
+        ("total_spent + total_refunded", "total_orders + total_returns"),
     ),
     "gold_fulfillment_summary": Mart(
-        fulfillment_summary, (_asc("avg_days_to_deliver"), _asc("carrier"))
+        fulfillment_summary, (_asc("avg_days_to_deliver"), _asc("carrier")),
+        ("avg_days_to_deliver + on_time_rate_pct", "total_shipments + delayed"),
     ),
 }
 

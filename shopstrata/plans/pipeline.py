@@ -159,23 +159,13 @@ def run_pipeline(
     return run.status()
 
 
-# What proves the content of a mart: an exact sum of money and a sum of whole numbers or quantities.
-TOTALS = {
-    "gold_revenue_by_category": ("total_revenue + total_gross_profit", "total_units_sold"),
-    "gold_monthly_order_summary": ("total_revenue + avg_order_value", "total_orders + unique_customers"),
-    "gold_return_rate_by_product": ("total_revenue + total_refunded", "times_sold + times_returned"),
-    "gold_customer_lifetime_value": ("total_spent + total_refunded", "total_orders + total_returns"),
-    "gold_fulfillment_summary": ("avg_days_to_deliver + on_time_rate_pct", "total_shipments + delayed"),
-}
-
-
 def mart_totals(name: str, mart: DataFrame) -> DataFrame:
-    """(mart, rows, money, units) of a stored or exported mart, summed as decimals."""
-    exact = {c: f"CAST({c} AS DECIMAL(28,4))" for pair in TOTALS[name] for c in pair.split(" + ")}
-    money, units = (" + ".join(exact[c] for c in part.split(" + ")) for part in TOTALS[name])
-    return mart.selectExpr(
-        f"'{name}' AS mart", "count(1) AS rows", f"sum({money}) AS money", f"sum({units}) AS units"
-    )
+    """(mart, rows, money, units) of a stored or exported mart, summed as decimals; null for a mart without totals."""
+    sums = []
+    for part in MARTS[name].totals or ("NULL", "NULL"):
+        exact = " + ".join(f"CAST({c} AS DECIMAL(28,4))" for c in part.split(" + "))
+        sums.append(f"sum({exact})")
+    return mart.selectExpr(f"'{name}' AS mart", "count(1) AS rows", f"{sums[0]} AS money", f"{sums[1]} AS units")
 
 
 def export_marts(marts: Mapping[str, DataFrame], folder: str) -> None:

@@ -1,16 +1,19 @@
 """Data-quality checks over Silver: ten checks, a report, its history and its summary.
 
-A check is a query for offending rows; it passes when there are none. The report only needs
-their number, so it counts without listing: row-level conditions on the same table share one
-scan, and all order-id checks share one key census.
+A check is declared by a rule: a condition on rows, a key that occurs more than once, or a missing partner. From the rules
+follow its listing, its count and its samples. Counts and samples of all checks are compiled together: rules on
+rows of one table share one scan, and all rules on one key share one census of that key. Adding a check means
+adding an entry to ``CHECKS``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import logging
+from collections import defaultdict
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,90 +23,83 @@ from shopstrata.operators.census import key_census
 from shopstrata.operators.keyed import match, without_match
 
 Tables = Mapping[str, DataFrame]
+LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
-class Check:
-    """A named check. ``keys`` identify an offending row and order the samples."""
+class Rows:
+    """Rows of ``table`` that meet a condition."""
 
-    check_id: str
-    check_name: str
     table: str
-    category: str
-    description: str
-    violations: Callable[[Tables], DataFrame]
-    keys: tuple[str, ...]
-
-
-# Row conditions, each written once for both the listing and the shared counts.
-NO_CUSTOMER = "customer_id IS NULL OR customer_id = 'nan'"
-NO_TOTAL = "order_total IS NULL"
-BAD_PRICE = "unit_price IS NULL OR unit_price <= 0 OR cost_price > unit_price"
-BAD_SHIP_DATE = "_invalid_ship_date"
-NO_REFUND = "refund_amount IS NULL OR refund_amount = 0"
-
-
-# Listings
+    condition: str
 
 
-def repeated_order_ids(t: Tables) -> DataFrame:
-    return _occurrences(t["orders"], "order_id")
-
-
-def _occurrences(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
-
-
-def orders_without_customer(t: Tables) -> DataFrame:
-    return t["orders"].where(NO_CUSTOMER).select("order_id", "order_date", "order_total")
-
-
-def returns_without_order(t: Tables) -> DataFrame:
-    listed = t["returns"].select("return_id", "order_id", "return_date", "refund_amount")
-    return without_match(listed, t["orders"], "order_id").select(*listed.columns)
-
+@dataclass(frozen=True)
+class Repeated:
+    """Values of ``key``, NULL included, that occur more than once in ``table``.
 
-def orders_without_items(t: Tables) -> DataFrame:
-    listed = t["orders"].select("order_id", "order_date", "order_total", "status")
-    return without_match(listed, t["order_items"], "order_id")
+    ``more`` are further aggregates of their rows; without any, the count comes with the census of the key.
+    """
 
+    table: str
+    key: str
+    more: tuple[str, ...] = ()
 
-def invalid_shipping_dates(t: Tables) -> DataFrame:
-    return (
-        t["shipping_events"]
-        .where(BAD_SHIP_DATE)
-        .select(
-            "shipment_id",
-            "order_id",
-            "carrier",
-            "ship_date",
-            "actual_delivery",
-            F.datediff("actual_delivery", "ship_date").alias("days_diff"),
-        )
-    )
 
+@dataclass(frozen=True)
+class Alone:
+    """Rows of ``table`` whose ``key`` does not occur in ``other``; a NULL key never does."""
 
-def items_without_order(t: Tables) -> DataFrame:
-    listed = t["order_items"].select("item_id", "order_id", "product_id", "line_total")
-    return without_match(listed, t["orders"], "order_id").select(*listed.columns)
+    table: str
+    other: str
+    key: str
 
 
-def shared_emails(t: Tables) -> DataFrame:
-    """Emails of more than one customer: how many rows they have, and the first and last customer id.
+@dataclass(frozen=True)
+class Check:
+    """A named check. ``fields`` are the SQL columns of its listing, the first one orders the samples.
 
-    A missing email is a group of its own. Who the customers are is listed by
-    :func:`shared_email_members` and :func:`shared_email_lists`.
+    ``rule`` may also be a function from the tables to the listing; such a check is counted and sampled by itself.
     """
-    return (
-        t["customers"]
-        .groupBy("email")
-        .agg(
-            F.count(F.lit(1)).alias("occurrences"),
-            F.min("customer_id").alias("first_customer_id"),
-            F.max("customer_id").alias("last_customer_id"),
-        )
-        .where("occurrences > 1")
-    )
+
+    check_id: str
+    check_name: str
+    category: str
+    description: str
+    rule: Rows | Repeated | Alone | Callable[[Tables], DataFrame]
+    fields: tuple[str, ...]
+    on: str | None = None
+
+    @property
+    def table(self) -> str:
+        return f"silver_{self.on or self.rule.table}"
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return (self.names[0],)
+
+    @property
+    def names(self) -> list[str]:
+        """The names of the listing's columns."""
+        return [field.rpartition(" AS ")[2] for field in self.fields]
+
+    def violations(self, t: Tables) -> DataFrame:
+        """The listing: one row per issue."""
+        rule = self.rule
+        if isinstance(rule, Rows):
+            found = t[rule.table].where(rule.condition)
+        elif isinstance(rule, Repeated):
+            found = _occurrences(t[rule.table], rule.key, *rule.more)
+        elif isinstance(rule, Alone):
+            found = without_match(t[rule.table], t[rule.other], rule.key)
+        else:
+            found = rule(t)
+        return found.selectExpr(*self.fields)
+
+
+def _occurrences(df: DataFrame, key: str, *more: str) -> DataFrame:
+    counts = [F.count(F.lit(1)).alias("occurrences"), *map(F.expr, more)]
+    return df.groupBy(key).agg(*counts).where("occurrences > 1")
 
 
 def shared_email_members(t: Tables) -> DataFrame:
@@ -131,114 +127,114 @@ def shared_email_lists(t: Tables) -> DataFrame:
     )
 
 
-def invalid_prices(t: Tables) -> DataFrame:
-    return (
-        t["products"]
-        .where(BAD_PRICE)
-        .select("product_id", "product_name", "unit_price", "cost_price")
-    )
-
-
-def orders_without_total(t: Tables) -> DataFrame:
-    return t["orders"].where(NO_TOTAL).select("order_id", "order_date", "status", "customer_id")
-
-
-def returns_without_refund(t: Tables) -> DataFrame:
-    return t["returns"].where(NO_REFUND).select("return_id", "order_id", "reason", "status")
-
-
 # Ids, names, tables, categories and descriptions as they appear in the report.
 CHECKS = [
     Check(
-        "DQ-001", "Duplicate order IDs", "silver_orders", "Uniqueness",
+        "DQ-001", "Duplicate order IDs", "Uniqueness",
         "Order IDs that appear more than once in the orders table.",
-        repeated_order_ids, ("order_id",),
+        Repeated("orders", "order_id"), ("order_id", "occurrences"),
     ),
     Check(
-        "DQ-002", "Missing customer_id on orders", "silver_orders", "Completeness",
+        "DQ-002", "Missing customer_id on orders", "Completeness",
         "Orders with no linked customer. Cannot attribute revenue.",
-        orders_without_customer, ("order_id",),
+        Rows("orders", "customer_id IS NULL OR customer_id = 'nan'"), ("order_id", "order_date", "order_total"),
     ),
     Check(
-        "DQ-003", "Returns without matching order", "silver_returns", "Referential Integrity",
+        "DQ-003", "Returns without matching order", "Referential Integrity",
         "Returns that reference an order_id that does not exist in orders.",
-        returns_without_order, ("return_id",),
+        Alone("returns", "orders", "order_id"), ("return_id", "order_id", "return_date", "refund_amount"),
     ),
     Check(
-        "DQ-004", "Orders with no line items", "silver_orders", "Completeness",
+        "DQ-004", "Orders with no line items", "Completeness",
         "Orders that have no corresponding items in order_items.",
-        orders_without_items, ("order_id",),
+        Alone("orders", "order_items", "order_id"), ("order_id", "order_date", "order_total", "status"),
     ),
     Check(
-        "DQ-005", "Invalid shipping dates", "silver_shipping_events", "Validity",
+        "DQ-005", "Invalid shipping dates", "Validity",
         "Shipments where ship_date is after actual_delivery date.",
-        invalid_shipping_dates, ("shipment_id",),
+        Rows("shipping_events", "_invalid_ship_date"),
+        (
+            "shipment_id", "order_id", "carrier", "ship_date", "actual_delivery",
+            "datediff(actual_delivery, ship_date) AS days_diff",
+        ),
     ),
     Check(
-        "DQ-006", "Orphan order items", "silver_order_items", "Referential Integrity",
+        "DQ-006", "Orphan order items", "Referential Integrity",
         "Order items that reference an order_id that does not exist.",
-        items_without_order, ("item_id",),
+        Alone("order_items", "orders", "order_id"), ("item_id", "order_id", "product_id", "line_total"),
     ),
     Check(
-        "DQ-007", "Duplicate customer emails", "silver_customers", "Uniqueness",
+        # A missing email is a group of its own. Who the customers are is listed by shared_email_members.
+        "DQ-007", "Duplicate customer emails", "Uniqueness",
         "Email addresses linked to more than one customer record.",
-        shared_emails, ("email",),
+        Repeated(
+            "customers", "email",
+            ("min(customer_id) AS first_customer_id", "max(customer_id) AS last_customer_id"),
+        ),
+        ("email", "occurrences", "first_customer_id", "last_customer_id"),
     ),
     Check(
-        "DQ-008", "Products with invalid price", "silver_products", "Validity",
+        "DQ-008", "Products with invalid price", "Validity",
         "Products with zero/null price or cost exceeding selling price.",
-        invalid_prices, ("product_id",),
+        Rows("products", "unit_price IS NULL OR unit_price <= 0 OR cost_price > unit_price"),
+        ("product_id", "product_name", "unit_price", "cost_price"),
     ),
     Check(
-        "DQ-009", "Orders with null order_total", "silver_orders", "Completeness",
+        "DQ-009", "Orders with null order_total", "Completeness",
         "Orders missing a total amount — cannot be used in revenue reporting.",
-        orders_without_total, ("order_id",),
+        Rows("orders", "order_total IS NULL"), ("order_id", "order_date", "status", "customer_id"),
     ),
     Check(
-        "DQ-010", "Returns with no refund amount", "silver_returns", "Completeness",
+        "DQ-010", "Returns with no refund amount", "Completeness",
         "Returns marked approved but with no refund amount recorded.",
-        returns_without_refund, ("return_id",),
+        Rows("returns", "refund_amount IS NULL OR refund_amount = 0"), ("return_id", "order_id", "reason", "status"),
     ),
 ]
 
 BY_ID = {check.check_id: check for check in CHECKS}
 
 
-# Shared counts: each builder returns one row with a column per check id.
+# Counts and samples that checks share
 
 
-def _row_counts(table: str, conditions: dict[str, str]) -> Callable[[Tables], DataFrame]:
-    counts = [f"count_if({condition}) AS `{i}`" for i, condition in conditions.items()]
-    return lambda t: t[table].selectExpr(*counts)
+def _census_tables(checks: Sequence[Check], key: str) -> list[str]:
+    """The tables in which rules ask for ``key``."""
+    rules = [c.rule for c in checks if isinstance(c.rule, (Repeated, Alone)) and c.rule.key == key]
+    return sorted({t for r in rules for t in ((r.table,) if isinstance(r, Repeated) else (r.table, r.other))})
 
 
-def _order_id_counts(t: Tables) -> DataFrame:
-    census = key_census({n: t[n] for n in ("orders", "order_items", "returns")}, "order_id")
-    # A missing order id matches nothing, not even another missing one.
-    no_order, no_items = "order_id IS NULL OR orders = 0", "order_id IS NULL OR order_items = 0"
-    return census.selectExpr(
-        "count_if(orders > 1) AS `DQ-001`",
-        f"coalesce(sum(CASE WHEN {no_order} THEN returns END), 0) AS `DQ-003`",
-        f"coalesce(sum(CASE WHEN {no_items} THEN orders END), 0) AS `DQ-004`",
-        f"coalesce(sum(CASE WHEN {no_order} THEN order_items END), 0) AS `DQ-006`",
-    )
+def _count_in_census(rule: Repeated | Alone) -> str:
+    """The issues of a rule, from a census with a row per key and a count per table."""
+    if isinstance(rule, Repeated):
+        return f"count_if({rule.table} > 1)"
+    # A missing key matches nothing, not even another missing one.
+    return f"coalesce(sum(CASE WHEN {rule.key} IS NULL OR {rule.other} = 0 THEN {rule.table} END), 0)"
 
 
-def _email_counts(t: Tables) -> DataFrame:
-    return _occurrences(t["customers"], "email").agg(F.count(F.lit(1)).alias("DQ-007"))
+def shared_counts(checks: Sequence[Check]) -> list[tuple[tuple[str, ...], Callable[[Tables], DataFrame]]]:
+    """Plans that count several checks at once: one scan per table and one census per key.
 
+    Each gives one row with a column per check id.
+    """
+    by_table, by_key, plans = defaultdict(list), defaultdict(list), []
+    for check in checks:
+        if isinstance(check.rule, Rows):
+            by_table[check.rule.table].append(check)
+        elif isinstance(check.rule, (Repeated, Alone)):
+            by_key[check.rule.key].append(check)
+        else:
+            plans.append(((check.check_id,), partial(count_issues, check)))
 
-SHARED_COUNTS: list[tuple[tuple[str, ...], Callable[[Tables], DataFrame]]] = [
-    (("DQ-001", "DQ-003", "DQ-004", "DQ-006"), _order_id_counts),
-    (
-        ("DQ-002", "DQ-009"),
-        _row_counts("orders", {"DQ-002": NO_CUSTOMER, "DQ-009": NO_TOTAL}),
-    ),
-    (("DQ-005",), _row_counts("shipping_events", {"DQ-005": BAD_SHIP_DATE})),
-    (("DQ-007",), _email_counts),
-    (("DQ-008",), _row_counts("products", {"DQ-008": BAD_PRICE})),
-    (("DQ-010",), _row_counts("returns", {"DQ-010": NO_REFUND})),
-]
+    def of_rows(table: str, t: Tables) -> DataFrame:
+        return t[table].selectExpr(*[f"count_if({c.rule.condition}) AS `{c.check_id}`" for c in by_table[table]])
+
+    def of_key(key: str, t: Tables) -> DataFrame:
+        census = key_census({n: t[n] for n in _census_tables(by_key[key], key)}, key)
+        return census.selectExpr(*[f"{_count_in_census(c.rule)} AS `{c.check_id}`" for c in by_key[key]])
+
+    for groups, plan in ((by_table, of_rows), (by_key, of_key)):
+        plans += [(tuple(c.check_id for c in found), partial(plan, name)) for name, found in groups.items()]
+    return plans
 
 
 def count_issues(check: Check, tables: Tables) -> DataFrame:
@@ -259,20 +255,16 @@ def _counted(counts: DataFrame, check_ids: tuple[str, ...], message: str | None
     return rows.withColumn("message", F.lit(message).cast("string"))
 
 
-def _labelled(counted: DataFrame, run_time: datetime) -> DataFrame:
+def _labelled(counted: DataFrame, run_time: datetime, checks: Sequence[Check]) -> DataFrame:
     """Counts with the texts of their checks, which are looked up in a literal map."""
-    texts = {
-        c.check_id: (c.check_name, c.table, c.category, c.description) for c in CHECKS
-    }
-    entries = ", ".join(
-        f"'{i}', named_struct('check_name', '{n}', 'table', '{t}', 'category', '{c}', "
-        f"'description', '{d}')"
-        for i, (n, t, c, d) in texts.items()
-    )
+    entries = []
+    for c in checks:
+        texts = {"check_name": c.check_name, "table": c.table, "category": c.category, "description": c.description}
+        entries += [F.lit(c.check_id), F.struct(*[F.lit(text).alias(name) for name, text in texts.items()])]
     status = """CASE WHEN issue_count < 0 THEN 'ERROR' WHEN issue_count > 0 THEN 'FAIL'
                      ELSE 'PASS' END AS status"""
     return (
-        counted.withColumns({"run_time": F.expr(instant(run_time)), "check": F.expr(f"map({entries})[check_id]")})
+        counted.withColumns({"run_time": F.expr(instant(run_time)), "check": F.create_map(*entries)[F.col("check_id")]})
         .select("run_time", "check_id", "check.*", F.expr(status), "issue_count", "message")
     )
 
@@ -281,45 +273,53 @@ def _error_count(spark: SparkSession, check_id: str) -> DataFrame:
     return spark.range(1).selectExpr(f"-1 AS `{check_id}`")
 
 
-def quality_report(spark: SparkSession, tables: Tables, run_time: datetime) -> DataFrame:
-    """One row per check as a single lazy plan.
+def quality_report(
+    spark: SparkSession, tables: Tables, run_time: datetime, checks: Sequence[Check] | None = None
+) -> DataFrame:
+    """One row per check as a single lazy plan; ``checks`` are ``CHECKS`` unless given.
 
     A check whose query cannot even be planned (its table or a column is missing) becomes an
     ERROR row. Failures while running are isolated by :func:`run_quality_checks`.
     """
+    checks = CHECKS if checks is None else checks
+    by_id = {check.check_id: check for check in checks}
     parts = []
-    for check_ids, build in SHARED_COUNTS:
+    for check_ids, build in shared_counts(checks):
         try:
             parts.append(_counted(build(tables), check_ids))
             continue
-        except Exception:  # noqa: BLE001 - fall back to one plan per check
-            pass
+        except Exception as problem:  # noqa: BLE001 - fall back to one plan per check
+            LOG.warning("%s are counted one by one: %s", ", ".join(check_ids), problem)
         for check_id in check_ids:
             try:
-                parts.append(_counted(count_issues(BY_ID[check_id], tables), (check_id,)))
+                parts.append(_counted(count_issues(by_id[check_id], tables), (check_id,)))
             except Exception as problem:  # noqa: BLE001 - any failure is a result of the check
                 parts.append(_counted(_error_count(spark, check_id), (check_id,), str(problem)))
-    return _labelled(reduce(DataFrame.unionByName, parts), run_time).orderBy("check_id")
+    return _labelled(reduce(DataFrame.unionByName, parts), run_time, checks).orderBy("check_id")
 
 
-def run_quality_checks(spark: SparkSession, tables: Tables, run_time: datetime) -> DataFrame:
+def run_quality_checks(
+    spark: SparkSession, tables: Tables, run_time: datetime, checks: Sequence[Check] | None = None
+) -> DataFrame:
     """The report with its counts already computed; one failing check never stops the others.
 
     All checks run as one job. If that job fails, each check runs on its own, and those that
-    fail again are reported as ERROR with -1 issues. Only the ten report rows reach the driver.
+    fail again are reported as ERROR with -1 issues. Only the report's rows, one per check, reach the driver.
     """
-    report = quality_report(spark, tables, run_time)
+    checks = CHECKS if checks is None else checks
+    report = quality_report(spark, tables, run_time, checks)
     try:
         rows = report.collect()
-    except Exception:  # noqa: BLE001
+    except Exception as failure:  # noqa: BLE001
+        LOG.warning("the checks run one by one: %s", failure)
         rows = []
-        for check in CHECKS:
+        for check in checks:
             try:
                 counts = count_issues(check, tables)
-                rows += _labelled(_counted(counts, (check.check_id,)), run_time).collect()
+                rows += _labelled(_counted(counts, (check.check_id,)), run_time, checks).collect()
             except Exception as problem:  # noqa: BLE001
                 counts = _error_count(spark, check.check_id)
-                rows += _labelled(_counted(counts, (check.check_id,), str(problem)), run_time).collect()
+                rows += _labelled(_counted(counts, (check.check_id,), str(problem)), run_time, checks).collect()
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -384,61 +384,57 @@ def sample_violations(check: Check, tables: Tables) -> DataFrame:
     )
 
 
-# The fields of a sample, in the order of the listing.
-SAMPLE_FIELDS = {
-    "DQ-001": "order_id occurrences",
-    "DQ-002": "order_id order_date order_total",
-    "DQ-003": "return_id order_id return_date refund_amount",
-    "DQ-004": "order_id order_date order_total status",
-    "DQ-005": "shipment_id order_id carrier ship_date actual_delivery days_diff",
-    "DQ-006": "item_id order_id product_id line_total",
-    "DQ-007": "email occurrences first_customer_id last_customer_id",
-    "DQ-008": "product_id product_name unit_price cost_price",
-    "DQ-009": "order_id order_date status customer_id",
-    "DQ-010": "return_id order_id reason status",
-}
+def _record(check: Check) -> str:
+    """A row of the listing as text."""
+    cells = [
+        f"concat('{name}=', coalesce(CAST({field.rpartition(' AS ')[0] or field} AS STRING), 'NULL'))"
+        for name, field in zip(check.names, check.fields)
+    ]
+    return f"concat_ws(', ', {', '.join(cells)})"
 
 
-def _marked(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+def _marked(df: DataFrame, conditions: Mapping[Check, str]) -> DataFrame:
     """(check_id, key, record) for every check whose condition a row meets, in one scan of ``df``."""
-    found = []
-    for check_id, condition in conditions.items():
-        [key] = BY_ID[check_id].keys
-        fields = ", ".join(
-            f"concat('{c}=', coalesce(CAST({c} AS STRING), 'NULL'))" for c in SAMPLE_FIELDS[check_id].split()
-        )
-        found.append(
-            f"if({condition}, named_struct('check_id', '{check_id}', 'key', {key}, "
-            f"'record', concat_ws(', ', {fields})), NULL)"
-        )
+    found = [
+        f"if({condition}, named_struct('check_id', '{check.check_id}', 'key', CAST({check.fields[0]} AS STRING), "
+        f"'record', {_record(check)}), NULL)"
+        for check, condition in conditions.items()
+    ]
     marks = f"explode(filter(array({', '.join(found)}), x -> x IS NOT NULL)) AS mark"
     return df.selectExpr(marks).select("mark.*")
 
 
-def quality_samples(tables: Tables) -> DataFrame:
-    """Samples of all checks: every table is read once, besides the shared census of order ids.
+def quality_samples(tables: Tables, checks: Sequence[Check] | None = None) -> DataFrame:
+    """Samples of all checks: every table is read once, besides the shared census of each key.
 
-    The first six per check are kept before anything is shuffled; six tell "up to five" from more.
+    The first six per check, by the listing's first column as text, are kept before anything is shuffled; six tell "up
+    to five" from more.
     """
-    census = key_census({n: tables[n] for n in ("orders", "order_items", "returns")}, "order_id")
-    no_order = census.where("orders = 0").selectExpr("order_id", "true AS _alone")
-    no_items = census.where("order_items = 0").selectExpr("order_id", "true AS _alone")
-    alone = "order_id IS NULL OR coalesce(_alone, false)"
-    marks = [
-        _marked(census.withColumnRenamed("orders", "occurrences"), {"DQ-001": "occurrences > 1"}),
-        _marked(
-            match(tables["orders"], no_items, "order_id", "left"),
-            {"DQ-002": NO_CUSTOMER, "DQ-004": alone, "DQ-009": NO_TOTAL},
-        ),
-        _marked(match(tables["returns"], no_order, "order_id", "left"), {"DQ-003": alone, "DQ-010": NO_REFUND}),
-        _marked(match(tables["order_items"], no_order, "order_id", "left"), {"DQ-006": alone}),
-        _marked(
-            tables["shipping_events"].withColumn("days_diff", F.datediff("actual_delivery", "ship_date")),
-            {"DQ-005": BAD_SHIP_DATE},
-        ),
-        _marked(shared_emails(tables), {"DQ-007": "true"}),
-        _marked(tables["products"], {"DQ-008": BAD_PRICE}),
-    ]
+    checks = CHECKS if checks is None else checks
+    census = {
+        key: key_census({n: tables[n] for n in _census_tables(checks, key)}, key)
+        for key in {c.rule.key for c in checks if isinstance(c.rule, Alone) or isinstance(c.rule, Repeated) and not c.rule.more}
+    }
+    conditions: dict[str, dict[Check, str]] = defaultdict(dict)
+    joined, marks = dict(tables), []
+    for check in checks:
+        rule = check.rule
+        if isinstance(rule, Rows):
+            conditions[rule.table][check] = rule.condition
+        elif isinstance(rule, Alone):
+            flag = f"_{rule.key}_not_in_{rule.other}"
+            if flag not in joined[rule.table].columns:
+                missing = census[rule.key].where(f"{rule.other} = 0").selectExpr(rule.key, f"true AS {flag}")
+                joined[rule.table] = match(joined[rule.table], missing, rule.key, "left")
+            conditions[rule.table][check] = f"{rule.key} IS NULL OR coalesce({flag}, false)"
+        elif isinstance(rule, Repeated) and not rule.more:
+            counted = census[rule.key].withColumnRenamed(rule.table, "occurrences")
+            marks.append(_marked(counted, {check: "occurrences > 1"}))
+        elif isinstance(rule, Repeated):
+            marks.append(_marked(_occurrences(tables[rule.table], rule.key, *rule.more), {check: "true"}))
+        else:
+            marks.append(_marked(rule(tables), {check: "true"}))
+    marks += [_marked(joined[table], found) for table, found in conditions.items()]
     order = Window.partitionBy("check_id").orderBy(F.col("key").asc_nulls_last(), "record")
     first = (
         reduce(DataFrame.unionByName, marks)

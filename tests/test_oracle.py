@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 STAR = ["customer", "part", "orders", "lineitem"]
-OWN = {n: q for n, q in contract.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
+OWN = {n: q for n, q in contract.queries().items() if not re.match(r"op\d+_|spotsigs_|pipeline$", n)}
 
 
 @pytest.fixture(scope="module")

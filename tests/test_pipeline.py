@@ -277,3 +277,12 @@ def test_shared_folder_follows_the_cluster(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(base)
     assert shared_folder(spark) != shared_folder(spark)
+
+
+def test_a_mart_needs_no_totals(spark, monkeypatch):
+    from shopstrata.plans.marts import MARTS, Mart
+    from shopstrata.plans.pipeline import mart_totals
+
+    monkeypatch.setitem(MARTS, "gold_new", Mart(lambda t: t["orders"], ()))
+    frame = spark.createDataFrame([(1,), (2,)], "a int")
+    assert tuple(mart_totals("gold_new", frame).first()) == ("gold_new", 2, None, None)

@@ -63,13 +63,13 @@ def test_report_counts_what_the_listings_list(spark, tables):
 def test_listings(tables):
     emails = {r["email"]: r for r in quality.shared_email_lists(tables).collect()}
     assert emails["x"]["customer_ids"] == "C1, C2" and emails[None]["customer_ids"] == "C3, C4"
-    assert {tuple(r) for r in quality.shared_emails(tables).collect()} == {
+    assert {tuple(r) for r in quality.BY_ID["DQ-007"].violations(tables).collect()} == {
         ("x", 2, "C1", "C2"), (None, 2, "C3", "C4"),
     }
-    assert quality.invalid_shipping_dates(tables).first()["days_diff"] == -7
-    unmatched = quality.returns_without_order(tables).collect()
+    assert quality.BY_ID["DQ-005"].violations(tables).first()["days_diff"] == -7
+    unmatched = quality.BY_ID["DQ-003"].violations(tables).collect()
     assert {r["return_id"] for r in unmatched} == {"r2", "r3"}
-    empty = quality.orders_without_items(tables).collect()
+    empty = quality.BY_ID["DQ-004"].violations(tables).collect()
     assert sorted(str(r["order_id"]) for r in empty) == ["3", "None", "None"]
 
 
@@ -134,6 +134,49 @@ def test_shared_samples_equal_single_ones(tables):
     assert together == single
 
 
+MORE = [
+    quality.Check(
+        "DQ-011", "It's a new one", "Validity", "Items on products that don't exist.",
+        quality.Alone("order_items", "products", "product_id"), ("item_id", "product_id"),
+    ),
+    quality.Check(
+        "DQ-012", "Free items", "Validity", "Items that cost nothing.",
+        quality.Rows("order_items", "line_total < 2"), ("item_id", "line_total * 2 AS twice"),
+    ),
+    quality.Check(
+        "DQ-013", "Customers twice", "Uniqueness", "Customer ids on several orders.",
+        quality.Repeated("orders", "customer_id"), ("customer_id", "occurrences"),
+    ),
+    quality.Check(
+        "DQ-014", "Own listing", "Validity", "Whatever a function finds.",
+        lambda t: t["returns"].where("status = 'pending'"), ("return_id", "status"), on="returns",
+    ),
+]
+
+
+def test_a_check_is_added_in_one_place(spark, tables, monkeypatch):
+    monkeypatch.setattr(quality, "CHECKS", [*quality.CHECKS, *MORE])
+    for report in (quality.quality_report(spark, tables, RUN), quality.run_quality_checks(spark, tables, RUN)):
+        found = {r["check_id"]: r for r in report.collect()}
+        assert {i: r["issue_count"] for i, r in found.items()} == COUNTS | {
+            "DQ-011": 3, "DQ-012": 3, "DQ-013": 2, "DQ-014": 1,
+        }
+        assert (found["DQ-011"]["check_name"], found["DQ-014"]["table"]) == ("It's a new one", "silver_returns")
+    samples = sorted(map(tuple, quality.quality_samples(tables).collect()))
+    single = sorted(tuple(r) for c in quality.CHECKS for r in quality.sample_violations(c, tables).collect())
+    assert samples == single
+    assert ("DQ-012", 1, "item_id=a, twice=2") in samples
+
+
+def test_checks_share_scans(tables):
+    """Fourteen checks are five scans, a census of each of four keys, and a listing."""
+    plans = dict(quality.shared_counts([*quality.CHECKS, *MORE]))
+    assert set(plans) == {
+        ("DQ-001", "DQ-003", "DQ-004", "DQ-006"), ("DQ-002", "DQ-009"), ("DQ-005",), ("DQ-007",), ("DQ-008",),
+        ("DQ-010",), ("DQ-011",), ("DQ-012",), ("DQ-013",), ("DQ-014",),
+    }
+
+
 def test_latest_report_headings(spark, tables):
     report = quality.quality_report(spark, tables, RUN)
     found = quality.latest_report(report)
