@@ -418,6 +418,7 @@ def answers() -> dict[str, str]:
     for table in RAW:
         name = "bronze_scan" if table == "customers" else f"bronze_scan_{table}"
         sql[name] = ask(f"SELECT * FROM raw_{table}")
+    LOADS["silver_metrics_written"] = LOADS["silver_metrics"]
     for name, body in {**SERVING, **LOADS}.items():
         sql[name] = ask(body, GOLD)
     sql["dq_report"] = ask("SELECT * FROM report", REPORT_CTES)

@@ -3,6 +3,7 @@
     python -m shopstrata run RAW_DIR ROOT
     python -m shopstrata export ROOT CSV_DIR
     python -m shopstrata dashboard ROOT
+    python -m shopstrata sweep ROOT [--keep N]
 
 On a cluster the same module is started with spark-submit; ROOT is then on shared storage.
 """
@@ -31,21 +32,28 @@ def run(spark: SparkSession, raw_dir: str, root: str, run_time: datetime | None)
     silver = store.current("silver")
     if set(CLEANERS) <= set(silver):
         quality.quality_samples(silver).orderBy("check_id", "sample_no").show(100, truncate=False)
-    history = store.history(QUALITY_LOG)
-    quality.latest_report(history).show(truncate=False)
-    quality.quality_summary(quality.latest_run(history)).show(truncate=False)
+    newest = store.newest_run(QUALITY_LOG)
+    quality.displayed(newest).show(truncate=False)
+    quality.quality_summary(newest).show(truncate=False)
 
 
 def export(spark: SparkSession, root: str, folder: str) -> None:
     """Write every current mart as CSV."""
-    gold = LayerStore(spark, root).current("gold")
-    export_marts({name: gold[name] for name in MARTS if name in gold}, folder)
+    store = LayerStore(spark, root)
+    with store.lease():
+        gold = store.current("gold")
+        export_marts({name: gold[name] for name in MARTS if name in gold}, folder)
 
 
 def dashboard(spark: SparkSession, root: str) -> None:
     """Show the data behind each part of the dashboard."""
     store = LayerStore(spark, root)
-    gold, history = store.current("gold"), store.history(QUALITY_LOG)
+    with store.lease():
+        show_parts(store)
+
+
+def show_parts(store: LayerStore) -> None:
+    gold, newest = store.current("gold"), store.newest_run(QUALITY_LOG)
     monthly, products = gold["gold_monthly_order_summary"], gold["gold_return_rate_by_product"]
     revenue, customers = gold["gold_revenue_by_category"], gold["gold_customer_lifetime_value"]
     for part in (
@@ -56,8 +64,8 @@ def dashboard(spark: SparkSession, root: str) -> None:
         serving.return_rate_by_category(products),
         serving.fulfillment_chart(gold["gold_fulfillment_summary"]),
         serving.orders_by_channel(monthly),
-        quality.quality_summary(quality.latest_run(history)),
-        quality.latest_report(history),
+        quality.quality_summary(newest),
+        quality.displayed(newest),
     ):
         part.show(100, truncate=False)
 
@@ -74,6 +82,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     two.add_argument("folder")
     three = commands.add_parser("dashboard", help="show the dashboard's figures")
     three.add_argument("root")
+    four = commands.add_parser("sweep", help="delete copies of tables that no reader needs")
+    four.add_argument("root")
+    four.add_argument("--keep", type=int, default=2)
     given = parser.parse_args(arguments)
 
     spark = build_session()
@@ -81,6 +92,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
         run(spark, given.raw_dir, given.root, given.run_time)
     elif given.command == "export":
         export(spark, given.root, given.folder)
+    elif given.command == "sweep":
+        print("\n".join(LayerStore(spark, given.root).sweep(given.keep)))
     else:
         dashboard(spark, given.root)
 

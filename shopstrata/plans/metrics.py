@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.plans.silver import LINKED_ITEM
@@ -90,3 +90,29 @@ def silver_metrics(
         ),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+# What the write of a Silver table counts of its rows besides their number.
+FLAGS = {
+    "customers": {"duplicate_emails": "_is_duplicate_email"},
+    "orders": {"duplicate_order_ids": "_is_duplicate_order", "missing_customer_id": "_missing_customer_id"},
+    "shipping_events": {"invalid_ship_dates": "_invalid_ship_date"},
+}
+
+
+def write_metrics(table: str) -> dict[str, Column]:
+    """Aggregates for the write of a cleaned table. All cleaners but that of the items keep every row."""
+    found = {name: F.count_if(flag) for name, flag in FLAGS.get(table, {}).items()}
+    return found if table == "order_items" else {"rows_in": F.count(F.lit(1)), **found}
+
+
+def observed_input(table: str, raw: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """``raw`` on its way to the cleaner, with what only it can tell.
+
+    Items are cleaned in the stage that writes them, so that no row is counted twice when a task is repeated.
+    """
+    if table != "order_items":
+        return raw, None
+    seen = Observation()
+    unlinked = F.count_if(~F.expr(LINKED_ITEM)).alias("dropped_unlinked")
+    return raw.observe(seen, F.count(F.lit(1)).alias("rows_in"), unlinked), seen

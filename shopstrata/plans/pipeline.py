@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopstrata.functions.parse import instant
 from shopstrata.plans.marts import MARTS, in_report_order
+from shopstrata.plans.metrics import observed_input, write_metrics
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS
 from shopstrata.sources.layers import CURRENT, LEDGER_SCHEMA, LayerStore, entry
@@ -47,18 +48,20 @@ class Run:
         self.mart_options = mart_options or {}
         self.entries: list[dict] = []
 
-    def _attempt(self, layer: str, name: str, plan: Callable[[], DataFrame | None]) -> dict:
+    def _attempt(self, layer: str, name: str, plan: Callable[[], DataFrame | tuple | None]) -> dict:
         """Write one table and return its entry; a failure is an entry as well."""
         note = partial(entry, self.run_id, self.run_time, layer, name)
         try:
-            df = plan()
+            df, metrics, before = plan(), None, None
             if df is None:
                 return note("SKIPPED")
-            return self.store.write(self.run_id, self.run_time, layer, name, df)
+            if isinstance(df, tuple):
+                df, metrics, before = df
+            return self.store.write(self.run_id, self.run_time, layer, name, df, metrics, before)
         except Exception as problem:  # noqa: BLE001 - one table must not stop the others
             return note("FAILED", error=str(problem))
 
-    def _write_layer(self, layer: str, plans: Mapping[str, Callable[[], DataFrame | None]]) -> None:
+    def _write_layer(self, layer: str, plans: Mapping[str, Callable[[], DataFrame | tuple | None]]) -> None:
         with ThreadPoolExecutor(max_workers=max(1, len(plans))) as pool:
             self._record(pool.map(lambda name: self._attempt(layer, name, plans[name]), plans))
 
@@ -78,9 +81,11 @@ class Run:
         raw = self._scan(table)
         return None if raw is None else stamped(raw, table, self.run_time)
 
-    def _clean(self, table: str, bronze: Callable[[], DataFrame]) -> DataFrame:
+    def _clean(self, table: str, bronze: Callable[[], DataFrame]) -> tuple:
+        """The cleaned table, and what its write is to count."""
         stamp = F.expr(instant(datetime.now()))
-        return CLEANERS[table](bronze()).withColumn("_silver_timestamp", stamp)
+        source, before = observed_input(table, bronze())
+        return CLEANERS[table](source).withColumn("_silver_timestamp", stamp), write_metrics(table), before
 
     def bronze(self) -> None:
         """Load the raw files as they are, with ingest metadata."""
@@ -135,7 +140,7 @@ class Run:
 
     def status(self) -> DataFrame:
         """One row per layer and table of this run."""
-        rows = [tuple(e.values()) for e in self.entries]
+        rows = [(*e.values(), None) for e in self.entries]
         done = self.spark.createDataFrame(rows, LEDGER_SCHEMA)
         return done.select("layer", "table", "status", "rows", "rejected", "error", "seconds")
 
@@ -152,10 +157,11 @@ def run_pipeline(
     Quality and Gold both need Silver only and run side by side.
     """
     run = Run(spark, raw_dir, root, run_time, mart_options)
-    run.bronze_and_silver()
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        for done in [pool.submit(run.quality), pool.submit(run.gold)]:
-            done.result()
+    with run.store.lease():
+        run.bronze_and_silver()
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for done in [pool.submit(run.quality), pool.submit(run.gold)]:
+                done.result()
     return run.status()
 
 

@@ -328,8 +328,8 @@ def latest_run(history: DataFrame) -> DataFrame:
     return history.where(F.col("run_time") == history.agg(F.max("run_time")).scalar())
 
 
-def latest_report(history: DataFrame) -> DataFrame:
-    """The newest run under display names."""
+def displayed(run: DataFrame) -> DataFrame:
+    """One run under display names; ``LayerStore.newest_run`` finds the newest without reading the others."""
     # The headings of the displayed table.
     headings = {
         "check_id": "ID",
@@ -338,7 +338,12 @@ def latest_report(history: DataFrame) -> DataFrame:
         "status": "Status",
         "issue_count": "Issues Found",
     }
-    return latest_run(history).select(*headings).withColumnsRenamed(headings).orderBy("ID")
+    return run.select(*headings).withColumnsRenamed(headings).orderBy("ID")
+
+
+def latest_report(history: DataFrame) -> DataFrame:
+    """The newest run of a history of any kind, under display names."""
+    return displayed(latest_run(history))
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

@@ -132,6 +132,15 @@ def test_layers_carry_their_timestamps(two_runs):
     assert store.read("gold", "gold_fulfillment_summary").first()["_gold_timestamp"] == SECOND
 
 
+def test_writes_count_for_the_ledger(two_runs, spark):
+    from shopstrata.plans.metrics import silver_metrics
+
+    store = two_runs[0]
+    found = sorted(map(tuple, store.metrics("silver").collect()))
+    counted = silver_metrics(store.current("bronze"), store.current("silver"))
+    assert found == sorted(map(tuple, counted.collect()))
+
+
 def test_history_grows_by_one_report_per_run(two_runs, spark):
     store = two_runs[0]
     history = store.history(QUALITY_LOG)

@@ -13,7 +13,7 @@ from shopstrata.sources.tables import TableSet
 
 SF_DIR = "/root/testdata/sf0.001"
 # These write files while being built, or hold nothing but counts.
-BUILT_WITH_JOBS = {"pipeline_run", "gold_export", "bronze_metadata", "bronze_rejects", "dq_latest"}
+BUILT_WITH_JOBS = {"pipeline_run", "gold_export", "bronze_metadata", "bronze_rejects", "dq_latest", "silver_metrics_written"}
 LAZY = sorted(
     n
     for n in contract.queries()
