@@ -230,7 +230,8 @@ def read_chunks(manifest: DataFrame, chunk: int = CHUNK, with_data: bool = True)
                             [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
                         )
 
-    files = manifest.select("archive").repartition("archive")
+    # A task per archive: the manifest is so small that adaptive execution would make one task of it.
+    files = manifest.select("archive").repartitionByRange(max(1, manifest.count()), "archive")
     return files.mapInArrow(run, CHUNKS)
 
 
