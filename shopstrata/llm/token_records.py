@@ -353,7 +353,8 @@ def read_records(manifest: DataFrame) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in out], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    return todo.repartition("path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A task per file: the list is so small that adaptive execution would make one task of it.
+    return todo.repartitionByRange(max(1, len(files)), "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def recorded_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
