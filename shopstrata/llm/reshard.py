@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shopstrata.llm.common import stored
 from shopstrata.sources.layers import shared_folder
 
 OLD_SHARDS = 32
@@ -141,21 +142,44 @@ def even_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with _size and _crc of their texts."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(
+        "*", (F.octet_length(text) + OVERHEAD).cast("long").alias("_size"), F.crc32(text.cast("binary")).alias("_crc")
+    )
+
+
+def heavy_rows(docs: DataFrame, blocks: int) -> DataFrame:
+    """(_id, _crc, _size) of rows that are repeated and together larger than a mean block.
+
+    There are fewer of them than blocks, so they may be broadcast.
+    """
+    keys = [F.col("doc_id").alias("_id"), "_crc", "_size"]
+    groups = stored(_measured(docs).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    total = groups.agg(F.sum(F.col("_size") * F.col("n"))).first()[0] or 0
+    return groups.where(f"n > 1 AND _size * n > {total} / {blocks}").select("_id", "_crc", "_size")
+
+
 def with_blocks(
     docs: DataFrame, old_shards: int = OLD_SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD
 ) -> DataFrame:
     """``docs`` with _size, _crc, _old (the old shard) and _block.
 
     The old layout deals documents by a hash of id and text, so that many rows without an id, or
-    with the same one, are still spread.
+    with the same one, are still spread. Equal rows that would overfill a block are dealt one by one, by their place in
+    the input; which of them goes where does not matter.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    crc = F.crc32(text.cast("binary"))
-    dealt = F.pmod(F.xxhash64(F.col("doc_id"), crc), F.lit(old_shards * blocks_per_shard))
-    return docs.select(
-        "*",
-        (F.octet_length(text) + OVERHEAD).cast("long").alias("_size"),
-        crc.alias("_crc"),
+    blocks = old_shards * blocks_per_shard
+    heavy = heavy_rows(docs, blocks).withColumn("_heavy", F.lit(True))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_key")) & (F.col("_size") == F.col("_bytes"))
+    measured = _measured(docs).withColumn("_at", F.monotonically_increasing_id()).join(
+        F.broadcast(heavy.withColumnsRenamed({"_crc": "_key", "_size": "_bytes"})), same, "left"
+    )
+    alone = F.xxhash64("doc_id", "_crc", "_at")
+    dealt = F.pmod(F.when(F.col("_heavy"), alone).otherwise(F.xxhash64("doc_id", "_crc")), F.lit(blocks))
+    return measured.select(
+        *docs.columns, "_size", "_crc",
         (dealt / blocks_per_shard).cast("int").alias("_old"),
         F.pmod(dealt, F.lit(blocks_per_shard)).cast("int").alias("_block"),
     )

@@ -64,6 +64,30 @@ def test_shards(spark):
     assert sorted(map(str, found)) == sorted(map(str, reshard.shard_documents(docs, 8).collect()))
 
 
+def test_a_third_are_equal_rows(spark):
+    """Equal rows, without an id or with the same one, are spread like all others."""
+    rng = random.Random(11)
+    for doc_id in (None, 7):
+        rows = [(i + 100, "x" * rng.randrange(100, 300)) for i in range(2000)] + [(doc_id, "y" * 200)] * 1000
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        found = reshard.shard_documents(docs, 40).collect()
+        assert sorted(((r["doc_id"], r["size"]) for r in found), key=str) == sorted(
+            ((d, len(t) + 16) for d, t in rows), key=str
+        )
+        sizes, slots = [0] * 40, [[] for _ in range(40)]
+        for r in found:
+            sizes[r["shard"]] += r["size"]
+            slots[r["shard"]].append(r["slot"])
+        assert max(sizes) - min(sizes) <= 316
+        assert all(sorted(s) == list(range(len(s))) for s in slots)
+
+
+def test_heavy_rows_are_fewer_than_blocks(spark):
+    rows = [(i % 30, "z" * (i % 5)) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert 0 < reshard.heavy_rows(docs, 40).count() < 40
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert reshard.shard_documents(docs).collect() == []
