@@ -129,7 +129,7 @@ def test_registered_query_finds_copies_that_are_not_neighbours(spark, tmp_path):
     rows = [(i, words(rng, 60), 1, False) for i in range(1, 30)]
     rows += [(0, base, 1, False), (40, base + " the last w1 w2", 1, False)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r["doc_id"]: (r["class_id"], r["links"]) for r in contract.queries()["op11_spotsigs_classes"](spark, str(tmp_path)).collect()}
+    found = {r["doc_id"]: (r["class_id"], r["links"]) for r in contract.queries()["spotsigs_classes"](spark, str(tmp_path)).collect()}
     assert found == {i: (i, 0) for i in range(1, 30)} | {0: (0, 1), 40: (0, 1)}
 
 
