@@ -1,11 +1,12 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are words and their first three to six letters, and second and third occurrences are terms of
-their own. Of these, the terms are kept whose occurrence in labelled examples depends on the label (chi
-squared). Inverse document frequencies come from all documents. The examples, at most SAMPLE, are in an
+their own. Of these, the terms are kept whose occurrence in labelled examples depends on the label: by chi
+squared as a share of the examples, a size of effect that means the same with few labels and many. Inverse document frequencies come from all documents. The examples, at most SAMPLE, are in an
 inverted index in blocks that knows the largest weight of each term in each block: a block whose bound is
 below the k-th best cosine so far is skipped, so the neighbours are exact. Neighbours vote with their
-cosine, and votes become probabilities by the rate of ones among examples with such votes.
+cosine, and votes become probabilities by the rate of ones among examples with such votes; there, and only
+there, an example is left out of its own neighbours. A score depends on the text alone.
 """
 
 from __future__ import annotations
@@ -22,17 +23,18 @@ from pyspark.sql import functions as F
 from shopstrata.llm.common import row_key, stored
 from shopstrata.llm.labelled import held_out, training_labels
 
-# Most labelled examples in the index, and most terms.
+# Most labelled examples in the index.
 SAMPLE = 8192
-TERMS = 4096
-CHI = 50.0
+# Least chi squared of a term, as a share of the examples, and in any case (a chance of one in twenty).
+EFFECT = 1 / 75
+CHI = 3.84
 NEIGHBOURS = 15
 PREFIXES = (3, 4, 5, 6)
 REPEATS = 3
 BLOCK = 64
 MODULUS, REMAINDER = 4, 2
 CUT = 0.3
-# Words whose terms a task remembers, and different vectors whose neighbours it does.
+# Words whose terms a task remembers.
 MEMO = 200_000
 WORDS = re.compile(r"\w+")
 
@@ -51,10 +53,11 @@ def term_set(text: str | None) -> set[tuple[str, int]]:
     return {(b, k) for b, n in counts.items() for k in range(1, min(n, REPEATS) + 1)}
 
 
-def select_terms(examples: DataFrame, chi: float = CHI, most: int = TERMS) -> list[tuple[str, int]]:
-    """The terms of ``examples`` (text, label) that depend most on the label, at least by ``chi``.
+def select_terms(examples: DataFrame, effect: float = EFFECT, chi: float = CHI) -> list[tuple[str, int]]:
+    """All terms of ``examples`` (text, label) whose chi squared is at least ``chi`` and ``effect`` times the examples.
 
-    Terms are counted within a task first. Of rarer than three occurrences nothing can be said.
+    Terms are counted within a task first. Of rarer than three occurrences nothing can be said. The examples
+    are a bounded sample, and so are the terms that reach the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,9 +95,8 @@ def select_terms(examples: DataFrame, chi: float = CHI, most: int = TERMS) -> li
         f"cast({n} as double) * pow(cast(a * {n} - n * {ones} as double), 2) / "
         f"(cast(n as double) * ({n} - n) * {ones} * {n - ones})"
     )
-    strong = counted.withColumn("chi", F.when(F.col("n") < n, F.expr(table))).where(F.col("chi") >= chi)
-    rows = strong.orderBy(F.desc("chi"), "term", "number").limit(most).collect()
-    return [(r["term"], r["number"]) for r in rows]
+    strong = counted.withColumn("chi", F.when(F.col("n") < n, F.expr(table))).where(F.col("chi") >= max(chi, effect * n))
+    return sorted((r["term"], r["number"]) for r in strong.select("term", "number").collect())
 
 
 def with_terms(docs: DataFrame, terms: list[tuple[str, int]]) -> DataFrame:
@@ -146,12 +148,14 @@ class BlockMaxIndex:
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.block = block
         blocks = -(-len(order) // block)
-        self.most = np.zeros((terms, blocks))
+        self.blocks = blocks
+        most: list[dict[int, float]] = [{} for _ in range(terms)]
         postings: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
         for at, i in enumerate(order):
             for t, w in zip(*vectors[i]):
                 postings[t].append((at, w))
-                self.most[t, at // block] = max(self.most[t, at // block], w)
+                most[t][at // block] = max(most[t].get(at // block, 0.0), w)
+        self.most = [(np.array(list(m), np.int64), np.array(list(m.values()))) for m in most]
         self.where = [np.array([p for p, _ in ps], np.int64) for ps in postings]
         self.weight = [np.array([w for _, w in ps]) for ps in postings]
 
@@ -166,9 +170,12 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | None = None):
         """(members, cosines) of the ``k`` nearest and all that tie with the last of them.
 
-        ``without`` leaves out the example that is the asking document itself.
+        ``without`` leaves out the example with that id, for calibration.
         """
-        bound = weights @ self.most[terms]
+        bound = np.zeros(self.blocks)
+        for t, w in zip(terms, weights):
+            where, most = self.most[t]
+            bound[where] += w * most
         if not bound.size or not bound.any():
             return np.empty(0, np.int64), np.empty(0)
         skip = np.flatnonzero(self.ids == without) if without is not None else []
@@ -223,9 +230,9 @@ class Voters:
         length = np.sqrt(found @ found)
         return terms, found / length if length else found
 
-    def vote(self, vector, doc_id: int | None):
+    def vote(self, vector, without: int | None = None):
         """(weighted share of ones among the neighbours or None, their places, their cosines)."""
-        near, cosines = self.index.nearest(*self.unit(*vector), self.k, doc_id)
+        near, cosines = self.index.nearest(*self.unit(*vector), self.k, without)
         if not len(near):
             return None, near, cosines
         return float(cosines @ self.labels[near] / cosines.sum()), near, cosines
@@ -246,13 +253,14 @@ def toxicity_scores(
     cut: float = CUT,
     sample: int = SAMPLE,
     k: int = NEIGHBOURS,
-    chi: float = CHI,
+    effect: float = EFFECT,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, _id, _hash) per row of ``docs`` (doc_id, text).
 
     Labels of rows whose id has crc32 modulo ``modulus`` equal to ``remainder`` are not looked at. The index has at
     most ``sample`` labelled examples; every text is scored whole. ``evidence`` lists the first ``k`` neighbours; those
-    that tie with the last one vote as well. A document never votes on itself. Texts without a selected term, empty
+    that tie with the last one vote as well. Ids, and with them whether a document is an example, are no inputs: equal
+    texts have equal scores, and an example is its own nearest one. Texts without a selected term, empty
     and null ones among them, have no neighbours and get the rate of ones among such examples. Without labels, or
     with one class only, there is no term and the score is the share of ones (0.5 without any). A null doc_id is not
     held out. Repeated rows are scored alike, an empty table gives an empty result. ``_id`` and ``_hash`` tell rows with
@@ -263,10 +271,10 @@ def toxicity_scores(
     # At most ``sample`` ids are broadcast; of rows with one id, that with the smallest hash is the example.
     labelled = texts.join(F.broadcast(chosen), "doc_id").select("label", *row_key(), "text")
     once = stored(labelled.groupBy("_id", "label").agg(F.min_by("text", "_hash").alias("text")))
-    terms = select_terms(once, chi)
+    terms = select_terms(once, effect)
     vectors = stored(with_terms(texts, terms))
     count = vectors.count()
-    df = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # at most TERMS rows
+    df = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # a row per selected term
     idf = np.ones(len(terms))
     for r in df:
         idf[r["term"]] = np.log(1 + count / r["count"])
@@ -287,10 +295,9 @@ def toxicity_scores(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, label_of = voters.index.ids, voters.labels
         for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), batch.column(3).to_pylist()
             scores, evidence = [], []
-            for doc_id, found, weights in zip(ids, rows, batch.column(4).to_pylist()):
-                vote, near, cosines = voters.vote((found, weights), doc_id)
+            for found, weights in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                vote, near, cosines = voters.vote((found, weights))
                 scores.append(voters.score(vote))
                 evidence.append(
                     [{"doc_id": int(ids_of[i]), "label": int(label_of[i]), "cosine": float(c)}

@@ -76,6 +76,49 @@ def test_held_out_toxicity(spark):
     assert hit > 0.9 and wins > 0.75
 
 
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_toxic_rows_are_found(spark, folder):
+    sf_dir = f"/root/testdata/{folder}"
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    # Held-out rows; the last condition is that clean ones are left alone.
+    rows = toxicity.toxicity_scores(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    found = [r for r in rows if r["toxic"] == 1 and r["predicted"] == 1]
+    assert len(found) >= 0.9 * sum(r["toxic"] == 1 for r in rows)
+    assert sum(r["predicted"] == 1 for r in rows) - len(found) <= 0.05 * len(rows)
+
+
+def test_scores_are_of_the_text_alone(spark):
+    rows = [(i, f"fine words number {i % 20} here", None, "", "") for i in range(60)]
+    rows += [(i, f"awful awful thing AWFUL {i % 9}!!!", None, "", "") for i in range(100, 160)]
+    labels = spark.createDataFrame([(i, 0, int(i >= 100 and i % 3 > 0)) for i, *_ in rows], LABELS)
+    # The same texts once more, without an id or with one that has no label.
+    again = [(None if i % 2 else 1000 + i, text, *rest) for i, text, *rest in rows]
+    docs = spark.createDataFrame(rows + again, SCHEMA).repartition(3)
+    of = {}
+    for r in toxicity.toxicity_scores(docs, labels).join(docs.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").collect():
+        of.setdefault(r["text"], set()).add((r["score"], str(r["evidence"])))
+    assert len(of) == 29 and all(len(found) == 1 for found in of.values())
+
+
+def test_index_of_many_terms_is_exact():
+    rng = np.random.default_rng(8)
+    vectors = []
+    for _ in range(300):
+        terms = np.sort(rng.choice(20_000, 30, replace=False)) if rng.random() < 0.5 else np.sort(rng.choice(60, 30, replace=False))
+        weights = rng.random(30)
+        vectors.append((terms, weights / np.sqrt(weights @ weights)))
+    index = toxicity.BlockMaxIndex(list(range(300)), vectors, 20_000, block=8)
+    dense = np.zeros((300, 20_000))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for q in range(0, 300, 7):
+        near, found = index.nearest(*vectors[q], 10)
+        cosines = np.round(dense @ dense[q], 9)
+        least = np.sort(cosines)[-10]
+        assert set(index.ids[near].tolist()) == {i for i in range(300) if cosines[i] >= least and cosines[i] > 0}
+        assert found[0] == pytest.approx(1.0)
+
+
 def test_held_out_quality(spark):
     docs = table(spark, SF_DIR, "documents")
     scored = quality_qda.quality_scores(docs, table(spark, SF_DIR, "labels"))
