@@ -276,6 +276,8 @@ def queries() -> dict[str, Query]:
     found["join_items_products"] = _on_silver(singles.items_with_products)
     found["semi_approved_items"] = _on_silver(singles.items_of_approved_orders)
     found["dq_007_members"] = _on_silver(quality.shared_email_members)
+    # Small cells, so that the test data's groups have several.
+    found["dq_007_parts"] = _on_silver(lambda t: quality.shared_email_parts(t, rows=3))
     found["dq_007_lists"] = _on_silver(quality.shared_email_lists)
     found["join_return_rows"] = _on_silver(singles.return_rows_with_orders)
     found["join_returns_orders"] = _on_silver(singles.returns_with_orders)

@@ -345,6 +345,15 @@ SINGLES = {
     "dq_007_lists": """
         SELECT email, count(*) AS occurrences, string_agg(customer_id, ', ' ORDER BY customer_id) AS customer_ids
         FROM silver_customers GROUP BY email HAVING count(*) > 1""",
+    "dq_007_parts": """
+        SELECT email, any_value(occurrences) AS occurrences, place // 3 AS part, min(place) AS first,
+               min(chars_before)::BIGINT AS "offset", string_agg(customer_id, ', ' ORDER BY place) AS customer_ids
+        FROM (SELECT email, customer_id, count(*) OVER same AS occurrences,
+                     row_number() OVER (same ORDER BY customer_id) - 1 AS place,
+                     coalesce(sum(length(customer_id) + 2) OVER (
+                         same ORDER BY customer_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chars_before
+              FROM silver_customers WINDOW same AS (PARTITION BY email))
+        WHERE occurrences > 1 GROUP BY email, place // 3""",
     "join_returns_orders": """
         SELECT order_id, customer_id, count(*) // any_value(copies) AS return_rows,
                (sum(refund_amount) / any_value(copies))::DOUBLE AS refunded,

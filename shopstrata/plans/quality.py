@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shopstrata.functions.parse import instant
 from shopstrata.operators.census import key_census
 from shopstrata.operators.keyed import match, without_match
+from shopstrata.operators.parts import concatenated_parts
 
 Tables = Mapping[str, DataFrame]
 LOG = logging.getLogger(__name__)
@@ -114,7 +115,7 @@ def shared_email_lists(t: Tables) -> DataFrame:
     """One row per shared email with all its customer ids in order, in one cell.
 
     For data in which no email has more customers than a cell can hold; other data is read with
-    :func:`shared_email_members`, which has the same content.
+    :func:`shared_email_parts` or :func:`shared_email_members`, which have the same content.
     """
     return (
         t["customers"]
@@ -127,6 +128,22 @@ def shared_email_lists(t: Tables) -> DataFrame:
     )
 
 
+def shared_email_parts(t: Tables, rows: int = 1000) -> DataFrame:
+    """The lists of :func:`shared_email_lists` in parts of ``rows`` customer ids, for groups of any size.
+
+    (email, occurrences, part, first, offset, customer_ids); customers without an id are counted, but have no place.
+    """
+    members = shared_email_members(t)
+    parts = concatenated_parts(members, "email", "customer_id", ", ", rows).drop("occurrences")
+    # One row per shared email on this side.
+    groups = _occurrences(t["customers"].select("email"), "email")
+    keyed = F.coalesce(F.concat(F.lit("="), "email"), F.lit("-"))
+    counted = groups.select(keyed.alias("_group"), "occurrences")
+    return match(parts.withColumn("_group", keyed), counted, "_group", "inner").select(
+        "email", "occurrences", "part", "first", "offset", F.col("text").alias("customer_ids")
+    )
+
+
 # Ids, names, tables, categories and descriptions as they appear in the report.
 CHECKS = [
     Check(
