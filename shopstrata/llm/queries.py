@@ -13,7 +13,7 @@ from shopstrata.llm.prefix_trie import conversation_trie
 from shopstrata.llm.quality_qda import quality_scores
 from shopstrata.llm.reshard import shard_documents
 from shopstrata.llm.simhash import simhash_components
-from shopstrata.llm.spotsigs import edited_and_next, near_duplicates
+from shopstrata.llm.spotsigs import duplicate_classes, edited_and_next, near_duplicates
 from shopstrata.llm.sql import SQL
 from shopstrata.llm.suffix_dedup import repeated_bytes
 from shopstrata.llm.token_records import recorded_documents
@@ -82,6 +82,11 @@ def spotsigs_classes(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def spotsigs_members(spark, sf_dir):
+    """The classes alone, for which not every pair of a class is compared."""
+    return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +102,7 @@ QUERIES = {
     "op12_merkle": op12_merkle,
     "op13_prefix_trie": op13_prefix_trie,
     "spotsigs_classes": spotsigs_classes,
+    "spotsigs_members": spotsigs_members,
 }
 
 QUERIES = {name: with_code(query) for name, query in QUERIES.items()}

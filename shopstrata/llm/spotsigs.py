@@ -115,18 +115,13 @@ def with_signatures(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, fingerprint string, signatures array<long>")
 
 
-def near_duplicates(
-    docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN, max_homes: int = MAX_HOMES
-) -> DataFrame:
-    """(doc_id, fingerprint, class_id, links) per row: classes of texts linked by Jaccard >= threshold.
+def _indexed(docs: DataFrame, threshold: float, chain: int, max_homes: int):
+    """Rows with fingerprints, distinct fingerprints with their first id, their sets, and homes and probes of the sets.
 
-    ``class_id`` is the smallest doc_id of the class (null where it has none), ``links`` the number of
-    other distinct fingerprints that the row's own is linked to. Equal fingerprints collapse first. Each
-    set is indexed under its rarest signatures, as many as a pair above the threshold cannot all miss,
-    within its class of lengths; probes go to that class and the next lower one. A signature that indexes
-    more than ``max_homes`` sets of a class is split: these are dealt to chunks by hash, and its probes go to
-    every chunk. Empty texts are one class.
-    An empty table gives an empty result; extra columns are ignored and repeated rows are kept.
+    Equal fingerprints collapse first. Each set is indexed under its rarest signatures, as many as a pair above the
+    threshold cannot all miss, within its class of lengths; probes go to that class and the next lower one. A signature
+    that indexes more than ``max_homes`` sets of a class is split: these are dealt to chunks by hash, and its probes
+    go to every chunk.
     """
     rows = stored(with_signatures(docs, chain))
     prints = stored(rows.select("doc_id", "fingerprint").groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
@@ -136,16 +131,16 @@ def near_duplicates(
     )
     each = one.select("id", "n", F.explode("signatures").alias("s"))
     count = stored(each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    # Signatures of one text only cannot make a pair, but they do count among the rarest.
+    # Signatures of one text only cannot make a pair, but they are the rarest, so that they shorten the prefix.
     ranked = (
-        each.join(count, "s", "left").groupBy("id", "n")
-        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("all"))
+        each.join(count, "s").groupBy("id", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all"))
+        .withColumn("most", F.expr(f"size(all) - cast(ceil({threshold} * n - 1e-9) as int) + 1"))
     )
-    prefix = stored(ranked.select(
-        "id", "n",
-        F.explode(F.slice("all", F.lit(1), F.expr(f"n - cast(ceil({threshold} * n - 1e-9) as int) + 1"))).alias("p"),
+    prefix = stored(ranked.where("most > 0").select(
+        "id", "n", F.explode(F.slice("all", F.lit(1), F.col("most"))).alias("p"),
         F.floor(F.log("n") / -log(threshold) + 1e-9).cast("int").alias("part"),
-    ).where("p.df > 1").select("id", "n", "p.s", "part"))
+    ).select("id", "n", "p.s", "part"))
     probes = prefix.withColumn("part", F.explode(F.array("part", F.col("part") - 1)))
     full = stored(
         prefix.groupBy("s", "part").count().where(F.col("count") > max_homes)
@@ -161,19 +156,39 @@ def near_duplicates(
         probes = probes.join(full, ["s", "part"], "left").withColumn(
             "chunk", F.explode(F.sequence(F.lit(0), chunks - 1))
         )
-    a, b = homes.alias("a"), probes.alias("b")
-    pairs = stored(
-        a.join(b, F.expr(f"""a.s = b.s AND a.part = b.part AND a.chunk = b.chunk
-                             AND (a.n < b.n OR (a.n = b.n AND a.id < b.id))
-                             AND a.n >= {threshold} * b.n - 1e-9"""))
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    )
-    sets = one.select("id", "signatures")
-    links = stored(
+    return rows, prints, one.select("id", "signatures"), homes, probes
+
+
+# The smaller set is at home where the larger one probes, and their lengths allow the likeness.
+_MEET = """a.s = b.s AND a.part = b.part AND a.chunk = b.chunk
+           AND (a.n < b.n OR (a.n = b.n AND a.id < b.id)) AND a.n >= {threshold} * b.n - 1e-9"""
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets have a Jaccard of at least ``threshold``."""
+    return stored(
         pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         .withColumn("common", F.size(F.array_intersect("x", "y")))
         .where(F.expr(f"common >= {threshold} * (size(x) + size(y) - common) - 1e-9")).select("a", "b")
     )
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN, max_homes: int = MAX_HOMES
+) -> DataFrame:
+    """(doc_id, fingerprint, class_id, links) per row: classes of texts linked by Jaccard >= threshold.
+
+    ``class_id`` is the smallest doc_id of the class (null where it has none), ``links`` the number of
+    other distinct fingerprints that the row's own is linked to, for which every pair is compared;
+    :func:`duplicate_classes` gives the classes without. Empty texts are one class.
+    An empty table gives an empty result; extra columns are ignored and repeated rows are kept.
+    """
+    rows, prints, sets, homes, probes = _indexed(docs, threshold, chain, max_homes)
+    pairs = stored(
+        homes.alias("a").join(probes.alias("b"), F.expr(_MEET.format(threshold=threshold)))
+        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    )
+    links = _alike(pairs, sets, threshold)
     roots = components(links)
     degree = links.select("a").unionAll(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).count()
     placed = stored(
@@ -188,6 +203,55 @@ def near_duplicates(
     )
 
 
+def duplicate_classes(
+    docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN, max_homes: int = MAX_HOMES
+) -> DataFrame:
+    """(doc_id, fingerprint, class_id) per row: the classes of :func:`near_duplicates`, without all pairs of a class.
+
+    First every set is compared with the shortest one under each of its signatures and lengths only, which
+    joins a group of near copies by as many pairs as it has members. Then whatever meets under a signature and is
+    not in one class yet is compared, pair by pair, so that no link between classes is lost. What is still quadratic
+    is a comparison that must be made: many texts that share rare signatures and are not alike.
+    Nulls, empty texts, repeats and empty tables are as there.
+    """
+    rows, prints, sets, homes, probes = _indexed(docs, threshold, chain, max_homes)
+    place = ["s", "part", "chunk"]
+    # A signature that many sets share has one row here, met by a join that Spark may split.
+    stars = stored(homes.groupBy(*place).agg(F.min(F.struct("n", "id")).alias("star")))
+    stars = stars.select(*place, F.col("star.n").alias("n"), F.col("star.id").alias("id"))
+    first = stored(
+        stars.alias("a").join(probes.alias("b"), F.expr(_MEET.format(threshold=threshold)))
+        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    )
+    near = _alike(first, sets, threshold)
+    roots = components(near).toDF("id", "root")
+
+    def labelled(side: DataFrame) -> DataFrame:
+        return side.join(roots, "id", "left").select(*place, "n", "id", F.coalesce("root", "id").alias("root"))
+
+    homes, probes = stored(labelled(homes)), stored(labelled(probes))
+    # Where all that meet are in one class there is nothing left to compare.
+    mixed = stored(
+        probes.groupBy(*place).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high").select(*place)
+    )
+    a, b = (side.join(mixed, place, "left_semi").alias(name) for side, name in ((homes, "a"), (probes, "b")))
+    rest = stored(
+        a.join(b, F.expr(_MEET.format(threshold=threshold) + " AND a.root <> b.root"))
+        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+        .join(first, ["a", "b"], "left_anti")
+    )
+    links = near.unionAll(_alike(rest, sets, threshold))
+    roots = components(links).toDF("id", "root")
+    placed = stored(
+        prints.withColumn("id", F.xxhash64("fingerprint")).join(roots, "id", "left")
+        .select("fingerprint", "first", F.coalesce("root", "id").alias("root"))
+    )
+    least = stored(placed.groupBy("root").agg(F.min("first").alias("class_id")))
+    classes = stored(placed.join(least, "root").select("fingerprint", "class_id"))
+    return rows.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "fingerprint", "class_id")
+
+
 def edited_and_next(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     """Each text against an edited form of itself and against the next document's text.
 

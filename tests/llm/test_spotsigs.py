@@ -137,3 +137,47 @@ def test_hot_signatures_in_chunks(spark):
     docs = spark.createDataFrame([(*r, 1, False) for r in corpus()], SCHEMA)
     whole = sorted(map(str, spotsigs.near_duplicates(docs).collect()))
     assert sorted(map(str, spotsigs.near_duplicates(docs, max_homes=2).collect())) == whole
+
+
+def chained():
+    """Near copies in rows where only neighbours are alike, and two groups that meet but are not."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(500)}" if i % 3 else "the" for i in range(400)]
+    rows = []
+    for i in range(25):
+        text = list(base)
+        for j in range(0, 10 * i, 2):
+            text[j] = f"y{j}"
+        rows.append((2000 + i, " ".join(text)))
+    for i in range(40):
+        text = [*base[:200], *(f"v{j}" if j % 3 else "of" for j in range(200))]
+        text[rng.randrange(400)] = f"u{i}"
+        rows.append((3000 + i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("max_homes", [spotsigs.MAX_HOMES, 3])
+def test_classes_without_all_pairs(spark, max_homes):
+    rows = [*corpus(), *chained(), (900, corpus()[80][1]), (None, "no id the aa bb"), (None, None)]
+    docs = spark.createDataFrame([(*r, 1, False) for r in rows], SCHEMA).repartition(3)
+    found = spotsigs.duplicate_classes(docs, max_homes=max_homes)
+    assert found.columns == ["doc_id", "fingerprint", "class_id"]
+    whole = spotsigs.near_duplicates(docs).drop("links")
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert spotsigs.duplicate_classes(docs.limit(0)).collect() == []
+
+
+def test_copies_are_not_compared_in_pairs(spark, monkeypatch):
+    rng = random.Random(4)
+    base = words(rng, 600).split()
+    rows = []
+    for i in range(300):
+        text = list(base)
+        text[rng.randrange(600)] = f"z{i}"
+        rows.append((i, " ".join(text), 1, False))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    compared = []
+    alike = spotsigs._alike
+    monkeypatch.setattr(spotsigs, "_alike", lambda pairs, *a: compared.append(pairs.count()) or alike(pairs, *a))
+    assert {r["class_id"] for r in spotsigs.duplicate_classes(docs).collect()} == {0}
+    assert sum(compared) < 20 * 300 < 300 * 299 / 2
