@@ -27,6 +27,8 @@ from shopstrata.llm.ordering import block_bounds, with_block
 CHAIN = 2
 # Sets of one class of lengths that are compared under one signature in one task.
 MAX_HOMES = 4096
+# Rounds in which one set per signature is compared with the others, before all that is left.
+ROUNDS = 5
 WORDS = re.compile(r"\w+")
 # Anchors: common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -121,7 +123,8 @@ def _indexed(docs: DataFrame, threshold: float, chain: int, max_homes: int):
     Equal fingerprints collapse first. Each set is indexed under its rarest signatures, as many as a pair above the
     threshold cannot all miss, within its class of lengths; probes go to that class and the next lower one. A signature
     that indexes more than ``max_homes`` sets of a class is split: these are dealt to chunks by hash, and its probes
-    go to every chunk.
+    go to every chunk. ``left`` is how many signatures of the set are as frequent or more so: no pair has more in
+    common than that, from its first common signature on.
     """
     rows = stored(with_signatures(docs, chain))
     prints = stored(rows.select("doc_id", "fingerprint").groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
@@ -138,9 +141,9 @@ def _indexed(docs: DataFrame, threshold: float, chain: int, max_homes: int):
         .withColumn("most", F.expr(f"size(all) - cast(ceil({threshold} * n - 1e-9) as int) + 1"))
     )
     prefix = stored(ranked.where("most > 0").select(
-        "id", "n", F.explode(F.slice("all", F.lit(1), F.col("most"))).alias("p"),
-        F.floor(F.log("n") / -log(threshold) + 1e-9).cast("int").alias("part"),
-    ).select("id", "n", "p.s", "part"))
+        "id", "n", F.posexplode(F.slice("all", F.lit(1), F.col("most"))).alias("at", "p"),
+        F.floor(F.log("n") / -log(threshold) + 1e-9).cast("int").alias("part"), F.size("all").alias("shared"),
+    ).select("id", "n", "p.s", "part", (F.col("shared") - F.col("at")).alias("left")))
     probes = prefix.withColumn("part", F.explode(F.array("part", F.col("part") - 1)))
     full = stored(
         prefix.groupBy("s", "part").count().where(F.col("count") > max_homes)
@@ -159,9 +162,10 @@ def _indexed(docs: DataFrame, threshold: float, chain: int, max_homes: int):
     return rows, prints, one.select("id", "signatures"), homes, probes
 
 
-# The smaller set is at home where the larger one probes, and their lengths allow the likeness.
+# The smaller set is at home where the larger one probes; lengths, and what is left of the sets, allow the likeness.
 _MEET = """a.s = b.s AND a.part = b.part AND a.chunk = b.chunk
-           AND (a.n < b.n OR (a.n = b.n AND a.id < b.id)) AND a.n >= {threshold} * b.n - 1e-9"""
+           AND (a.n < b.n OR (a.n = b.n AND a.id < b.id)) AND a.n >= {threshold} * b.n - 1e-9
+           AND least(a.left, b.left) * (1 + {threshold}) >= {threshold} * (a.n + b.n) - 1e-9"""
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -208,40 +212,59 @@ def duplicate_classes(
 ) -> DataFrame:
     """(doc_id, fingerprint, class_id) per row: the classes of :func:`near_duplicates`, without all pairs of a class.
 
-    First every set is compared with the shortest one under each of its signatures and lengths only, which
-    joins a group of near copies by as many pairs as it has members. Then whatever meets under a signature and is
-    not in one class yet is compared, pair by pair, so that no link between classes is lost. What is still quadratic
+    In each of ROUNDS rounds, one set under each signature and class of lengths, by hash another one each time, is
+    compared with those that meet it there and are not in its class yet, which joins a group of near copies by a
+    few pairs per member. Then whatever meets and is still not in one class is compared, pair by pair,
+    so that no link between classes is lost and the rounds change no result. What is still quadratic
     is a comparison that must be made: many texts that share rare signatures and are not alike.
     Nulls, empty texts, repeats and empty tables are as there.
     """
     rows, prints, sets, homes, probes = _indexed(docs, threshold, chain, max_homes)
     place = ["s", "part", "chunk"]
-    # A signature that many sets share has one row here, met by a join that Spark may split.
-    stars = stored(homes.groupBy(*place).agg(F.min(F.struct("n", "id")).alias("star")))
-    stars = stars.select(*place, F.col("star.n").alias("n"), F.col("star.id").alias("id"))
-    first = stored(
-        stars.alias("a").join(probes.alias("b"), F.expr(_MEET.format(threshold=threshold)))
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    )
-    near = _alike(first, sets, threshold)
-    roots = components(near).toDF("id", "root")
-
-    def labelled(side: DataFrame) -> DataFrame:
-        return side.join(roots, "id", "left").select(*place, "n", "id", F.coalesce("root", "id").alias("root"))
-
-    homes, probes = stored(labelled(homes)), stored(labelled(probes))
-    # Where all that meet are in one class there is nothing left to compare.
-    mixed = stored(
-        probes.groupBy(*place).agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select(*place)
-    )
-    a, b = (side.join(mixed, place, "left_semi").alias(name) for side, name in ((homes, "a"), (probes, "b")))
-    rest = stored(
-        a.join(b, F.expr(_MEET.format(threshold=threshold) + " AND a.root <> b.root"))
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    links = near.unionAll(_alike(rest, sets, threshold))
+    links = known = roots = None
+
+    def open_places() -> tuple[DataFrame, DataFrame]:
+        """Homes and probes with their classes, where sets of several classes meet."""
+        if roots is None:
+            return homes.withColumn("root", F.col("id")), probes.withColumn("root", F.col("id"))
+        own, other = (
+            stored(side.join(roots, "id", "left").select(*place, "n", "left", "id", F.coalesce("root", "id").alias("root")))
+            for side in (homes, probes)
+        )
+        mixed = stored(
+            other.groupBy(*place).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low < high").select(*place)
+        )
+        return own.join(mixed, place, "left_semi"), other.join(mixed, place, "left_semi")
+
+    def compare(found: DataFrame) -> DataFrame:
+        """Adds the links among the pairs of ``found`` that were not compared before; returns these links."""
+        nonlocal links, known, roots
+        pairs = stored(found.distinct() if known is None else found.distinct().join(known, ["a", "b"], "left_anti"))
+        near = _alike(pairs, sets, threshold)
+        known = pairs if known is None else known.unionAll(pairs)
+        links = near if links is None else links.unionAll(near)
+        return near
+
+    for number in range(ROUNDS):
+        own, other = open_places()
+        # One row per place, stored, so that Spark may split the other side of the join.
+        stars = stored(
+            own.groupBy(*place).agg(F.min(F.struct(F.xxhash64("id", F.lit(number)), "n", "left", "id", "root")).alias("star"))
+            .select(*place, "star.n", "star.left", "star.id", "star.root")
+        )
+        met = stars.alias("a").join(other.alias("b"), F.expr(f"""
+            a.s = b.s AND a.part = b.part AND a.chunk = b.chunk AND a.root <> b.root
+            AND least(a.n, b.n) >= {threshold} * greatest(a.n, b.n) - 1e-9
+            AND least(a.left, b.left) * (1 + {threshold}) >= {threshold} * (a.n + b.n) - 1e-9"""))
+        swap = "a.n > b.n OR (a.n = b.n AND a.id > b.id)"
+        near = compare(met.selectExpr(f"if({swap}, b.id, a.id) AS a", f"if({swap}, a.id, b.id) AS b"))
+        if near.isEmpty():
+            break
+        roots = components(links).toDF("id", "root")
+    own, other = open_places()
+    met = own.alias("a").join(other.alias("b"), F.expr(_MEET.format(threshold=threshold) + " AND a.root <> b.root"))
+    compare(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
     roots = components(links).toDF("id", "root")
     placed = stored(
         prints.withColumn("id", F.xxhash64("fingerprint")).join(roots, "id", "left")
