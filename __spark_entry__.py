@@ -20,7 +20,7 @@ from shopstrata.plans import metrics, quality, serving, singles  # noqa: E402
 from shopstrata.plans.backfill import backfill_order_totals  # noqa: E402
 from shopstrata.plans.marts import MARTS, in_report_order  # noqa: E402
 from shopstrata.plans.pipeline import QUALITY_LOG, Run, export_marts, mart_totals, run_pipeline  # noqa: E402
-from shopstrata.plans.silver import CLEANERS, silver_order_items_rejects  # noqa: E402
+from shopstrata.plans.silver import CLEANERS, STORED_CLEANERS, silver_order_items_rejects  # noqa: E402
 from shopstrata.sources.layers import LayerStore, shared_folder  # noqa: E402
 from shopstrata.sources.raw_csv import read_csv, rejected_rows, scan_csv, write_csv  # noqa: E402
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES  # noqa: E402
@@ -229,6 +229,8 @@ def queries() -> dict[str, Query]:
         found["bronze_scan" if table == "customers" else f"bronze_scan_{table}"] = _bronze_scan(
             table
         )
+    for table in ("customers", "orders"):
+        found[f"silver_{table}_stored"] = _on_raw(lambda r, table=table: STORED_CLEANERS[table](r[table]))
     found["silver_order_items_rejects"] = _on_raw(
         lambda r: silver_order_items_rejects(r["order_items"])
     )

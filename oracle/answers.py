@@ -419,6 +419,8 @@ def answers() -> dict[str, str]:
         sql[f"silver_{table}"] = ask(
             f"SELECT {SILVER_COLUMNS.get(table, '*')} FROM silver_{table}"
         )
+    for table in ("customers", "orders"):
+        sql[f"silver_{table}_stored"] = sql[f"silver_{table}"]
     sql["silver_order_items_rejects"] = ask(
         """SELECT item_id, order_id, product_id, quantity::DOUBLE AS quantity,
                   unit_price::DOUBLE AS unit_price, line_total::DOUBLE AS line_total

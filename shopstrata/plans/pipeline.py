@@ -16,7 +16,7 @@ from shopstrata.functions.parse import instant
 from shopstrata.plans.marts import MARTS, in_report_order
 from shopstrata.plans.metrics import observed_input, write_metrics
 from shopstrata.plans.quality import run_quality_checks
-from shopstrata.plans.silver import CLEANERS
+from shopstrata.plans.silver import CLEANERS, STORED_CLEANERS
 from shopstrata.sources.layers import CURRENT, LEDGER_SCHEMA, LayerStore, entry
 from shopstrata.sources.raw_csv import read_if_present, stamped, write_csv
 from shopstrata.sources.schemas import TABLES
@@ -85,7 +85,7 @@ class Run:
         """The cleaned table, and what its write is to count."""
         stamp = F.expr(instant(datetime.now()))
         source, before = observed_input(table, bronze())
-        return CLEANERS[table](source).withColumn("_silver_timestamp", stamp), write_metrics(table), before
+        return STORED_CLEANERS[table](source).withColumn("_silver_timestamp", stamp), write_metrics(table), before
 
     def bronze(self) -> None:
         """Load the raw files as they are, with ingest metadata."""

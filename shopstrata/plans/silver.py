@@ -8,12 +8,14 @@ items without an order or a product are dropped; duplicate orders are flagged, n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from shopstrata.functions.parse import amount, day, flag, money, number, whole
 from shopstrata.functions.text import cell, label, present, strip
 from shopstrata.operators.keyed import flag_repeated
+from shopstrata.operators.repeats import flag_stored
 from shopstrata.sources.schemas import RAW_COLUMNS
 
 
@@ -23,14 +25,14 @@ def _project(df: DataFrame, table: str, rules: dict[str, str]) -> DataFrame:
     return df.selectExpr(*kept, *[c for c in df.columns if c.startswith("_")])
 
 
-def silver_customers(df: DataFrame) -> DataFrame:
-    """Strip text, normalise the email, default the segment, and flag shared emails."""
+def silver_customers(df: DataFrame, flagged: Callable[..., DataFrame] = flag_repeated) -> DataFrame:
+    """Strip text, normalise the email, default the segment, and flag shared emails by ``flagged``."""
     text = ["first_name", "last_name", "city", "state", "zip_code"]
     rules = {c: strip(cell(c)) for c in text}
     rules["email"] = label("email")
     rules["segment"] = f"coalesce({strip(cell('segment'))}, 'Unknown')"
     rules["created_at"] = day("created_at")
-    return flag_repeated(_project(df, "customers", rules), "email", "_is_duplicate_email")
+    return flagged(_project(df, "customers", rules), "email", "_is_duplicate_email")
 
 
 def silver_products(df: DataFrame) -> DataFrame:
@@ -49,8 +51,8 @@ def silver_products(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_orders(df: DataFrame) -> DataFrame:
-    """Parse date and amounts, normalise labels, and flag missing customers and repeated ids."""
+def silver_orders(df: DataFrame, flagged: Callable[..., DataFrame] = flag_repeated) -> DataFrame:
+    """Parse date and amounts, normalise labels, and flag missing customers and, by ``flagged``, repeated ids."""
     cleaned = _project(
         df,
         "orders",
@@ -63,7 +65,7 @@ def silver_orders(df: DataFrame) -> DataFrame:
             "payment_method": label("payment_method"),
         },
     ).selectExpr("*", "customer_id IS NULL AS _missing_customer_id")
-    return flag_repeated(cleaned, "order_id", "_is_duplicate_order")
+    return flagged(cleaned, "order_id", "_is_duplicate_order")
 
 
 # Tested on the raw cells, so that the filter runs below the projection without repeating it.
@@ -131,3 +133,9 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "returns": silver_returns,
     "shipping_events": silver_shipping_events,
 }
+
+# The same tables from stored Bronze for a write, which needs the flags of every row.
+STORED_CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = CLEANERS | {
+    "customers": partial(silver_customers, flagged=flag_stored),
+    "orders": partial(silver_orders, flagged=flag_stored),
+}
