@@ -3,7 +3,7 @@
 ``keyed.flag_repeated`` shuffles every row to find a few repeats. That is right for a plan whose reader may not
 want the flag, as its join then vanishes; a write wants it always. Here
 
-1. hashes of the keys are counted; 8 bytes a key are shuffled, and copies collapse before that;
+1. hashes of the keys are counted; some 10 bytes a key are shuffled, and copies collapse before that;
 2. the hashes that occur twice set bits of a filter, 64 bits to a row, merged by ``bit_or`` over the tasks;
 3. rows that miss the filter are not repeated and stay where they are. Rows that hit it, by a repeat or by
    chance, hold all rows of each of their keys, and ``keyed.flag_repeated`` decides them exactly.
@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 
 from shopstrata.operators.keyed import flag_repeated
 
+# Of ten billion keys, one in a hundred shares its hash and is shuffled for nothing; fewer bits make smaller rows.
+HASH_BITS = 40
 FILTER_BITS = 2**25
 
 
 def _hashed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` with 63 bits of hash of its key; -1 is that of missing keys and of no other."""
-    return df.withColumn(
-        "_key_hash", F.expr(f"if({key} IS NULL, -1L, shiftrightunsigned(xxhash64(cast({key} AS string)), 1))")
-    )
+    """``df`` with HASH_BITS of hash of its key; -1 is that of missing keys and of no other."""
+    hashed = f"shiftrightunsigned(xxhash64(cast({key} AS string)), {64 - HASH_BITS})"
+    return df.withColumn("_key_hash", F.expr(f"if({key} IS NULL, -1L, {hashed})"))
 
 
 def _placed(df: DataFrame, bits: int) -> DataFrame:
