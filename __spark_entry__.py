@@ -39,6 +39,8 @@ INGEST_TIME = datetime(2024, 1, 1)
 RUN_TIME = datetime(2024, 1, 2)
 # The test data's customers spend far more than the default thresholds.
 TIERS = {"high_value": 1_050_000, "mid_value": 800_000}
+# A gzipped file is read by one task.
+RAW_FILE_ROWS = 1_000_000
 MART_OPTIONS = {"gold_customer_lifetime_value": TIERS}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,10 +87,22 @@ def _on_gold(plan: Callable[[TableSet], DataFrame]) -> Query:
 
 def _raw_files(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
     """The raw tables written as CSV, side by side, into a new shared folder."""
-    folder, raw = shared_folder(spark), raw_tables(spark, sf_dir)
-    plans = {table: raw[table] for table in tables}
-    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-        list(pool.map(lambda t: write_csv(plans[t], f"{folder}/{t}.csv"), plans))
+    folder = shared_folder(spark)
+    stored = {t: partial(scan_csv, spark, t, f"{folder}/{t}.csv") for t in tables}
+    raw = raw_tables(spark, sf_dir, items=stored.get("order_items"))
+
+    def write(table: str) -> None:
+        write_csv(raw[table], f"{folder}/{table}.csv", "gzip", RAW_FILE_ROWS)
+
+    # The orders get their totals from the items that are written first.
+    later = [t for t in tables if t == "orders" and "order_items" in stored]
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        written = {t: pool.submit(write, t) for t in tables if t not in later}
+        for table in later:
+            written["order_items"].result()
+            write(table)
+        for done in written.values():
+            done.result()
     return folder
 
 

@@ -51,3 +51,26 @@ def average_money(total: str, rows: str) -> str:
 def percent(part: str, of: str) -> str:
     """``100 * part / of`` to one digit."""
     return ratio_half_up(f"({part}) * 100", of, 1)
+
+
+# Bits of the lower half of a number that is summed as two.
+_LOW = 28
+
+
+def halves(value: str, name: str, digits: int) -> list[str]:
+    """Aggregates that sum a DECIMAL(18, ``digits``) exactly as two integers, which :func:`whole_sum` joins.
+
+    A sum of decimals travels in 32 bytes, most of them empty. Two integers take half of that; like any sum they
+    are an error, not a wrong value, where they overflow: after billions of the largest rows.
+    """
+    units = f"CAST(({value}) * {10 ** digits}BD AS BIGINT)"
+    return [
+        f"sum(shiftright({units}, {_LOW})) AS {name}_high",
+        f"sum({units} & {2 ** _LOW - 1}L) AS {name}_low",
+    ]
+
+
+def whole_sum(name: str, digits: int) -> str:
+    """The sum of :func:`halves` as DECIMAL(28, ``digits``), as ``sum`` gives it."""
+    units = f"(CAST({name}_high AS DECIMAL(20,0)) * {2 ** _LOW}BD + CAST({name}_low AS DECIMAL(20,0)))"
+    return f"CAST({units} * {10 ** -digits:.{digits}f}BD AS DECIMAL(28,{digits})) AS {name}"

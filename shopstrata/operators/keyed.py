@@ -22,12 +22,11 @@ def match(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     ``right`` holds at most one row per key (for semi and anti joins its copies do not matter, but
     callers pass distinct keys so that a hot key on that side has collapsed already).
     """
-    hashed = F.hash(key)
-    return (
-        left.withColumn("_spread", hashed)
-        .join(right.withColumn("_spread", hashed), [key, "_spread"], how)
-        .drop("_spread")
-    )
+    # The hash is a join key of its own without being a column, so it is not shuffled with the rows.
+    other = right.withColumnRenamed(key, "_match_key")
+    same = (F.col(key) == F.col("_match_key")) & (F.hash(key) == F.hash("_match_key"))
+    joined = left.join(other, same, how).drop("_match_key")
+    return joined.select(key, *[c for c in joined.columns if c != key])
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

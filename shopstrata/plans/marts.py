@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from shopstrata.functions.rounding import average_money, cents, percent, ratio_half_up
+from shopstrata.functions.rounding import average_money, cents, halves, percent, ratio_half_up, whole_sum
 from shopstrata.operators.keyed import match
 
 Tables = Mapping[str, DataFrame]
@@ -51,31 +51,104 @@ def _once_per_key(orders: DataFrame, dedupe: bool) -> DataFrame:
     return one.unionByName(orders.where("order_id IS NULL"))
 
 
-def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFrame:
-    """Units, revenue and margin per product category over earning orders.
+def returns_per_order(returns: DataFrame) -> DataFrame:
+    """One row per order id: number of returns, refunds, and whether one was approved."""
+    return _agg(
+        returns.where("order_id IS NOT NULL").groupBy("order_id"),
+        "count(1) AS return_rows",
+        "count(return_id) AS returns",
+        "sum(refund_amount) AS refunded",
+        "bool_or(status <=> 'approved') AS approved",
+    )
 
-    A repeated order counts as often as it occurs, unless ``dedupe_orders`` is set. Items are
-    reduced to one row per product and order multiplicity before products are joined.
+
+_COSTED = "quantity IS NOT NULL AND line_total IS NOT NULL"
+# What the marts of revenue and of returns sum over the items of a product: decimals with their digits, and others.
+_ITEM_SUMS = {
+    "units": ("quantity", 4),
+    "revenue": ("line_total", 2),
+    "prices": ("unit_price", 2),
+    "costed_units": (f"CASE WHEN {_COSTED} THEN quantity END", 4),
+    "costed_revenue": (f"CASE WHEN {_COSTED} THEN line_total END", 2),
+}
+_PRICED_ROWS = "count(unit_price) AS priced_rows"
+_RETURN_SUMS = [
+    "count_if(has_id) AS sold",
+    "sum(CASE WHEN has_id THEN return_rows END) AS returned",
+    "sum(refunded) AS refunded",
+]
+
+# The sums of both, for marts that are built together: a table that they read where there is one.
+ITEM_SALES = "item_sales"
+# The columns of orders that marts read.
+ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "order_total", "status", "channel"]
+
+
+def item_sales(tables: Tables) -> DataFrame:
+    """One row per product and multiplicity of its items' earning order (0: none), with sums for two marts.
+
+    The items meet their orders and returns once; what these say of an order is one row before that.
     """
-    weights = _agg(
-        earning_orders(_once_per_key(tables["orders"], dedupe_orders))
-        .where("order_id IS NOT NULL")
+    earning = earning_orders(tables["orders"]).where("order_id IS NOT NULL")
+    returns = tables["returns"].where("order_id IS NOT NULL")
+    refund = dict(returns.dtypes).get("refund_amount", "decimal(18,2)")
+    facts = _agg(
+        earning.selectExpr(
+            "order_id", "true AS earning", f"CAST(NULL AS {refund}) AS refund_amount", "CAST(NULL AS BOOLEAN) AS approved"
+        )
+        .unionAll(returns.selectExpr("order_id", "false AS earning", "refund_amount", "status <=> 'approved' AS approved"))
         .groupBy("order_id"),
-        "count(1) AS weight",
+        "count_if(earning) AS weight",
+        "count_if(NOT earning) AS return_rows",
+        "sum(refund_amount) AS refunded",
+        "coalesce(bool_or(approved), false) AS approved",
+    ).selectExpr(
+        "order_id", "weight", "if(approved, return_rows, NULL) AS return_rows", "if(approved, refunded, NULL) AS refunded"
     )
-    items = tables["order_items"].select(
-        "order_id", "product_id", "quantity", "unit_price", "line_total"
+    # Only whether an item has an id matters, so the id itself stays out of the shuffle.
+    items = tables["order_items"].selectExpr(
+        "order_id", "product_id", "quantity", "unit_price", "line_total", "item_id IS NOT NULL AS has_id"
     )
-    costed = "quantity IS NOT NULL AND line_total IS NOT NULL"
-    per_product = _agg(
-        match(items, weights, "order_id", "inner").groupBy("product_id", "weight"),
-        "sum(quantity) AS units",
-        "sum(line_total) AS revenue",
-        "sum(unit_price) AS prices",
-        "count(unit_price) AS priced_rows",
-        f"sum(CASE WHEN {costed} THEN quantity END) AS costed_units",
-        f"sum(CASE WHEN {costed} THEN line_total END) AS costed_revenue",
+    met = match(items, facts, "order_id", "left").withColumn("weight", F.expr("coalesce(weight, 0L)"))
+    # Nearly all items are costed, so what is summed and shuffled of them is the rest.
+    sums = {name: value for name, value in _ITEM_SUMS.items() if not name.startswith("costed_")}
+    sums["uncosted_units"] = ("CASE WHEN line_total IS NULL THEN quantity END", 4)
+    sums["uncosted_revenue"] = ("CASE WHEN quantity IS NULL THEN line_total END", 2)
+    summed = [half for name, (value, digits) in sums.items() for half in halves(value, name, digits)]
+    costed_rows = f"count_if({_COSTED}) AS costed_rows"
+    sales = _agg(met.groupBy("product_id", "weight"), *summed, _PRICED_ROWS, costed_rows, *_RETURN_SUMS)
+    joined = sales.selectExpr("*", *[whole_sum(name, digits) for name, (_, digits) in sums.items()])
+    costed = "CAST(CASE WHEN costed_rows > 0 THEN {0} - coalesce(uncosted_{0}, 0) END AS DECIMAL(28,{1})) AS costed_{0}"
+    return joined.selectExpr(
+        "product_id", "weight", "units", "revenue", "prices", "priced_rows",
+        costed.format("units", 4), costed.format("revenue", 2), "sold", "returned", "refunded",
     )
+
+
+def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFrame:
+    """Units, revenue and margin per product category over earning orders.
+
+    A repeated order counts as often as it occurs, unless ``dedupe_orders`` is set. Items are
+    reduced to one row per product and order multiplicity before products are joined.
+    """
+    sales = None if dedupe_orders else tables.get(ITEM_SALES)
+    if sales is not None:
+        per_product = sales.where("weight > 0")
+    else:
+        weights = _agg(
+            earning_orders(_once_per_key(tables["orders"], dedupe_orders))
+            .where("order_id IS NOT NULL")
+            .groupBy("order_id"),
+            "count(1) AS weight",
+        )
+        items = tables["order_items"].select(
+            "order_id", "product_id", "quantity", "unit_price", "line_total"
+        )
+        per_product = _agg(
+            match(items, weights, "order_id", "inner").groupBy("product_id", "weight"),
+            *[f"sum({value}) AS {name}" for name, (value, _) in _ITEM_SUMS.items()],
+            _PRICED_ROWS,
+        )
     catalogue = _agg(
         tables["products"]
         .where("product_id IS NOT NULL")
@@ -153,17 +226,6 @@ def monthly_order_summary(tables: Tables, dedupe_orders: bool = False) -> DataFr
     )
 
 
-def returns_per_order(returns: DataFrame) -> DataFrame:
-    """One row per order id: number of returns, refunds, and whether one was approved."""
-    return _agg(
-        returns.where("order_id IS NOT NULL").groupBy("order_id"),
-        "count(1) AS return_rows",
-        "count(return_id) AS returns",
-        "sum(refund_amount) AS refunded",
-        "bool_or(status <=> 'approved') AS approved",
-    )
-
-
 def return_rate_by_product(tables: Tables) -> DataFrame:
     """Sales, returns and refunds per product that was ever sold.
 
@@ -171,19 +233,28 @@ def return_rate_by_product(tables: Tables) -> DataFrame:
     any status, are counted, and their refunds are charged in full to each item of the order.
     One pass over the items serves both the sales and the returns.
     """
-    returned = returns_per_order(tables["returns"]).where("approved").drop("approved")
-    # Only whether an item has an id matters, so the id itself stays out of the shuffle.
-    items = tables["order_items"].selectExpr(
-        "order_id", "product_id", "quantity", "line_total", "item_id IS NOT NULL AS has_id"
-    )
-    per_product = _agg(
-        match(items, returned, "order_id", "left").groupBy("product_id"),
-        "count_if(has_id) AS sold",
-        "sum(quantity) AS units",
-        "sum(line_total) AS revenue",
-        "sum(CASE WHEN has_id THEN return_rows END) AS returned",
-        "sum(refunded) AS refunded",
-    )
+    sales = tables.get(ITEM_SALES)
+    if sales is not None:
+        per_product = _agg(
+            sales.groupBy("product_id"),
+            "sum(sold) AS sold",
+            "CAST(sum(units) AS DECIMAL(28,4)) AS units",
+            "CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue",
+            "sum(returned) AS returned",
+            "CAST(sum(refunded) AS DECIMAL(38,2)) AS refunded",
+        )
+    else:
+        returned = returns_per_order(tables["returns"]).where("approved").drop("approved")
+        # Only whether an item has an id matters, so the id itself stays out of the shuffle.
+        items = tables["order_items"].selectExpr(
+            "order_id", "product_id", "quantity", "line_total", "item_id IS NOT NULL AS has_id"
+        )
+        per_product = _agg(
+            match(items, returned, "order_id", "left").groupBy("product_id"),
+            "sum(quantity) AS units",
+            "sum(line_total) AS revenue",
+            *_RETURN_SUMS,
+        )
     listed = tables["products"].where("product_id IS NOT NULL")
     variants = _agg(
         listed.groupBy("product_id", "product_name", "category", "unit_price"),

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.functions.parse import instant
-from shopstrata.plans.marts import MARTS, in_report_order
+from shopstrata.plans.marts import ITEM_SALES, MARTS, in_report_order, item_sales
 from shopstrata.plans.metrics import observed_input, write_metrics
 from shopstrata.plans.quality import run_quality_checks
 from shopstrata.plans.silver import CLEANERS, STORED_CLEANERS
-from shopstrata.sources.layers import CURRENT, LEDGER_SCHEMA, LayerStore, entry
+from shopstrata.sources.files import Files
+from shopstrata.sources.layers import CURRENT, LEDGER_SCHEMA, PACKED, LayerStore, entry
 from shopstrata.sources.raw_csv import read_if_present, stamped, write_csv
 from shopstrata.sources.schemas import TABLES
+from shopstrata.sources.tables import TableSet
 
+LOG = logging.getLogger(__name__)
 QUALITY_LOG = "dq_quality_log"
 
 
@@ -130,13 +135,17 @@ class Run:
 
     def gold(self) -> None:
         """Build the marts; they are stored unsorted and sorted when read."""
-        silver = self.store.current("silver")
+        work = f"{self.store.root}/_work/run={self.run_id}"
+        silver = with_item_sales(self.spark, self.store.current("silver"), f"{work}/{ITEM_SALES}")
 
         def build(mart: str) -> DataFrame:
             built = MARTS[mart].build(silver, **self.mart_options.get(mart, {}))
             return built.withColumn("_gold_timestamp", F.expr(instant(self.run_time)))
 
-        self._write_layer("gold", {m: partial(build, m) for m in MARTS})
+        try:
+            self._write_layer("gold", {m: partial(build, m) for m in MARTS})
+        finally:
+            Files(self.spark, self.store.root).remove(work)
 
     def status(self) -> DataFrame:
         """One row per layer and table of this run."""
@@ -165,6 +174,27 @@ def run_pipeline(
     return run.status()
 
 
+def with_item_sales(spark: SparkSession, silver: Mapping[str, DataFrame], path: str) -> TableSet:
+    """``silver`` with the sums that marts share, written to ``path`` when the first of them asks, for all of them.
+
+    Where they cannot be written, there is no such table, and each mart is built, or fails, by itself.
+    """
+    lock, written = Lock(), []
+
+    def stored() -> DataFrame | None:
+        with lock:
+            if not written:
+                try:
+                    item_sales(silver).write.options(**PACKED).parquet(path)
+                    written.append(spark.read.parquet(path))
+                except Exception as problem:  # noqa: BLE001 - the marts do without
+                    LOG.warning("the marts do not share %s: %s", ITEM_SALES, problem)
+                    written.append(None)
+            return written[0]
+
+    return TableSet({**{t: partial(silver.__getitem__, t) for t in silver}, ITEM_SALES: stored})
+
+
 def mart_totals(name: str, mart: DataFrame) -> DataFrame:
     """(mart, rows, money, units) of a stored or exported mart, summed as decimals; null for a mart without totals."""
     sums = []

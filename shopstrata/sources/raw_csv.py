@@ -91,13 +91,18 @@ def stamped(raw: DataFrame, table: str, ingest_time: datetime) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write with a header, replacing what is there; cells keep their outer spaces."""
+def write_csv(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> None:
+    """Write with a header, replacing what is there; cells keep their outer spaces.
+
+    A gzipped file is read by one task, so ``rows_per_file`` should bound it (0: one file per task that writes).
+    """
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("compression", compression)
+        .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )

@@ -7,10 +7,11 @@ if it had been read from CSV.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstrata.functions.parse import MONEY
 from shopstrata.plans.backfill import backfill_order_totals
@@ -136,7 +137,8 @@ def _order_items(star: Star) -> DataFrame:
     return _items(star, typed=False)
 
 
-def _orders(star: Star) -> DataFrame:
+def _orders(star: Star, items: DataFrame | None = None) -> DataFrame:
+    """``items``: the raw order items, where they are stored already; else only their totals are derived."""
     status = """CASE WHEN o_orderstatus = 'F' THEN 'completed'
                      WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'shipped'
                      WHEN o_orderstatus = 'O' THEN 'processing'
@@ -145,11 +147,14 @@ def _orders(star: Star) -> DataFrame:
     copies = star["orders"].selectExpr(
         "*", "explode(sequence(0, CAST(o_orderkey % 167 = 0 AS INT))) AS _copy"
     )
-    headers = _shape(
-        copies,
+    # The other columns are rendered as text behind the join, so that it shuffles narrow rows.
+    headers = copies.withColumn("order_id", F.expr(_id("ORD", "o_orderkey"))).drop("_copy")
+    totals = backfill_order_totals(headers, _items(star, typed=True) if items is None else items)
+    return _shape(
+        totals,
         "orders",
         {
-            "order_id": _id("ORD", "o_orderkey"),
+            "order_id": "order_id",
             "customer_id": f"CASE WHEN o_orderkey % 101 <> 0 THEN {_id('CUST', 'o_custkey')} END",
             "order_date": """if(o_orderkey % 307 = 0, 'bad-date',
                                 CAST(CAST(o_orderdate AS DATE) AS STRING))""",
@@ -160,10 +165,9 @@ def _orders(star: Star) -> DataFrame:
                                ELSE 'referral' END""",
             "payment_method": _pick(PAYMENTS, "o_custkey"),
             "discount_pct": "CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey % 4 * 5 END",
+            "order_total": "order_total",
         },
     )
-    totals = backfill_order_totals(headers, _items(star, typed=True))
-    return totals.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in RAW_COLUMNS["orders"]])
 
 
 def _returns(star: Star) -> DataFrame:
@@ -215,12 +219,18 @@ BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, star_dir: str) -> TableSet:
-    """The raw commerce tables from the star schema in ``star_dir``; files are opened once."""
+def raw_tables(spark: SparkSession, star_dir: str, items: Callable[[], DataFrame] | None = None) -> TableSet:
+    """The raw commerce tables from the star schema in ``star_dir``; files are opened once.
+
+    ``items`` opens order items that are stored already, from which the order totals then come.
+    """
     star = TableSet(
         {
             name: partial(spark.read.schema(schema).parquet, f"{star_dir}/{name}.parquet")
             for name, schema in STAR_SCHEMAS.items()
         }
     )
-    return TableSet({table: partial(BUILDERS[table], star) for table in TABLES})
+    openers = {table: partial(BUILDERS[table], star) for table in TABLES}
+    if items:
+        openers["orders"] = lambda: _orders(star, items())
+    return TableSet(openers)
