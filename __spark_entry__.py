@@ -18,10 +18,10 @@ from oracle.answers import answers  # noqa: E402
 from shopstrata.functions.parse import instant  # noqa: E402
 from shopstrata.plans import metrics, quality, serving, singles  # noqa: E402
 from shopstrata.plans.backfill import backfill_order_totals  # noqa: E402
-from shopstrata.plans.marts import MARTS, in_report_order  # noqa: E402
-from shopstrata.plans.pipeline import QUALITY_LOG, Run, export_marts, mart_totals, run_pipeline  # noqa: E402
+from shopstrata.plans.marts import ITEM_SALES, MARTS, ORDER_COLUMNS, in_report_order  # noqa: E402
+from shopstrata.plans.pipeline import QUALITY_LOG, Run, export_marts, mart_totals, run_pipeline, with_item_sales  # noqa: E402
 from shopstrata.plans.silver import CLEANERS, STORED_CLEANERS, silver_order_items_rejects  # noqa: E402
-from shopstrata.sources.layers import LayerStore, shared_folder  # noqa: E402
+from shopstrata.sources.layers import PACKED, LayerStore, shared_folder  # noqa: E402
 from shopstrata.sources.raw_csv import read_csv, rejected_rows, scan_csv, write_csv  # noqa: E402
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES  # noqa: E402
 from shopstrata.sources.star_adapter import raw_tables  # noqa: E402
@@ -64,7 +64,10 @@ def _silver(spark: SparkSession, sf_dir: str) -> TableSet:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> TableSet:
-    silver = _silver(spark, sf_dir)
+    return _marts(_silver(spark, sf_dir))
+
+
+def _marts(silver: TableSet) -> TableSet:
     return TableSet(
         {
             name: lambda name=name, mart=mart: mart.build(silver, **MART_OPTIONS.get(name, {}))
@@ -190,8 +193,12 @@ def _order_total_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all marts as CSV and sum up what can be read back."""
-    folder = shared_folder(spark)
-    export_marts(_gold(spark, sf_dir), folder)
+    folder, work, silver = shared_folder(spark), shared_folder(spark), _silver(spark, sf_dir)
+    # All marts but one read the orders, whose totals come from the items; they are derived once.
+    silver["orders"].select(*ORDER_COLUMNS).write.options(**PACKED).parquet(f"{work}/orders")
+    opened = {t: partial(silver.__getitem__, t) for t in silver}
+    opened["orders"] = partial(spark.read.parquet, f"{work}/orders")
+    export_marts(_marts(with_item_sales(spark, TableSet(opened), f"{work}/{ITEM_SALES}")), folder)
     read = spark.read.option("header", True).option("escape", '"')
     totals = [mart_totals(name, read.csv(f"{folder}/{name}")) for name in MARTS]
     return portable(reduce(DataFrame.unionByName, totals))

@@ -109,3 +109,12 @@ def test_appends_to_the_ledger_do_not_meet(spark, tmp_path):
     with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(lambda e: store.record([e]), noted))
     assert sorted(r["rows"] for r in store.ledger().collect()) == list(range(24))
+
+
+def test_the_export_derives_orders_and_item_sums_once(spark, tmp_path, monkeypatch):
+    folders = iter([str(tmp_path / "csv"), str(tmp_path / "work")])
+    monkeypatch.setattr(contract, "shared_folder", lambda spark: next(folders))
+    expected = [contract.mart_totals(n, contract._gold(spark, SF_DIR)[n]) for n in contract.MARTS]
+    found = contract.queries()["gold_export"](spark, SF_DIR)
+    assert _rows(found) == sorted(str(r) for df in map(contract.portable, expected) for r in df.collect())
+    assert sorted(os.listdir(tmp_path / "work")) == ["item_sales", "orders"]
