@@ -8,6 +8,9 @@ left side) is shuffled once more, and any partition above
 ``spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes`` is split by its map outputs, whichever keys or
 missing keys it holds. There is one plan for every size, nothing is measured while it is built, and a join
 whose columns nobody reads still vanishes.
+
+Sides that grow with the data are never broadcast (:func:`unbroadcast`). A broadcast is gathered in the driver, and Spark
+decides on it by the size of files, of which packed ones hold a hundred times as much in memory.
 """
 
 from __future__ import annotations
@@ -16,6 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """``df``, whose next join is a sort-merge join whatever size is estimated for it or the other side."""
+    return df.hint("merge")
+
+
 def match(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Join ``left`` to ``right`` on the column ``key``; ``how`` is left, inner, left_semi or left_anti.
 
@@ -25,7 +33,7 @@ def match(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     # The hash is a join key of its own without being a column, so it is not shuffled with the rows.
     other = right.withColumnRenamed(key, "_match_key")
     same = (F.col(key) == F.col("_match_key")) & (F.hash(key) == F.hash("_match_key"))
-    joined = left.join(other, same, how).drop("_match_key")
+    joined = left.join(unbroadcast(other), same, how).drop("_match_key")
     return joined.select(key, *[c for c in joined.columns if c != key])
 
 

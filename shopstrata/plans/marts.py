@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from shopstrata.functions.rounding import average_money, cents, halves, percent, ratio_half_up, whole_sum
-from shopstrata.operators.keyed import match
+from shopstrata.operators.keyed import match, unbroadcast
 
 Tables = Mapping[str, DataFrame]
 
@@ -158,7 +158,7 @@ def revenue_by_category(tables: Tables, dedupe_orders: bool = False) -> DataFram
     times = "CAST(weight * copies AS DECIMAL(18,0))"
     profit = "(costed_revenue - cost_price * costed_units)"
     totals = _agg(
-        per_product.join(catalogue, "product_id").groupBy("category"),
+        per_product.join(unbroadcast(catalogue), "product_id").groupBy("category"),
         "count(DISTINCT product_id) AS unique_products",
         f"sum(CAST(units * {times} AS DECIMAL(28,4))) AS units",
         f"sum(CAST(revenue * {times} AS DECIMAL(28,2))) AS revenue",
@@ -263,8 +263,8 @@ def return_rate_by_product(tables: Tables) -> DataFrame:
     listings = _agg(listed.groupBy("product_id"), "count(1) AS listings")
     returned_times = "coalesce(returned * listings, 0)"
     return (
-        per_product.join(variants, "product_id")
-        .join(listings, "product_id")
+        per_product.join(unbroadcast(variants), "product_id")
+        .join(unbroadcast(listings), "product_id")
         .selectExpr(
             "product_id",
             "product_name",

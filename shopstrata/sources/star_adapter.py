@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.functions.parse import MONEY
+from shopstrata.operators.keyed import unbroadcast
 from shopstrata.plans.backfill import backfill_order_totals
 from shopstrata.sources.schemas import RAW_COLUMNS, TABLES
 from shopstrata.sources.tables import TableSet
@@ -116,7 +117,7 @@ def _items(star: Star, typed: bool) -> DataFrame:
         f"CAST(CAST(p_retailprice AS {MONEY}) AS STRING) AS price_text",
     )
     return _shape(
-        star["lineitem"].join(parts, "l_partkey"),
+        star["lineitem"].join(unbroadcast(parts), "l_partkey"),
         "order_items",
         {
             "item_id": _id("ITEM", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
